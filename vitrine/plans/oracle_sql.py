@@ -112,3 +112,200 @@ ORACLE["offers_latest_in_month"] = _LATEST.format(
     month_col="snapshot_month,", month_expr="CAST(year(snapshot_date) * 100 + month(snapshot_date) AS INTEGER)",
     part="snapshot_month,")
 ORACLE["offers_latest"] = _LATEST.format(month_col="", month_expr="0", part="")
+
+
+# ---------------------------------------------------------------- documents
+CATALOG_SRC = r"""catalog_src AS (
+  SELECT ' ' || r_name AS "Partner_Name", md5(path) AS "Category_ID", path AS "Category_FullPathName",
+         l_partkey AS "Offer_ID", p_name AS "Offer_Name", p_type AS "Offer_Type",
+         l_orderkey, l_linenumber, l_suppkey, l_partkey, CAST(l_shipdate AS DATE) AS load_date
+  FROM (SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, l_shipdate, p_name, p_type, r_name,
+               array_to_string(list_slice([p_type, p_brand, split_part(p_name, ' ', 1), split_part(p_name, ' ', 2)],
+                                          1, p_size % 4 + 1), chr(92)) AS path
+        FROM lineitem JOIN part ON l_partkey = p_partkey
+             JOIN supplier ON l_suppkey = s_suppkey
+             JOIN nation ON s_nationkey = n_nationkey
+             JOIN region ON n_regionkey = r_regionkey))"""
+
+
+def _src(where: str = "TRUE") -> str:
+    return rf"""src AS (
+  SELECT CASE WHEN pn IS NULL THEN '_unknown' WHEN starts_with(pn, '_') THEN pn ELSE '_' || pn END AS partner,
+         category_id, offer_id, offer_name, offer_type, path_text, parts,
+         l_orderkey, l_linenumber, l_suppkey, l_partkey
+  FROM (SELECT replace(lower(regexp_replace("Partner_Name", '^\s+|\s+$', '', 'g')), ' ', '_') AS pn,
+               CAST("Category_ID" AS VARCHAR) AS category_id, CAST("Offer_ID" AS VARCHAR) AS offer_id,
+               CAST("Offer_Name" AS VARCHAR) AS offer_name, CAST("Offer_Type" AS VARCHAR) AS offer_type,
+               "Category_FullPathName" AS path_text,
+               list_filter(list_transform(regexp_split_to_array(coalesce("Category_FullPathName", ''), '\\+'),
+                                          lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')),
+                           lambda x: x <> '') AS parts,
+               l_orderkey, l_linenumber, l_suppkey, l_partkey
+        FROM catalog_src WHERE {where}))"""
+
+
+def _categories(name: str, src: str, ts: str) -> str:
+    return rf"""{name} AS (
+  SELECT partner || '_' || category_id AS _id, partner, category_id,
+         CASE WHEN len(parts) > 0 THEN parts[len(parts)] END AS name,
+         array_to_string(parts, '/') AS path, parts AS path_array, CAST(len(parts) AS INTEGER) AS level,
+         CASE WHEN len(parts) > 1 THEN array_to_string(parts[1:len(parts) - 1], '/') END AS parent_path,
+         total_products, TIMESTAMP '{ts}' AS last_updated
+  FROM (SELECT g.partner, g.category_id, g.total_products, coalesce(f.parts, []::VARCHAR[]) AS parts
+        FROM (SELECT partner, category_id, count(*) AS total_products FROM {src}
+              WHERE category_id IS NOT NULL GROUP BY partner, category_id) g
+        LEFT JOIN (SELECT partner, category_id, parts FROM (
+                     SELECT partner, category_id, parts,
+                            row_number() OVER (PARTITION BY partner, category_id
+                                               ORDER BY l_orderkey, l_linenumber, l_suppkey, l_partkey) AS rn
+                     FROM {src} WHERE category_id IS NOT NULL AND path_text IS NOT NULL) WHERE rn = 1) f
+          ON g.partner = f.partner AND g.category_id = f.category_id))"""
+
+
+def _products(name: str, src: str, ts: str) -> str:
+    return rf"""{name} AS (
+  SELECT partner || '_' || offer_id AS _id, partner, offer_id, offer_name AS name, offer_type AS type,
+         category_id, CASE WHEN len(parts) > 0 THEN parts[len(parts)] END AS category_name,
+         array_to_string(parts, '/') AS full_path, parts,
+         TIMESTAMP '{ts}' AS updated_at, TIMESTAMP '{ts}' AS created_at
+  FROM (SELECT *, row_number() OVER (PARTITION BY partner, offer_id
+                                     ORDER BY l_orderkey, l_linenumber, l_suppkey, l_partkey) AS rn
+        FROM {src} WHERE offer_id IS NOT NULL) WHERE rn = 1)"""
+
+
+LOAD_TS = "2025-01-01 00:00:00"
+SECOND_LOAD_TS = "2025-02-01 00:00:00"
+DOCS = with_(CATALOG_SRC, _src(), _categories("categories", "src", LOAD_TS), _products("products", "src", LOAD_TS))
+SRC = with_(CATALOG_SRC, _src())
+
+CATEGORIES_FLAT = """SELECT _id, partner, category_id, name, path, array_to_string(path_array, '|') AS path_parts,
+       level, parent_path, total_products, last_updated FROM {t}"""
+PRODUCTS_FLAT = """SELECT _id, partner, offer_id, name, type, category_id, category_name, full_path,
+       array_to_string(list_transform(parts, lambda x, i: CAST(i AS VARCHAR) || ':' || x), '|') AS breadcrumbs,
+       updated_at, created_at FROM {t}"""
+
+ORACLE["profile_summary"] = SRC + """
+SELECT (SELECT count(*) FROM (SELECT DISTINCT partner, category_id FROM src)) AS unique_categories,
+       (SELECT CAST(coalesce(max(len(parts)), 0) AS INTEGER) FROM src) AS max_depth,
+       (SELECT count(*) FROM (SELECT offer_id FROM src GROUP BY offer_id
+                              HAVING count(DISTINCT partner) > 1)) AS offers_multi_partner,
+       (SELECT count(DISTINCT offer_type) FROM src) AS unique_types"""
+
+ORACLE["top_partner_categories"] = SRC + """
+SELECT partner, category_id, count(offer_id) AS products_cnt FROM src
+GROUP BY partner, category_id ORDER BY products_cnt DESC, partner, category_id LIMIT 10"""
+
+ORACLE["multi_partner_offers"] = SRC + """
+SELECT offer_id, count(DISTINCT partner) AS partners_cnt FROM src
+GROUP BY offer_id HAVING count(DISTINCT partner) > 1"""
+
+ORACLE["categories_docs"] = DOCS + CATEGORIES_FLAT.format(t="categories")
+ORACLE["products_docs"] = DOCS + PRODUCTS_FLAT.format(t="products")
+
+_TWO = with_(CATALOG_SRC,
+             _src("load_date < DATE '1998-01-01'").replace("src AS", "src_a AS", 1),
+             _src("load_date >= DATE '1997-01-01'").replace("src AS", "src_b AS", 1),
+             _categories("cat_a", "src_a", LOAD_TS), _categories("cat_b", "src_b", SECOND_LOAD_TS),
+             _products("prod_a", "src_a", LOAD_TS), _products("prod_b", "src_b", SECOND_LOAD_TS))
+
+ORACLE["categories_upsert"] = _TWO + CATEGORIES_FLAT.format(
+    t="(SELECT * FROM cat_a WHERE _id NOT IN (SELECT _id FROM cat_b) UNION ALL SELECT * FROM cat_b)")
+
+ORACLE["products_upsert"] = _TWO + PRODUCTS_FLAT.format(t="""(
+  SELECT b._id, b.partner, b.offer_id, b.name, b.type, b.category_id, b.category_name, b.full_path, b.parts,
+         b.updated_at, coalesce(a.created_at, b.created_at) AS created_at
+  FROM prod_b b LEFT JOIN prod_a a ON a._id = b._id
+  UNION ALL
+  SELECT * FROM prod_a WHERE _id NOT IN (SELECT _id FROM prod_b))""")
+
+ORACLE["documents_json"] = DOCS + """
+SELECT _id, to_json({'_id': _id, 'partner': partner, 'offer_id': offer_id, 'name': name, 'type': type,
+                     'category': {'id': category_id, 'name': category_name, 'full_path': full_path,
+                                  'breadcrumbs': list_transform(parts, lambda x, i: {'level': i, 'name': x})},
+                     'updated_at': strftime(updated_at, '%Y-%m-%dT%H:%M:%S'),
+                     'created_at': strftime(created_at, '%Y-%m-%dT%H:%M:%S')}) AS doc_json
+FROM products"""
+
+ORACLE["categories_by_level"] = DOCS + """
+SELECT level, count(*) AS categories_cnt FROM categories GROUP BY level ORDER BY level"""
+
+ORACLE["categories_by_partner_level"] = DOCS + """
+SELECT partner, level, count(*) AS categories_cnt, CAST(sum(total_products) AS BIGINT) AS products_sum
+FROM categories GROUP BY partner, level ORDER BY partner, level"""
+
+ORACLE["category_depth"] = DOCS + """
+SELECT round(avg(level), 2) AS avg_level, max(level) AS max_level FROM categories HAVING count(*) > 0"""
+
+ORACLE["categories_filter_level_partner"] = DOCS + """
+SELECT _id, name, total_products, path FROM categories WHERE level = 1 AND partner = '_asia'"""
+
+ORACLE["categories_containing"] = DOCS + """
+SELECT _id, name, level, path FROM categories WHERE list_contains(path_array, 'Brand#4')"""
+
+ORACLE["top_categories_by_products"] = DOCS + """
+SELECT _id, name, path, total_products FROM categories ORDER BY total_products DESC, _id LIMIT 10"""
+
+ORACLE["largest_at_level"] = DOCS + """
+SELECT level, _id, name, path, total_products FROM (
+  SELECT *, row_number() OVER (PARTITION BY level ORDER BY total_products DESC, _id) AS rn
+  FROM categories WHERE level IN (1, 4)) WHERE rn = 1"""
+
+ORACLE["deepest_category"] = DOCS + """
+SELECT _id, name, path, level, total_products FROM categories
+ORDER BY level DESC, total_products DESC, _id LIMIT 1"""
+
+ORACLE["leaf_categories"] = DOCS + """
+SELECT c._id, c.partner, c.level, c.path, c.total_products
+FROM categories c LEFT JOIN categories ch ON ch.parent_path = c.path
+GROUP BY ALL HAVING count(ch._id) = 0
+ORDER BY total_products DESC, _id LIMIT 10"""
+
+ORACLE["children_per_category"] = DOCS + """
+SELECT c._id, c.path, count(ch._id) AS children_cnt
+FROM categories c LEFT JOIN categories ch ON ch.parent_path = c.path GROUP BY c._id, c.path"""
+
+ORACLE["products_type_in_branch"] = DOCS + """
+SELECT _id, name, full_path FROM products WHERE type = 'PROMO' AND list_contains(parts, 'Brand#4')"""
+
+ORACLE["products_depth4"] = DOCS + """
+SELECT _id, name, CAST(len(parts) AS INTEGER) AS depth FROM products WHERE len(parts) > 3"""
+
+ORACLE["product_sample"] = DOCS + """
+SELECT _id, name, CAST(len(parts) AS INTEGER) AS depth FROM products
+ORDER BY (len(parts) > 3) DESC, _id LIMIT 1"""
+
+ORACLE["products_by_type"] = DOCS + """
+SELECT type, count(*) AS cnt FROM products GROUP BY type ORDER BY cnt DESC, type LIMIT 5"""
+
+ORACLE["products_by_partner"] = DOCS + """
+SELECT partner, count(*) AS cnt FROM products GROUP BY partner ORDER BY cnt DESC, partner"""
+
+ORACLE["products_by_root"] = DOCS + """
+SELECT parts[1] AS root_category, count(*) AS products_cnt FROM products
+GROUP BY 1 ORDER BY products_cnt DESC, root_category NULLS FIRST"""
+
+ORACLE["top_product_categories"] = DOCS + """
+SELECT category_id, category_name AS name, full_path, count FROM (
+  SELECT category_id, category_name, full_path,
+         count(*) OVER (PARTITION BY category_id) AS count,
+         row_number() OVER (PARTITION BY category_id ORDER BY _id) AS rn
+  FROM products) WHERE rn = 1
+ORDER BY count DESC, category_id LIMIT 10"""
+
+CRUMBS = """crumbs AS (
+  SELECT CAST(unnest(generate_series(1, len(parts))) AS INTEGER) AS level, unnest(parts) AS name
+  FROM products WHERE len(parts) > 0)"""
+CR = with_(CATALOG_SRC, _src(), _products("products", "src", LOAD_TS), CRUMBS)
+
+ORACLE["level_name_stats"] = CR + """
+SELECT level, name, count(*) AS cnt FROM crumbs GROUP BY level, name
+ORDER BY level, cnt DESC, name LIMIT 30"""
+
+ORACLE["busiest_level"] = CR + """
+SELECT level, count(*) AS cnt FROM crumbs GROUP BY level ORDER BY cnt DESC, level LIMIT 1"""
+
+ORACLE["top3_per_level"] = CR + """
+SELECT level, name, cnt, rank FROM (
+  SELECT level, name, cnt, CAST(row_number() OVER (PARTITION BY level ORDER BY cnt DESC, name) AS INTEGER) AS rank
+  FROM (SELECT level, name, count(*) AS cnt FROM crumbs WHERE level IN (1, 2, 3) GROUP BY level, name))
+WHERE rank <= 3"""

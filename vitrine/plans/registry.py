@@ -6,12 +6,17 @@ them); none runs on invented input.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from vitrine.operators import relational as rel
 from vitrine.plans import aggregates as agg
 from vitrine.plans import catalog as cat
+from vitrine.plans import documents as docs
+from vitrine.plans import hierarchy as hi
 from vitrine.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +115,183 @@ def q_offers_latest_in_month(spark, sf_dir):
 def q_offers_latest(spark, sf_dir):
     return agg.latest_versions(fx.offer_snapshots(spark, sf_dir), ["l_orderkey", "l_linenumber", "seller_id"],
                                per_month=False)
+
+
+# ---------------------------------------------------------------- documents
+# Fixed values for repeatable document loads: the load timestamps and the
+# two overlapping load windows used by the upsert queries.
+LOAD_TS = dt.datetime(2025, 1, 1, 0, 0, 0)
+SECOND_LOAD_TS = dt.datetime(2025, 2, 1, 0, 0, 0)
+FIRST_LOAD_BEFORE = "1998-01-01"
+SECOND_LOAD_FROM = "1997-01-01"
+
+
+def _catalog(spark, sf_dir):
+    return fx.catalog_src(spark, sf_dir)
+
+
+def _categories(spark, sf_dir):
+    """Category documents, built once per input and stored (like the
+    reference's load step); queries read the stored documents."""
+    return agg.materialize(spark, agg.store_path(spark, "categories", sf_dir),
+                           lambda: docs.categories_docs(_catalog(spark, sf_dir), fx.CATALOG_ROW_ORDER, LOAD_TS),
+                           sort_by=["partner", "level"])
+
+
+def _products(spark, sf_dir):
+    return agg.materialize(spark, agg.store_path(spark, "products", sf_dir),
+                           lambda: docs.products_docs(_catalog(spark, sf_dir), fx.CATALOG_ROW_ORDER, LOAD_TS),
+                           sort_by=["type", "partner"])
+
+
+@register("profile_summary")
+def q_profile_summary(spark, sf_dir):
+    return docs.profile_summary(spark, _catalog(spark, sf_dir))
+
+
+@register("top_partner_categories")
+def q_top_partner_categories(spark, sf_dir):
+    return docs.top_partner_categories(_catalog(spark, sf_dir))
+
+
+@register("multi_partner_offers")
+def q_multi_partner_offers(spark, sf_dir):
+    return docs.multi_partner_offers(_catalog(spark, sf_dir))
+
+
+@register("categories_docs")
+def q_categories_docs(spark, sf_dir):
+    return docs.categories_flat(docs.categories_docs(_catalog(spark, sf_dir), fx.CATALOG_ROW_ORDER, LOAD_TS))
+
+
+@register("products_docs")
+def q_products_docs(spark, sf_dir):
+    return docs.products_flat(docs.products_docs(_catalog(spark, sf_dir), fx.CATALOG_ROW_ORDER, LOAD_TS))
+
+
+def _two_loads(spark, sf_dir):
+    src = _catalog(spark, sf_dir)
+    return (src.where(F.col("load_date") < F.lit(FIRST_LOAD_BEFORE).cast("date")),
+            src.where(F.col("load_date") >= F.lit(SECOND_LOAD_FROM).cast("date")))
+
+
+@register("categories_upsert")
+def q_categories_upsert(spark, sf_dir):
+    first, second = _two_loads(spark, sf_dir)
+    old = docs.categories_docs(first, fx.CATALOG_ROW_ORDER, LOAD_TS)
+    new = docs.categories_docs(second, fx.CATALOG_ROW_ORDER, SECOND_LOAD_TS)
+    return docs.categories_flat(rel.upsert_replace(old, new, "_id"))
+
+
+@register("products_upsert")
+def q_products_upsert(spark, sf_dir):
+    first, second = _two_loads(spark, sf_dir)
+    old = docs.products_docs(first, fx.CATALOG_ROW_ORDER, LOAD_TS)
+    new = docs.products_docs(second, fx.CATALOG_ROW_ORDER, SECOND_LOAD_TS)
+    return docs.products_flat(rel.upsert_set_on_insert(old, new, "_id", ["created_at"]))
+
+
+@register("documents_json")
+def q_documents_json(spark, sf_dir):
+    return docs.products_json(_products(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- hierarchy
+@register("categories_by_level")
+def q_categories_by_level(spark, sf_dir):
+    return hi.categories_by_level(_categories(spark, sf_dir))
+
+
+@register("categories_by_partner_level")
+def q_categories_by_partner_level(spark, sf_dir):
+    return hi.categories_by_partner_level(_categories(spark, sf_dir))
+
+
+@register("category_depth")
+def q_category_depth(spark, sf_dir):
+    return hi.category_depth(_categories(spark, sf_dir))
+
+
+@register("categories_filter_level_partner")
+def q_categories_filter_level_partner(spark, sf_dir):
+    return hi.categories_filter(_categories(spark, sf_dir), 1, "_asia")
+
+
+@register("categories_containing")
+def q_categories_containing(spark, sf_dir):
+    return hi.categories_containing(_categories(spark, sf_dir), "Brand#4")
+
+
+@register("top_categories_by_products")
+def q_top_categories_by_products(spark, sf_dir):
+    return hi.top_categories_by_products(_categories(spark, sf_dir))
+
+
+@register("largest_at_level")
+def q_largest_at_level(spark, sf_dir):
+    return hi.largest_at_levels(_categories(spark, sf_dir), (1, 4))
+
+
+@register("deepest_category")
+def q_deepest_category(spark, sf_dir):
+    return hi.deepest_category(_categories(spark, sf_dir))
+
+
+@register("leaf_categories")
+def q_leaf_categories(spark, sf_dir):
+    return hi.leaf_categories(_categories(spark, sf_dir))
+
+
+@register("children_per_category")
+def q_children_per_category(spark, sf_dir):
+    return hi.children_per_category(_categories(spark, sf_dir))
+
+
+@register("products_type_in_branch")
+def q_products_type_in_branch(spark, sf_dir):
+    return hi.products_in_branch(_products(spark, sf_dir), "PROMO", "Brand#4")
+
+
+@register("products_depth4")
+def q_products_depth4(spark, sf_dir):
+    return hi.products_deeper_than(_products(spark, sf_dir), 3)
+
+
+@register("product_sample")
+def q_product_sample(spark, sf_dir):
+    return hi.product_sample(_products(spark, sf_dir), 3)
+
+
+@register("products_by_type")
+def q_products_by_type(spark, sf_dir):
+    return hi.products_by_type(_products(spark, sf_dir))
+
+
+@register("products_by_partner")
+def q_products_by_partner(spark, sf_dir):
+    return hi.products_by_partner(_products(spark, sf_dir))
+
+
+@register("products_by_root")
+def q_products_by_root(spark, sf_dir):
+    return hi.products_by_root(_products(spark, sf_dir))
+
+
+@register("top_product_categories")
+def q_top_product_categories(spark, sf_dir):
+    return hi.top_product_categories(_products(spark, sf_dir))
+
+
+@register("level_name_stats")
+def q_level_name_stats(spark, sf_dir):
+    return hi.level_name_stats(_products(spark, sf_dir))
+
+
+@register("busiest_level")
+def q_busiest_level(spark, sf_dir):
+    return hi.busiest_level(_products(spark, sf_dir))
+
+
+@register("top3_per_level")
+def q_top3_per_level(spark, sf_dir):
+    return hi.top_names_per_level(_products(spark, sf_dir), (1, 2, 3), 3)

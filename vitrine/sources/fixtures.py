@@ -66,8 +66,10 @@ def offer_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_src(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offers with partner and category path, in the source file layout:
     ``Partner_Name, Category_ID, Category_FullPathName, Offer_ID, Offer_Name,
-    Offer_Type`` plus the row-order columns."""
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
+    Offer_Type`` plus the row-order columns and ``load_date`` (the ship
+    date, which splits the rows into successive loads for the upserts)."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey",
+                                                      "l_shipdate")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
@@ -88,6 +90,7 @@ def catalog_src(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("Offer_Name"),
         F.col("p_type").alias("Offer_Type"),
         *CATALOG_ROW_ORDER,
+        F.col("l_shipdate").cast("date").alias("load_date"),
     )
 
 

@@ -137,7 +137,8 @@ def to_json_documents(df: DataFrame, keys: list[str], id_col: str = "_id") -> Da
     Non-ASCII text is written as is; timestamps are rendered as ISO text by
     the caller (``iso_text``) so the output does not depend on writer options.
     """
-    return df.select(F.col(id_col), F.to_json(F.struct(*[F.col(k) for k in keys])).alias("doc_json"))
+    doc = F.to_json(F.struct(*[F.col(k) for k in keys]), {"ignoreNullFields": "false"})
+    return df.select(F.col(id_col), doc.alias("doc_json"))
 
 
 def write_json_documents(df: DataFrame, path: str) -> None:
