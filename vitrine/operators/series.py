@@ -29,24 +29,30 @@ from vitrine.functions.columns import epoch_micros
 _MICROS = 1_000_000
 
 
-def running_sum(df: DataFrame, partition: Sequence[str], order: Sequence[str], value: Column | str,
-                bucket: Column, out: str) -> DataFrame:
-    """Cumulative sum of ``value`` per ``partition`` in ``order``.
+def running_sum(df: DataFrame, partition: Sequence[str], order: Sequence[str], values: dict[str, Column],
+                bucket: Column) -> DataFrame:
+    """Cumulative sums per ``partition`` in ``order``: ``{out: value}``.
 
-    ``bucket`` must be non-decreasing along ``order`` (e.g. ``floor(id / B)``).
+    ``bucket`` must be non-decreasing along ``order`` (e.g. ``floor(id / B)``);
+    a partition's rows are processed bucket by bucket in parallel.
     """
-    v = F.col(value) if isinstance(value, str) else value
-    d = df.withColumn("__b", bucket).withColumn("__v", v)
+    names = list(values)
+    d = df.withColumn("__b", bucket)
+    for i, n in enumerate(names):
+        d = d.withColumn(f"__v{i}", values[n])
     w_in = (Window.partitionBy(*partition, "__b").orderBy(*order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = d.withColumn("__local", F.sum("__v").over(w_in))
-    totals = d.groupBy(*partition, "__b").agg(F.sum("__v").alias("__tot"))
+    local = d
+    for i, _ in enumerate(names):
+        local = local.withColumn(f"__l{i}", F.sum(f"__v{i}").over(w_in))
+    totals = d.groupBy(*partition, "__b").agg(*[F.sum(f"__v{i}").alias(f"__t{i}") for i in range(len(names))])
     w_b = Window.partitionBy(*partition).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*partition, "__b",
-                            F.coalesce(F.sum("__tot").over(w_b), F.lit(0)).alias("__off"))
-    return (local.join(offsets, [*partition, "__b"])
-                 .withColumn(out, F.col("__local") + F.col("__off"))
-                 .drop("__b", "__v", "__local", "__off"))
+    offsets = totals.select(*partition, "__b", *[F.coalesce(F.sum(f"__t{i}").over(w_b), F.lit(0)).alias(f"__o{i}")
+                                                 for i in range(len(names))])
+    out = local.join(offsets, [*partition, "__b"])
+    for i, n in enumerate(names):
+        out = out.withColumn(n, F.col(f"__l{i}") + F.col(f"__o{i}"))
+    return out.drop("__b", *[f"__{k}{i}" for k in "vlo" for i in range(len(names))])
 
 
 def previous_value(df: DataFrame, series: Sequence[str], ts: str, value: str, bucket: Column,

@@ -309,3 +309,62 @@ SELECT level, name, cnt, rank FROM (
   SELECT level, name, cnt, CAST(row_number() OVER (PARTITION BY level ORDER BY cnt DESC, name) AS INTEGER) AS rank
   FROM (SELECT level, name, count(*) AS cnt FROM crumbs WHERE level IN (1, 2, 3) GROUP BY level, name))
 WHERE rank <= 3"""
+
+
+# ---------------------------------------------------------------- metrics
+METRIC_SAMPLES = """metric_samples AS (
+  SELECT 'queries_total' AS metric, event_type AS label, ts,
+         CAST(row_number() OVER (PARTITION BY event_type ORDER BY event_id) % 500 AS DOUBLE) AS value
+  FROM events
+  UNION ALL
+  SELECT 'query_time_us', event_type, ts,
+         CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER (PARTITION BY event_type ORDER BY event_id
+                                                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+              AS DOUBLE)
+  FROM events
+  UNION ALL
+  SELECT 'memory_bytes', event_type, ts, value * 1e6 FROM events)"""
+
+RANGE_US = 6 * 3600 * 1_000_000
+
+
+def _increase(metrics: str) -> str:
+    return f"""deltas AS (
+  SELECT metric, label, ts, epoch_us(ts) AS t,
+         CASE WHEN prev IS NULL THEN NULL WHEN value < prev THEN value ELSE value - prev END AS delta
+  FROM (SELECT *, lag(value) OVER (PARTITION BY metric, label ORDER BY ts) AS prev
+        FROM metric_samples WHERE metric IN ({metrics}))),
+increases AS (
+  SELECT metric, label, ts, s - coalesce(f, 0) AS increase, samples FROM (
+    SELECT metric, label, ts, sum(delta) OVER w AS s, first_value(delta) OVER w AS f, count(*) OVER w AS samples
+    FROM deltas
+    WINDOW w AS (PARTITION BY metric, label ORDER BY t RANGE BETWEEN {RANGE_US - 1} PRECEDING AND CURRENT ROW))
+  WHERE samples >= 2)"""
+
+
+ORACLE["counter_rate"] = with_(METRIC_SAMPLES, _increase("'queries_total'")) + """
+SELECT metric, label, ts, increase / 21600.0 AS rate, samples FROM increases"""
+
+ORACLE["latency_ratio"] = with_(METRIC_SAMPLES, _increase("'query_time_us', 'queries_total'")) + """
+SELECT n.label, n.ts,
+       CASE WHEN d.increase = 0 THEN NULL ELSE (n.increase / 21600.0) / (d.increase / 21600.0) END / 1e6 AS latency_s
+FROM increases n JOIN increases d ON n.label = d.label AND n.ts = d.ts
+WHERE n.metric = 'query_time_us' AND d.metric = 'queries_total'"""
+
+ORACLE["gauge_scaled"] = with_(METRIC_SAMPLES) + """
+SELECT label, ts, value / 1e9 AS memory_gb FROM metric_samples WHERE metric = 'memory_bytes'"""
+
+ORACLE["last_window"] = with_(METRIC_SAMPLES) + """
+SELECT metric, label, ts, value FROM metric_samples
+WHERE ts >= (SELECT max(ts) FROM metric_samples) - INTERVAL 5 MINUTE
+  AND ts <= (SELECT max(ts) FROM metric_samples)"""
+
+ORACLE["timing_summary"] = """
+SELECT o_orderpriority AS query, min(o_totalprice / 1e6) AS min_s, round(avg(o_totalprice / 1e6), 6) AS mean_s,
+       max(o_totalprice / 1e6) AS max_s, count(*) AS iterations
+FROM orders GROUP BY o_orderpriority ORDER BY query"""
+
+ORACLE["csv_load"] = with_(OFFERS) + "SELECT offer_id, price, seller_id, category_id, vendor FROM offers"
+
+ORACLE["merge_partial_counts"] = with_(SNAPSHOTS) + """
+SELECT category_id, count(*) AS offers_cnt FROM offer_snapshots GROUP BY category_id"""

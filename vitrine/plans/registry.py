@@ -17,6 +17,8 @@ from vitrine.plans import aggregates as agg
 from vitrine.plans import catalog as cat
 from vitrine.plans import documents as docs
 from vitrine.plans import hierarchy as hi
+from vitrine.plans import metrics as met
+from vitrine.sources import tables as src
 from vitrine.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -295,3 +297,55 @@ def q_busiest_level(spark, sf_dir):
 @register("top3_per_level")
 def q_top3_per_level(spark, sf_dir):
     return hi.top_names_per_level(_products(spark, sf_dir), (1, 2, 3), 3)
+
+
+# ---------------------------------------------------------------- metrics
+# Fixed value: samples of one label are about 21 minutes apart in the
+# driver data, so the one-minute range of the dashboards becomes six hours.
+RATE_RANGE_SECONDS = 6 * 3600
+
+
+@register("counter_rate")
+def q_counter_rate(spark, sf_dir):
+    return met.counter_rate(fx.metric_samples(spark, sf_dir), fx.QUERIES_METRIC, RATE_RANGE_SECONDS)
+
+
+@register("latency_ratio")
+def q_latency_ratio(spark, sf_dir):
+    return met.ratio_of_rates(fx.metric_samples(spark, sf_dir), fx.TIME_METRIC, fx.QUERIES_METRIC,
+                              RATE_RANGE_SECONDS)
+
+
+@register("gauge_scaled")
+def q_gauge_scaled(spark, sf_dir):
+    return met.gauge_scaled(fx.metric_samples(spark, sf_dir), fx.MEMORY_METRIC)
+
+
+@register("last_window")
+def q_last_window(spark, sf_dir):
+    return met.last_window(fx.metric_samples(spark, sf_dir), 5)
+
+
+@register("timing_summary")
+def q_timing_summary(spark, sf_dir):
+    return met.timing_summary(fx.timings(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- loads
+@register("csv_load")
+def q_csv_load(spark, sf_dir):
+    """A3: the catalogue written as a headed CSV to the store, read back
+    positionally, header rows filtered, text cast."""
+    path = agg.store_path(spark, "offers_csv", sf_dir)
+    if not agg._exists(spark, path + "/_SUCCESS"):
+        src.write_offers_csv(fx.offers(spark, sf_dir), path)
+    return src.read_offers_csv(spark, path)
+
+
+@register("merge_partial_counts")
+def q_merge_partial_counts(spark, sf_dir):
+    """One partial per-category count per yearly load of the snapshots,
+    merged by summing (what the pre-aggregate's background merge does)."""
+    snaps = fx.offer_snapshots(spark, sf_dir).withColumn("load_year", F.year("snapshot_date"))
+    partials = snaps.groupBy("load_year", "category_id").agg(F.count(F.lit(1)).alias("offers_cnt"))
+    return rel.merge_partial_sums([partials.drop("load_year")], ["category_id"], ["offers_cnt"])

@@ -100,3 +100,36 @@ def timings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.col("o_orderpriority").alias("query"),
                     F.col("o_orderkey").alias("iteration"),
                     (F.col("o_totalprice") / 1e6).alias("seconds"))
+
+
+# Fixed values of the metric mapping: metric names, the counter wrap used to
+# create resets, and the scale of the gauge.
+QUERIES_METRIC = "queries_total"
+TIME_METRIC = "query_time_us"
+MEMORY_METRIC = "memory_bytes"
+QUERIES_WRAP = 500
+MEMORY_SCALE = 1e6
+
+
+def metric_samples(spark: SparkSession, sf_dir: str, bucket_rows: int = 1 << 20) -> DataFrame:
+    """Samples ``(metric, label, ts, value)`` derived from the events: two
+    counters (one with resets) and one gauge per event type.
+
+    The counters are running totals per event type in ``event_id`` order.
+    Event types are few, so each is a hot key; the running totals are
+    computed bucket by bucket (``running_sum``), never one type per task.
+    """
+    from vitrine.operators.series import running_sum
+
+    e = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    r = running_sum(e, ["event_type"], ["event_id"],
+                    {"__n": F.lit(1).cast("bigint"),
+                     "__us": F.round(F.col("value") * 100).cast("bigint")},
+                    F.floor(F.col("event_id") / F.lit(bucket_rows)))
+    label = F.col("event_type").alias("label")
+    queries = r.select(F.lit(QUERIES_METRIC).alias("metric"), label, "ts",
+                       (F.col("__n") % QUERIES_WRAP).cast("double").alias("value"))
+    time_us = r.select(F.lit(TIME_METRIC).alias("metric"), label, "ts", F.col("__us").cast("double").alias("value"))
+    memory = e.select(F.lit(MEMORY_METRIC).alias("metric"), label, "ts",
+                      (F.col("value") * MEMORY_SCALE).alias("value"))
+    return queries.unionByName(time_us).unionByName(memory)
