@@ -368,3 +368,27 @@ ORACLE["csv_load"] = with_(OFFERS) + "SELECT offer_id, price, seller_id, categor
 
 ORACLE["merge_partial_counts"] = with_(SNAPSHOTS) + """
 SELECT category_id, count(*) AS offers_cnt FROM offer_snapshots GROUP BY category_id"""
+
+
+# ---------------------------------------------------------------- streaming
+ORACLE["stream_category_counts"] = CAT + "SELECT category_id, count(*) AS offers_cnt FROM offers GROUP BY category_id"
+ORACLE["stream_brand_counts"] = CAT + """
+SELECT vendor, category_id, count(*) AS offers_cnt FROM offers GROUP BY vendor, category_id"""
+ORACLE["stream_offer_events"] = ORACLE["offer_events_daily"]
+
+SLIDE_US = 3600 * 1_000_000
+DELAY_US = 3600 * 1_000_000
+ORACLE["stream_counter_rate"] = with_(METRIC_SAMPLES) + f"""
+, win AS (
+  SELECT metric, label, ts, value, (epoch_us(ts) // {SLIDE_US}) * {SLIDE_US} - k * {SLIDE_US} AS ws
+  FROM metric_samples, range(0, {RANGE_US // SLIDE_US}) AS r(k)
+  WHERE metric = 'queries_total'),
+d AS (
+  SELECT metric, label, ws, ts,
+         CASE WHEN prev IS NULL THEN 0 WHEN value < prev THEN value ELSE value - prev END AS delta
+  FROM (SELECT *, lag(value) OVER (PARTITION BY metric, label, ws ORDER BY ts) AS prev FROM win))
+SELECT metric, label, make_timestamp(ws) AS window_start, make_timestamp(ws + {RANGE_US}) AS window_end,
+       sum(delta) / 21600.0 AS rate, count(*) AS samples
+FROM d GROUP BY metric, label, ws
+HAVING count(*) >= 2
+   AND ws + {RANGE_US} <= (SELECT epoch_us(max(ts)) FROM metric_samples WHERE metric = 'queries_total') - {DELAY_US}"""

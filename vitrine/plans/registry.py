@@ -20,6 +20,7 @@ from vitrine.plans import hierarchy as hi
 from vitrine.plans import metrics as met
 from vitrine.sources import tables as src
 from vitrine.sources import fixtures as fx
+from vitrine.streaming import incremental as inc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -349,3 +350,29 @@ def q_merge_partial_counts(spark, sf_dir):
     snaps = fx.offer_snapshots(spark, sf_dir).withColumn("load_year", F.year("snapshot_date"))
     partials = snaps.groupBy("load_year", "category_id").agg(F.count(F.lit(1)).alias("offers_cnt"))
     return rel.merge_partial_sums([partials.drop("load_year")], ["category_id"], ["offers_cnt"])
+
+
+# ---------------------------------------------------------------- streaming
+STREAM_SLIDE_SECONDS = 3600
+STREAM_DELAY_SECONDS = 3600
+
+
+@register("stream_category_counts")
+def q_stream_category_counts(spark, sf_dir):
+    return inc.stream_category_counts(spark, sf_dir)
+
+
+@register("stream_brand_counts")
+def q_stream_brand_counts(spark, sf_dir):
+    return inc.stream_brand_counts(spark, sf_dir)
+
+
+@register("stream_offer_events")
+def q_stream_offer_events(spark, sf_dir):
+    return inc.stream_offer_events(spark, sf_dir)
+
+
+@register("stream_counter_rate")
+def q_stream_counter_rate(spark, sf_dir):
+    return inc.stream_counter_rate(spark, sf_dir, fx.QUERIES_METRIC, RATE_RANGE_SECONDS,
+                                   STREAM_SLIDE_SECONDS, STREAM_DELAY_SECONDS)

@@ -23,7 +23,11 @@ SNAPSHOT_LOAD_ORDER = ["l_orderkey", "l_linenumber", "l_suppkey"]
 
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue rows ``(offer_id, price, seller_id, category_id, vendor)``."""
-    p = read_table(spark, sf_dir, "part")
+    return offers_from(read_table(spark, sf_dir, "part"))
+
+
+def offers_from(p: DataFrame) -> DataFrame:
+    """The offers mapping over a ``part`` frame (batch or stream)."""
     return p.select(
         F.col("p_partkey").alias("offer_id"),
         F.col("p_retailprice").alias("price"),
@@ -35,7 +39,11 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User events in the ``raw_events`` layout."""
-    e = read_table(spark, sf_dir, "events")
+    return raw_events_from(read_table(spark, sf_dir, "events"))
+
+
+def raw_events_from(e: DataFrame) -> DataFrame:
+    """The ``raw_events`` mapping over an ``events`` frame (batch or stream)."""
     return e.select(
         hour_floor("ts").alias("Hour"),
         F.col("event_type").alias("DeviceTypeName"),
