@@ -5,7 +5,8 @@ All of them are compositions of DataFrame operators.  The design rules:
 * aggregations run as partial + final (map-side combine), so a key that
   holds a third of the rows is collapsed before the shuffle;
 * per-key "pick one row" steps (latest version, first in file order) are
-  aggregates (``max_by`` / ``min_by`` over a row struct), not windows, for
+  aggregates (``max`` / ``min`` of a row struct led by the order keys), not
+  windows, for
   the same reason: a window sends every row of a hot key to one task;
 * per-group top-k uses ``row_number`` with a ``<= k`` filter, which Spark
   plans as a partial ``WindowGroupLimit`` before the shuffle, so each map
@@ -61,19 +62,21 @@ def anti_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str |
 
 
 # ---------------------------------------------------------------- de-dup
-def pick_per_key(df: DataFrame, keys: Sequence[str], order: Sequence, latest: bool = True) -> DataFrame:
+def pick_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], latest: bool = True) -> DataFrame:
     """One row per key: the one with the largest (``latest``) or smallest
     ``order`` tuple (E1, E2).
 
-    Expressed as ``max_by`` / ``min_by`` of a struct holding the row, so the
-    choice is combined map-side and a key with many versions never meets in
-    a single task before it has been reduced.
+    Expressed as ``max`` / ``min`` of a struct that starts with the order
+    columns and carries the rest of the row, so the choice is combined
+    map-side and a key with many versions is reduced before it is shuffled.
+    Rows that tie on ``order`` are told apart by the remaining columns, so
+    the pick is deterministic.
     """
     rest = [c for c in df.columns if c not in keys]
-    row = F.struct(*[F.col(c) for c in rest])
-    ordering = F.struct(*_cols(order))
-    chooser = F.max_by if latest else F.min_by
-    picked = df.groupBy(*keys).agg(chooser(row, ordering).alias("__row"))
+    payload = [c for c in rest if c not in order]
+    row = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in payload])
+    chooser = F.max if latest else F.min
+    picked = df.groupBy(*keys).agg(chooser(row).alias("__row"))
     return picked.select(*keys, *[F.col("__row")[c].alias(c) for c in rest])
 
 

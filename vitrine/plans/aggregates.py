@@ -11,54 +11,12 @@ key and micro-batch.
 
 from __future__ import annotations
 
-import hashlib
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine import __version__
 from vitrine.functions.columns import month_key
 from vitrine.operators.relational import count_by, pick_per_key
-from vitrine.session import store_root
-
-# Layout version of everything written to the store; bump on change.
-STORE_VERSION = f"{__version__}-1"
-
-
-def source_tag(sf_dir: str) -> str:
-    """Stable folder name for outputs derived from one input folder."""
-    return hashlib.sha1(f"{os.path.abspath(sf_dir)}|{STORE_VERSION}".encode()).hexdigest()[:12]
-
-
-def store_path(spark: SparkSession, name: str, sf_dir: str) -> str:
-    return f"{store_root(spark)}/{name}/{source_tag(sf_dir)}"
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
-def materialize(spark: SparkSession, path: str, build, partition_by: list[str] | None = None,
-                sort_by: list[str] | None = None) -> DataFrame:
-    """Read ``path`` if a finished build is there, else build and write it.
-
-    Writing to storage is also how lineage is cut: readers start from the
-    files, never from the plan that produced them.
-    """
-    if not _exists(spark, path + "/_SUCCESS"):
-        df = build()
-        if sort_by:
-            df = df.sortWithinPartitions(*sort_by)
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-    return spark.read.parquet(path)
-
+from vitrine.sources.store import _exists, materialize, source_tag, store_path  # noqa: F401
 
 # ---------------------------------------------------------------- builds
 def category_counts(offers: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.functions import columns as fn
-from vitrine.operators.relational import count_by, pick_per_key, top_k
+from vitrine.operators.relational import top_k
 from vitrine.sources.tables import CATALOG_REQUIRED, iso_text, require_columns, to_json_documents
 
 
@@ -46,19 +46,43 @@ def normalized(src: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def _by_raw_keys(src: DataFrame, raw_keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
+    """Aggregate on the raw key columns first.
+
+    Partner clean-up and id casts are functions of the raw keys, so grouping
+    by the raw values and cleaning the (much smaller) result gives the same
+    groups as cleaning every row; the regular expressions then run once per
+    raw key instead of once per source row.
+    """
+    return src.groupBy(*raw_keys).agg(*aggs)
+
+
+def _clean_keys(df: DataFrame, *rest: str) -> DataFrame:
+    out = []
+    if "Partner_Name" in df.columns:
+        out.append(fn.normalize_partner("Partner_Name").alias("partner"))
+    if "Category_ID" in df.columns:
+        out.append(F.col("Category_ID").cast("string").alias("category_id"))
+    if "Offer_ID" in df.columns:
+        out.append(F.col("Offer_ID").cast("string").alias("offer_id"))
+    return df.select(*out, *rest)
+
+
 # ---------------------------------------------------------------- profile
 def profile_summary(spark: SparkSession, src: DataFrame) -> DataFrame:
     """D11-D14 in one row: distinct (partner, category) pairs, deepest path,
     offers sold by more than one partner, distinct offer types.
 
-    Each figure is a scalar subquery over the same source; the planner
-    reuses the shared scans and exchanges.
+    Each figure is a scalar subquery; each reduces the source to distinct
+    raw values before any per-value work.
     """
-    n = normalized(src)
-    pairs = n.select("partner", "category_id").distinct().agg(F.count(F.lit(1)))
-    depth = n.agg(F.coalesce(F.max(fn.depth(fn.split_path("path_text"))), F.lit(0)))
+    require_columns(src, CATALOG_REQUIRED)
+    raw_pairs = src.select("Partner_Name", "Category_ID").distinct()
+    pairs = _clean_keys(raw_pairs).distinct().agg(F.count(F.lit(1)))
+    paths = src.select("Category_FullPathName").distinct()
+    depth = paths.agg(F.coalesce(F.max(fn.depth(fn.split_path("Category_FullPathName"))), F.lit(0)))
     multi = multi_partner_offers(src).agg(F.count(F.lit(1)))
-    types = n.agg(F.count_distinct("offer_type"))
+    types = src.agg(F.count_distinct(F.col("Offer_Type").cast("string")))
     return spark.range(1).select(
         pairs.scalar().alias("unique_categories"),
         depth.scalar().cast("int").alias("max_depth"),
@@ -69,15 +93,15 @@ def profile_summary(spark: SparkSession, src: DataFrame) -> DataFrame:
 
 def multi_partner_offers(src: DataFrame) -> DataFrame:
     """Offers listed under more than one partner, with the count."""
-    n = normalized(src)
-    return (n.groupBy("offer_id").agg(F.count_distinct("partner").alias("partners_cnt"))
-             .where(F.col("partners_cnt") > 1))
+    raw = src.select("Partner_Name", "Offer_ID").distinct()
+    return (_clean_keys(raw).groupBy("offer_id").agg(F.count_distinct("partner").alias("partners_cnt"))
+                            .where(F.col("partners_cnt") > 1))
 
 
 def top_partner_categories(src: DataFrame, k: int = 10) -> DataFrame:
     """Rows per (partner, category), top k."""
-    n = normalized(src)
-    g = n.groupBy("partner", "category_id").agg(F.count("offer_id").alias("products_cnt"))
+    raw = _by_raw_keys(src, ["Partner_Name", "Category_ID"], [F.count("Offer_ID").alias("n")])
+    g = _clean_keys(raw, "n").groupBy("partner", "category_id").agg(F.sum("n").alias("products_cnt"))
     return top_k(g, [F.desc("products_cnt"), F.asc("partner"), F.asc("category_id")], k)
 
 
@@ -86,17 +110,19 @@ def categories_docs(src: DataFrame, row_order: Sequence[str], load_ts=None) -> D
     """One document per (partner, category_id).
 
     ``total_products`` is the group size and the path comes from the first
-    row in ``row_order`` whose path is not null (D16): ``min_by`` ignores
-    rows whose ordering value is null.  One aggregation, combined map-side.
-    Rows whose category id is null have no defined key; they are dropped
-    here and can be inspected with ``rejected_rows``.
+    row in ``row_order`` whose path is not null (D16): the minimum of
+    ``struct(row order..., path)`` over rows with a path.  Counted per raw
+    key first, merged per cleaned key after (both combined map-side).  Rows
+    whose category id is null have no defined key; they are left out here
+    and listed by ``rejected_rows``.
     """
-    n = normalized(src, row_order).where(F.col("category_id").isNotNull())
-    order = F.when(F.col("path_text").isNotNull(), F.struct(*[F.col(c) for c in row_order]))
-    g = n.groupBy("partner", "category_id").agg(
-        F.count(F.lit(1)).alias("total_products"),
-        F.min_by("path_text", order).alias("__path_text"))
-    parts = fn.split_path("__path_text")
+    require_columns(src, CATALOG_REQUIRED)
+    first = F.min(F.when(F.col("Category_FullPathName").isNotNull(),
+                         F.struct(*[F.col(c) for c in row_order], F.col("Category_FullPathName").alias("path"))))
+    raw = _by_raw_keys(src, ["Partner_Name", "Category_ID"], [F.count(F.lit(1)).alias("n"), first.alias("f")])
+    g = (_clean_keys(raw, "n", "f").where(F.col("category_id").isNotNull())
+         .groupBy("partner", "category_id").agg(F.sum("n").alias("total_products"), F.min("f").alias("f")))
+    parts = fn.split_path(F.col("f.path"))
     return g.select(
         fn.doc_key("partner", "category_id").alias("_id"),
         "partner", "category_id",
@@ -113,16 +139,23 @@ def categories_docs(src: DataFrame, row_order: Sequence[str], load_ts=None) -> D
 def products_docs(src: DataFrame, row_order: Sequence[str], load_ts=None) -> DataFrame:
     """One document per (partner, offer_id), the first source row in
     ``row_order`` kept (E2), breadcrumbs enumerated from the path (G14)."""
-    n = normalized(src, row_order).where(F.col("offer_id").isNotNull())
-    first = pick_per_key(n, ["partner", "offer_id"], row_order, latest=False)
-    parts = fn.split_path("path_text")
+    require_columns(src, CATALOG_REQUIRED)
+    first = F.min(F.struct(*[F.col(c) for c in row_order],
+                           F.col("Offer_Name").cast("string").alias("name"),
+                           F.col("Offer_Type").cast("string").alias("type"),
+                           F.col("Category_ID").cast("string").alias("category_id"),
+                           F.col("Category_FullPathName").alias("path")))
+    raw = _by_raw_keys(src, ["Partner_Name", "Offer_ID"], [first.alias("f")])
+    g = (_clean_keys(raw, "f").where(F.col("offer_id").isNotNull())
+         .groupBy("partner", "offer_id").agg(F.min("f").alias("f")))
+    parts = fn.split_path(F.col("f.path"))
     ts = _ts(load_ts)
-    return first.select(
+    return g.select(
         fn.doc_key("partner", "offer_id").alias("_id"),
         "partner", "offer_id",
-        F.col("offer_name").alias("name"),
-        F.col("offer_type").alias("type"),
-        F.struct(F.col("category_id").alias("id"),
+        F.col("f.name").alias("name"),
+        F.col("f.type").alias("type"),
+        F.struct(F.col("f.category_id").alias("id"),
                  fn.last_or_null(parts).alias("name"),
                  fn.join_path(parts).alias("full_path"),
                  fn.breadcrumbs(parts).alias("breadcrumbs")).alias("category"),

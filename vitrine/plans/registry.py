@@ -45,7 +45,8 @@ def q_top_categories_raw(spark, sf_dir):
 
 @register("top_categories_mv")
 def q_top_categories_mv(spark, sf_dir):
-    return cat.top_categories_mv(agg.stored_category_counts(spark, sf_dir, fx.offers(spark, sf_dir)))
+    return cat.top_categories_mv(agg.stored_category_counts(spark, sf_dir, fx.offers(spark, sf_dir)),
+                                 unique_keys=True)
 
 
 @register("top_brands_raw")
@@ -65,7 +66,8 @@ def q_avg_offers_per_brand_raw(spark, sf_dir):
 
 @register("avg_offers_per_brand_mv")
 def q_avg_offers_per_brand_mv(spark, sf_dir):
-    return cat.avg_offers_per_brand_mv(agg.stored_brand_counts(spark, sf_dir, fx.offers(spark, sf_dir)))
+    return cat.avg_offers_per_brand_mv(agg.stored_brand_counts(spark, sf_dir, fx.offers(spark, sf_dir)),
+                                       unique_keys=True)
 
 
 @register("offers_without_events_raw")

@@ -9,7 +9,9 @@ in ``explain``).
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import hashlib
+import os
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,9 +42,30 @@ CATALOG_REQUIRED = ["Partner_Name", "Category_ID", "Category_FullPathName",
                     "Offer_ID", "Offer_Name", "Offer_Type"]
 
 
+def path_tag(path: str) -> str:
+    """Short stable name for a folder (used in view and store names)."""
+    return hashlib.sha1(os.path.abspath(path).encode()).hexdigest()[:12]
+
+
+def session_view(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A temp view registered once per session, then looked up by name.
+
+    Registering a table once and querying it by name is what keeps repeated
+    queries cheap: the file listing and footer reads of a Parquet scan, and
+    the analysis of a fixture mapping, happen when the view is created, not
+    on every query.  (Like any registered file table, a view does not see
+    files added later; ``spark.catalog.dropTempView`` refreshes it.)
+    """
+    if not spark.catalog.tableExists(name):
+        build().createOrReplaceTempView(name)
+    return spark.table(name)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Whole-file Parquet scan of one driver table (A1, A2)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Whole-file Parquet scan of one driver table (A1, A2), registered as
+    a session view on first use."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return session_view(spark, f"vitrine_{path_tag(sf_dir)}_{name}", lambda: spark.read.parquet(path))
 
 
 def require_columns(df: DataFrame, required: Iterable[str] = CATALOG_REQUIRED) -> DataFrame:
