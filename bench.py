@@ -1,7 +1,7 @@
 """Benchmark: the eight published raw / pre-aggregate query pairs, timed the
 way the reference load test does it (one warm-up run, then timed runs that
-include fetching the result), plus one timing for every other registered
-query.  Prints one JSON line.
+include fetching the result, here as an Arrow table), plus one timing for
+every other registered query.  Prints one JSON line.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 (default 8), ``BENCH_ITERATIONS`` (default 10), ``BENCH_ALL`` (default 1: also
@@ -57,14 +57,14 @@ def main() -> None:
     detail: dict[str, dict] = {}
     t_build = time.perf_counter()
     for key in HEADLINE.values():          # warm-up; builds the stored aggregates once
-        QUERIES[key](spark, sf_dir).collect()
+        QUERIES[key](spark, sf_dir).toArrow()
     build_sec = time.perf_counter() - t_build
 
     for name, key in HEADLINE.items():
         samples = []
         for _ in range(iterations):
             t0 = time.perf_counter()
-            QUERIES[key](spark, sf_dir).collect()
+            QUERIES[key](spark, sf_dir).toArrow()
             samples.append(time.perf_counter() - t0)
         timings[name] = round(statistics.mean(samples), 4)
         detail[name] = {"min": round(min(samples), 4), "max": round(max(samples), 4), "n": iterations}
@@ -73,9 +73,9 @@ def main() -> None:
         for key, fn in QUERIES.items():
             if key in HEADLINE.values():
                 continue
-            fn(spark, sf_dir).collect()    # warm-up (and first build of any store it reads)
+            fn(spark, sf_dir).toArrow()    # warm-up (and first build of any store it reads)
             t0 = time.perf_counter()
-            fn(spark, sf_dir).collect()
+            fn(spark, sf_dir).toArrow()
             timings[key] = round(time.perf_counter() - t0, 4)
 
     headline_total = round(sum(timings[n] for n in HEADLINE), 4)

@@ -90,12 +90,14 @@ def counter_increase(samples: DataFrame, series: Sequence[str], ts: str, value:
     d = d.withColumn("__delta", F.when(F.col("__prev").isNull(), F.lit(None).cast("double"))
                                   .when(F.col(value) < F.col("__prev"), F.col(value).cast("double"))
                                   .otherwise((F.col(value) - F.col("__prev")).cast("double")))
-    d = d.withColumn("__b", F.floor(F.col("__t") / F.lit(b_us)))
-    home = d.withColumn("__home", F.lit(True))
-    # Samples in the last range of a bucket also feed ranges ending in the next bucket.
-    spill = (d.where(F.col("__t") > (F.col("__b") + 1) * F.lit(b_us) - F.lit(r_us))
-              .withColumn("__b", F.col("__b") + 1).withColumn("__home", F.lit(False)))
-    both = home.unionByName(spill)
+    # A sample in the last range of its bucket also feeds ranges ending in
+    # the next bucket: it is emitted for both (one pass, no self-union).
+    own = F.floor(F.col("__t") / F.lit(b_us))
+    near_end = F.col("__t") > (own + 1) * F.lit(b_us) - F.lit(r_us)
+    both = (d.withColumn("__own", own)
+             .withColumn("__b", F.explode(F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own))))
+             .withColumn("__home", F.col("__b") == F.col("__own"))
+             .drop("__own"))
     w = Window.partitionBy(*series, "__b").orderBy("__t").rangeBetween(-(r_us - 1), 0)
     res = (both.withColumn("__sum", F.sum("__delta").over(w))
                .withColumn("__first", F.first("__delta").over(w))

@@ -144,9 +144,10 @@ TIME_METRIC = "query_time_us"
 MEMORY_METRIC = "memory_bytes"
 QUERIES_WRAP = 500
 MEMORY_SCALE = 1e6
+METRIC_BUCKET_ROWS = 1 << 20
 
 
-def metric_samples(spark: SparkSession, sf_dir: str, bucket_rows: int = 1 << 20) -> DataFrame:
+def metric_samples(spark: SparkSession, sf_dir: str, bucket_rows: int = METRIC_BUCKET_ROWS) -> DataFrame:
     """Samples ``(metric, label, ts, value)`` derived from the events: two
     counters (one with resets) and one gauge per event type.
 

@@ -15,7 +15,7 @@ Streaming (H1, H2, H4).
   resets.  A window holds one series over one range, so its size is bounded
   by range / scrape interval, not by the size of the series.
 
-Stream state lives under ``spark.checkpoint.dir``; outputs under the store.
+Outputs go to the store, each with its stream checkpoint beside it.
 Runs use ``availableNow``: everything present is processed, then the query
 stops, and a rerun resumes from the checkpoint.
 """
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.plans import aggregates as agg
-from vitrine.session import checkpoint_root
+from vitrine.sources.load import table_path
 from vitrine.sources import fixtures as fx
 from vitrine.sources.tables import read_table
 
@@ -42,9 +42,11 @@ def table_stream(spark: SparkSession, sf_dir: str, table: str, max_files: int |
 
 
 def _stream_dirs(spark: SparkSession, name: str, sf_dir: str) -> tuple[str, str]:
+    """Output folder and, beside it, the stream checkpoint: progress and
+    output always move together, so a new store never meets an old
+    checkpoint that claims its input was already processed."""
     out = agg.store_path(spark, f"stream/{name}", sf_dir)
-    ckpt = f"{checkpoint_root(spark)}/vitrine-streams/{name}/{agg.source_tag(sf_dir)}"
-    return out, ckpt
+    return out, f"{out}/_checkpoint"
 
 
 def write_delta(delta: DataFrame, path: str, batch_id: int) -> None:
@@ -52,7 +54,11 @@ def write_delta(delta: DataFrame, path: str, batch_id: int) -> None:
     delta.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def read_deltas(spark: SparkSession, path: str, keys: list[str], measure: str) -> DataFrame:
+def read_deltas(spark: SparkSession, path: str, keys: list[str], measure: str, empty: DataFrame) -> DataFrame:
+    """All deltas re-aggregated by key; ``empty`` gives the schema when no
+    micro-batch has run yet."""
+    if not agg._exists(spark, path):
+        return empty.limit(0)
     return agg.resum(spark.read.parquet(path).drop("batch_id"), keys, measure)
 
 
@@ -83,12 +89,14 @@ def run_catalog_counts(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 def stream_category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat_path, _ = run_catalog_counts(spark, sf_dir)
-    return read_deltas(spark, cat_path, ["category_id"], "offers_cnt")
+    return read_deltas(spark, cat_path, ["category_id"], "offers_cnt",
+                       agg.category_counts(fx.offers(spark, sf_dir)))
 
 
 def stream_brand_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, brand_path = run_catalog_counts(spark, sf_dir)
-    return read_deltas(spark, brand_path, ["vendor", "category_id"], "offers_cnt")
+    return read_deltas(spark, brand_path, ["vendor", "category_id"], "offers_cnt",
+                       agg.brand_counts(fx.offers(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- H2
@@ -107,7 +115,8 @@ def run_offer_events(spark: SparkSession, sf_dir: str) -> str:
 
 def stream_offer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_deltas(spark, run_offer_events(spark, sf_dir),
-                       ["event_date", "offer_id", "category_id", "vendor"], "events_cnt")
+                       ["event_date", "offer_id", "category_id", "vendor"], "events_cnt",
+                       agg.offer_events_daily(fx.raw_events(spark, sf_dir), fx.offers(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- H4
@@ -125,11 +134,9 @@ def window_increase(points: Column) -> Column:
 
 
 def stored_metric_samples(spark: SparkSession, sf_dir: str) -> str:
-    """Metric samples derived from the events, written once as files so a
-    file stream can replay them."""
-    path = agg.store_path(spark, "metric_samples", sf_dir)
-    agg.materialize(spark, path, lambda: fx.metric_samples(spark, sf_dir), sort_by=["metric", "label", "ts"])
-    return path
+    """The loaded metric samples table, as files a file stream can replay."""
+    fx.metric_samples(spark, sf_dir)
+    return table_path(spark, sf_dir, f"metric_samples_{fx.METRIC_BUCKET_ROWS}")
 
 
 def run_counter_rate(spark: SparkSession, sf_dir: str, metric: str, range_seconds: int,
