@@ -1,0 +1,153 @@
+"""Operators on hand-made frames and against plain (unbucketed) windows."""
+
+import datetime as dt
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from conftest import SF01
+from vitrine.operators import relational as rel
+from vitrine.operators.series import counter_increase, previous_value, running_sum
+from vitrine.plans import catalog as cat
+from vitrine.plans import documents as docs
+from vitrine.plans import hierarchy as hi
+from vitrine.sources import fixtures as fx
+
+
+def _rows(df, cols=None):
+    return sorted((tuple(r) for r in (df.select(*cols) if cols else df).collect()), key=repr)
+
+
+# ---------------------------------------------------------------- de-dup, merges
+def test_pick_per_key_latest_and_first(spark):
+    df = spark.createDataFrame(
+        [("k", 1, 10, "a"), ("k", 3, 1, "b"), ("k", 3, 2, "c"), ("j", 0, 0, "z")],
+        "key string, version int, load int, v string")
+    latest = rel.pick_per_key(df, ["key"], ["version", "load"], latest=True)
+    first = rel.pick_per_key(df, ["key"], ["version", "load"], latest=False)
+    assert _rows(latest, ["key", "v"]) == [("j", "z"), ("k", "c")]
+    assert _rows(first, ["key", "v"]) == [("j", "z"), ("k", "a")]
+
+
+def test_merge_partial_sums(spark):
+    a = spark.createDataFrame([(1, 2), (2, 5)], "k int, n long")
+    b = spark.createDataFrame([(1, 3), (3, 1)], "k int, n long")
+    assert _rows(rel.merge_partial_sums([a, b], ["k"], ["n"])) == [(1, 5), (2, 5), (3, 1)]
+
+
+def test_upsert_replace(spark):
+    old = spark.createDataFrame([("a", 1), ("b", 1)], "_id string, v int")
+    new = spark.createDataFrame([("b", 2), ("c", 2)], "_id string, v int")
+    out = rel.upsert_replace(old, new)
+    assert _rows(out) == [("a", 1), ("b", 2), ("c", 2)]
+    assert _rows(rel.upsert_replace(out, new)) == _rows(out)   # same input twice
+
+
+def test_upsert_set_on_insert(spark):
+    t1, t2 = dt.datetime(2025, 1, 1), dt.datetime(2025, 2, 1)
+    schema = "_id string, v int, updated_at timestamp_ntz, created_at timestamp_ntz"
+    old = spark.createDataFrame([("a", 1, t1, t1), ("b", 1, t1, t1)], schema)
+    new = spark.createDataFrame([("b", 2, t2, t2), ("c", 2, t2, t2)], schema)
+    out = rel.upsert_set_on_insert(old, new)
+    assert _rows(out) == [("a", 1, t1, t1), ("b", 2, t2, t1), ("c", 2, t2, t2)]
+    again = rel.upsert_set_on_insert(out, new)
+    assert _rows(again) == _rows(out)
+
+
+def test_anti_join_ignores_null_and_repeats(spark):
+    left = spark.createDataFrame([(1,), (2,), (None,)], "k long")
+    right = spark.createDataFrame([(1,), (1,), (None,)], "x long")
+    assert _rows(rel.anti_join(left, right, "k", "x")) == sorted([(None,), (2,)], key=repr)
+
+
+def test_top_k_per_group(spark):
+    df = spark.createDataFrame([("a", 5), ("a", 7), ("a", 1), ("b", 3)], "g string, v int")
+    out = rel.top_k_per_group(df, ["g"], [F.desc("v")], 2)
+    assert _rows(out) == [("a", 5, 2), ("a", 7, 1), ("b", 3, 1)]
+
+
+# ---------------------------------------------------------------- bucketed series ops
+def test_running_sum_matches_plain_window(spark):
+    df = spark.range(0, 2000).select(F.col("id"), (F.col("id") % 3).alias("g"), (F.col("id") % 7).alias("v"))
+    got = running_sum(df, ["g"], ["id"], {"s": F.col("v")}, F.floor(F.col("id") / 97))
+    w = Window.partitionBy("g").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumn("s", F.sum("v").over(w))
+    assert _rows(got, ["id", "s"]) == _rows(want, ["id", "s"])
+
+
+def test_previous_value_matches_lag(spark):
+    df = spark.range(0, 1500).select((F.col("id") % 2).alias("g"), (F.col("id") * 10).alias("t"),
+                                     (F.col("id") * 3 % 11).alias("v"))
+    got = previous_value(df, ["g"], "t", "v", F.floor(F.col("t") / 130))
+    want = df.withColumn("prev", F.lag("v").over(Window.partitionBy("g").orderBy("t")))
+    assert _rows(got, ["g", "t", "prev"]) == _rows(want, ["g", "t", "prev"])
+
+
+def test_metric_samples_same_for_any_bucket_width(spark):
+    small = fx.metric_samples(spark, SF01, bucket_rows=97)
+    big = fx.metric_samples(spark, SF01)
+    assert _rows(small) == _rows(big)
+
+
+def _samples(spark, pts):
+    base = dt.datetime(2024, 1, 1)
+    return spark.createDataFrame([("m", "l", base + dt.timedelta(seconds=s), float(v)) for s, v in pts],
+                                 "metric string, label string, ts timestamp_ntz, value double")
+
+
+def test_counter_increase_reset_single_and_gap(spark):
+    # 15 s samples with a reset at 45 s, then a gap longer than the range.
+    pts = [(0, 10), (15, 12), (30, 15), (45, 2), (60, 6), (400, 9)]
+    out = counter_increase(_samples(spark, pts), ["metric", "label"], "ts", "value", 60, bucket_seconds=60)
+    got = {(r.ts - dt.datetime(2024, 1, 1)).seconds: r.increase for r in out.collect()}
+    # range (t-60, t]: deltas 2, 3, 2 (reset), 4; first delta in range dropped.
+    assert got == {15: 2.0, 30: 5.0, 45: 7.0, 60: 4.0 + 2.0 + 3.0}
+    assert 0 not in got and 400 not in got            # one sample in range: no row
+
+
+def test_counter_increase_bucket_edges_match_small_buckets(spark):
+    pts = [(i * 15, (i * 7) % 50) for i in range(2000)]
+    s = _samples(spark, pts)
+    a = counter_increase(s, ["metric", "label"], "ts", "value", 300, bucket_seconds=300)
+    b = counter_increase(s, ["metric", "label"], "ts", "value", 300, bucket_seconds=10 ** 7)
+    assert _rows(a) == _rows(b)
+
+
+# ---------------------------------------------------------------- empty inputs
+def test_empty_inputs(spark):
+    offers = spark.createDataFrame([], "offer_id long, price double, seller_id long, category_id long, vendor string")
+    events = spark.createDataFrame([], "event_date date, offer_id long, category_id long, vendor string, "
+                                       "events_cnt long")
+    cov = cat.coverage_offers(offers, events).collect()
+    assert len(cov) == 1 and cov[0].total_offers == 0 and cov[0].coverage_ratio is None
+    rows = cat.coverage_rows(offers, events).collect()
+    assert rows[0].coverage_ratio is None
+    cats = spark.createDataFrame([], "level int, metadata struct<total_products:long>")
+    assert hi.category_depth(cats).collect() == []
+    src = spark.createDataFrame([], "Partner_Name string, Category_ID string, Category_FullPathName string, "
+                                    "Offer_ID string, Offer_Name string, Offer_Type string")
+    summary = docs.profile_summary(spark, src).first()
+    assert summary.max_depth == 0 and summary.unique_categories == 0
+
+
+def test_categories_docs_first_non_null_path_and_rejects(spark):
+    rows = [(" Ozon", "c1", None, "o1", "n", "t", 1), (" Ozon", "c1", "A\\B", "o2", "n", "t", 2),
+            ("ozon", "c1", "X", "o3", "n", "t", 3), (None, None, "A", "o4", "n", "t", 4)]
+    src = spark.createDataFrame(rows, "Partner_Name string, Category_ID string, Category_FullPathName string, "
+                                      "Offer_ID string, Offer_Name string, Offer_Type string, ord int")
+    out = docs.categories_docs(src, ["ord"], dt.datetime(2025, 1, 1)).collect()
+    assert len(out) == 1
+    d = out[0]
+    assert (d._id, d.path, d.level, d.parent_path, d.metadata.total_products) == ("_ozon_c1", "A/B", 2, "A", 3)
+    assert docs.rejected_rows(src).count() == 1
+
+
+def test_leaf_and_children_cross_partner(spark):
+    # A child held by another partner still makes a category a non-leaf.
+    rows = [("_a_1", "_a", "X", 1, None, 5), ("_b_2", "_b", "X/Y", 2, "X", 3)]
+    cats = spark.createDataFrame(rows, "_id string, partner string, path string, level int, parent_path string, "
+                                       "total int").select("_id", "partner", "path", "level", "parent_path",
+                                                           F.struct(F.col("total").alias("total_products"))
+                                                           .alias("metadata"))
+    assert [r._id for r in hi.leaf_categories(cats).collect()] == ["_b_2"]
+    assert _rows(hi.children_per_category(cats)) == [("_a_1", "X", 1), ("_b_2", "X/Y", 0)]
