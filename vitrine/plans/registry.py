@@ -18,6 +18,7 @@ from vitrine.plans import catalog as cat
 from vitrine.plans import documents as docs
 from vitrine.plans import hierarchy as hi
 from vitrine.plans import metrics as met
+from vitrine.plans import sql_surface as sqls
 from vitrine.sources import tables as src
 from vitrine.sources import fixtures as fx
 from vitrine.streaming import incremental as inc
@@ -378,3 +379,15 @@ def q_stream_offer_events(spark, sf_dir):
 def q_stream_counter_rate(spark, sf_dir):
     return inc.stream_counter_rate(spark, sf_dir, fx.QUERIES_METRIC, RATE_RANGE_SECONDS,
                                    STREAM_SLIDE_SECONDS, STREAM_DELAY_SECONDS)
+
+
+# ---------------------------------------------------------------- SQL surface
+@register("panel_coverage_sql")
+def q_panel_coverage_sql(spark, sf_dir):
+    """The coverage panel as SQL, reusing select aliases in the select."""
+    return sqls.run_sql(spark, sf_dir, "panel_coverage")
+
+
+@register("panel_offers_without_events_sql")
+def q_panel_offers_without_events_sql(spark, sf_dir):
+    return sqls.run_sql(spark, sf_dir, "panel_offers_without_events")

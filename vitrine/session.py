@@ -55,7 +55,6 @@ def checkpoint_root(spark: SparkSession) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="vitrine-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 
 

@@ -12,8 +12,20 @@ from vitrine import __version__
 from vitrine.session import store_root
 from vitrine.sources.tables import path_tag, session_view
 
-# Layout version of everything written to the store; bump on change.
-STORE_VERSION = f"{__version__}-1"
+def _code_version() -> str:
+    """Hash of the package source: stored outputs are keyed by it, so code
+    that computes something differently never reads tables built before."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha1(__version__.encode())
+    for d, _, files in sorted(os.walk(root)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(d, f), "rb") as fh:
+                    h.update(f.encode() + fh.read())
+    return h.hexdigest()[:10]
+
+
+STORE_VERSION = _code_version()
 
 
 def source_tag(sf_dir: str) -> str:
