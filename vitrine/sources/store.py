@@ -49,14 +49,18 @@ def materialize(spark: SparkSession, path: str, build, partition_by: list[str] |
     """Read ``path`` if a finished build is there, else build and write it.
 
     Writing to storage is also how lineage is cut: readers start from the
-    files, never from the plan that produced them.  The stored table is
-    registered as a session view, so later reads skip the listing.
+    files, never from the plan that produced them.  The write goes through a
+    ``rebalance`` on the partition columns: AQE then sizes output files to
+    the advisory partition size (splitting skewed partitions, merging small
+    ones), so a partitioned table gets a few right-sized files per
+    partition value instead of one file per task and value.  The stored
+    table is registered as a session view, so later reads skip the listing.
     """
     def load() -> DataFrame:
         if not _exists(spark, path + "/_SUCCESS"):
-            df = build()
+            df = build().hint("rebalance", *(partition_by or []))
             if sort_by:
-                df = df.sortWithinPartitions(*sort_by)
+                df = df.sortWithinPartitions(*(partition_by or []), *sort_by)
             w = df.write.mode("overwrite")
             if partition_by:
                 w = w.partitionBy(*partition_by)

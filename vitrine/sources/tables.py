@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 # Fixed schemas of the two base tables (A6).  Unsigned ids become LongType;
 # the 32-bit category id is widened so values above 2^31-1 fit.
@@ -56,9 +57,11 @@ def session_view(spark: SparkSession, name: str, build: Callable[[], DataFrame])
     on every query.  (Like any registered file table, a view does not see
     files added later; ``spark.catalog.dropTempView`` refreshes it.)
     """
-    if not spark.catalog.tableExists(name):
+    try:
+        return spark.table(name)
+    except AnalysisException:
         build().createOrReplaceTempView(name)
-    return spark.table(name)
+        return spark.table(name)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
