@@ -12,9 +12,8 @@ bucket boundary through a small per-bucket table:
 * ``previous_value``  - in-bucket ``lag`` plus the last value of the previous
                         non-empty bucket for each bucket's first row;
 * ``counter_increase``- Prometheus-style increase over a trailing range, with
-                        counter resets: every sample also goes to the next
-                        bucket when it lies within one range of its end, so a
-                        range frame never needs more than its own bucket.
+                        counter resets, in linear time: running sums plus an
+                        as-of lookup of the first sample in each range.
 """
 
 from __future__ import annotations
@@ -69,6 +68,42 @@ def previous_value(df: DataFrame, series: Sequence[str], ts: str, value: str, bu
              .drop("__b", "__lag", "__rn", "__carry"))
 
 
+def _reset_delta(v: Column, prev: Column) -> Column:
+    """Counter delta; a drop is a reset, so the new value is the increase."""
+    return F.when(prev.isNull(), F.lit(0.0)).when(v < prev, v.cast("double")).otherwise((v - prev).cast("double"))
+
+
+def counter_totals(df: DataFrame, series: Sequence[str], t: str, value: str, bucket: Column) -> DataFrame:
+    """Adds ``__c`` (running sum of counter deltas) and ``__rn`` (running
+    sample number) per series, in one bucketed pass.
+
+    Inside a bucket: ``lag``, delta and running sums.  Per bucket: first and
+    last value, delta total and row count; a window over the (small) bucket
+    table gives each bucket the last value before it (for its first row's
+    delta) and the totals of all earlier buckets.
+    """
+    w = Window.partitionBy(*series, "__b").orderBy(t)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = (df.withColumn("__b", bucket)
+           .withColumn("__ld", _reset_delta(F.col(value), F.lag(value).over(w)))
+           .withColumn("__lc", F.sum("__ld").over(upto))
+           .withColumn("__lrn", F.row_number().over(w)))
+    per = d.groupBy(*series, "__b").agg(F.min_by(value, t).alias("__first_v"), F.max_by(value, t).alias("__last_v"),
+                                        F.sum("__ld").alias("__sum"), F.count(F.lit(1)).alias("__n"))
+    wb = Window.partitionBy(*series).orderBy("__b")
+    before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    first_delta = _reset_delta(F.col("__first_v"), F.lag("__last_v").over(wb))
+    per = (per.withColumn("__fd", first_delta)
+              .withColumn("__tot", F.col("__sum") + F.col("__fd"))
+              .select(*series, "__b",
+                      (F.coalesce(F.sum("__tot").over(before), F.lit(0.0)) + F.col("__fd")).alias("__off_c"),
+                      F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off_rn")))
+    return (d.join(per, [*series, "__b"])
+             .withColumn("__c", F.col("__lc") + F.col("__off_c"))
+             .withColumn("__rn", F.col("__lrn") + F.col("__off_rn"))
+             .drop("__b", "__ld", "__lc", "__lrn", "__off_c", "__off_rn"))
+
+
 def counter_increase(samples: DataFrame, series: Sequence[str], ts: str, value: str,
                      range_seconds: int, bucket_seconds: int | None = None) -> DataFrame:
     """Increase of a counter over the trailing range ``(t - range, t]`` at
@@ -80,29 +115,40 @@ def counter_increase(samples: DataFrame, series: Sequence[str], ts: str, value:
     range with fewer than two samples yields no row.  No extrapolation to
     the range edges is done.
 
+    Linear in the number of samples, whatever the range holds: with ``C``
+    the running sum of deltas and ``rn`` the running sample number of the
+    series, ``increase = C_t - C_first`` and ``samples = rn_t - rn_first + 1``,
+    where *first* is the earliest sample inside the range.  That sample is
+    found by an as-of lookup: each sample also emits a probe at
+    ``t - range``, and in descending time order the last sample seen before
+    a probe is the first one after it.  Both running sums and the lookup are
+    bucketed, so no task holds more than two buckets of one series.
+
     Returns ``series..., ts, increase, samples``.
     """
     r_us = int(range_seconds) * _MICROS
     b_us = int(max(bucket_seconds or 0, range_seconds, 86400)) * _MICROS
     d = samples.select(*series, ts, value).withColumn("__t", epoch_micros(ts))
     bucket = F.floor(F.col("__t") / F.lit(b_us))
-    d = previous_value(d, series, "__t", value, bucket, out="__prev")
-    d = d.withColumn("__delta", F.when(F.col("__prev").isNull(), F.lit(None).cast("double"))
-                                  .when(F.col(value) < F.col("__prev"), F.col(value).cast("double"))
-                                  .otherwise((F.col(value) - F.col("__prev")).cast("double")))
-    # A sample in the last range of its bucket also feeds ranges ending in
-    # the next bucket: it is emitted for both (one pass, no self-union).
+    d = counter_totals(d, series, "__t", value, bucket)
+    # Rows per (series, bucket): the bucket's samples, the samples of the
+    # previous bucket's last range (a range never reaches further back), and
+    # one probe per sample of the bucket at ``t - range + 1us``.
     own = F.floor(F.col("__t") / F.lit(b_us))
     near_end = F.col("__t") > (own + 1) * F.lit(b_us) - F.lit(r_us)
-    both = (d.withColumn("__own", own)
-             .withColumn("__b", F.explode(F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own))))
-             .withColumn("__home", F.col("__b") == F.col("__own"))
-             .drop("__own"))
-    w = Window.partitionBy(*series, "__b").orderBy("__t").rangeBetween(-(r_us - 1), 0)
-    res = (both.withColumn("__sum", F.sum("__delta").over(w))
-               .withColumn("__first", F.first("__delta").over(w))
-               .withColumn("samples", F.count(F.lit(1)).over(w))
-               .where(F.col("__home") & (F.col("samples") >= 2)))
-    return res.select(*series, ts,
-                      (F.col("__sum") - F.coalesce(F.col("__first"), F.lit(0.0))).alias("increase"),
-                      "samples")
+    kinds = F.when(near_end, F.array(F.lit(0), F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0), F.lit(1)))
+    rows = (d.withColumn("__own", own)
+             .withColumn("__kind", F.explode(kinds))            # 0 sample, 1 probe, 2 spilled sample
+             .withColumn("__b", F.when(F.col("__kind") == 2, F.col("__own") + 1).otherwise(F.col("__own")))
+             .withColumn("__at", F.when(F.col("__kind") == 1, F.col("__t") - F.lit(r_us - 1))
+                                  .otherwise(F.col("__t"))))
+    w = (Window.partitionBy(*series, "__b")
+               .orderBy(F.col("__at").desc(), F.when(F.col("__kind") == 1, 1).otherwise(0))
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    is_sample = F.col("__kind") != 1
+    res = (rows.withColumn("__c0", F.last(F.when(is_sample, F.col("__c")), ignorenulls=True).over(w))
+               .withColumn("__rn0", F.last(F.when(is_sample, F.col("__rn")), ignorenulls=True).over(w))
+               .where(F.col("__kind") == 1)
+               .withColumn("samples", F.col("__rn") - F.col("__rn0") + 1)
+               .where(F.col("samples") >= 2))
+    return res.select(*series, ts, (F.col("__c") - F.col("__c0")).alias("increase"), "samples")
