@@ -9,7 +9,7 @@ warm the JVM's JIT, as on the long-running server the published numbers
 were measured against.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
-(default 8), ``BENCH_ITERATIONS`` (default 10), ``BENCH_ALL`` (default 1: also
+(default 8), ``BENCH_ITERATIONS`` (default 30, as in the load test), ``BENCH_ALL`` (default 1: also
 time the non-headline queries once each after a warm-up).
 """
 
@@ -52,7 +52,7 @@ def _sf(path: str) -> float | str:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    iterations = int(os.environ.get("BENCH_ITERATIONS", "10"))
+    iterations = int(os.environ.get("BENCH_ITERATIONS", "30"))
     run_all = os.environ.get("BENCH_ALL", "1") != "0"
 
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app_name="vitrine-bench")

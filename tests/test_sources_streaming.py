@@ -79,18 +79,39 @@ def test_stream_rate_windows_are_closed(spark):
 
 
 def test_sql_surface_equals_dataframe_forms(spark):
-    """Differential pairs: SQL text against the DataFrame plans, raw against
-    pre-aggregate (the comparison the load test never made)."""
+    """Differential pairs: the SQL texts against the DataFrame plans, and
+    every pre-aggregate form against the raw form (the comparison the load
+    test never made)."""
+    from vitrine.plans import aggregates as agg
+    from vitrine.plans import catalog as cat
     from vitrine.plans import sql_surface as sqls
-    pairs = {"raw_top_categories": "top_categories_raw", "mv_top_categories": "top_categories_raw",
-             "raw_top_brands": "top_brands_raw", "mv_top_brands": "top_brands_raw",
-             "raw_avg_offers_per_brand": "avg_offers_per_brand_raw",
-             "mv_avg_offers_per_brand": "avg_offers_per_brand_raw",
-             "raw_offers_without_events": "offers_without_events_raw",
-             "mv_offers_without_events": "offers_without_events_raw",
-             "panel_events_by_device": "events_by_device",
-             "panel_offers_without_events": "offers_without_events_count"}
-    for sql_name, q in pairs.items():
-        a = sorted(map(tuple, sqls.run_sql(spark, SF001, sql_name).collect()), key=repr)
-        b = sorted(map(tuple, QUERIES[q](spark, SF001).collect()), key=repr)
-        assert a == b, sql_name
+    offers, events = fx.offers(spark, SF001), fx.raw_events(spark, SF001)
+    daily = agg.offer_events_daily(events, offers)
+    frames = {
+        "raw_top_categories": cat.top_categories(offers),
+        "mv_top_categories": cat.top_categories_mv(agg.category_counts(offers)),
+        "raw_top_brands": cat.top_brands(offers),
+        "mv_top_brands": cat.top_brands_mv(agg.brand_counts(offers)),
+        "raw_avg_offers_per_brand": cat.avg_offers_per_brand(offers),
+        "mv_avg_offers_per_brand": cat.avg_offers_per_brand_mv(agg.brand_counts(offers)),
+        "raw_offers_without_events": cat.offers_without_events(offers, events),
+        "mv_offers_without_events": cat.offers_without_events_mv(offers, daily),
+        "panel_events_by_device": cat.events_by_device(events),
+        "panel_offers_without_events": cat.offers_without_events_count(offers, daily),
+        "panel_coverage": cat.coverage_rows(offers, daily).drop("coverage_ratio"),
+    }
+    for name, df in frames.items():
+        got = sqls.run_sql(spark, SF001, name)
+        if name == "panel_coverage":
+            got = got.drop("coverage_ratio")
+        a = sorted(map(tuple, got.collect()), key=repr)
+        b = sorted(map(tuple, df.collect()), key=repr)
+        assert a == b, name
+    raw_vs_mv = [("raw_top_categories", "mv_top_categories"), ("raw_top_brands", "mv_top_brands"),
+                 ("raw_avg_offers_per_brand", "mv_avg_offers_per_brand"),
+                 ("raw_offers_without_events", "mv_offers_without_events")]
+    for raw, mv in raw_vs_mv:
+        assert sorted(map(tuple, sqls.run_sql(spark, SF001, raw).collect())) == \
+               sorted(map(tuple, sqls.run_sql(spark, SF001, mv).collect())), raw
+    sqls.register_ecom_views(spark, SF001)
+    assert spark.sql("SELECT count(*) FROM ecom_offers").first()[0] == 200

@@ -28,8 +28,12 @@ CATALOG_ROW_ORDER = ["l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"]
 SNAPSHOT_LOAD_ORDER = ["l_orderkey", "l_linenumber", "l_suppkey"]
 
 
+def view_name(sf_dir: str, name: str) -> str:
+    return f"vitrine_{path_tag(sf_dir)}_v_{name}"
+
+
 def _view(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    return session_view(spark, f"vitrine_{path_tag(sf_dir)}_v_{name}", build)
+    return session_view(spark, view_name(sf_dir, name), build)
 
 
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,8 +44,24 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+# Stored tables at most this large (bytes on storage) are kept in the
+# session's memory cache once built; larger ones are read from Parquet.
+CACHE_CONF = "spark.vitrine.cacheMaxBytes"
+DEFAULT_CACHE_MAX_BYTES = 256 << 20
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
+def store_view_name(path: str) -> str:
+    return f"vitrine_store_{path_tag(path)}"
+
+
 def materialize(spark: SparkSession, path: str, build, partition_by: list[str] | None = None,
-                sort_by: list[str] | None = None) -> DataFrame:
+                sort_by: list[str] | None = None, cache: bool = True) -> DataFrame:
     """Read ``path`` if a finished build is there, else build and write it.
 
     Writing to storage is also how lineage is cut: readers start from the
@@ -53,9 +69,17 @@ def materialize(spark: SparkSession, path: str, build, partition_by: list[str] |
     ``rebalance`` on the partition columns: AQE then sizes output files to
     the advisory partition size (splitting skewed partitions, merging small
     ones), so a partitioned table gets a few right-sized files per
-    partition value instead of one file per task and value.  The stored
-    table is registered as a session view, so later reads skip the listing.
+    partition value instead of one file per task and value.
+
+    The stored table is registered as a session view, so later reads skip
+    the listing.  Stored tables are pre-aggregates and documents that are
+    queried over and over; when ``cache`` is set and the files are no larger
+    than ``spark.vitrine.cacheMaxBytes`` (a size checked on storage, not
+    guessed) the view is also cached in memory (spilling to disk).
     """
+    name = store_view_name(path)
+    created: list[bool] = []
+
     def load() -> DataFrame:
         if not _exists(spark, path + "/_SUCCESS"):
             df = build().hint("rebalance", *(partition_by or []))
@@ -65,6 +89,12 @@ def materialize(spark: SparkSession, path: str, build, partition_by: list[str] |
             if partition_by:
                 w = w.partitionBy(*partition_by)
             w.parquet(path)
+        created.append(True)
         return spark.read.parquet(path)
 
-    return session_view(spark, f"vitrine_store_{path_tag(path)}", load)
+    df = session_view(spark, name, load)
+    if created and cache:
+        limit = int(spark.conf.get(CACHE_CONF, str(DEFAULT_CACHE_MAX_BYTES)))
+        if stored_bytes(spark, path) <= limit:
+            spark.catalog.cacheTable(name)
+    return df
