@@ -95,13 +95,23 @@ def counter_totals(df: DataFrame, series: Sequence[str], t: str, value: str, buc
     first_delta = _reset_delta(F.col("__first_v"), F.lag("__last_v").over(wb))
     per = (per.withColumn("__fd", first_delta)
               .withColumn("__tot", F.col("__sum") + F.col("__fd"))
-              .select(*series, "__b",
+              .select(*series, "__b", "__fd",
                       (F.coalesce(F.sum("__tot").over(before), F.lit(0.0)) + F.col("__fd")).alias("__off_c"),
                       F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off_rn")))
     return (d.join(per, [*series, "__b"])
              .withColumn("__c", F.col("__lc") + F.col("__off_c"))
              .withColumn("__rn", F.col("__lrn") + F.col("__off_rn"))
-             .drop("__b", "__ld", "__lc", "__lrn", "__off_c", "__off_rn"))
+             .withColumn("__delta", F.when(F.col("__lrn") == 1, F.col("__fd")).otherwise(F.col("__ld")))
+             .drop("__b", "__ld", "__lc", "__lrn", "__off_c", "__off_rn", "__fd"))
+
+
+def with_counter_delta(samples: DataFrame, series: Sequence[str], ts: str, value: str,
+                       bucket_seconds: int = 86400, out: str = "delta") -> DataFrame:
+    """Samples with their counter delta to the previous sample of the series
+    (a drop counts as a reset; 0 for the first sample)."""
+    d = samples.withColumn("__t", epoch_micros(ts))
+    d = counter_totals(d, series, "__t", value, F.floor(F.col("__t") / F.lit(int(bucket_seconds) * _MICROS)))
+    return d.withColumnRenamed("__delta", out).drop("__t", "__c", "__rn")
 
 
 def counter_increase(samples: DataFrame, series: Sequence[str], ts: str, value: str,

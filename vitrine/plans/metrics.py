@@ -55,7 +55,7 @@ def last_window(samples: DataFrame, minutes: int = 5, end=None) -> DataFrame:
     newest sample (a scalar subquery), so results are repeatable."""
     end_col = F.lit(end).cast("timestamp_ntz") if end is not None else samples.agg(F.max("ts")).scalar()
     start = end_col - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
-    return samples.where((F.col("ts") >= start) & (F.col("ts") <= end_col))
+    return samples.where((F.col("ts") >= start) & (F.col("ts") <= end_col)).select("metric", "label", "ts", "value")
 
 
 def timing_summary(timings: DataFrame) -> DataFrame:

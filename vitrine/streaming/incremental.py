@@ -10,10 +10,10 @@ Streaming (H1, H2, H4).
   one row per day by the time it meets the catalogue.
 * H4 - sliding event-time windows with a watermark in append mode, written
   by the Parquet file sink (exactly-once through its commit log).  A window
-  is emitted once the watermark passes its end; the increase inside a
-  window is a fold over its time-sorted samples, which tolerates counter
-  resets.  A window holds one series over one range, so its size is bounded
-  by range / scrape interval, not by the size of the series.
+  is emitted once the watermark passes its end.  Samples arrive with their
+  counter delta (reset-aware, computed when the sample table is loaded), so
+  a window's increase is ``sum(delta)`` minus the first sample's delta: plain
+  partial aggregates, no per-series state and no collected lists.
 
 Outputs go to the store, each with its stream checkpoint beside it.
 Runs use ``availableNow``: everything present is processed, then the query
@@ -22,7 +22,7 @@ stops, and a rerun resumes from the checkpoint.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.plans import aggregates as agg
@@ -120,19 +120,6 @@ def stream_offer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- H4
-def window_increase(points: Column) -> Column:
-    """Increase over time-sorted ``struct(ts, value)`` points: sum of the
-    deltas between neighbours, a drop counted as a reset."""
-    init = F.struct(F.lit(None).cast("double").alias("prev"), F.lit(0.0).alias("inc"))
-
-    def step(acc, p):
-        v = p["value"]
-        d = F.when(v < acc["prev"], v).otherwise(v - acc["prev"])
-        return F.struct(v.alias("prev"), (acc["inc"] + F.coalesce(d, F.lit(0.0))).alias("inc"))
-
-    return F.aggregate(F.array_sort(points), init, step)["inc"]
-
-
 def stored_metric_samples(spark: SparkSession, sf_dir: str) -> str:
     """The loaded metric samples table, as files a file stream can replay."""
     fx.metric_samples(spark, sf_dir)
@@ -152,13 +139,15 @@ def run_counter_rate(spark: SparkSession, sf_dir: str, metric: str, range_second
     windows = (samples.withWatermark("ts", f"{delay_seconds} seconds")
                       .groupBy("metric", "label",
                                F.window("ts", f"{range_seconds} seconds", f"{slide_seconds} seconds"))
-                      .agg(F.collect_list(F.struct("ts", "value")).alias("points"),
+                      .agg(F.sum("delta").alias("__sum"), F.min_by("delta", "ts").alias("__first"),
                            F.count(F.lit(1)).alias("samples")))
+    # Increase inside a window: the deltas of its samples except the first
+    # one's, whose previous sample lies before the window.
     rates = (windows.where(F.col("samples") >= 2)
                     .select("metric", "label",
                             F.col("window.start").cast("timestamp_ntz").alias("window_start"),
                             F.col("window.end").cast("timestamp_ntz").alias("window_end"),
-                            (window_increase(F.col("points")) / F.lit(float(range_seconds))).alias("rate"),
+                            ((F.col("__sum") - F.col("__first")) / F.lit(float(range_seconds))).alias("rate"),
                             "samples"))
     q = (rates.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
               .outputMode("append").trigger(availableNow=True).start())
