@@ -151,3 +151,11 @@ def test_leaf_and_children_cross_partner(spark):
                                                            .alias("metadata"))
     assert [r._id for r in hi.leaf_categories(cats).collect()] == ["_b_2"]
     assert _rows(hi.children_per_category(cats)) == [("_a_1", "X", 1), ("_b_2", "X/Y", 0)]
+
+
+def test_rate_from_stored_totals_equals_raw_computation(spark):
+    from vitrine.operators.series import range_increase
+    s = fx.metric_samples(spark, SF01).where(F.col("metric") == fx.QUERIES_METRIC)
+    raw = counter_increase(s.select("metric", "label", "ts", "value"), ["metric", "label"], "ts", "value", 21600)
+    stored = range_increase(s, ["metric", "label"], "ts", "cum_delta", "sample_no", 21600)
+    assert _rows(raw) == _rows(stored)

@@ -12,8 +12,9 @@ bucket boundary through a small per-bucket table:
 * ``previous_value``  - in-bucket ``lag`` plus the last value of the previous
                         non-empty bucket for each bucket's first row;
 * ``counter_increase``- Prometheus-style increase over a trailing range, with
-                        counter resets, in linear time: running sums plus an
-                        as-of lookup of the first sample in each range.
+                        counter resets, in linear time: running totals
+                        (``counter_totals``) plus an as-of lookup of the first
+                        sample in each range (``range_increase``).
 """
 
 from __future__ import annotations
@@ -105,13 +106,20 @@ def counter_totals(df: DataFrame, series: Sequence[str], t: str, value: str, buc
              .drop("__b", "__ld", "__lc", "__lrn", "__off_c", "__off_rn", "__fd"))
 
 
-def with_counter_delta(samples: DataFrame, series: Sequence[str], ts: str, value: str,
-                       bucket_seconds: int = 86400, out: str = "delta") -> DataFrame:
-    """Samples with their counter delta to the previous sample of the series
-    (a drop counts as a reset; 0 for the first sample)."""
+def with_counter_totals(samples: DataFrame, series: Sequence[str], ts: str, value: str,
+                        bucket_seconds: int = 86400) -> DataFrame:
+    """Samples with ``delta`` (counter increase since the series' previous
+    sample, a drop counting as a reset, 0 for the first), ``cum_delta``
+    (running sum of deltas) and ``sample_no`` (running sample number).
+
+    Stored with the samples, these turn any range rate into a difference of
+    two running totals (``range_increase``) and let a stream sum deltas
+    without per-series state.
+    """
     d = samples.withColumn("__t", epoch_micros(ts))
     d = counter_totals(d, series, "__t", value, F.floor(F.col("__t") / F.lit(int(bucket_seconds) * _MICROS)))
-    return d.withColumnRenamed("__delta", out).drop("__t", "__c", "__rn")
+    return (d.withColumnRenamed("__delta", "delta").withColumnRenamed("__c", "cum_delta")
+             .withColumnRenamed("__rn", "sample_no").drop("__t"))
 
 
 def counter_increase(samples: DataFrame, series: Sequence[str], ts: str, value: str,
@@ -125,22 +133,37 @@ def counter_increase(samples: DataFrame, series: Sequence[str], ts: str, value:
     range with fewer than two samples yields no row.  No extrapolation to
     the range edges is done.
 
-    Linear in the number of samples, whatever the range holds: with ``C``
-    the running sum of deltas and ``rn`` the running sample number of the
-    series, ``increase = C_t - C_first`` and ``samples = rn_t - rn_first + 1``,
+    Returns ``series..., ts, increase, samples``.  Running totals are
+    computed here (``counter_totals``); ``range_increase`` does the rest.
+    """
+    b_us = _bucket_us(range_seconds, bucket_seconds)
+    d = samples.select(*series, ts, value).withColumn("__t", epoch_micros(ts))
+    d = counter_totals(d, series, "__t", value, F.floor(F.col("__t") / F.lit(b_us)))
+    return range_increase(d, series, ts, "__c", "__rn", range_seconds, bucket_seconds)
+
+
+def _bucket_us(range_seconds: int, bucket_seconds: int | None) -> int:
+    return int(max(bucket_seconds or 0, range_seconds, 86400)) * _MICROS
+
+
+def range_increase(samples: DataFrame, series: Sequence[str], ts: str, cum: str, number: str,
+                   range_seconds: int, bucket_seconds: int | None = None) -> DataFrame:
+    """Counter increase over ``(t - range, t]`` from per-series running
+    totals: ``cum`` (running sum of deltas) and ``number`` (running sample
+    number).
+
+    Linear in the number of samples, whatever the range holds:
+    ``increase = cum_t - cum_first`` and ``samples = number_t - number_first + 1``
     where *first* is the earliest sample inside the range.  That sample is
     found by an as-of lookup: each sample also emits a probe at
     ``t - range``, and in descending time order the last sample seen before
-    a probe is the first one after it.  Both running sums and the lookup are
-    bucketed, so no task holds more than two buckets of one series.
-
-    Returns ``series..., ts, increase, samples``.
+    a probe is the first one after it.  The lookup is bucketed, so no task
+    holds more than two buckets of one series.
     """
     r_us = int(range_seconds) * _MICROS
-    b_us = int(max(bucket_seconds or 0, range_seconds, 86400)) * _MICROS
-    d = samples.select(*series, ts, value).withColumn("__t", epoch_micros(ts))
-    bucket = F.floor(F.col("__t") / F.lit(b_us))
-    d = counter_totals(d, series, "__t", value, bucket)
+    b_us = _bucket_us(range_seconds, bucket_seconds)
+    d = samples.select(*series, ts, F.col(cum).alias("__c"), F.col(number).alias("__rn")) \
+               .withColumn("__t", epoch_micros(ts))
     # Rows per (series, bucket): the bucket's samples, the samples of the
     # previous bucket's last range (a range never reaches further back), and
     # one probe per sample of the bucket at ``t - range + 1us``.

@@ -10,7 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.operators.series import counter_increase
+from vitrine.operators.series import counter_increase, range_increase
+
+TOTALS = ("cum_delta", "sample_no")
+
+
+def _increase(samples: DataFrame, range_seconds: int) -> DataFrame:
+    """Range increases; from stored running totals when the samples carry
+    them, else computed from the raw values."""
+    if all(c in samples.columns for c in TOTALS):
+        return range_increase(samples, ["metric", "label"], "ts", *TOTALS, range_seconds)
+    return counter_increase(samples, ["metric", "label"], "ts", "value", range_seconds)
 
 
 def series(samples: DataFrame, metric: str) -> DataFrame:
@@ -20,7 +30,7 @@ def series(samples: DataFrame, metric: str) -> DataFrame:
 
 def counter_rate(samples: DataFrame, metric: str, range_seconds: int) -> DataFrame:
     """H3: per-second rate of a counter over the trailing range."""
-    inc = counter_increase(series(samples, metric), ["metric", "label"], "ts", "value", range_seconds)
+    inc = _increase(series(samples, metric), range_seconds)
     return inc.select("metric", "label", "ts", (F.col("increase") / F.lit(float(range_seconds))).alias("rate"),
                       "samples")
 
@@ -35,7 +45,7 @@ def ratio_of_rates(samples: DataFrame, numerator: str, denominator: str, range_s
     present in both series are kept; a zero denominator gives null.
     """
     both = samples.where(F.col("metric").isin(numerator, denominator))
-    inc = counter_increase(both, ["metric", "label"], "ts", "value", range_seconds)
+    inc = _increase(both, range_seconds)
     m = inc.groupBy("label", "ts").agg(
         F.max(F.when(F.col("metric") == numerator, F.col("increase"))).alias("__num"),
         F.max(F.when(F.col("metric") == denominator, F.col("increase"))).alias("__den"))

@@ -152,9 +152,9 @@ METRIC_BUCKET_ROWS = 1 << 20
 
 
 def metric_samples(spark: SparkSession, sf_dir: str, bucket_rows: int = METRIC_BUCKET_ROWS) -> DataFrame:
-    """Samples ``(metric, label, ts, value, delta)`` derived from the events:
-    two counters (one with resets) and one gauge per event type; ``delta`` is
-    the counter increase since the series' previous sample.
+    """Samples ``(metric, label, ts, value, delta, cum_delta, sample_no)``
+    derived from the events: two counters (one with resets) and one gauge per
+    event type, with per-series counter totals (``with_counter_totals``).
 
     The counters are running totals per event type in ``event_id`` order.
     Event types are few, so each is a hot key; the running totals are
@@ -165,7 +165,7 @@ def metric_samples(spark: SparkSession, sf_dir: str, bucket_rows: int = METRIC_B
 
 
 def _metric_samples(spark: SparkSession, sf_dir: str, bucket_rows: int) -> DataFrame:
-    from vitrine.operators.series import running_sum, with_counter_delta
+    from vitrine.operators.series import running_sum, with_counter_totals
 
     e = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
     r = running_sum(e, ["event_type"], ["event_id"],
@@ -178,6 +178,8 @@ def _metric_samples(spark: SparkSession, sf_dir: str, bucket_rows: int) -> DataF
     time_us = r.select(F.lit(TIME_METRIC).alias("metric"), label, "ts", F.col("__us").cast("double").alias("value"))
     memory = e.select(F.lit(MEMORY_METRIC).alias("metric"), label, "ts",
                       (F.col("value") * MEMORY_SCALE).alias("value"))
-    # Each sample also carries its counter delta to the previous sample of
-    # its series, so a stream over the table needs no per-series state.
-    return with_counter_delta(queries.unionByName(time_us).unionByName(memory), ["metric", "label"], "ts", "value")
+    # Each sample also carries its counter delta and the running totals of
+    # its series (prefix sums): range rates become differences of two
+    # totals, and a stream over the table needs no per-series state.
+    return with_counter_totals(queries.unionByName(time_us).unionByName(memory), ["metric", "label"], "ts",
+                               "value")
