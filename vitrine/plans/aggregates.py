@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from vitrine.functions.columns import month_key
 from vitrine.operators.relational import count_by, pick_per_key
-from vitrine.sources.store import _exists, materialize, source_tag, store_path  # noqa: F401
+from vitrine.sources.store import materialize, store_path
 
 # ---------------------------------------------------------------- builds
 def category_counts(offers: DataFrame) -> DataFrame:

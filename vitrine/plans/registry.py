@@ -21,6 +21,7 @@ from vitrine.plans import metrics as met
 from vitrine.plans import sql_surface as sqls
 from vitrine.sources import tables as src
 from vitrine.sources import fixtures as fx
+from vitrine.sources.store import exists, materialize, store_path
 from vitrine.streaming import incremental as inc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,13 +115,13 @@ def _catalog(spark, sf_dir):
 def _categories(spark, sf_dir):
     """Category documents, built once per input and stored (like the
     reference's load step); queries read the stored documents."""
-    return agg.materialize(spark, agg.store_path(spark, "categories", sf_dir),
+    return materialize(spark, store_path(spark, "categories", sf_dir),
                            lambda: docs.categories_docs(_catalog(spark, sf_dir), fx.CATALOG_ROW_ORDER, LOAD_TS),
                            sort_by=["partner", "level"])
 
 
 def _products(spark, sf_dir):
-    return agg.materialize(spark, agg.store_path(spark, "products", sf_dir),
+    return materialize(spark, store_path(spark, "products", sf_dir),
                            lambda: docs.products_docs(_catalog(spark, sf_dir), fx.CATALOG_ROW_ORDER, LOAD_TS),
                            sort_by=["type", "partner"])
 
@@ -315,8 +316,8 @@ def q_timing_summary(spark, sf_dir):
 def q_csv_load(spark, sf_dir):
     """A3: the catalogue written as a headed CSV to the store, read back
     positionally, header rows filtered, text cast."""
-    path = agg.store_path(spark, "offers_csv", sf_dir)
-    if not agg._exists(spark, path + "/_SUCCESS"):
+    path = store_path(spark, "offers_csv", sf_dir)
+    if not exists(spark, path + "/_SUCCESS"):
         src.write_offers_csv(fx.offers(spark, sf_dir), path)
     return src.read_offers_csv(spark, path)
 

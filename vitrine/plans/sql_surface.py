@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vitrine.plans import aggregates as agg
 from vitrine.session import store_root
 from vitrine.sources import fixtures as fx
-from vitrine.sources.store import STORE_VERSION, store_view_name
+from vitrine.sources.store import STORE_VERSION, store_path, store_view_name
 from vitrine.sources.tables import path_tag
 
 
@@ -44,9 +44,9 @@ def session_names(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     names = {
         "ecom_offers": fx.view_name(sf_dir, "offers"),
         "raw_events": fx.view_name(sf_dir, "raw_events"),
-        "catalog_by_category_mv": store_view_name(agg.store_path(spark, "catalog_by_category", sf_dir)),
-        "catalog_by_brand_mv": store_view_name(agg.store_path(spark, "catalog_by_brand", sf_dir)),
-        "offer_events_mv": store_view_name(agg.store_path(spark, "offer_events", sf_dir)),
+        "catalog_by_category_mv": store_view_name(store_path(spark, "catalog_by_category", sf_dir)),
+        "catalog_by_brand_mv": store_view_name(store_path(spark, "catalog_by_brand", sf_dir)),
+        "offer_events_mv": store_view_name(store_path(spark, "offer_events", sf_dir)),
     }
     spark.conf.set(marker, json.dumps(names))
     return names

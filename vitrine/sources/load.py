@@ -20,7 +20,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.sources.store import _exists, store_path
+from vitrine.sources.store import exists, store_path
 from vitrine.sources.tables import path_tag, session_view
 
 MIN_FILE_BYTES = 1 << 20
@@ -58,7 +58,7 @@ def load_table(spark: SparkSession, sf_dir: str, name: str, build: Callable[[],
     path = table_path(spark, sf_dir, name)
 
     def load() -> DataFrame:
-        if not _exists(spark, path + "/_SUCCESS"):
+        if not exists(spark, path + "/_SUCCESS"):
             n = file_count(spark, input_bytes(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in inputs]))
             (build().repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
                     .write.mode("overwrite").parquet(path))

@@ -37,7 +37,7 @@ def store_path(spark: SparkSession, name: str, sf_dir: str) -> str:
     return f"{store_root(spark)}/{name}/{source_tag(sf_dir)}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -81,7 +81,7 @@ def materialize(spark: SparkSession, path: str, build, partition_by: list[str] |
     created: list[bool] = []
 
     def load() -> DataFrame:
-        if not _exists(spark, path + "/_SUCCESS"):
+        if not exists(spark, path + "/_SUCCESS"):
             df = build().hint("rebalance", *(partition_by or []))
             if sort_by:
                 df = df.sortWithinPartitions(*(partition_by or []), *sort_by)

@@ -15,29 +15,8 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-# Fixed schemas of the two base tables (A6).  Unsigned ids become LongType;
-# the 32-bit category id is widened so values above 2^31-1 fit.
-OFFERS_SCHEMA = T.StructType([
-    T.StructField("snapshot_date", T.DateType(), False),
-    T.StructField("offer_id", T.LongType(), False),
-    T.StructField("price", T.DoubleType(), False),
-    T.StructField("seller_id", T.LongType(), False),
-    T.StructField("category_id", T.LongType(), False),
-    T.StructField("vendor", T.StringType(), False),
-])
-
-RAW_EVENTS_SCHEMA = T.StructType([
-    T.StructField("Hour", T.TimestampNTZType(), False),
-    T.StructField("DeviceTypeName", T.StringType(), False),
-    T.StructField("ApplicationName", T.StringType(), False),
-    T.StructField("OSName", T.StringType(), False),
-    T.StructField("ProvinceName", T.StringType(), False),
-    T.StructField("ContentUnitID", T.LongType(), False),
-])
-
 # Columns the offers-with-paths source must carry (A4).
 CATALOG_REQUIRED = ["Partner_Name", "Category_ID", "Category_FullPathName",
                     "Offer_ID", "Offer_Name", "Offer_Type"]

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from vitrine.plans import aggregates as agg
 from vitrine.sources.load import table_path
+from vitrine.sources.store import exists, store_path
 from vitrine.sources import fixtures as fx
 from vitrine.sources.tables import read_table
 
@@ -45,7 +46,7 @@ def _stream_dirs(spark: SparkSession, name: str, sf_dir: str) -> tuple[str, str]
     """Output folder and, beside it, the stream checkpoint: progress and
     output always move together, so a new store never meets an old
     checkpoint that claims its input was already processed."""
-    out = agg.store_path(spark, f"stream/{name}", sf_dir)
+    out = store_path(spark, f"stream/{name}", sf_dir)
     return out, f"{out}/_checkpoint"
 
 
@@ -57,7 +58,7 @@ def write_delta(delta: DataFrame, path: str, batch_id: int) -> None:
 def read_deltas(spark: SparkSession, path: str, keys: list[str], measure: str, empty: DataFrame) -> DataFrame:
     """All deltas re-aggregated by key; ``empty`` gives the schema when no
     micro-batch has run yet."""
-    if not agg._exists(spark, path):
+    if not exists(spark, path):
         return empty.limit(0)
     return agg.resum(spark.read.parquet(path).drop("batch_id"), keys, measure)
 
