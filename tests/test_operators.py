@@ -98,7 +98,7 @@ def _samples(spark, pts):
 def test_counter_increase_reset_single_and_gap(spark):
     # 15 s samples with a reset at 45 s, then a gap longer than the range.
     pts = [(0, 10), (15, 12), (30, 15), (45, 2), (60, 6), (400, 9)]
-    out = counter_increase(_samples(spark, pts), ["metric", "label"], "ts", "value", 60, bucket_seconds=60)
+    out = counter_increase(_samples(spark, pts), ["metric", "label"], "ts", "value", 60, bucket_rows=2)
     got = {(r.ts - dt.datetime(2024, 1, 1)).seconds: r.increase for r in out.collect()}
     # range (t-60, t]: deltas 2, 3, 2 (reset), 4; first delta in range dropped.
     assert got == {15: 2.0, 30: 5.0, 45: 7.0, 60: 4.0 + 2.0 + 3.0}
@@ -108,8 +108,8 @@ def test_counter_increase_reset_single_and_gap(spark):
 def test_counter_increase_bucket_edges_match_small_buckets(spark):
     pts = [(i * 15, (i * 7) % 50) for i in range(2000)]
     s = _samples(spark, pts)
-    a = counter_increase(s, ["metric", "label"], "ts", "value", 300, bucket_seconds=300)
-    b = counter_increase(s, ["metric", "label"], "ts", "value", 300, bucket_seconds=10 ** 7)
+    a = counter_increase(s, ["metric", "label"], "ts", "value", 300, bucket_rows=3)
+    b = counter_increase(s, ["metric", "label"], "ts", "value", 300, bucket_rows=10 ** 7)
     assert _rows(a) == _rows(b)
 
 
@@ -159,3 +159,14 @@ def test_rate_from_stored_totals_equals_raw_computation(spark):
     raw = counter_increase(s.select("metric", "label", "ts", "value"), ["metric", "label"], "ts", "value", 21600)
     stored = range_increase(s, ["metric", "label"], "ts", "cum_delta", "sample_no", 21600)
     assert _rows(raw) == _rows(stored)
+
+
+def test_counter_totals_same_for_any_bucket_size(spark):
+    from vitrine.operators.series import with_counter_totals
+    raw = fx.metric_samples(spark, SF01).select("metric", "label", "ts", "value")
+    small = with_counter_totals(raw, ["metric", "label"], "ts", "value", bucket_rows=50)
+    big = with_counter_totals(raw, ["metric", "label"], "ts", "value")
+    assert small.select(F.countDistinct("metric", "label")).first()[0] == 15
+    assert _rows(small) == _rows(big)
+    stored = fx.metric_samples(spark, SF01)
+    assert _rows(big) == _rows(stored)

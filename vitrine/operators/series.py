@@ -15,6 +15,10 @@ bucket boundary through a small per-bucket table:
                         counter resets, in linear time: running totals
                         (``counter_totals``) plus an as-of lookup of the first
                         sample in each range (``range_increase``).
+
+Time buckets are sized per series (``with_bucket_width``): a dense series
+gets narrow buckets, so a (series, bucket) slice stays near a target row
+count however much of the data one series holds.
 """
 
 from __future__ import annotations
@@ -28,6 +32,25 @@ from vitrine.functions.columns import epoch_micros
 
 _MICROS = 1_000_000
 
+# Target number of samples per (series, bucket) slice.  Bucket widths are
+# chosen per series from its density, so a dense series gets narrow buckets
+# and no slice grows with the size of one series.
+DEFAULT_BUCKET_ROWS = 1 << 22
+
+
+def with_bucket_width(df: DataFrame, series: Sequence[str], t: str, min_width: int,
+                      target_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+    """Adds ``__w``: a bucket width for ``t`` (an integer order key) per
+    series, ``max(min_width, span * target_rows / rows)``, so a bucket holds
+    about ``target_rows`` samples on average.  One small aggregate per
+    series; joined back null-safely on the series key."""
+    stats = df.groupBy(*series).agg(F.count(F.lit(1)).alias("__n"), (F.max(t) - F.min(t) + 1).alias("__span"))
+    per_rows = F.ceil(F.col("__span").cast("double") * F.lit(float(target_rows)) / F.col("__n"))
+    width = F.least(F.greatest(F.lit(int(min_width)).cast("double"), per_rows), F.lit(float(1 << 60))).cast("long")
+    stats = stats.select(*[F.col(c).alias(f"__s_{c}") for c in series], width.alias("__w"))
+    cond = [df[c].eqNullSafe(stats[f"__s_{c}"]) for c in series]
+    return df.join(stats, cond).drop(*[f"__s_{c}" for c in series])
+
 
 def running_sum(df: DataFrame, partition: Sequence[str], order: Sequence[str], values: dict[str, Column],
                 bucket: Column) -> DataFrame:
@@ -107,7 +130,7 @@ def counter_totals(df: DataFrame, series: Sequence[str], t: str, value: str, buc
 
 
 def with_counter_totals(samples: DataFrame, series: Sequence[str], ts: str, value: str,
-                        bucket_seconds: int = 86400) -> DataFrame:
+                        bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
     """Samples with ``delta`` (counter increase since the series' previous
     sample, a drop counting as a reset, 0 for the first), ``cum_delta``
     (running sum of deltas) and ``sample_no`` (running sample number).
@@ -116,14 +139,14 @@ def with_counter_totals(samples: DataFrame, series: Sequence[str], ts: str, valu
     two running totals (``range_increase``) and let a stream sum deltas
     without per-series state.
     """
-    d = samples.withColumn("__t", epoch_micros(ts))
-    d = counter_totals(d, series, "__t", value, F.floor(F.col("__t") / F.lit(int(bucket_seconds) * _MICROS)))
+    d = with_bucket_width(samples.withColumn("__t", epoch_micros(ts)), series, "__t", 1, bucket_rows)
+    d = counter_totals(d, series, "__t", value, F.floor(F.col("__t") / F.col("__w")))
     return (d.withColumnRenamed("__delta", "delta").withColumnRenamed("__c", "cum_delta")
-             .withColumnRenamed("__rn", "sample_no").drop("__t"))
+             .withColumnRenamed("__rn", "sample_no").drop("__t", "__w"))
 
 
 def counter_increase(samples: DataFrame, series: Sequence[str], ts: str, value: str,
-                     range_seconds: int, bucket_seconds: int | None = None) -> DataFrame:
+                     range_seconds: int, bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
     """Increase of a counter over the trailing range ``(t - range, t]`` at
     every sample ``t`` (H3).
 
@@ -136,18 +159,12 @@ def counter_increase(samples: DataFrame, series: Sequence[str], ts: str, value:
     Returns ``series..., ts, increase, samples``.  Running totals are
     computed here (``counter_totals``); ``range_increase`` does the rest.
     """
-    b_us = _bucket_us(range_seconds, bucket_seconds)
-    d = samples.select(*series, ts, value).withColumn("__t", epoch_micros(ts))
-    d = counter_totals(d, series, "__t", value, F.floor(F.col("__t") / F.lit(b_us)))
-    return range_increase(d, series, ts, "__c", "__rn", range_seconds, bucket_seconds)
-
-
-def _bucket_us(range_seconds: int, bucket_seconds: int | None) -> int:
-    return int(max(bucket_seconds or 0, range_seconds, 86400)) * _MICROS
+    d = with_counter_totals(samples.select(*series, ts, value), series, ts, value, bucket_rows)
+    return range_increase(d, series, ts, "cum_delta", "sample_no", range_seconds, bucket_rows)
 
 
 def range_increase(samples: DataFrame, series: Sequence[str], ts: str, cum: str, number: str,
-                   range_seconds: int, bucket_seconds: int | None = None) -> DataFrame:
+                   range_seconds: int, bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
     """Counter increase over ``(t - range, t]`` from per-series running
     totals: ``cum`` (running sum of deltas) and ``number`` (running sample
     number).
@@ -157,18 +174,20 @@ def range_increase(samples: DataFrame, series: Sequence[str], ts: str, cum: str,
     where *first* is the earliest sample inside the range.  That sample is
     found by an as-of lookup: each sample also emits a probe at
     ``t - range``, and in descending time order the last sample seen before
-    a probe is the first one after it.  The lookup is bucketed, so no task
-    holds more than two buckets of one series.
+    a probe is the first one after it.  The lookup is bucketed with widths
+    of at least one range (so a range spans at most two buckets) sized per
+    series to about ``bucket_rows`` samples.
     """
     r_us = int(range_seconds) * _MICROS
-    b_us = _bucket_us(range_seconds, bucket_seconds)
     d = samples.select(*series, ts, F.col(cum).alias("__c"), F.col(number).alias("__rn")) \
                .withColumn("__t", epoch_micros(ts))
+    d = with_bucket_width(d, series, "__t", r_us, bucket_rows)
+    b_us = F.col("__w")
     # Rows per (series, bucket): the bucket's samples, the samples of the
     # previous bucket's last range (a range never reaches further back), and
     # one probe per sample of the bucket at ``t - range + 1us``.
-    own = F.floor(F.col("__t") / F.lit(b_us))
-    near_end = F.col("__t") > (own + 1) * F.lit(b_us) - F.lit(r_us)
+    own = F.floor(F.col("__t") / b_us)
+    near_end = F.col("__t") > (own + 1) * b_us - F.lit(r_us)
     kinds = F.when(near_end, F.array(F.lit(0), F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0), F.lit(1)))
     rows = (d.withColumn("__own", own)
              .withColumn("__kind", F.explode(kinds))            # 0 sample, 1 probe, 2 spilled sample
