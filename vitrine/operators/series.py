@@ -38,20 +38,39 @@ _MICROS = 1_000_000
 DEFAULT_BUCKET_ROWS = 1 << 22
 
 
-def with_bucket_width(df: DataFrame, series: Sequence[str], t: str, min_width: int,
-                      target_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
-    """Adds ``__w``: a bucket width for ``t`` (an integer order key) per
-    series, ``max(min_width, span * target_rows / rows)``, so a bucket holds
-    about ``target_rows`` samples on average.  One small aggregate per
-    series; joined back null-safely on the series key."""
-    stats = df.groupBy(*series).agg(F.count(F.lit(1)).alias("__n"), (F.max(t) - F.min(t) + 1).alias("__span"))
-    per_rows = F.ceil(F.col("__span").cast("double") * F.lit(float(target_rows)) / F.col("__n"))
-    width = F.least(F.greatest(F.lit(int(min_width)).cast("double"), per_rows), F.lit(float(1 << 60))).cast("long")
-    stats = stats.select(*[F.col(c).alias(f"__s_{c}") for c in series], width.alias("__w"))
+SERIES_STATS = ("series_rows", "series_span_us")
+
+
+def _width(span: Column, rows: Column, min_width: int, target_rows: int) -> Column:
+    per_rows = F.ceil(span.cast("double") * F.lit(float(target_rows)) / rows)
+    return F.least(F.greatest(F.lit(int(min_width)).cast("double"), per_rows), F.lit(float(1 << 60))).cast("long")
+
+
+def with_series_stats(df: DataFrame, series: Sequence[str], t: str) -> DataFrame:
+    """Adds ``series_rows`` and ``series_span_us`` (row count and span of the
+    integer order key ``t``) per series: one small aggregate, joined back
+    null-safely on the series key (broadcast when it is small)."""
+    stats = df.groupBy(*series).agg(F.count(F.lit(1)).alias(SERIES_STATS[0]),
+                                    (F.max(t) - F.min(t) + 1).alias(SERIES_STATS[1]))
+    stats = stats.select(*[F.col(c).alias(f"__s_{c}") for c in series], *SERIES_STATS)
     cond = [df[c].eqNullSafe(stats[f"__s_{c}"]) for c in series]
     return df.join(stats, cond).drop(*[f"__s_{c}" for c in series])
 
 
+def with_bucket_width(df: DataFrame, series: Sequence[str], t: str, min_width: int,
+                      target_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+    """Adds ``__w``: a bucket width for ``t`` per series,
+    ``max(min_width, span * target_rows / rows)``, so a bucket holds about
+    ``target_rows`` samples on average.  Uses stored ``series_rows`` /
+    ``series_span_us`` columns when the input has them."""
+    if not all(c in df.columns for c in SERIES_STATS):
+        df = with_series_stats(df, series, t).withColumn("__computed_stats", F.lit(True))
+    out = df.withColumn("__w", _width(F.col(SERIES_STATS[1]), F.col(SERIES_STATS[0]), min_width, target_rows))
+    if "__computed_stats" in out.columns:
+        out = out.drop("__computed_stats", *SERIES_STATS)
+    return out
+
+
 def running_sum(df: DataFrame, partition: Sequence[str], order: Sequence[str], values: dict[str, Column],
                 bucket: Column) -> DataFrame:
     """Cumulative sums per ``partition`` in ``order``: ``{out: value}``.
@@ -133,13 +152,17 @@ def with_counter_totals(samples: DataFrame, series: Sequence[str], ts: str, valu
                         bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
     """Samples with ``delta`` (counter increase since the series' previous
     sample, a drop counting as a reset, 0 for the first), ``cum_delta``
-    (running sum of deltas) and ``sample_no`` (running sample number).
+    (running sum of deltas), ``sample_no`` (running sample number) and the
+    per-series ``series_rows`` / ``series_span_us`` that size buckets.
 
     Stored with the samples, these turn any range rate into a difference of
     two running totals (``range_increase``) and let a stream sum deltas
     without per-series state.
     """
-    d = with_bucket_width(samples.withColumn("__t", epoch_micros(ts)), series, "__t", 1, bucket_rows)
+    d = samples.withColumn("__t", epoch_micros(ts))
+    if not all(c in d.columns for c in SERIES_STATS):
+        d = with_series_stats(d, series, "__t")
+    d = with_bucket_width(d, series, "__t", 1, bucket_rows)
     d = counter_totals(d, series, "__t", value, F.floor(F.col("__t") / F.col("__w")))
     return (d.withColumnRenamed("__delta", "delta").withColumnRenamed("__c", "cum_delta")
              .withColumnRenamed("__rn", "sample_no").drop("__t", "__w"))
@@ -179,7 +202,8 @@ def range_increase(samples: DataFrame, series: Sequence[str], ts: str, cum: str,
     series to about ``bucket_rows`` samples.
     """
     r_us = int(range_seconds) * _MICROS
-    d = samples.select(*series, ts, F.col(cum).alias("__c"), F.col(number).alias("__rn")) \
+    stats = [c for c in SERIES_STATS if c in samples.columns]
+    d = samples.select(*series, ts, F.col(cum).alias("__c"), F.col(number).alias("__rn"), *stats) \
                .withColumn("__t", epoch_micros(ts))
     d = with_bucket_width(d, series, "__t", r_us, bucket_rows)
     b_us = F.col("__w")
