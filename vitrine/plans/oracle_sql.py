@@ -219,11 +219,11 @@ ORACLE["products_upsert"] = _TWO + PRODUCTS_FLAT.format(t="""(
   SELECT * FROM prod_a WHERE _id NOT IN (SELECT _id FROM prod_b))""")
 
 ORACLE["documents_json"] = DOCS + """
-SELECT _id, to_json({'_id': _id, 'partner': partner, 'offer_id': offer_id, 'name': name, 'type': type,
+SELECT _id, CAST(to_json({'_id': _id, 'partner': partner, 'offer_id': offer_id, 'name': name, 'type': type,
                      'category': {'id': category_id, 'name': category_name, 'full_path': full_path,
                                   'breadcrumbs': list_transform(parts, lambda x, i: {'level': i, 'name': x})},
                      'updated_at': strftime(updated_at, '%Y-%m-%dT%H:%M:%S'),
-                     'created_at': strftime(created_at, '%Y-%m-%dT%H:%M:%S')}) AS doc_json
+                     'created_at': strftime(created_at, '%Y-%m-%dT%H:%M:%S')}) AS VARCHAR) AS doc_json
 FROM products"""
 
 ORACLE["categories_by_level"] = DOCS + """
