@@ -14,7 +14,7 @@ texts read them; stream deltas are re-summed by ``streaming.incremental``.
 
 from __future__ import annotations
 
-import json
+import string
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,30 +25,45 @@ from vitrine.sources.store import STORE_VERSION, store_path, store_view_name
 from vitrine.sources.tables import path_tag
 
 
-def session_names(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Names of this session's views over one input folder: the catalogue
-    tables and the stored pre-aggregates, created on first use.
+def _binders(spark: SparkSession, sf_dir: str) -> dict:
+    """For each table name: a function that makes sure its session view
+    exists and returns the view's name."""
+    offers = lambda: fx.offers(spark, sf_dir)
+    events = lambda: fx.raw_events(spark, sf_dir)
+
+    def store(name: str, build) -> str:
+        build()
+        return store_view_name(store_path(spark, name, sf_dir))
+
+    return {
+        "ecom_offers": lambda: (offers(), fx.view_name(sf_dir, "offers"))[1],
+        "raw_events": lambda: (events(), fx.view_name(sf_dir, "raw_events"))[1],
+        "catalog_by_category_mv": lambda: store(
+            "catalog_by_category", lambda: agg.stored_category_counts(spark, sf_dir, offers())),
+        "catalog_by_brand_mv": lambda: store(
+            "catalog_by_brand", lambda: agg.stored_brand_counts(spark, sf_dir, offers())),
+        "offer_events_mv": lambda: store(
+            "offer_events", lambda: agg.stored_offer_events(spark, sf_dir, events(), offers())),
+    }
+
+
+def session_names(spark: SparkSession, sf_dir: str, tables=None) -> dict[str, str]:
+    """Names of this session's views over one input folder for the given
+    tables (all when None): catalogue tables and stored pre-aggregates,
+    created on first use only.
 
     The binding is remembered in the session conf, so a repeated query pays
     for one SQL parse and analysis and nothing else.
     """
-    marker = f"spark.vitrine.views.{path_tag(sf_dir)}.{path_tag(store_root(spark))}.{STORE_VERSION}"
-    known = spark.conf.get(marker, None)
-    if known:
-        return json.loads(known)
-    offers = fx.offers(spark, sf_dir)
-    events = fx.raw_events(spark, sf_dir)
-    agg.stored_category_counts(spark, sf_dir, offers)
-    agg.stored_brand_counts(spark, sf_dir, offers)
-    agg.stored_offer_events(spark, sf_dir, events, offers)
-    names = {
-        "ecom_offers": fx.view_name(sf_dir, "offers"),
-        "raw_events": fx.view_name(sf_dir, "raw_events"),
-        "catalog_by_category_mv": store_view_name(store_path(spark, "catalog_by_category", sf_dir)),
-        "catalog_by_brand_mv": store_view_name(store_path(spark, "catalog_by_brand", sf_dir)),
-        "offer_events_mv": store_view_name(store_path(spark, "offer_events", sf_dir)),
-    }
-    spark.conf.set(marker, json.dumps(names))
+    prefix = f"spark.vitrine.views.{path_tag(sf_dir)}.{path_tag(store_root(spark))}.{STORE_VERSION}"
+    binders = _binders(spark, sf_dir)
+    names = {}
+    for t in (tables if tables is not None else binders):
+        known = spark.conf.get(f"{prefix}.{t}", None)
+        if not known:
+            known = binders[t]()
+            spark.conf.set(f"{prefix}.{t}", known)
+        names[t] = known
     return names
 
 
@@ -105,4 +120,6 @@ SQL: dict[str, str] = {
 
 
 def run_sql(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.sql(SQL[name].format(**session_names(spark, sf_dir)))
+    text = SQL[name]
+    tables = [f for _, f, _, _ in string.Formatter().parse(text) if f]
+    return spark.sql(text.format(**session_names(spark, sf_dir, tables)))
