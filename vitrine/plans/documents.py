@@ -73,36 +73,24 @@ def profile_summary(spark: SparkSession, src: DataFrame) -> DataFrame:
     """D11-D14 in one row: distinct (partner, category) pairs, deepest path,
     offers sold by more than one partner, distinct offer types.
 
-    One scan, one linear plan: a grouping-sets aggregate collects the
-    distinct raw values of all four questions at once (combined map-side);
-    keys are cleaned on those distinct values only, de-duplicated again,
-    counted per key, and a final global aggregate reads off the four
-    figures with conditional counts.
+    Each figure is a scalar subquery that reads only its own columns (so
+    the four Parquet scans together read about what one wide scan would)
+    and reduces to distinct raw values before any per-value work: partner
+    clean-up and path parsing run on distinct values only.
     """
     require_columns(src, CATALOG_REQUIRED)
-    keys = ["Partner_Name", "Category_ID", "Offer_ID", "Offer_Type", "Category_FullPathName"]
-    sets = [["Partner_Name", "Category_ID"], ["Partner_Name", "Offer_ID"], ["Offer_Type"],
-            ["Category_FullPathName"]]
-    # grouping_id bit i is set when keys[i] is not part of the row's set.
-    pairs_g, offers_g, types_g, paths_g = [
-        sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in st) for st in sets]
-    g = F.col("__gid")
-    partner = fn.normalize_partner("Partner_Name")
-    distinct = src.select(*keys).groupingSets(sets, *keys).agg(F.grouping_id().alias("__gid"))
-    rows = distinct.select(
-        F.when(g == pairs_g, 0).when(g == offers_g, 1).when(g == types_g, 2).otherwise(3).alias("kind"),
-        F.when(g == pairs_g, partner).when(g == offers_g, F.col("Offer_ID").cast("string"))
-         .when(g == types_g, F.col("Offer_Type").cast("string")).alias("k1"),
-        F.when(g == pairs_g, F.col("Category_ID").cast("string")).when(g == offers_g, partner).alias("k2"),
-        F.when(g == paths_g, fn.depth(fn.split_path("Category_FullPathName"))).alias("depth"))
-    cleaned = rows.groupBy("kind", "k1", "k2").agg(F.max("depth").alias("depth"))
-    per_key = cleaned.groupBy("kind", "k1").agg(F.count(F.lit(1)).alias("n"), F.max("depth").alias("depth"))
-    kind = F.col("kind")
-    return per_key.agg(
-        F.coalesce(F.sum(F.when(kind == 0, F.col("n"))), F.lit(0)).alias("unique_categories"),
-        F.coalesce(F.max(F.when(kind == 3, F.col("depth"))), F.lit(0)).cast("int").alias("max_depth"),
-        F.count_if((kind == 1) & (F.col("n") > 1)).alias("offers_multi_partner"),
-        F.count_if((kind == 2) & F.col("k1").isNotNull()).alias("unique_types"),
+    raw_pairs = src.select("Partner_Name", "Category_ID").distinct()
+    pairs = _clean_keys(raw_pairs).distinct().agg(F.count(F.lit(1)))
+    paths = src.select("Category_FullPathName").distinct()
+    depth = paths.agg(F.coalesce(F.max(fn.depth(fn.split_path("Category_FullPathName"))), F.lit(0)))
+    multi = multi_partner_offers(src).agg(F.count(F.lit(1)))
+    types = src.select(F.col("Offer_Type").cast("string").alias("t")).where(F.col("t").isNotNull()) \
+               .distinct().agg(F.count(F.lit(1)))
+    return spark.range(1).select(
+        pairs.scalar().alias("unique_categories"),
+        depth.scalar().cast("int").alias("max_depth"),
+        multi.scalar().alias("offers_multi_partner"),
+        types.scalar().alias("unique_types"),
     )
 
 
