@@ -115,3 +115,27 @@ def test_sql_surface_equals_dataframe_forms(spark):
                sorted(map(tuple, sqls.run_sql(spark, SF001, mv).collect())), raw
     sqls.register_ecom_views(spark, SF001)
     assert spark.sql("SELECT count(*) FROM ecom_offers").first()[0] == 200
+
+
+def test_versioned_collections_upsert(spark):
+    from vitrine.sources.store import current_version, read_current
+    root = tempfile.mkdtemp(prefix="vitrine-coll-") + "/products"
+    src = fx.catalog_src(spark, SF001)
+    first = src.where(F.col("load_date") < F.lit("1998-01-01").cast("date"))
+    second = src.where(F.col("load_date") >= F.lit("1997-01-01").cast("date"))
+    t1, t2 = dt.datetime(2025, 1, 1), dt.datetime(2025, 2, 1)
+    assert docs.upsert_collection(spark, root, docs.products_docs(first, fx.CATALOG_ROW_ORDER, t1), "products") == 1
+    assert docs.upsert_collection(spark, root, docs.products_docs(second, fx.CATALOG_ROW_ORDER, t2), "products") == 2
+    got = sorted(map(tuple, docs.products_flat(read_current(spark, root)).collect()))
+    want = sorted(map(tuple, QUERIES["products_upsert"](spark, SF001).collect()))
+    assert got == want
+    # The same load again changes nothing but ``updated_at``; old versions are pruned.
+    docs.upsert_collection(spark, root, docs.products_docs(second, fx.CATALOG_ROW_ORDER, t2), "products")
+    docs.upsert_collection(spark, root, docs.products_docs(second, fx.CATALOG_ROW_ORDER, t2), "products")
+    assert current_version(spark, root) == 4
+    assert sorted(map(tuple, docs.products_flat(read_current(spark, root)).collect())) == want
+    croot = root.replace("products", "categories")
+    docs.upsert_collection(spark, croot, docs.categories_docs(first, fx.CATALOG_ROW_ORDER, t1), "categories")
+    docs.upsert_collection(spark, croot, docs.categories_docs(second, fx.CATALOG_ROW_ORDER, t2), "categories")
+    got = sorted(map(tuple, docs.categories_flat(read_current(spark, croot)).collect()))
+    assert got == sorted(map(tuple, QUERIES["categories_upsert"](spark, SF001).collect()))

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.functions import columns as fn
-from vitrine.operators.relational import top_k
+from vitrine.operators.relational import top_k, upsert_replace, upsert_set_on_insert
+from vitrine.sources.store import commit_version, read_current
 from vitrine.sources.tables import CATALOG_REQUIRED, iso_text, require_columns, to_json_documents
 
 
@@ -201,3 +202,20 @@ def products_json(prods: DataFrame) -> DataFrame:
                      iso_text(F.col("created_at")).alias("created_at"))
     return to_json_documents(d, ["_id", "partner", "offer_id", "name", "type", "category",
                                  "updated_at", "created_at"])
+
+
+# ---------------------------------------------------------------- persisted collections
+def upsert_collection(spark: SparkSession, root: str, new_docs: DataFrame, kind: str) -> int:
+    """Apply a load to a stored document collection (E7 for ``categories``:
+    whole documents replaced; E8 for ``products``: ``created_at`` kept) and
+    commit the result as the collection's next version.  Returns it."""
+    old = read_current(spark, root)
+    if old is None:
+        merged = new_docs
+    elif kind == "categories":
+        merged = upsert_replace(old, new_docs, "_id")
+    else:
+        merged = upsert_set_on_insert(old, new_docs, "_id", ["created_at"])
+    # The new version is written from a plan that reads the old one; the old
+    # files stay until the new version is committed.
+    return commit_version(spark, root, merged.hint("rebalance").sortWithinPartitions("_id"))

@@ -98,3 +98,51 @@ def materialize(spark: SparkSession, path: str, build, partition_by: list[str] |
         if stored_bytes(spark, path) <= limit:
             spark.catalog.cacheTable(name)
     return df
+
+
+# ---------------------------------------------------------------- versioned collections
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    """Committed versions under ``root``: folders ``v=N`` holding ``_SUCCESS``."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name[2:]))
+    return sorted(out)
+
+
+def current_version(spark: SparkSession, root: str) -> int | None:
+    v = _versions(spark, root)
+    return v[-1] if v else None
+
+
+def read_current(spark: SparkSession, root: str) -> DataFrame | None:
+    """The newest committed version of a collection, or None."""
+    v = current_version(spark, root)
+    return None if v is None else spark.read.parquet(f"{root}/v={v}")
+
+
+def commit_version(spark: SparkSession, root: str, df: DataFrame, keep: int = 3) -> int:
+    """Write ``df`` as the next version and return its number.
+
+    A version becomes current only when its ``_SUCCESS`` marker exists, so a
+    writer that dies midway leaves the previous version current (this
+    replaces ``MERGE INTO``, which Parquet tables lack).  One writer per
+    collection at a time.  Versions older than the last ``keep`` are removed
+    after the commit.
+    """
+    versions = _versions(spark, root)
+    n = (versions[-1] if versions else 0) + 1
+    df.write.mode("overwrite").parquet(f"{root}/v={n}")
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for old in versions[:-(keep - 1)] if keep > 1 else versions:
+        p = jvm.org.apache.hadoop.fs.Path(f"{root}/v={old}")
+        p.getFileSystem(conf).delete(p, True)
+    return n
