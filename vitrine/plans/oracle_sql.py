@@ -255,14 +255,14 @@ SELECT _id, name, path, level, total_products FROM categories
 ORDER BY level DESC, total_products DESC, _id LIMIT 1"""
 
 ORACLE["leaf_categories"] = DOCS + """
-SELECT c._id, c.partner, c.level, c.path, c.total_products
-FROM categories c LEFT JOIN categories ch ON ch.parent_path = c.path
-GROUP BY ALL HAVING count(ch._id) = 0
+SELECT c._id, c.partner, c.level, c.path, c.total_products FROM categories c
+WHERE NOT EXISTS (SELECT 1 FROM categories ch WHERE ch.parent_path = c.path)
 ORDER BY total_products DESC, _id LIMIT 10"""
 
 ORACLE["children_per_category"] = DOCS + """
-SELECT c._id, c.path, count(ch._id) AS children_cnt
-FROM categories c LEFT JOIN categories ch ON ch.parent_path = c.path GROUP BY c._id, c.path"""
+SELECT c._id, c.path, coalesce(k.n, 0) AS children_cnt
+FROM categories c
+LEFT JOIN (SELECT parent_path, count(*) AS n FROM categories GROUP BY parent_path) k ON k.parent_path = c.path"""
 
 ORACLE["products_type_in_branch"] = DOCS + """
 SELECT _id, name, full_path FROM products WHERE type = 'PROMO' AND list_contains(parts, 'Brand#4')"""
@@ -381,8 +381,8 @@ DELAY_US = 3600 * 1_000_000
 ORACLE["stream_counter_rate"] = with_(METRIC_SAMPLES) + f"""
 , win AS (
   SELECT metric, label, ts, value, (epoch_us(ts) // {SLIDE_US}) * {SLIDE_US} - k * {SLIDE_US} AS ws
-  FROM metric_samples, range(0, {RANGE_US // SLIDE_US}) AS r(k)
-  WHERE metric = 'queries_total'),
+  FROM (SELECT *, unnest(range(0, {RANGE_US // SLIDE_US})) AS k FROM metric_samples
+        WHERE metric = 'queries_total')),
 d AS (
   SELECT metric, label, ws, ts,
          CASE WHEN prev IS NULL THEN 0 WHEN value < prev THEN value ELSE value - prev END AS delta
