@@ -28,13 +28,34 @@ def _code_version() -> str:
 STORE_VERSION = _code_version()
 
 
-def source_tag(sf_dir: str) -> str:
-    """Stable folder name for outputs derived from one input folder."""
-    return hashlib.sha1(f"{os.path.abspath(sf_dir)}|{STORE_VERSION}".encode()).hexdigest()[:12]
+_INPUT_STAMPS: dict[str, str] = {}
+
+
+def _input_stamp(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and modification times of the input folder's files (one
+    listing per folder and process), so outputs derived from inputs that
+    changed under the same path are never reused."""
+    key = os.path.abspath(sf_dir)
+    if key not in _INPUT_STAMPS:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(sf_dir)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files = sorted((st.getPath().getName(), st.getLen(), st.getModificationTime())
+                       for st in fs.listStatus(p) if st.isFile())
+        _INPUT_STAMPS[key] = hashlib.sha1(repr(files).encode()).hexdigest()[:12]
+    return _INPUT_STAMPS[key]
+
+
+def source_tag(sf_dir: str, spark: SparkSession | None = None) -> str:
+    """Stable folder name for outputs derived from one input folder: its
+    path, the package code version and (given a session) the input files'
+    sizes and modification times."""
+    stamp = _input_stamp(spark, sf_dir) if spark is not None else ""
+    return hashlib.sha1(f"{os.path.abspath(sf_dir)}|{STORE_VERSION}|{stamp}".encode()).hexdigest()[:12]
 
 
 def store_path(spark: SparkSession, name: str, sf_dir: str) -> str:
-    return f"{store_root(spark)}/{name}/{source_tag(sf_dir)}"
+    return f"{store_root(spark)}/{name}/{source_tag(sf_dir, spark)}"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
