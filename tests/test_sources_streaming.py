@@ -139,3 +139,27 @@ def test_versioned_collections_upsert(spark):
     docs.upsert_collection(spark, croot, docs.categories_docs(second, fx.CATALOG_ROW_ORDER, t2), "categories")
     got = sorted(map(tuple, docs.categories_flat(read_current(spark, croot)).collect()))
     assert got == sorted(map(tuple, QUERIES["categories_upsert"](spark, SF001).collect()))
+
+
+def test_compaction_keeps_totals(spark):
+    path = tempfile.mkdtemp(prefix="vitrine-compact-") + "/d"
+    schema = spark.createDataFrame([], "k int, n long")
+    for b, rows in enumerate([[(1, 2), (2, 3)], [(1, 1)], [(3, 5)]]):
+        inc.write_delta(spark.createDataFrame(rows, "k int, n long"), path, b)
+    before = sorted(map(tuple, inc.read_deltas(spark, path, ["k"], "n", schema).collect()))
+    assert inc.compact_deltas(spark, path, ["k"], "n", schema) == 2
+    assert sorted(map(tuple, inc.read_deltas(spark, path, ["k"], "n", schema).collect())) == before
+    inc.write_delta(spark.createDataFrame([(2, 10)], "k int, n long"), path, 3)   # a later batch
+    assert inc.compact_deltas(spark, path, ["k"], "n", schema) == 3
+    assert sorted(map(tuple, inc.read_deltas(spark, path, ["k"], "n", schema).collect())) == [(1, 3), (2, 13), (3, 5)]
+    assert inc._batch_ids(spark, path) == []
+
+
+def test_compaction_with_nothing_new(spark):
+    path = tempfile.mkdtemp(prefix="vitrine-compact-") + "/d"
+    schema = spark.createDataFrame([], "k int, n long")
+    assert inc.compact_deltas(spark, path, ["k"], "n", schema) == -1
+    inc.write_delta(spark.createDataFrame([(1, 1)], "k int, n long"), path, 0)
+    assert inc.compact_deltas(spark, path, ["k"], "n", schema) == 0
+    assert inc.compact_deltas(spark, path, ["k"], "n", schema) == 0
+    assert [tuple(r) for r in inc.read_deltas(spark, path, ["k"], "n", schema).collect()] == [(1, 1)]

@@ -3,6 +3,9 @@ Streaming (H1, H2, H4).
 
 * H1 / H2 - every micro-batch is aggregated on its own and written as a
   delta under ``batch_id=N``; readers re-aggregate over all deltas (S4).
+  ``compact_deltas`` merges them into a versioned base (the background
+  merge of a summing table) so the number of small delta folders stays
+  bounded.
   ``foreachBatch`` is at-least-once, so a replayed batch overwrites its own
   ``batch_id`` folder instead of adding to it: the result is exactly-once.
   H2 joins each micro-batch with the static catalogue (stream-static join,
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 
 from vitrine.plans import aggregates as agg
 from vitrine.sources.load import table_path
-from vitrine.sources.store import exists, store_path
+from vitrine.sources.store import commit_version, exists, read_current, store_path
 from vitrine.sources import fixtures as fx
 from vitrine.sources.tables import read_table
 
@@ -55,12 +58,91 @@ def write_delta(delta: DataFrame, path: str, batch_id: int) -> None:
     delta.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def read_deltas(spark: SparkSession, path: str, keys: list[str], measure: str, empty: DataFrame) -> DataFrame:
-    """All deltas re-aggregated by key; ``empty`` gives the schema when no
-    micro-batch has run yet."""
+def _batch_ids(spark: SparkSession, path: str) -> list[int]:
+    """Committed micro-batch deltas under ``path`` (``batch_id=N`` with ``_SUCCESS``)."""
     if not exists(spark, path):
+        return []
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("batch_id=") and name[9:].isdigit() \
+                and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(name[9:]))
+    return sorted(out)
+
+
+def _base(spark: SparkSession, path: str) -> tuple[DataFrame | None, int]:
+    """The newest compacted base and the last batch id it covers (-1: none)."""
+    base = read_current(spark, f"{path}_base")
+    if base is None:
+        return None, -1
+    return base.drop("upto_batch"), base.select(F.max("upto_batch")).first()[0]
+
+
+def read_deltas(spark: SparkSession, path: str, keys: list[str], measure: str, empty: DataFrame) -> DataFrame:
+    """The maintained aggregate: the compacted base plus every committed
+    delta after it, re-aggregated by key.  ``empty`` gives the schema when
+    no micro-batch has run yet."""
+    base, upto = _base(spark, path)
+    parts = [] if base is None else [base]
+    newer = [b for b in _batch_ids(spark, path) if b > upto]
+    if newer:
+        deltas = spark.read.option("basePath", path).parquet(*[f"{path}/batch_id={b}" for b in newer])
+        parts.append(deltas.drop("batch_id"))
+    if not parts:
         return empty.limit(0)
-    return agg.resum(spark.read.parquet(path).drop("batch_id"), keys, measure)
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return agg.resum(u, keys, measure)
+
+
+def compact_deltas(spark: SparkSession, path: str, keys: list[str], measure: str, empty: DataFrame) -> int:
+    """Merge the base and all committed deltas into a new base version (the
+    background merge of a summing table), then drop the covered deltas.
+
+    The base is committed atomically with the last batch id it covers, and
+    readers ignore deltas at or below it, so a reader never counts a delta
+    twice or misses one, whether it runs before, during or after the
+    compaction.  Returns the covered batch id (-1 when there was nothing).
+    """
+    ids = _batch_ids(spark, path)
+    if not ids:
+        return _base(spark, path)[1]
+    upto = ids[-1]
+    base, base_upto = _base(spark, path)
+    newer = [b for b in ids if b > base_upto]
+    if not newer:                     # only covered deltas left behind
+        _drop_batches(spark, path, ids)
+        return base_upto
+    deltas = spark.read.option("basePath", path).parquet(*[f"{path}/batch_id={b}" for b in newer])
+    parts = deltas.drop("batch_id")
+    if base is not None:
+        parts = base.unionByName(parts)
+    merged = agg.resum(parts, keys, measure).withColumn("upto_batch", F.lit(upto))
+    commit_version(spark, f"{path}_base", merged.hint("rebalance").sortWithinPartitions(*keys))
+    _drop_batches(spark, path, ids)
+    return upto
+
+
+def _drop_batches(spark: SparkSession, path: str, ids: list[int]) -> None:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for b in ids:
+        p = jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id={b}")
+        p.getFileSystem(conf).delete(p, True)
+
+
+# Compact a maintained aggregate once it has more delta folders than this.
+COMPACT_AFTER = 64
+
+
+def _maybe_compact(spark: SparkSession, path: str, keys: list[str], measure: str, empty: DataFrame) -> None:
+    if len(_batch_ids(spark, path)) > COMPACT_AFTER:
+        compact_deltas(spark, path, keys, measure, empty)
 
 
 def _run(stream: DataFrame, apply, ckpt: str) -> None:
@@ -90,14 +172,16 @@ def run_catalog_counts(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 def stream_category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat_path, _ = run_catalog_counts(spark, sf_dir)
-    return read_deltas(spark, cat_path, ["category_id"], "offers_cnt",
-                       agg.category_counts(fx.offers(spark, sf_dir)))
+    empty = agg.category_counts(fx.offers(spark, sf_dir))
+    _maybe_compact(spark, cat_path, ["category_id"], "offers_cnt", empty)
+    return read_deltas(spark, cat_path, ["category_id"], "offers_cnt", empty)
 
 
 def stream_brand_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, brand_path = run_catalog_counts(spark, sf_dir)
-    return read_deltas(spark, brand_path, ["vendor", "category_id"], "offers_cnt",
-                       agg.brand_counts(fx.offers(spark, sf_dir)))
+    empty = agg.brand_counts(fx.offers(spark, sf_dir))
+    _maybe_compact(spark, brand_path, ["vendor", "category_id"], "offers_cnt", empty)
+    return read_deltas(spark, brand_path, ["vendor", "category_id"], "offers_cnt", empty)
 
 
 # ---------------------------------------------------------------- H2
@@ -115,9 +199,11 @@ def run_offer_events(spark: SparkSession, sf_dir: str) -> str:
 
 
 def stream_offer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_deltas(spark, run_offer_events(spark, sf_dir),
-                       ["event_date", "offer_id", "category_id", "vendor"], "events_cnt",
-                       agg.offer_events_daily(fx.raw_events(spark, sf_dir), fx.offers(spark, sf_dir)))
+    path = run_offer_events(spark, sf_dir)
+    keys = ["event_date", "offer_id", "category_id", "vendor"]
+    empty = agg.offer_events_daily(fx.raw_events(spark, sf_dir), fx.offers(spark, sf_dir))
+    _maybe_compact(spark, path, keys, "events_cnt", empty)
+    return read_deltas(spark, path, keys, "events_cnt", empty)
 
 
 # ---------------------------------------------------------------- H4
