@@ -163,3 +163,12 @@ def test_compaction_with_nothing_new(spark):
     assert inc.compact_deltas(spark, path, ["k"], "n", schema) == 0
     assert inc.compact_deltas(spark, path, ["k"], "n", schema) == 0
     assert [tuple(r) for r in inc.read_deltas(spark, path, ["k"], "n", schema).collect()] == [(1, 1)]
+
+
+def test_json_sink_writes_one_document_per_line(spark):
+    path = tempfile.mkdtemp(prefix="vitrine-json-") + "/products"
+    prods = docs.products_docs(fx.catalog_src(spark, SF001), fx.CATALOG_ROW_ORDER, dt.datetime(2025, 1, 1))
+    tb.write_json_documents(docs.products_json(prods), path)
+    back = spark.read.json(path)
+    assert back.count() == prods.count()
+    assert back.select(F.max(F.size("category.breadcrumbs"))).first()[0] == 4
