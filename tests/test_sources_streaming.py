@@ -172,3 +172,18 @@ def test_json_sink_writes_one_document_per_line(spark):
     back = spark.read.json(path)
     assert back.count() == prods.count()
     assert back.select(F.max(F.size("category.breadcrumbs"))).first()[0] == 4
+
+
+def test_load_layout_rule(spark):
+    from vitrine.sources import load
+    cores = spark.sparkContext.defaultParallelism
+    assert load.file_count(spark, 100) == 1                             # tiny input: one file
+    assert load.file_count(spark, 10 << 20) == min(cores, 10)           # enough files for the cores
+    assert load.file_count(spark, 100 << 40) == (100 << 40) // load.MAX_FILE_BYTES   # 100 TB: 128 MB files
+    snaps = fx.offer_snapshots(spark, "/root/testdata/sf0.1")     # 10 MB input: several files
+    # Range-clustered on (category_id, offer_id): files cover disjoint key ranges.
+    per_file = (snaps.select(F.input_file_name().alias("f"), "category_id")
+                     .groupBy("f").agg(F.min("category_id").alias("lo"), F.max("category_id").alias("hi"))
+                     .orderBy("lo").collect())
+    assert len(per_file) > 1
+    assert all(a.hi <= b.lo for a, b in zip(per_file, per_file[1:]))
