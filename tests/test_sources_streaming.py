@@ -187,3 +187,13 @@ def test_load_layout_rule(spark):
                      .orderBy("lo").collect())
     assert len(per_file) > 1
     assert all(a.hi <= b.lo for a, b in zip(per_file, per_file[1:]))
+
+
+def test_write_once_first_writer_wins(spark):
+    from vitrine.sources.store import write_once
+    path = tempfile.mkdtemp(prefix="vitrine-once-") + "/t"
+    write_once(spark, path, lambda p: spark.createDataFrame([(1,)], "v int").write.parquet(p))
+    write_once(spark, path, lambda p: spark.createDataFrame([(2,)], "v int").write.parquet(p))
+    assert [r.v for r in spark.read.parquet(path).collect()] == [1]
+    import os
+    assert [d for d in os.listdir(os.path.dirname(path)) if ".tmp-" in d] == []

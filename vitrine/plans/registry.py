@@ -21,7 +21,7 @@ from vitrine.plans import metrics as met
 from vitrine.plans import sql_surface as sqls
 from vitrine.sources import tables as src
 from vitrine.sources import fixtures as fx
-from vitrine.sources.store import exists, materialize, store_path
+from vitrine.sources.store import materialize, store_path, write_once
 from vitrine.streaming import incremental as inc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -317,8 +317,7 @@ def q_csv_load(spark, sf_dir):
     """A3: the catalogue written as a headed CSV to the store, read back
     positionally, header rows filtered, text cast."""
     path = store_path(spark, "offers_csv", sf_dir)
-    if not exists(spark, path + "/_SUCCESS"):
-        src.write_offers_csv(fx.offers(spark, sf_dir), path)
+    write_once(spark, path, lambda target: src.write_offers_csv(fx.offers(spark, sf_dir), target))
     return src.read_offers_csv(spark, path)
 
 

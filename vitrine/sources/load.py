@@ -20,7 +20,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.sources.store import exists, store_path
+from vitrine.sources.store import store_path, write_once
 from vitrine.sources.tables import path_tag, session_view
 
 MIN_FILE_BYTES = 1 << 20
@@ -57,11 +57,13 @@ def load_table(spark: SparkSession, sf_dir: str, name: str, build: Callable[[],
     """
     path = table_path(spark, sf_dir, name)
 
+    def write(target: str) -> None:
+        n = file_count(spark, input_bytes(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in inputs]))
+        (build().repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
+                .write.mode("overwrite").parquet(target))
+
     def load() -> DataFrame:
-        if not exists(spark, path + "/_SUCCESS"):
-            n = file_count(spark, input_bytes(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in inputs]))
-            (build().repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
-                    .write.mode("overwrite").parquet(path))
+        write_once(spark, path, write)
         return spark.read.parquet(path)
 
     return session_view(spark, f"vitrine_table_{path_tag(path)}", load)

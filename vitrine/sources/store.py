@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,6 +66,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def write_once(spark: SparkSession, path: str, write) -> None:
+    """Build-once write: ``write(tmp)`` writes to a unique sibling folder,
+    which is renamed to ``path`` when its ``_SUCCESS`` marker exists and no
+    other writer has finished first (then ours is dropped).  A writer that
+    dies, or loses a race, never touches the folder readers use."""
+    if exists(spark, path + "/_SUCCESS"):
+        return
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
+    write(tmp)
+    src, dst = jvm.org.apache.hadoop.fs.Path(tmp), jvm.org.apache.hadoop.fs.Path(path)
+    fs = dst.getFileSystem(conf)
+    if fs.exists(dst) and not fs.exists(jvm.org.apache.hadoop.fs.Path(dst, "_SUCCESS")):
+        fs.delete(dst, True)                       # leftovers of an older, unfinished layout
+    if fs.exists(dst) or not fs.rename(src, dst):
+        fs.delete(src, True)
+
+
 # Stored tables at most this large (bytes on storage) are kept in the
 # session's memory cache once built; larger ones are read from Parquet.
 CACHE_CONF = "spark.vitrine.cacheMaxBytes"
@@ -101,15 +121,17 @@ def materialize(spark: SparkSession, path: str, build, partition_by: list[str] |
     name = store_view_name(path)
     created: list[bool] = []
 
+    def write(target: str) -> None:
+        df = build().hint("rebalance", *(partition_by or []))
+        if sort_by:
+            df = df.sortWithinPartitions(*(partition_by or []), *sort_by)
+        w = df.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(target)
+
     def load() -> DataFrame:
-        if not exists(spark, path + "/_SUCCESS"):
-            df = build().hint("rebalance", *(partition_by or []))
-            if sort_by:
-                df = df.sortWithinPartitions(*(partition_by or []), *sort_by)
-            w = df.write.mode("overwrite")
-            if partition_by:
-                w = w.partitionBy(*partition_by)
-            w.parquet(path)
+        write_once(spark, path, write)
         created.append(True)
         return spark.read.parquet(path)
 
