@@ -11,7 +11,7 @@ bucket boundary through a small per-bucket table:
                         bucket, not per sample);
 * ``previous_value``  - in-bucket ``lag`` plus the last value of the previous
                         non-empty bucket for each bucket's first row;
-* ``counter_increase``- Prometheus-style increase over a trailing range, with
+* ``counter_increase``- monitoring-style counter increase over a trailing range, with
                         counter resets, in linear time: running totals
                         (``counter_totals``) plus an as-of lookup of the first
                         sample in each range (``range_increase``).
