@@ -197,3 +197,22 @@ def test_write_once_first_writer_wins(spark):
     assert [r.v for r in spark.read.parquet(path).collect()] == [1]
     import os
     assert [d for d in os.listdir(os.path.dirname(path)) if ".tmp-" in d] == []
+
+
+def test_streams_over_several_micro_batches(spark):
+    """Tables that arrive as several files, one file per micro-batch: the
+    maintained aggregates equal the batch computation over all files."""
+    src_dir = tempfile.mkdtemp(prefix="vitrine-multi-")
+    for t in ["part", "events"]:
+        spark.read.parquet(f"{SF001}/{t}.parquet").repartition(4).write.parquet(f"{src_dir}/{t}.parquet")
+    cats = inc.stream_category_counts(spark, src_dir, max_files=1)
+    batches = inc._batch_ids(spark, inc._stream_dirs(spark, "catalog_counts", src_dir)[0] + "/category")
+    assert len(batches) == 4
+    from vitrine.plans import aggregates as agg
+    offers, events = fx.offers(spark, src_dir), fx.raw_events(spark, src_dir)
+    assert sorted(map(tuple, cats.collect())) == sorted(map(tuple, agg.category_counts(offers).collect()))
+    brands = inc.stream_brand_counts(spark, src_dir, max_files=1)
+    assert sorted(map(tuple, brands.collect())) == sorted(map(tuple, agg.brand_counts(offers).collect()))
+    daily = inc.stream_offer_events(spark, src_dir, max_files=1)
+    assert sorted(map(tuple, daily.collect())) == \
+        sorted(map(tuple, agg.offer_events_daily(events, offers).collect()))

@@ -41,8 +41,11 @@ def _input_stamp(spark: SparkSession, sf_dir: str) -> str:
         jvm = spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(sf_dir)
         fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        files = sorted((st.getPath().getName(), st.getLen(), st.getModificationTime())
-                       for st in fs.listStatus(p) if st.isFile())
+        files, it = [], fs.listFiles(p, True)          # recursive: tables may be folders
+        while it.hasNext():
+            st = it.next()
+            files.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+        files.sort()
         _INPUT_STAMPS[key] = hashlib.sha1(repr(files).encode()).hexdigest()[:12]
     return _INPUT_STAMPS[key]
 

@@ -36,13 +36,20 @@ from vitrine.sources.tables import read_table
 
 
 def table_stream(spark: SparkSession, sf_dir: str, table: str, max_files: int | None = None) -> DataFrame:
-    """A driver table as a file stream: the folder, filtered to the table's
-    file name, with the schema taken from the file (no inference at run)."""
+    """A table as a file stream, with the schema taken from the table (no
+    inference at run).  ``<sf_dir>/<table>.parquet`` may be one file (the
+    input folder is streamed, filtered to that name) or a folder of files
+    that arrive over time (the folder is streamed; ``max_files`` bounds the
+    files per micro-batch)."""
     schema = read_table(spark, sf_dir, table).schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{table}.parquet"
+    jvm = spark.sparkContext._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    is_dir = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hp).isDirectory()
+    r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(sf_dir)
+    return r.parquet(path) if is_dir else r.option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
 
 
 def _stream_dirs(spark: SparkSession, name: str, sf_dir: str) -> tuple[str, str]:
@@ -152,7 +159,7 @@ def _run(stream: DataFrame, apply, ckpt: str) -> None:
 
 
 # ---------------------------------------------------------------- H1
-def run_catalog_counts(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+def run_catalog_counts(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> tuple[str, str]:
     """H1: catalogue appends feed per-category and per-(vendor, category)
     counts.  Returns the two delta folders."""
     out, ckpt = _stream_dirs(spark, "catalog_counts", sf_dir)
@@ -166,26 +173,26 @@ def run_catalog_counts(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
         finally:
             batch.unpersist()
 
-    _run(fx.offers_from(table_stream(spark, sf_dir, "part")), apply, ckpt)
+    _run(fx.offers_from(table_stream(spark, sf_dir, "part", max_files)), apply, ckpt)
     return cat_path, brand_path
 
 
-def stream_category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cat_path, _ = run_catalog_counts(spark, sf_dir)
+def stream_category_counts(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    cat_path, _ = run_catalog_counts(spark, sf_dir, max_files)
     empty = agg.category_counts(fx.offers(spark, sf_dir))
     _maybe_compact(spark, cat_path, ["category_id"], "offers_cnt", empty)
     return read_deltas(spark, cat_path, ["category_id"], "offers_cnt", empty)
 
 
-def stream_brand_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, brand_path = run_catalog_counts(spark, sf_dir)
+def stream_brand_counts(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    _, brand_path = run_catalog_counts(spark, sf_dir, max_files)
     empty = agg.brand_counts(fx.offers(spark, sf_dir))
     _maybe_compact(spark, brand_path, ["vendor", "category_id"], "offers_cnt", empty)
     return read_deltas(spark, brand_path, ["vendor", "category_id"], "offers_cnt", empty)
 
 
 # ---------------------------------------------------------------- H2
-def run_offer_events(spark: SparkSession, sf_dir: str) -> str:
+def run_offer_events(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> str:
     """H2: event appends joined with the catalogue as it is when they
     arrive, counted per (day, offer, category, vendor)."""
     out, ckpt = _stream_dirs(spark, "offer_events", sf_dir)
@@ -194,12 +201,12 @@ def run_offer_events(spark: SparkSession, sf_dir: str) -> str:
     def apply(batch: DataFrame, batch_id: int) -> None:
         write_delta(agg.offer_events_daily(batch, offers), out, batch_id)
 
-    _run(fx.raw_events_from(table_stream(spark, sf_dir, "events")), apply, ckpt)
+    _run(fx.raw_events_from(table_stream(spark, sf_dir, "events", max_files)), apply, ckpt)
     return out
 
 
-def stream_offer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = run_offer_events(spark, sf_dir)
+def stream_offer_events(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    path = run_offer_events(spark, sf_dir, max_files)
     keys = ["event_date", "offer_id", "category_id", "vendor"]
     empty = agg.offer_events_daily(fx.raw_events(spark, sf_dir), fx.offers(spark, sf_dir))
     _maybe_compact(spark, path, keys, "events_cnt", empty)
