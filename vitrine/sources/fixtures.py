@@ -160,9 +160,11 @@ def metric_samples(spark: SparkSession, sf_dir: str, bucket_rows: int = METRIC_B
     The counters are running totals per event type in ``event_id`` order.
     Event types are few, so each is a hot key; the running totals are
     computed bucket by bucket (``running_sum``), never one type per task.
+    The table is clustered by time: a file stream replays it in time order
+    (the watermark is global across series) and time filters skip files.
     """
     return load_table(spark, sf_dir, f"metric_samples_{bucket_rows}",
-                      lambda: _metric_samples(spark, sf_dir, bucket_rows), ["metric", "label", "ts"], ["events"])
+                      lambda: _metric_samples(spark, sf_dir, bucket_rows), ["ts", "metric", "label"], ["events"])
 
 
 def _metric_samples(spark: SparkSession, sf_dir: str, bucket_rows: int) -> DataFrame:
