@@ -33,3 +33,8 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) > 0
     assert df.columns == ["category_id", "offers_cnt"]
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
+    assert len(QUERIES) >= 57
