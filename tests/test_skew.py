@@ -76,3 +76,23 @@ def test_hot_series_rate_spreads_over_buckets(spark):
     plan = _plan(out)
     assert "__b" in plan                   # windows are keyed by (series, bucket), not by series alone
     assert out.count() == 4000 - 1
+
+
+def test_hot_category_documents_exact(spark):
+    """One (partner, category) holds a third of the source rows."""
+    from vitrine.plans import documents as docs
+    n = 9000
+    src = spark.range(0, n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(" Hot Partner")).otherwise(F.concat(F.lit("p"), (F.col("id") % 7)
+                                                                      .cast("string"))).alias("Partner_Name"),
+        F.when(F.col("id") % 3 == 0, F.lit("c0")).otherwise(F.concat(F.lit("c"), (F.col("id") % 50)
+                                                            .cast("string"))).alias("Category_ID"),
+        F.when(F.col("id") % 3 == 0, F.lit("A\\\\B")).otherwise(F.lit("X")).alias("Category_FullPathName"),
+        (F.col("id") % 400).cast("string").alias("Offer_ID"), F.lit("n").alias("Offer_Name"),
+        F.lit("t").alias("Offer_Type"), F.col("id").alias("ord"))
+    cats = docs.categories_docs(src, ["ord"], dt.datetime(2025, 1, 1))
+    hot = cats.where(F.col("_id") == "_hot_partner_c0").first()
+    assert hot.metadata.total_products == n // 3 and hot.path == "A/B"
+    assert re.search(r"Exchange hashpartitioning\([^\n]*Partner_Name[^\n]*\n[^\n]*partial_", _plan(cats))
+    prods = docs.products_docs(src, ["ord"], dt.datetime(2025, 1, 1))
+    assert prods.count() == src.select("Partner_Name", "Offer_ID").distinct().count()
