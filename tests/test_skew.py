@@ -96,3 +96,14 @@ def test_hot_category_documents_exact(spark):
     assert re.search(r"Exchange hashpartitioning\([^\n]*Partner_Name[^\n]*\n[^\n]*partial_", _plan(cats))
     prods = docs.products_docs(src, ["ord"], dt.datetime(2025, 1, 1))
     assert prods.count() == src.select("Partner_Name", "Offer_ID").distinct().count()
+
+
+def test_scans_prune_columns_and_push_filters(spark):
+    from conftest import SF01
+    from vitrine.plans.registry import QUERIES
+    plan = _plan(QUERIES["top_categories_raw"](spark, SF01))
+    assert "ReadSchema: struct<p_size:int>" in plan
+    plan = _plan(QUERIES["offers_without_events_raw"](spark, SF01))
+    assert "ReadSchema: struct<user_id:bigint>" in plan and "PushedFilters: [IsNotNull(user_id)]" in plan
+    plan = _plan(QUERIES["events_by_device"](spark, SF01))
+    assert "ReadSchema: struct<event_type:string>" in plan
