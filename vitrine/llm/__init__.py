@@ -2,3 +2,10 @@
 
 Nothing outside this package imports it; ``queries`` registers its queries.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from vitrine.llm import licenses, secrets
+from vitrine.llm import decontaminate, licenses, quality, secrets, simhash
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
+    "op2_quality_rules": quality.op2_quality_rules,
+    "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
+    "op7_benchmark_decontamination": decontaminate.op7_benchmark_decontamination,
     "op8_secret_scan": secrets.op8_secret_scan,
 }
 
