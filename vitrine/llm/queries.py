@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from vitrine.llm import decontaminate, licenses, quality, secrets, simhash
+from vitrine.llm import decontaminate, licenses, packing, quality, secrets, simhash, token_files
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
     "op2_quality_rules": quality.op2_quality_rules,
     "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
+    "op5_token_files": token_files.op5_token_files,
     "op7_benchmark_decontamination": decontaminate.op7_benchmark_decontamination,
     "op8_secret_scan": secrets.op8_secret_scan,
+    "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
 
 ORACLE = {
