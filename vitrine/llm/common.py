@@ -30,6 +30,13 @@ def shared_folder(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def free(df: DataFrame, name: str) -> str:
+    """`name`, with underscores added until `df` has no column called so."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write `df` as Parquet below the shared folder and read it back.
 

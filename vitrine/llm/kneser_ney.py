@@ -17,7 +17,7 @@ documents of its languages only, so the documents are read once in all.
 A document's perplexity is kept if it lies within quantiles of the trusted
 documents of its language, widened by `MARGIN`.
 
-Defined results: text that is null or empty has no perplexity and isn't kept;
+Defined results: text that is null, empty or blank has no perplexity and isn't kept;
 without trusted text there is no threshold and everything else is kept; null
 languages use the pooled model; several labels of a document trust it if one
 does; null doc_ids are scored; repeated rows each give a row; extra columns are

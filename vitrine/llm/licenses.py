@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import ascii_lower
+from vitrine.llm.common import ascii_lower, table
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -131,7 +131,6 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
 
 def op1_license_scan(spark, sf_dir: str) -> DataFrame:
     """Contract columns of operator 1 over the whole of `documents`."""
-    from vitrine.llm.common import table
     base = F.transform(F.filter("places", lambda p: p["base"]), lambda p: p["start"])
     return (scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
             .withColumn("base", base)

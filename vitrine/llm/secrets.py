@@ -29,6 +29,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vitrine.llm.common import free, table
+
 MARK = "[SECRET]"
 
 
@@ -164,34 +166,35 @@ def _spans(text: Column, rule: Rule) -> Column:
     return F.when(F.regexp_like(text, pattern), found).otherwise(empty)
 
 
-def with_spans(docs: DataFrame, rules=RULES) -> DataFrame:
-    """`docs` with `spans`: array of (start, kind number, end), in text order, then as the rules are listed."""
+def with_spans(docs: DataFrame, rules=RULES, name: str = "spans") -> DataFrame:
+    """`docs` with `name`: array of (start, kind number, end), in text order, then as the rules are listed."""
     scanned = [trigram_query(r.pattern) is None for r in rules]
-    found = candidates(docs.select("doc_id", "text"), rules).select(F.col("doc_id").alias("__id"), F.col("rules").alias("__rules"))
-    joined = docs.join(found, docs["doc_id"].eqNullSafe(found["__id"]), "left")
+    key, asked = free(docs, "__id"), free(docs, "__rules")
+    found = candidates(docs.select("doc_id", "text"), rules).select(F.col("doc_id").alias(key), F.col("rules").alias(asked))
+    joined = docs.join(found, docs["doc_id"].eqNullSafe(found[key]), "left")
     text = F.coalesce(F.col("text"), F.lit(""))
     empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     parts = []
     for k, r in enumerate(rules):
         kind = F.lit(k).alias("kind")
         own = F.transform(_spans(text, r), lambda s: F.struct(s["start"].alias("start"), kind, s["end"].alias("end")))  # noqa: B023
-        asked = F.lit(True) if scanned[k] else F.coalesce(F.col("__rules").bitwiseAND(F.lit(1 << k)) != 0, F.lit(False))
-        parts.append(F.when(asked, own).otherwise(empty))
-    return joined.withColumn("spans", F.array_sort(F.concat(*parts))).drop("__id", "__rules")
+        parts.append(own if scanned[k] else F.when(F.coalesce(F.col(asked).bitwiseAND(F.lit(1 << k)) != 0, F.lit(False)), own).otherwise(empty))
+    return joined.withColumn(name, F.array_sort(F.concat(*parts))).drop(key, asked)
 
 
 def redacted(docs: DataFrame, rules=RULES, mark: str = MARK) -> DataFrame:
     """`docs` with every span replaced by `mark` (overlapping spans by one) and n_chars set anew; other columns as they are."""
-    text = F.col("text")
+    text, name = F.col("text"), free(docs, "spans")
     step = lambda acc, s: F.when(s["end"] <= acc["at"], acc).otherwise(F.struct(
         s["end"].alias("at"),
         F.when(s["start"] < acc["at"], acc["out"]).otherwise(F.concat(
             acc["out"], F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)))).alias("out")))
-    cut = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step,
+    cut = F.aggregate(name, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step,
                       lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
-    out = with_spans(docs, rules).withColumn("text", F.when(F.size("spans") > 0, cut).otherwise(text))
+    found = F.size(name) > 0
+    out = with_spans(docs, rules, name).withColumn("text", F.when(found, cut).otherwise(text))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(found, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
 
@@ -202,7 +205,6 @@ def _joined(spans: Column, rules) -> Column:
 
 def op8_secret_scan(spark, sf_dir: str) -> DataFrame:
     """Contract columns of operator 8 over the whole of `documents`."""
-    from vitrine.llm.common import table
     n_base = sum(r.base for r in RULES)
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
     return (with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import map_batches, table, written
+from vitrine.llm.common import free, map_batches, table, written
 from vitrine.llm.graph import connected_components
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -153,15 +153,15 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS,
 
 def drop_near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS, seed: int = SEED) -> DataFrame:
     """One row of each component: the one with the smallest doc_id (nulls last, then the smallest hash of the whole row)."""
-    key = F.xxhash64(*docs.columns)
-    prints = written(fingerprints(docs.select("doc_id", key.alias("__key"), "text"), width, seed), "fingerprints")
-    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("__key").alias("k"))
+    whole, row, doc = F.xxhash64(*docs.columns), free(docs, "__row"), free(docs, "__doc")
+    prints = written(fingerprints(docs.select("doc_id", whole.alias("k"), "text"), width, seed), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), "k")
     least = prints.groupBy("fp").agg(F.min(order).alias("first"))
     kept = written(_components(prints, radius).join(least, "fp").groupBy("root").agg(F.min("first").alias("first"))
-                   .select(F.col("first.d").alias("__doc"), F.col("first.k").alias("__key")), "kept")
-    keyed = docs.withColumn("__key", key)
-    return (keyed.join(kept, (keyed["__key"] == kept["__key"]) & keyed["doc_id"].eqNullSafe(kept["__doc"]), "left_semi")
-            .dropDuplicates(["__key"]).drop("__key"))
+                   .select(F.col("first.d").alias(doc), F.col("first.k").alias(row)), "kept")
+    keyed = docs.withColumn(row, whole)
+    return (keyed.join(kept, (keyed[row] == kept[row]) & keyed["doc_id"].eqNullSafe(kept[doc]), "left_semi")
+            .dropDuplicates([row]).drop(row))
 
 
 def op4_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
