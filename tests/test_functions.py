@@ -24,7 +24,7 @@ def _partner_py(x):
 
 
 PATHS = [None, "", "   ", "One", "A\\\\B \\ C\\", "\tA \n\\ B\t", "\\\\", "Строительство\\Инструмент"]
-PARTNERS = [None, "", "Ozon", " _Ozon ", "A b c", "\tLead", "MIDDLE EAST", "_x"]
+PARTNERS = [None, "", "Acme", " _Acme ", "A b c", "\tLead", "MIDDLE EAST", "_x"]
 
 
 def test_split_path_edges(spark):

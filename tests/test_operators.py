@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF01
 from vitrine.operators import relational as rel
-from vitrine.operators.series import counter_increase, previous_value, running_sum
+from vitrine.operators.series import counter_increase, running_sum, with_buckets
 from vitrine.plans import catalog as cat
 from vitrine.plans import documents as docs
 from vitrine.plans import hierarchy as hi
@@ -75,18 +75,8 @@ def test_running_sum_matches_plain_window(spark):
     assert _rows(got, ["id", "s"]) == _rows(want, ["id", "s"])
 
 
-def test_previous_value_matches_lag(spark):
-    df = spark.range(0, 1500).select((F.col("id") % 2).alias("g"), (F.col("id") * 10).alias("t"),
-                                     (F.col("id") * 3 % 11).alias("v"))
-    got = previous_value(df, ["g"], "t", "v", F.floor(F.col("t") / 130))
-    want = df.withColumn("prev", F.lag("v").over(Window.partitionBy("g").orderBy("t")))
-    assert _rows(got, ["g", "t", "prev"]) == _rows(want, ["g", "t", "prev"])
-
-
 def test_metric_samples_same_for_any_bucket_width(spark):
-    small = fx.metric_samples(spark, SF01, bucket_rows=97)
-    big = fx.metric_samples(spark, SF01)
-    assert _rows(small) == _rows(big)
+    assert _rows(fx._metric_samples(spark, SF01, 97)) == _rows(fx.metric_samples(spark, SF01))
 
 
 def _samples(spark, pts):
@@ -113,6 +103,39 @@ def test_counter_increase_bucket_edges_match_small_buckets(spark):
     assert _rows(a) == _rows(b)
 
 
+def test_equal_instants_count_once(spark):
+    # Two reads of one instant: the larger value counts, and no reset is seen between them.
+    s = _samples(spark, [(0, 3), (15, 5), (15, 7), (30, 9)])
+    got = {(r.ts - dt.datetime(2024, 1, 1)).seconds: (r.increase, r.samples)
+           for r in counter_increase(s, ["metric", "label"], "ts", "value", 60).collect()}
+    assert got == {15: (4.0, 2), 30: (6.0, 3)}
+
+
+def test_counter_increase_against_a_plain_fold(spark):
+    import random
+    r = random.Random(4)
+    at, pts = 0, []
+    for _ in range(600):
+        at += r.choice([1, 1, 1, 2, 5, 300])
+        pts.append((at, r.randint(0, 30)))
+    want = {}
+    for i, (t, _) in enumerate(pts):
+        inside = [v for s, v in pts[:i + 1] if s > t - 120]
+        if len(inside) > 1:
+            want[t] = sum(b if b < a else b - a for a, b in zip(inside, inside[1:]))
+    for rows in (7, 50, 10 ** 6):
+        out = counter_increase(_samples(spark, pts), ["metric", "label"], "ts", "value", 120, bucket_rows=rows).collect()
+        assert {int((q.ts - dt.datetime(2024, 1, 1)).total_seconds()): q.increase for q in out} == want
+
+
+def test_null_labels_are_a_series(spark):
+    base = dt.datetime(2024, 1, 1)
+    rows = [("m", None, base + dt.timedelta(seconds=15 * i), float(i)) for i in range(50)]
+    s = spark.createDataFrame(rows, "metric string, label string, ts timestamp_ntz, value double")
+    out = counter_increase(s, ["metric", "label"], "ts", "value", 60, bucket_rows=5)
+    assert out.count() == 49 and out.agg(F.max("increase")).first()[0] == 3.0
+
+
 # ---------------------------------------------------------------- empty inputs
 def test_empty_inputs(spark):
     offers = spark.createDataFrame([], "offer_id long, price double, seller_id long, category_id long, vendor string")
@@ -131,14 +154,14 @@ def test_empty_inputs(spark):
 
 
 def test_categories_docs_first_non_null_path_and_rejects(spark):
-    rows = [(" Ozon", "c1", None, "o1", "n", "t", 1), (" Ozon", "c1", "A\\B", "o2", "n", "t", 2),
-            ("ozon", "c1", "X", "o3", "n", "t", 3), (None, None, "A", "o4", "n", "t", 4)]
+    rows = [(" Partner A", "c1", None, "o1", "n", "t", 1), (" Partner A", "c1", "A\\B", "o2", "n", "t", 2),
+            ("partner a", "c1", "X", "o3", "n", "t", 3), (None, None, "A", "o4", "n", "t", 4)]
     src = spark.createDataFrame(rows, "Partner_Name string, Category_ID string, Category_FullPathName string, "
                                       "Offer_ID string, Offer_Name string, Offer_Type string, ord int")
     out = docs.categories_docs(src, ["ord"], dt.datetime(2025, 1, 1)).collect()
     assert len(out) == 1
     d = out[0]
-    assert (d._id, d.path, d.level, d.parent_path, d.metadata.total_products) == ("_ozon_c1", "A/B", 2, "A", 3)
+    assert (d._id, d.path, d.level, d.parent_path, d.metadata.total_products) == ("_partner_a_c1", "A/B", 2, "A", 3)
     assert docs.rejected_rows(src).count() == 1
 
 
@@ -153,20 +176,29 @@ def test_leaf_and_children_cross_partner(spark):
     assert _rows(hi.children_per_category(cats)) == [("_a_1", "X", 1), ("_b_2", "X/Y", 0)]
 
 
-def test_rate_from_stored_totals_equals_raw_computation(spark):
-    from vitrine.operators.series import range_increase
-    s = fx.metric_samples(spark, SF01).where(F.col("metric") == fx.QUERIES_METRIC)
-    raw = counter_increase(s.select("metric", "label", "ts", "value"), ["metric", "label"], "ts", "value", 21600)
-    stored = range_increase(s, ["metric", "label"], "ts", "cum_delta", "sample_no", 21600)
-    assert _rows(raw) == _rows(stored)
-
-
-def test_counter_totals_same_for_any_bucket_size(spark):
-    from vitrine.operators.series import with_counter_totals
-    raw = fx.metric_samples(spark, SF01).select("metric", "label", "ts", "value")
-    small = with_counter_totals(raw, ["metric", "label"], "ts", "value", bucket_rows=50)
-    big = with_counter_totals(raw, ["metric", "label"], "ts", "value")
-    assert small.select(F.countDistinct("metric", "label")).first()[0] == 15
-    assert _rows(small) == _rows(big)
-    stored = fx.metric_samples(spark, SF01)
-    assert _rows(big) == _rows(stored.select(*big.columns))
+def test_rejected_rows_have_reasons_and_are_readable(spark):
+    import tempfile
+    rows = [("p", "c1", "A", "o1", "n", "t"), ("p", None, "A", "o2", "n", "t"), ("p", "c2", "A", None, "n", "t"), (None, None, None, None, None, None)]
+    src = spark.createDataFrame(rows, "Partner_Name string, Category_ID string, Category_FullPathName string, "
+                                      "Offer_ID string, Offer_Name string, Offer_Type string")
+    path = tempfile.mkdtemp(prefix="vitrine-reject-") + "/r"
+    docs.write_rejected(src, path)
+    assert sorted(r.reason for r in spark.read.parquet(path).collect()) == ["category", "category,offer", "offer"]
+    ordered = src.withColumn("ord", F.lit(1))
+    kept = docs.categories_docs(ordered, ["ord"]).count(), docs.products_docs(ordered, ["ord"]).count()
+    assert kept == (2, 2)
+
+
+def test_children_are_pairs(spark):
+    rows = [("_a_1", "X", None), ("_a_2", "X/Y", "X"), ("_b_3", "X/Z", "X"), ("_b_4", None, None)]
+    cats = spark.createDataFrame(rows, "_id string, path string, parent_path string")
+    assert _rows(hi.category_children(cats)) == sorted([("_a_1", "_a_2"), ("_a_1", "_b_3"), ("_a_2", None), ("_b_3", None), ("_b_4", None)], key=repr)
+
+
+def test_bursty_series_is_cut_by_rows(spark):
+    # 90 % of the samples in 1 % of the span.
+    n, target = 20_000, 500
+    s = spark.range(0, n).select(F.lit("s").alias("k"), F.when(F.col("id") < n * 0.9, F.col("id")).otherwise(F.col("id") * 100).alias("t"))
+    out = with_buckets(s, s.withColumnRenamed("t", "at"), ["k"], "at", {"b": F.col("t")}, target)
+    sizes = [r["count"] for r in out.groupBy("b").count().collect()]
+    assert max(sizes) <= 2 * target and len(sizes) >= n / target * 0.8

@@ -68,14 +68,34 @@ def test_pick_per_key_hot_key_is_combined_map_side(spark):
 
 
 def test_hot_series_rate_spreads_over_buckets(spark):
-    # A single series holding every sample: the work is split by day bucket.
+    # A single series holding every sample: the work is split into slices of about equally many rows.
+    from vitrine.functions.columns import epoch_micros
+    from vitrine.operators.series import with_buckets
     base = dt.datetime(2024, 1, 1)
     rows = [("m", "only", base + dt.timedelta(minutes=5 * i), float(i % 400)) for i in range(4000)]
     s = spark.createDataFrame(rows, "metric string, label string, ts timestamp_ntz, value double")
-    out = counter_increase(s, ["metric", "label"], "ts", "value", 3600)
-    plan = _plan(out)
-    assert "__b" in plan                   # windows are keyed by (series, bucket), not by series alone
+    out = counter_increase(s, ["metric", "label"], "ts", "value", 3600, bucket_rows=100)
     assert out.count() == 4000 - 1
+    t = s.withColumn("__t", epoch_micros("ts"))
+    cut = with_buckets(t, t.withColumn("at", F.col("__t")), ["metric", "label"], "at", {"b": F.col("__t")}, 100)
+    sizes = [r["count"] for r in cut.groupBy("b").count().collect()]
+    assert len(sizes) >= 40 and max(sizes) <= 200
+
+
+def test_hot_offer_is_spread_over_files(spark):
+    # An offer with a third of the rows: a rebalanced load cuts it by size.
+    import tempfile
+    path = tempfile.mkdtemp(prefix="vitrine-hot-") + "/t"
+    df = spark.range(0, 600_000).select(F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") % 997).alias("offer_id"),
+                                        F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        df.hint("rebalance").sortWithinPartitions("offer_id", "payload").write.parquet(path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    per = spark.read.parquet(path).where("offer_id = 5").groupBy(F.input_file_name()).count().collect()
+    assert len(per) > 4 and max(r["count"] for r in per) < 100_000
 
 
 def test_hot_category_documents_exact(spark):
@@ -93,7 +113,7 @@ def test_hot_category_documents_exact(spark):
     cats = docs.categories_docs(src, ["ord"], dt.datetime(2025, 1, 1))
     hot = cats.where(F.col("_id") == "_hot_partner_c0").first()
     assert hot.metadata.total_products == n // 3 and hot.path == "A/B"
-    assert re.search(r"Exchange hashpartitioning\([^\n]*Partner_Name[^\n]*\n[^\n]*partial_", _plan(cats))
+    assert re.search(r"Exchange hashpartitioning\([^\n]*partner#[^\n]*\n[^\n]*partial_", _plan(cats))
     prods = docs.products_docs(src, ["ord"], dt.datetime(2025, 1, 1))
     assert prods.count() == src.select("Partner_Name", "Offer_ID").distinct().count()
 

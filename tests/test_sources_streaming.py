@@ -41,6 +41,23 @@ def test_csv_header_rows_filtered_and_bad_numbers_raise(spark):
         tb.read_offers_csv(spark, bad).collect()
 
 
+def test_csv_quotes_empty_text_and_missing_ids(spark):
+    path = tempfile.mkdtemp(prefix="vitrine-csv-") + "/q.csv"
+    with open(path, "w") as f:
+        f.write('0,offer_id,price,seller_id,category_id,vendor\n0,1,1.0,1,1,"Acme ""X"", Ltd"\n0,2,1.0,1,1,""\n0,3,1.0,1,1,"two\nlines"\n')
+    got = {r.offer_id: r.vendor for r in tb.read_offers_csv(spark, path).collect()}
+    assert got == {1: 'Acme "X", Ltd', 2: "", 3: "two\nlines"}
+    empty = tempfile.mkdtemp(prefix="vitrine-csv-") + "/e.csv"
+    with open(empty, "w") as f:
+        f.write("0,,1.0,1,1,v\n")
+    with pytest.raises(Exception):                                  # an empty id is no number
+        tb.read_offers_csv(spark, empty).collect()
+    odd = spark.createDataFrame([(7, 2.5, 1, 1, 'a "b", c'), (8, 2.5, 1, 1, "")], "offer_id long, price double, seller_id long, category_id long, vendor string")
+    out = tempfile.mkdtemp(prefix="vitrine-csv-") + "/o"
+    tb.write_offers_csv(odd, out)
+    assert sorted(map(tuple, tb.read_offers_csv(spark, out).collect())) == sorted(map(tuple, odd.collect()))
+
+
 def test_json_documents_round_trip(spark):
     prods = docs.products_docs(fx.catalog_src(spark, SF001), fx.CATALOG_ROW_ORDER, dt.datetime(2025, 1, 1))
     js = docs.products_json(prods).orderBy("_id").limit(5).collect()
@@ -78,47 +95,31 @@ def test_stream_rate_windows_are_closed(spark):
     assert out.agg(F.max("window_end")).first()[0] <= last - dt.timedelta(hours=1)
 
 
-def test_sql_surface_equals_dataframe_forms(spark):
-    """Differential pairs: the SQL texts against the DataFrame plans, and
-    every pre-aggregate form against the raw form (the comparison the load
-    test never made)."""
+def test_pre_aggregates_equal_raw_forms(spark):
+    """Every pre-aggregate form against the raw form, also when a store repeats keys."""
     from vitrine.plans import aggregates as agg
     from vitrine.plans import catalog as cat
     from vitrine.plans import sql_surface as sqls
     offers, events = fx.offers(spark, SF001), fx.raw_events(spark, SF001)
     daily = agg.offer_events_daily(events, offers)
-    frames = {
-        "raw_top_categories": cat.top_categories(offers),
-        "mv_top_categories": cat.top_categories_mv(agg.category_counts(offers)),
-        "raw_top_brands": cat.top_brands(offers),
-        "mv_top_brands": cat.top_brands_mv(agg.brand_counts(offers)),
-        "raw_avg_offers_per_brand": cat.avg_offers_per_brand(offers),
-        "mv_avg_offers_per_brand": cat.avg_offers_per_brand_mv(agg.brand_counts(offers)),
-        "raw_offers_without_events": cat.offers_without_events(offers, events),
-        "mv_offers_without_events": cat.offers_without_events_mv(offers, daily),
-        "panel_events_by_device": cat.events_by_device(events),
-        "panel_offers_without_events": cat.offers_without_events_count(offers, daily),
-        "panel_coverage": cat.coverage_rows(offers, daily).drop("coverage_ratio"),
-    }
-    for name, df in frames.items():
-        got = sqls.run_sql(spark, SF001, name)
-        if name == "panel_coverage":
-            got = got.drop("coverage_ratio")
-        a = sorted(map(tuple, got.collect()), key=repr)
-        b = sorted(map(tuple, df.collect()), key=repr)
-        assert a == b, name
-    raw_vs_mv = [("raw_top_categories", "mv_top_categories"), ("raw_top_brands", "mv_top_brands"),
-                 ("raw_avg_offers_per_brand", "mv_avg_offers_per_brand"),
-                 ("raw_offers_without_events", "mv_offers_without_events")]
-    for raw, mv in raw_vs_mv:
-        assert sorted(map(tuple, sqls.run_sql(spark, SF001, raw).collect())) == \
-               sorted(map(tuple, sqls.run_sql(spark, SF001, mv).collect())), raw
+    halves = [offers.where("offer_id % 2 = 0"), offers.where("offer_id % 2 = 1")]
+    cats, brands = (build(halves[0]).unionByName(build(halves[1])) for build in (agg.category_counts, agg.brand_counts))
+    pairs = [(cat.top_categories(offers), cat.top_categories_mv(cats)), (cat.top_brands(offers), cat.top_brands_mv(brands)),
+             (cat.avg_offers_per_brand(offers), cat.avg_offers_per_brand_mv(brands)),
+             (cat.offers_without_events(offers, events), cat.offers_without_events_mv(offers, daily)),
+             (cat.offers_without_events_count(offers, daily), sqls.panel_offers_without_events(spark, SF001)),
+             (cat.coverage_rows(offers, daily).drop("coverage_ratio"), sqls.panel_coverage(spark, SF001).drop("coverage_ratio"))]
+    for raw, mv in pairs:
+        assert sorted(map(tuple, raw.collect())) == sorted(map(tuple, mv.collect()))
+    sqls.register_ecom_views(spark, SF001)
+    assert spark.sql("SELECT count(*) FROM ecom_offers").first()[0] == 200
+    spark.catalog.dropTempView("ecom_offers")
     sqls.register_ecom_views(spark, SF001)
     assert spark.sql("SELECT count(*) FROM ecom_offers").first()[0] == 200
 
 
 def test_versioned_collections_upsert(spark):
-    from vitrine.sources.store import current_version, read_current
+    from vitrine.sources.store import current_version, read_current, remove_versions
     root = tempfile.mkdtemp(prefix="vitrine-coll-") + "/products"
     src = fx.catalog_src(spark, SF001)
     first = src.where(F.col("load_date") < F.lit("1998-01-01").cast("date"))
@@ -129,10 +130,11 @@ def test_versioned_collections_upsert(spark):
     got = sorted(map(tuple, docs.products_flat(read_current(spark, root)).collect()))
     want = sorted(map(tuple, QUERIES["products_upsert"](spark, SF001).collect()))
     assert got == want
-    # The same load again changes nothing but ``updated_at``; old versions are pruned.
+    # The same load again changes nothing but ``updated_at``; old versions stay until they are removed.
     docs.upsert_collection(spark, root, docs.products_docs(second, fx.CATALOG_ROW_ORDER, t2), "products")
     docs.upsert_collection(spark, root, docs.products_docs(second, fx.CATALOG_ROW_ORDER, t2), "products")
     assert current_version(spark, root) == 4
+    assert remove_versions(spark, root, 3600) == [] and remove_versions(spark, root, 0) == [1, 2, 3]
     assert sorted(map(tuple, docs.products_flat(read_current(spark, root)).collect())) == want
     croot = root.replace("products", "categories")
     docs.upsert_collection(spark, croot, docs.categories_docs(first, fx.CATALOG_ROW_ORDER, t1), "categories")
@@ -141,28 +143,20 @@ def test_versioned_collections_upsert(spark):
     assert got == sorted(map(tuple, QUERIES["categories_upsert"](spark, SF001).collect()))
 
 
-def test_compaction_keeps_totals(spark):
-    path = tempfile.mkdtemp(prefix="vitrine-compact-") + "/d"
+def test_merging_deltas_keeps_totals(spark):
+    path = tempfile.mkdtemp(prefix="vitrine-merge-") + "/d"
     schema = spark.createDataFrame([], "k int, n long")
+    total = lambda: sorted(map(tuple, inc.read_deltas(spark, path, ["k"], "n", schema).collect()))
+    assert inc.merge_deltas(spark, path, ["k"], "n") == -1 and total() == []
     for b, rows in enumerate([[(1, 2), (2, 3)], [(1, 1)], [(3, 5)]]):
         inc.write_delta(spark.createDataFrame(rows, "k int, n long"), path, b)
-    before = sorted(map(tuple, inc.read_deltas(spark, path, ["k"], "n", schema).collect()))
-    assert inc.compact_deltas(spark, path, ["k"], "n", schema) == 2
-    assert sorted(map(tuple, inc.read_deltas(spark, path, ["k"], "n", schema).collect())) == before
+    before = total()
+    assert inc.merge_deltas(spark, path, ["k"], "n") == 2 and total() == before
     inc.write_delta(spark.createDataFrame([(2, 10)], "k int, n long"), path, 3)   # a later batch
-    assert inc.compact_deltas(spark, path, ["k"], "n", schema) == 3
-    assert sorted(map(tuple, inc.read_deltas(spark, path, ["k"], "n", schema).collect())) == [(1, 3), (2, 13), (3, 5)]
-    assert inc._batch_ids(spark, path) == []
-
-
-def test_compaction_with_nothing_new(spark):
-    path = tempfile.mkdtemp(prefix="vitrine-compact-") + "/d"
-    schema = spark.createDataFrame([], "k int, n long")
-    assert inc.compact_deltas(spark, path, ["k"], "n", schema) == -1
-    inc.write_delta(spark.createDataFrame([(1, 1)], "k int, n long"), path, 0)
-    assert inc.compact_deltas(spark, path, ["k"], "n", schema) == 0
-    assert inc.compact_deltas(spark, path, ["k"], "n", schema) == 0
-    assert [tuple(r) for r in inc.read_deltas(spark, path, ["k"], "n", schema).collect()] == [(1, 1)]
+    assert total() == [(1, 3), (2, 13), (3, 5)]
+    assert inc.merge_deltas(spark, path, ["k"], "n") == 3 and inc.merge_deltas(spark, path, ["k"], "n") == 3
+    inc.remove_merged(spark, path)
+    assert inc.batch_ids(spark, path) == [] and total() == [(1, 3), (2, 13), (3, 5)]
 
 
 def test_json_sink_writes_one_document_per_line(spark):
@@ -174,29 +168,107 @@ def test_json_sink_writes_one_document_per_line(spark):
     assert back.select(F.max(F.size("category.breadcrumbs"))).first()[0] == 4
 
 
-def test_load_layout_rule(spark):
-    from vitrine.sources import load
-    cores = spark.sparkContext.defaultParallelism
-    assert load.file_count(spark, 100) == 1                             # tiny input: one file
-    assert load.file_count(spark, 10 << 20) == min(cores, 10)           # enough files for the cores
-    assert load.file_count(spark, 100 << 40) == (100 << 40) // load.MAX_FILE_BYTES   # 100 TB: 128 MB files
-    snaps = fx.offer_snapshots(spark, "/root/testdata/sf0.1")     # 10 MB input: several files
-    # Range-clustered on (category_id, offer_id): files cover disjoint key ranges.
-    per_file = (snaps.select(F.input_file_name().alias("f"), "category_id")
-                     .groupBy("f").agg(F.min("category_id").alias("lo"), F.max("category_id").alias("hi"))
-                     .orderBy("lo").collect())
-    assert len(per_file) > 1
-    assert all(a.hi <= b.lo for a, b in zip(per_file, per_file[1:]))
-
-
-def test_write_once_first_writer_wins(spark):
+def test_write_once_first_finished_build_wins(spark):
     from vitrine.sources.store import write_once
     path = tempfile.mkdtemp(prefix="vitrine-once-") + "/t"
-    write_once(spark, path, lambda p: spark.createDataFrame([(1,)], "v int").write.parquet(p))
-    write_once(spark, path, lambda p: spark.createDataFrame([(2,)], "v int").write.parquet(p))
-    assert [r.v for r in spark.read.parquet(path).collect()] == [1]
+    write = lambda v: lambda p: spark.createDataFrame([(v,)], "v int").write.parquet(p)
+
+    def raced(p):                                  # another writer finishes while this one writes
+        write(2)(f"{path}/build-other")
+        write(1)(p)
+
+    chosen = write_once(spark, path, raced)
+    assert [r.v for r in spark.read.parquet(chosen).collect()] == [2]
+    assert write_once(spark, path, write(3)) == chosen
+
+
+def test_appended_files_are_seen_at_the_next_call(spark):
+    src_dir = tempfile.mkdtemp(prefix="vitrine-append-")
+    part = spark.read.parquet(f"{SF001}/part.parquet")
+    part.where("p_partkey <= 100").write.parquet(f"{src_dir}/part.parquet")
+    count = lambda: sum(r.offers_cnt for r in QUERIES["top_categories_mv"](spark, src_dir).collect())
+    first, top = fx.offers(spark, src_dir).count(), count()
+    part.where("p_partkey > 100").write.mode("append").parquet(f"{src_dir}/part.parquet")
+    assert (first, fx.offers(spark, src_dir).count()) == (101, 200) and count() > top
+
+
+def test_local_disk_is_refused_on_a_cluster(spark, monkeypatch):
+    from vitrine import session
+    monkeypatch.setattr(session, "_one_machine", lambda s: False)
+    with pytest.raises(RuntimeError):
+        session.store_root(spark)
+
+
+_APPEND_RUN = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+from vitrine.streaming import incremental as inc
+s = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2")
+     .config("spark.sql.session.timeZone", "UTC").config("spark.vitrine.store", {store!r}).getOrCreate())
+s.sparkContext.setLogLevel("ERROR")
+cats = inc.stream_category_counts(s, {src!r})
+daily = inc.stream_offer_events(s, {src!r})
+print("RESULT", sum(r.offers_cnt for r in cats.collect()), sum(r.events_cnt for r in daily.collect()),
+      len(inc.batch_ids(s, inc.stream_folder(s, "catalog_counts", {src!r}) + "/category")))
+"""
+
+
+def test_second_process_handles_only_appended_files(spark):
     import os
-    assert [d for d in os.listdir(os.path.dirname(path)) if ".tmp-" in d] == []
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    src_dir, store = tempfile.mkdtemp(prefix="vitrine-two-"), tempfile.mkdtemp(prefix="vitrine-two-store-")
+    part, events = (spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("part", "events"))
+
+    def run():
+        text = _APPEND_RUN.format(root=root, store=store, src=src_dir)
+        out = subprocess.run([sys.executable, "-c", text], capture_output=True, text=True, timeout=300)
+        return [int(x) for x in out.stdout.split("RESULT")[1].split()]
+
+    part.where("p_partkey <= 100").write.parquet(f"{src_dir}/part.parquet")
+    events.where("event_id % 2 = 0").write.parquet(f"{src_dir}/events.parquet")
+    first = run()
+    part.where("p_partkey > 100").write.mode("append").parquet(f"{src_dir}/part.parquet")
+    events.where("event_id % 2 = 1").write.mode("append").parquet(f"{src_dir}/events.parquet")
+    second = run()
+    # The catalogue of each batch is the one that is there when it runs, so the
+    # first half of the events met half of the catalogue.
+    ids = lambda e, top: e.where(F.col("user_id").between(0, top)).count()
+    halves = [events.where(f"event_id % 2 = {k}") for k in (0, 1)]
+    assert first == [101, ids(halves[0], 100), 1]
+    assert second == [200, ids(halves[0], 100) + ids(halves[1], 199), 2]
+
+
+def test_raw_counter_stream_over_several_batches(spark):
+    """Resets inside panes, on pane borders and between batches, against a plain fold per window."""
+    import random
+    r = random.Random(3)
+    base, rows = dt.datetime(2024, 1, 1), []
+    for label in ("a", "b"):
+        at, value = 0, 0
+        while at < 6000:
+            at += r.choice([20, 40, 60, 60, 120, 700])
+            value = r.randint(0, 5) if r.random() < 0.2 else value + r.randint(0, 9)
+            rows.append(("m", label, base + dt.timedelta(seconds=at), float(value)))
+    rows += [("m", label, base + dt.timedelta(seconds=60_000), 0.0) for label in ("a", "b")]   # moves the watermark on
+    rows.sort(key=lambda x: x[2])
+    src_dir, out = tempfile.mkdtemp(prefix="vitrine-raw-"), tempfile.mkdtemp(prefix="vitrine-raw-out-")
+    schema = "metric string, label string, ts timestamp_ntz, value double"
+    size, slide, delay = 600, 60, 120
+    for k in range(0, len(rows), 40):
+        spark.createDataFrame(rows[k:k + 40], schema).coalesce(1).write.mode("append").parquet(src_dir)
+    inc.run_counter_rate(spark, src_dir, out, "m", size, slide, delay, max_files=1)
+    got = {(q.label, (q.window_start - base).total_seconds()): (round(q.rate * size, 6), q.samples) for q in spark.read.parquet(f"{out}/rates").collect()}
+    want = {}
+    for label in ("a", "b"):
+        own = [((ts - base).total_seconds(), v) for _, lab, ts, v in rows if lab == label]
+        for start in range(-size, 6000 + size, slide):
+            inside = [v for s, v in own if start <= s < start + size]
+            if len(inside) > 1:
+                want[label, float(start)] = (float(sum(b if b < a else b - a for a, b in zip(inside, inside[1:]))), len(inside))
+    assert got == want and len(want) > 150
 
 
 def test_streams_over_several_micro_batches(spark):
@@ -206,7 +278,7 @@ def test_streams_over_several_micro_batches(spark):
     for t in ["part", "events"]:
         spark.read.parquet(f"{SF001}/{t}.parquet").repartition(4).write.parquet(f"{src_dir}/{t}.parquet")
     cats = inc.stream_category_counts(spark, src_dir, max_files=1)
-    batches = inc._batch_ids(spark, inc._stream_dirs(spark, "catalog_counts", src_dir)[0] + "/category")
+    batches = inc.batch_ids(spark, inc.stream_folder(spark, "catalog_counts", src_dir) + "/category")
     assert len(batches) == 4
     from vitrine.plans import aggregates as agg
     offers, events = fx.offers(spark, src_dir), fx.raw_events(spark, src_dir)

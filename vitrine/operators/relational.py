@@ -91,8 +91,8 @@ def merge_partial_sums(parts: Sequence[DataFrame], keys: Sequence[str], measures
 
 def upsert_replace(old: DataFrame, new: DataFrame, key: str = "_id") -> DataFrame:
     """Whole-row replace by key (E7): rows of ``new`` win, untouched old rows
-    stay.  Both sides are keyed by a unique id, so the anti-join is 1:1."""
-    return old.join(new.select(key), key, "left_anti").unionByName(new)
+    stay.  One full outer join on the unique key; ``new`` is read once."""
+    return upsert_set_on_insert(old, new, key, ())
 
 
 def upsert_set_on_insert(old: DataFrame, new: DataFrame, key: str = "_id",

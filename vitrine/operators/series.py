@@ -6,19 +6,15 @@ third of the data.  These operators partition by ``(series, bucket)`` where
 the bucket is a monotone range of the order key, and carry what crosses a
 bucket boundary through a small per-bucket table:
 
-* ``running_sum``     - prefix sum = in-bucket running sum + sum of earlier
-                        buckets (the per-bucket totals table has one row per
-                        bucket, not per sample);
-* ``previous_value``  - in-bucket ``lag`` plus the last value of the previous
-                        non-empty bucket for each bucket's first row;
-* ``counter_increase``- monitoring-style counter increase over a trailing range, with
-                        counter resets, in linear time: running totals
-                        (``counter_totals``) plus an as-of lookup of the first
-                        sample in each range (``range_increase``).
-
-Time buckets are sized per series (``with_bucket_width``): a dense series
-gets narrow buckets, so a (series, bucket) slice stays near a target row
-count however much of the data one series holds.
+* ``running_sum``      - prefix sum = in-bucket running sum + sum of earlier
+                         buckets (the per-bucket totals table has one row per
+                         bucket, not per sample);
+* ``counter_increase`` - monitoring-style counter increase over a trailing
+                         range, with counter resets, in linear time.
+
+Time buckets hold about equally many rows (``with_buckets``): their bounds are
+quantiles of each series, so a burst of samples is cut as finely as it is
+dense.  A series has at most ``GRID`` buckets.
 """
 
 from __future__ import annotations
@@ -32,43 +28,11 @@ from vitrine.functions.columns import epoch_micros
 
 _MICROS = 1_000_000
 
-# Target number of samples per (series, bucket) slice.  Bucket widths are
-# chosen per series from its density, so a dense series gets narrow buckets
-# and no slice grows with the size of one series.
-DEFAULT_BUCKET_ROWS = 1 << 22
-
-
-SERIES_STATS = ("series_rows", "series_span_us")
-
-
-def _width(span: Column, rows: Column, min_width: int, target_rows: int) -> Column:
-    per_rows = F.ceil(span.cast("double") * F.lit(float(target_rows)) / rows)
-    return F.least(F.greatest(F.lit(int(min_width)).cast("double"), per_rows), F.lit(float(1 << 60))).cast("long")
-
-
-def with_series_stats(df: DataFrame, series: Sequence[str], t: str) -> DataFrame:
-    """Adds ``series_rows`` and ``series_span_us`` (row count and span of the
-    integer order key ``t``) per series: one small aggregate, joined back
-    null-safely on the series key (broadcast when it is small)."""
-    stats = df.groupBy(*series).agg(F.count(F.lit(1)).alias(SERIES_STATS[0]),
-                                    (F.max(t) - F.min(t) + 1).alias(SERIES_STATS[1]))
-    stats = stats.select(*[F.col(c).alias(f"__s_{c}") for c in series], *SERIES_STATS)
-    cond = [df[c].eqNullSafe(stats[f"__s_{c}"]) for c in series]
-    return df.join(stats, cond).drop(*[f"__s_{c}" for c in series])
-
-
-def with_bucket_width(df: DataFrame, series: Sequence[str], t: str, min_width: int,
-                      target_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
-    """Adds ``__w``: a bucket width for ``t`` per series,
-    ``max(min_width, span * target_rows / rows)``, so a bucket holds about
-    ``target_rows`` samples on average.  Uses stored ``series_rows`` /
-    ``series_span_us`` columns when the input has them."""
-    if not all(c in df.columns for c in SERIES_STATS):
-        df = with_series_stats(df, series, t).withColumn("__computed_stats", F.lit(True))
-    out = df.withColumn("__w", _width(F.col(SERIES_STATS[1]), F.col(SERIES_STATS[0]), min_width, target_rows))
-    if "__computed_stats" in out.columns:
-        out = out.drop("__computed_stats", *SERIES_STATS)
-    return out
+# Target number of rows per (series, bucket) slice, and the most buckets that
+# a series is cut into (a series of more than GRID times the target gets
+# proportionally larger buckets).
+DEFAULT_BUCKET_ROWS = 1 << 20
+GRID = 1024
 
 
 def running_sum(df: DataFrame, partition: Sequence[str], order: Sequence[str], values: dict[str, Column],
@@ -97,18 +61,25 @@ def running_sum(df: DataFrame, partition: Sequence[str], order: Sequence[str], v
     return out.drop("__b", *[f"__{k}{i}" for k in "vlo" for i in range(len(names))])
 
 
-def previous_value(df: DataFrame, series: Sequence[str], ts: str, value: str, bucket: Column,
-                   out: str = "prev") -> DataFrame:
-    """Value of the previous sample of the same series (null for the first)."""
-    d = df.withColumn("__b", bucket)
-    w = Window.partitionBy(*series, "__b").orderBy(ts)
-    d = d.withColumn("__lag", F.lag(value).over(w)).withColumn("__rn", F.row_number().over(w))
-    last = d.groupBy(*series, "__b").agg(F.max_by(value, ts).alias("__last"))
-    w_b = Window.partitionBy(*series).orderBy("__b")
-    carry = last.select(*series, "__b", F.lag("__last").over(w_b).alias("__carry"))
-    return (d.join(carry, [*series, "__b"])
-             .withColumn(out, F.when(F.col("__rn") == 1, F.col("__carry")).otherwise(F.col("__lag")))
-             .drop("__b", "__lag", "__rn", "__carry"))
+def with_buckets(df: DataFrame, points: DataFrame, series: Sequence[str], at: str, places: dict[str, Column],
+                 target_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+    """``df`` with a bucket number for each of ``places`` (name -> position).
+
+    Bounds are per-series quantiles of ``points.at`` (combined map-side), as
+    many as the series' rows need for ``target_rows`` to a bucket; the table of
+    bounds has a row per series and is joined null-safely.  Equal positions
+    share a bucket.
+    """
+    grid = F.array(*[F.lit(k / GRID) for k in range(1, GRID)])
+    per = points.groupBy(*series).agg(F.count(F.lit(1)).alias("__rows"), F.percentile_approx(at, grid, 10 * GRID).alias("__q"))
+    parts = F.least(F.lit(GRID), F.ceil(F.col("__rows") / F.lit(target_rows))).cast("int")
+    picked = F.transform(F.sequence(F.lit(1), parts - 1), lambda i: F.element_at("__q", (i * GRID / parts).cast("int")))
+    bounds = F.when(parts > 1, F.array_distinct(picked)).otherwise(F.array().cast("array<bigint>"))
+    per = per.select(*[F.col(c).alias(f"__s_{c}") for c in series], bounds.alias("__bounds"))
+    out = df.join(per, [df[c].eqNullSafe(per[f"__s_{c}"]) for c in series])
+    for name, place in places.items():
+        out = out.withColumn(name, F.size(F.filter("__bounds", lambda b: b <= place)))  # noqa: B023
+    return out.drop("__bounds", *[f"__s_{c}" for c in series])
 
 
 def _reset_delta(v: Column, prev: Column) -> Column:
@@ -116,115 +87,81 @@ def _reset_delta(v: Column, prev: Column) -> Column:
     return F.when(prev.isNull(), F.lit(0.0)).when(v < prev, v.cast("double")).otherwise((v - prev).cast("double"))
 
 
-def counter_totals(df: DataFrame, series: Sequence[str], t: str, value: str, bucket: Column) -> DataFrame:
+def counter_totals(df: DataFrame, series: Sequence[str], t: str, value: str, bucket: str) -> DataFrame:
     """Adds ``__c`` (running sum of counter deltas) and ``__rn`` (running
-    sample number) per series, in one bucketed pass.
+    sample number) per series, in one bucketed pass; ``t`` is unique per series.
 
     Inside a bucket: ``lag``, delta and running sums.  Per bucket: first and
     last value, delta total and row count; a window over the (small) bucket
     table gives each bucket the last value before it (for its first row's
     delta) and the totals of all earlier buckets.
     """
-    w = Window.partitionBy(*series, "__b").orderBy(t)
+    keys = [*series, bucket]
+    w = Window.partitionBy(*keys).orderBy(t)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = (df.withColumn("__b", bucket)
-           .withColumn("__ld", _reset_delta(F.col(value), F.lag(value).over(w)))
+    d = (df.withColumn("__ld", _reset_delta(F.col(value), F.lag(value).over(w)))
            .withColumn("__lc", F.sum("__ld").over(upto))
            .withColumn("__lrn", F.row_number().over(w)))
-    per = d.groupBy(*series, "__b").agg(F.min_by(value, t).alias("__first_v"), F.max_by(value, t).alias("__last_v"),
-                                        F.sum("__ld").alias("__sum"), F.count(F.lit(1)).alias("__n"))
-    wb = Window.partitionBy(*series).orderBy("__b")
+    per = d.groupBy(*keys).agg(F.min_by(value, t).alias("__first_v"), F.max_by(value, t).alias("__last_v"),
+                               F.sum("__ld").alias("__sum"), F.count(F.lit(1)).alias("__n"))
+    wb = Window.partitionBy(*series).orderBy(bucket)
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
     first_delta = _reset_delta(F.col("__first_v"), F.lag("__last_v").over(wb))
     per = (per.withColumn("__fd", first_delta)
               .withColumn("__tot", F.col("__sum") + F.col("__fd"))
-              .select(*series, "__b", "__fd",
+              .select(*[F.col(c).alias(f"__p_{c}") for c in keys],
                       (F.coalesce(F.sum("__tot").over(before), F.lit(0.0)) + F.col("__fd")).alias("__off_c"),
                       F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off_rn")))
-    return (d.join(per, [*series, "__b"])
+    return (d.join(per, [d[c].eqNullSafe(per[f"__p_{c}"]) for c in keys])
              .withColumn("__c", F.col("__lc") + F.col("__off_c"))
              .withColumn("__rn", F.col("__lrn") + F.col("__off_rn"))
-             .withColumn("__delta", F.when(F.col("__lrn") == 1, F.col("__fd")).otherwise(F.col("__ld")))
-             .drop("__b", "__ld", "__lc", "__lrn", "__off_c", "__off_rn", "__fd"))
-
-
-def with_counter_totals(samples: DataFrame, series: Sequence[str], ts: str, value: str,
-                        bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
-    """Samples with ``delta`` (counter increase since the series' previous
-    sample, a drop counting as a reset, 0 for the first), ``cum_delta``
-    (running sum of deltas), ``sample_no`` (running sample number) and the
-    per-series ``series_rows`` / ``series_span_us`` that size buckets.
-
-    Stored with the samples, these turn any range rate into a difference of
-    two running totals (``range_increase``) and let a stream sum deltas
-    without per-series state.
-    """
-    d = samples.withColumn("__t", epoch_micros(ts))
-    if not all(c in d.columns for c in SERIES_STATS):
-        d = with_series_stats(d, series, "__t")
-    d = with_bucket_width(d, series, "__t", 1, bucket_rows)
-    d = counter_totals(d, series, "__t", value, F.floor(F.col("__t") / F.col("__w")))
-    return (d.withColumnRenamed("__delta", "delta").withColumnRenamed("__c", "cum_delta")
-             .withColumnRenamed("__rn", "sample_no").drop("__t", "__w"))
+             .drop("__ld", "__lc", "__lrn", "__off_c", "__off_rn", *[f"__p_{c}" for c in keys]))
 
 
 def counter_increase(samples: DataFrame, series: Sequence[str], ts: str, value: str,
                      range_seconds: int, bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
     """Increase of a counter over the trailing range ``(t - range, t]`` at
-    every sample ``t`` (H3).
+    every sample ``t`` (H3), from raw samples.
 
     Deltas between consecutive samples treat a drop as a reset
     (``delta = v`` when ``v < prev``).  The delta of the first sample in the
     range is left out, because its earlier sample lies before the range; a
     range with fewer than two samples yields no row.  No extrapolation to
-    the range edges is done.
-
-    Returns ``series..., ts, increase, samples``.  Running totals are
-    computed here (``counter_totals``); ``range_increase`` does the rest.
-    """
-    d = with_counter_totals(samples.select(*series, ts, value), series, ts, value, bucket_rows)
-    return range_increase(d, series, ts, "cum_delta", "sample_no", range_seconds, bucket_rows)
-
-
-def range_increase(samples: DataFrame, series: Sequence[str], ts: str, cum: str, number: str,
-                   range_seconds: int, bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
-    """Counter increase over ``(t - range, t]`` from per-series running
-    totals: ``cum`` (running sum of deltas) and ``number`` (running sample
-    number).
-
-    Linear in the number of samples, whatever the range holds:
-    ``increase = cum_t - cum_first`` and ``samples = number_t - number_first + 1``
-    where *first* is the earliest sample inside the range.  That sample is
-    found by an as-of lookup: each sample also emits a probe at
-    ``t - range``, and in descending time order the last sample seen before
-    a probe is the first one after it.  The lookup is bucketed with widths
-    of at least one range (so a range spans at most two buckets) sized per
-    series to about ``bucket_rows`` samples.
+    the range edges is done.  A series has one value per instant: of several
+    samples at one instant the largest value counts (a counter that was read
+    twice), and they give one row.
+
+    Linear in the number of samples, whatever the range holds: running
+    totals per series (``counter_totals``), then an as-of lookup.  Each sample
+    emits a probe at ``t - range``; in descending time order the last sample
+    before a probe is the first one after it, and a probe after a bucket's
+    last sample takes the first sample of the next bucket that has one.
+    Buckets are cut by rows over samples and probes together, so neither can
+    crowd a bucket.  Returns ``series..., ts, increase, samples``.
     """
-    r_us = int(range_seconds) * _MICROS
-    stats = [c for c in SERIES_STATS if c in samples.columns]
-    d = samples.select(*series, ts, F.col(cum).alias("__c"), F.col(number).alias("__rn"), *stats) \
-               .withColumn("__t", epoch_micros(ts))
-    d = with_bucket_width(d, series, "__t", r_us, bucket_rows)
-    b_us = F.col("__w")
-    # Rows per (series, bucket): the bucket's samples, the samples of the
-    # previous bucket's last range (a range never reaches further back), and
-    # one probe per sample of the bucket at ``t - range + 1us``.
-    own = F.floor(F.col("__t") / b_us)
-    near_end = F.col("__t") > (own + 1) * b_us - F.lit(r_us)
-    kinds = F.when(near_end, F.array(F.lit(0), F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0), F.lit(1)))
-    rows = (d.withColumn("__own", own)
-             .withColumn("__kind", F.explode(kinds))            # 0 sample, 1 probe, 2 spilled sample
-             .withColumn("__b", F.when(F.col("__kind") == 2, F.col("__own") + 1).otherwise(F.col("__own")))
-             .withColumn("__at", F.when(F.col("__kind") == 1, F.col("__t") - F.lit(r_us - 1))
-                                  .otherwise(F.col("__t"))))
-    w = (Window.partitionBy(*series, "__b")
-               .orderBy(F.col("__at").desc(), F.when(F.col("__kind") == 1, 1).otherwise(0))
+    back = int(range_seconds) * _MICROS - 1
+    one = (samples.groupBy(*series, ts).agg(F.max(value).alias("__v"))
+           .withColumn("__t", epoch_micros(ts)))
+    points = one.select(*series, F.explode(F.array(F.col("__t"), F.col("__t") - back)).alias("__at"))
+    d = with_buckets(one, points, series, "__at", {"__b": F.col("__t"), "__pb": F.col("__t") - back}, bucket_rows)
+    d = counter_totals(d, series, "__t", "__v", "__b")
+    kinds = F.explode(F.array(F.lit(0), F.lit(1))).alias("__kind")            # 0 sample, 1 probe
+    probe = F.col("__kind") == 1
+    rows = (d.select("*", kinds)
+             .withColumn("__in", F.when(probe, F.col("__pb")).otherwise(F.col("__b")))
+             .withColumn("__at", F.when(probe, F.col("__t") - back).otherwise(F.col("__t")))
+             .withColumn("__own", F.when(~probe, F.struct("__c", "__rn")))
+             .drop("__b", "__pb", "__v"))
+    w = (Window.partitionBy(*series, "__in").orderBy(F.col("__at").desc(), F.col("__kind").asc())
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    is_sample = F.col("__kind") != 1
-    res = (rows.withColumn("__c0", F.last(F.when(is_sample, F.col("__c")), ignorenulls=True).over(w))
-               .withColumn("__rn0", F.last(F.when(is_sample, F.col("__rn")), ignorenulls=True).over(w))
-               .where(F.col("__kind") == 1)
-               .withColumn("samples", F.col("__rn") - F.col("__rn0") + 1)
-               .where(F.col("samples") >= 2))
-    return res.select(*series, ts, (F.col("__c") - F.col("__c0")).alias("increase"), "samples")
+    # Per bucket its first sample; then for each bucket that of the next one that has any.
+    firsts = rows.groupBy(*series, "__in").agg(F.min_by("__own", F.when(~probe, F.col("__at"))).alias("__first"))
+    later = Window.partitionBy(*series).orderBy(F.col("__in").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carry = firsts.select(*[F.col(c).alias(f"__f_{c}") for c in series], F.col("__in").alias("__f_in"),
+                          F.last("__first", ignorenulls=True).over(later).alias("__next"))
+    found = rows.withColumn("__hit", F.last("__own", ignorenulls=True).over(w)).where(probe)
+    found = found.join(carry, [*[found[c].eqNullSafe(carry[f"__f_{c}"]) for c in series], found["__in"] == carry["__f_in"]])
+    first = F.coalesce(F.col("__hit"), F.col("__next"))
+    n = F.col("__rn") - first["__rn"] + 1
+    return (found.select(*series, ts, (F.col("__c") - first["__c"]).alias("increase"), n.alias("samples"))
+                 .where(F.col("samples") >= 2))

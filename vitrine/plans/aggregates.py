@@ -56,19 +56,19 @@ def latest_versions(snapshots: DataFrame, load_order: list[str], per_month: bool
 
 # ---------------------------------------------------------------- stored
 def stored_category_counts(spark: SparkSession, sf_dir: str, offers: DataFrame) -> DataFrame:
-    return materialize(spark, store_path(spark, "catalog_by_category", sf_dir),
+    return materialize(spark, store_path(spark, "catalog_by_category", sf_dir, ["part"]),
                        lambda: category_counts(offers), sort_by=["category_id"])
 
 
 def stored_brand_counts(spark: SparkSession, sf_dir: str, offers: DataFrame) -> DataFrame:
-    return materialize(spark, store_path(spark, "catalog_by_brand", sf_dir),
+    return materialize(spark, store_path(spark, "catalog_by_brand", sf_dir, ["part"]),
                        lambda: brand_counts(offers), sort_by=["vendor", "category_id"])
 
 
 def stored_offer_events(spark: SparkSession, sf_dir: str, raw_events: DataFrame,
                         offers: DataFrame) -> DataFrame:
     """Daily aggregate partitioned by ``event_date`` (S7), sorted by offer."""
-    return materialize(spark, store_path(spark, "offer_events", sf_dir),
+    return materialize(spark, store_path(spark, "offer_events", sf_dir, ["events", "part"]),
                        lambda: offer_events_daily(raw_events, offers),
                        partition_by=["event_date"], sort_by=["offer_id"])
 

@@ -49,13 +49,12 @@ def offers_without_events(offers: DataFrame, raw_events: DataFrame) -> DataFrame
 
 
 # ---------------------------------------------------------------- pre-aggregated
-# ``unique_keys`` says whether the stored aggregate holds one row per key.
-# A batch build does (it is written by one aggregation); stream deltas hold
-# one row per key and micro-batch and are re-summed first.
-def top_categories_mv(category_counts: DataFrame, k: int = 20, unique_keys: bool = False) -> DataFrame:
+# A stored aggregate may hold several rows of a key (a stream adds one per
+# micro-batch), so every reader sums again.
+def top_categories_mv(category_counts: DataFrame, k: int = 20) -> DataFrame:
     """Top k categories read from the per-category aggregate."""
-    d = category_counts if unique_keys else resum(category_counts, ["category_id"], "offers_cnt")
-    return top_k(d.select("category_id", "offers_cnt"), [F.desc("offers_cnt"), F.asc("category_id")], k)
+    return top_k(resum(category_counts, ["category_id"], "offers_cnt"),
+                 [F.desc("offers_cnt"), F.asc("category_id")], k)
 
 
 def top_brands_mv(brand_counts: DataFrame, k: int = 30) -> DataFrame:
@@ -63,13 +62,15 @@ def top_brands_mv(brand_counts: DataFrame, k: int = 30) -> DataFrame:
     return top_k(resum(brand_counts, ["vendor"], "offers_cnt"), [F.desc("offers_cnt"), F.asc("vendor")], k)
 
 
-def avg_offers_per_brand_mv(brand_counts: DataFrame, unique_keys: bool = False) -> DataFrame:
-    """Mean of the per-(vendor, category) counts per category, after a
-    re-sum per (vendor, category) when the store may repeat keys (S5)."""
-    per_brand = brand_counts if unique_keys else resum(brand_counts, ["vendor", "category_id"], "offers_cnt")
-    return (per_brand.groupBy("category_id")
-                     .agg(F.round(F.avg("offers_cnt"), 6).alias("avg_offers_per_brand"))
-                     .orderBy(F.desc("avg_offers_per_brand"), F.asc("category_id")))
+def avg_offers_per_brand_mv(brand_counts: DataFrame) -> DataFrame:
+    """Mean of the per-(vendor, category) counts per category.
+
+    The mean over brands is the sum of counts over the number of distinct
+    brands, so repeated keys are summed by the first aggregation.
+    """
+    return (resum(brand_counts, ["vendor", "category_id"], "offers_cnt").groupBy("category_id")
+            .agg(F.round(F.avg("offers_cnt"), 6).alias("avg_offers_per_brand"))
+            .orderBy(F.desc("avg_offers_per_brand"), F.asc("category_id")))
 
 
 def offers_without_events_mv(offers: DataFrame, offer_events: DataFrame) -> DataFrame:

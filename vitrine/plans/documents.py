@@ -47,15 +47,13 @@ def normalized(src: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _by_raw_keys(src: DataFrame, raw_keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
-    """Aggregate on the raw key columns first.
+def _keyed(src: DataFrame, key: str, payload: Sequence[str], row_order: Sequence[str]) -> DataFrame:
+    """Cleaned partner, key, payload and row order; rows without the key left to ``rejected_rows``.
 
-    Partner clean-up and id casts are functions of the raw keys, so grouping
-    by the raw values and cleaning the (much smaller) result gives the same
-    groups as cleaning every row; the regular expressions then run once per
-    raw key instead of once per source row.
+    The clean-up's regular expressions run per row, in the scan's stage: one
+    grouping on the cleaned key follows, so source rows are shuffled once.
     """
-    return src.groupBy(*raw_keys).agg(*aggs)
+    return normalized(src, row_order).select("partner", key, *payload, *row_order).where(F.col(key).isNotNull())
 
 
 def _clean_keys(df: DataFrame, *rest: str) -> DataFrame:
@@ -84,7 +82,7 @@ def profile_summary(spark: SparkSession, src: DataFrame) -> DataFrame:
     pairs = _clean_keys(raw_pairs).distinct().agg(F.count(F.lit(1)))
     paths = src.select("Category_FullPathName").distinct()
     depth = paths.agg(F.coalesce(F.max(fn.depth(fn.split_path("Category_FullPathName"))), F.lit(0)))
-    multi = multi_partner_offers(src).agg(F.count(F.lit(1)))
+    multi = _multi_partner_count(src)
     types = src.select(F.col("Offer_Type").cast("string").alias("t")).where(F.col("t").isNotNull()) \
                .distinct().agg(F.count(F.lit(1)))
     return spark.range(1).select(
@@ -96,15 +94,25 @@ def profile_summary(spark: SparkSession, src: DataFrame) -> DataFrame:
 
 
 def multi_partner_offers(src: DataFrame) -> DataFrame:
-    """Offers listed under more than one partner, with the count."""
-    raw = src.select("Partner_Name", "Offer_ID").distinct()
-    return (_clean_keys(raw).groupBy("offer_id").agg(F.count_distinct("partner").alias("partners_cnt"))
-                            .where(F.col("partners_cnt") > 1))
+    """Offers listed under more than one partner, with the count.
+
+    Distinct pairs first (map-combined), then a plain count: a pair occurs once.
+    """
+    clean = src.select(fn.normalize_partner("Partner_Name").alias("partner"), F.col("Offer_ID").cast("string").alias("offer_id"))
+    return (clean.distinct().groupBy("offer_id").agg(F.count("partner").alias("partners_cnt"))
+            .where(F.col("partners_cnt") > 1))
+
+
+def _multi_partner_count(src: DataFrame) -> DataFrame:
+    """Number of offers under several partners: one shuffle of an offer's smallest and largest partner."""
+    clean = src.select(fn.normalize_partner("Partner_Name").alias("partner"), F.col("Offer_ID").cast("string").alias("offer_id"))
+    per = clean.groupBy("offer_id").agg((F.min("partner") != F.max("partner")).alias("several"))
+    return per.agg(F.count_if("several"))
 
 
 def top_partner_categories(src: DataFrame, k: int = 10) -> DataFrame:
     """Rows per (partner, category), top k."""
-    raw = _by_raw_keys(src, ["Partner_Name", "Category_ID"], [F.count("Offer_ID").alias("n")])
+    raw = src.groupBy("Partner_Name", "Category_ID").agg(F.count("Offer_ID").alias("n"))
     g = _clean_keys(raw, "n").groupBy("partner", "category_id").agg(F.sum("n").alias("products_cnt"))
     return top_k(g, [F.desc("products_cnt"), F.asc("partner"), F.asc("category_id")], k)
 
@@ -115,17 +123,15 @@ def categories_docs(src: DataFrame, row_order: Sequence[str], load_ts=None) -> D
 
     ``total_products`` is the group size and the path comes from the first
     row in ``row_order`` whose path is not null (D16): the minimum of
-    ``struct(row order..., path)`` over rows with a path.  Counted per raw
-    key first, merged per cleaned key after (both combined map-side).  Rows
-    whose category id is null have no defined key; they are left out here
-    and listed by ``rejected_rows``.
+    ``struct(row order..., path)`` over rows with a path, in one grouping on
+    the cleaned key, combined map-side.  Rows whose category id is null have
+    no key; ``rejected_rows`` returns them with the reason.
     """
     require_columns(src, CATALOG_REQUIRED)
-    first = F.min(F.when(F.col("Category_FullPathName").isNotNull(),
-                         F.struct(*[F.col(c) for c in row_order], F.col("Category_FullPathName").alias("path"))))
-    raw = _by_raw_keys(src, ["Partner_Name", "Category_ID"], [F.count(F.lit(1)).alias("n"), first.alias("f")])
-    g = (_clean_keys(raw, "n", "f").where(F.col("category_id").isNotNull())
-         .groupBy("partner", "category_id").agg(F.sum("n").alias("total_products"), F.min("f").alias("f")))
+    first = F.min(F.when(F.col("path_text").isNotNull(),
+                         F.struct(*[F.col(c) for c in row_order], F.col("path_text").alias("path"))))
+    g = (_keyed(src, "category_id", ["path_text"], row_order)
+         .groupBy("partner", "category_id").agg(F.count(F.lit(1)).alias("total_products"), first.alias("f")))
     parts = fn.split_path(F.col("f.path"))
     return g.select(
         fn.doc_key("partner", "category_id").alias("_id"),
@@ -144,14 +150,11 @@ def products_docs(src: DataFrame, row_order: Sequence[str], load_ts=None) -> Dat
     """One document per (partner, offer_id), the first source row in
     ``row_order`` kept (E2), breadcrumbs enumerated from the path (G14)."""
     require_columns(src, CATALOG_REQUIRED)
-    first = F.min(F.struct(*[F.col(c) for c in row_order],
-                           F.col("Offer_Name").cast("string").alias("name"),
-                           F.col("Offer_Type").cast("string").alias("type"),
-                           F.col("Category_ID").cast("string").alias("category_id"),
-                           F.col("Category_FullPathName").alias("path")))
-    raw = _by_raw_keys(src, ["Partner_Name", "Offer_ID"], [first.alias("f")])
-    g = (_clean_keys(raw, "f").where(F.col("offer_id").isNotNull())
-         .groupBy("partner", "offer_id").agg(F.min("f").alias("f")))
+    payload = ["offer_name", "offer_type", "category_id", "path_text"]
+    first = F.min(F.struct(*[F.col(c) for c in row_order], *payload))
+    g = _keyed(src, "offer_id", payload, row_order).groupBy("partner", "offer_id").agg(first.alias("f")) \
+        .select("partner", "offer_id", F.struct(F.col("f.offer_name").alias("name"), F.col("f.offer_type").alias("type"),
+                                                F.col("f.category_id"), F.col("f.path_text").alias("path")).alias("f"))
     parts = fn.split_path(F.col("f.path"))
     ts = _ts(load_ts)
     return g.select(
@@ -168,10 +171,17 @@ def products_docs(src: DataFrame, row_order: Sequence[str], load_ts=None) -> Dat
     )
 
 
-def rejected_rows(src: DataFrame) -> DataFrame:
-    """Source rows without a usable key (null category or offer id)."""
-    n = normalized(src)
-    return n.where(F.col("category_id").isNull() | F.col("offer_id").isNull())
+def rejected_rows(src: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Source rows that one of the document builds has no key for (G16), with
+    the reason: ``category`` (E9), ``offer`` (E10) or ``category,offer``."""
+    n = normalized(src, keep)
+    reason = F.concat_ws(",", F.when(F.col("category_id").isNull(), "category"), F.when(F.col("offer_id").isNull(), "offer"))
+    return n.withColumn("reason", reason).where(F.col("reason") != "")
+
+
+def write_rejected(src: DataFrame, path: str) -> None:
+    """The reject output beside a load: one Parquet folder, readable like any other."""
+    rejected_rows(src).write.mode("overwrite").parquet(path)
 
 
 # ---------------------------------------------------------------- flat views
@@ -204,6 +214,14 @@ def products_json(prods: DataFrame) -> DataFrame:
                                  "updated_at", "created_at"])
 
 
+def categories_json(cats: DataFrame) -> DataFrame:
+    """Each category as JSON text with ISO timestamps."""
+    d = cats.withColumn("metadata", F.struct(F.col("metadata.total_products").alias("total_products"),
+                                             iso_text(F.col("metadata.last_updated")).alias("last_updated")))
+    return to_json_documents(d, ["_id", "partner", "category_id", "name", "path", "path_array", "level",
+                                 "parent_path", "metadata"])
+
+
 # ---------------------------------------------------------------- persisted collections
 def upsert_collection(spark: SparkSession, root: str, new_docs: DataFrame, kind: str) -> int:
     """Apply a load to a stored document collection (E7 for ``categories``:

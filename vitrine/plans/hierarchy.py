@@ -95,6 +95,20 @@ def children_per_category(cats: DataFrame) -> DataFrame:
     return j.select("_id", "path", F.coalesce(F.col("children_cnt"), F.lit(0)).alias("children_cnt"))
 
 
+def category_children(cats: DataFrame) -> DataFrame:
+    """The lookup's pairs, a row per (parent ``_id``, child ``_id``); a leaf
+    has one row without a child.  Joined on the path, never collected, so a
+    root with most categories below it is as many rows."""
+    kids = cats.select(F.col("_id").alias("child_id"), F.col("parent_path").alias("__parent")).where(F.col("__parent").isNotNull())
+    return (cats.select(F.col("_id").alias("parent_id"), "path")
+                .join(kids, F.col("path") == F.col("__parent"), "left").select("parent_id", "child_id"))
+
+
+def first_categories(cats: DataFrame, level: int, partner: str, n: int = 3) -> DataFrame:
+    """the first n categories at a level of a partner, by key."""
+    return top_k(categories_filter(cats, level, partner), [F.asc("_id")], n)
+
+
 # ---------------------------------------------------------------- products
 def _crumbs(prods: DataFrame) -> DataFrame:
     """One row per breadcrumb; documents without any vanish."""
@@ -140,14 +154,18 @@ def products_by_root(prods: DataFrame) -> DataFrame:
 
 def top_product_categories(prods: DataFrame, k: int = 10) -> DataFrame:
     """Products per category id with a representative name and path
-    (that of the smallest document id: a deterministic ``$first``)."""
-    g = prods.groupBy(F.col("category.id").alias("category_id")).agg(
-        F.count(F.lit(1)).alias("count"),
-        F.min_by(F.struct(F.col("category.name").alias("name"),
-                          F.col("category.full_path").alias("full_path")), F.col("_id")).alias("__rep"))
-    d = g.select("category_id", F.col("__rep.name").alias("name"),
-                 F.col("__rep.full_path").alias("full_path"), "count")
-    return top_k(d, [F.desc("count"), F.asc("category_id")], k)
+    (that of the smallest document id: a deterministic ``$first``).
+
+    The top k are found by counting ids alone; representatives are then
+    picked among the products of those k ids only."""
+    d = prods.select("_id", F.col("category.id").alias("category_id"), F.col("category.name").alias("name"),
+                     F.col("category.full_path").alias("full_path"))
+    top = top_k(count_by(d, ["category_id"], "count"), [F.desc("count"), F.asc("category_id")], k)
+    top = top.select(F.col("category_id").alias("__id"), "count")
+    rep = (d.join(F.broadcast(top), d["category_id"].eqNullSafe(top["__id"]))      # k rows
+            .groupBy("category_id", "count").agg(F.min_by(F.struct("name", "full_path"), "_id").alias("__rep")))
+    return top_k(rep.select("category_id", F.col("__rep.name").alias("name"), F.col("__rep.full_path").alias("full_path"), "count"),
+                 [F.desc("count"), F.asc("category_id")], k)
 
 
 def level_name_stats(prods: DataFrame, k: int = 30) -> DataFrame:

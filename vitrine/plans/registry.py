@@ -7,6 +7,7 @@ them); none runs on invented input.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from vitrine.plans import documents as docs
 from vitrine.plans import hierarchy as hi
 from vitrine.plans import metrics as met
 from vitrine.plans import sql_surface as sqls
+from vitrine.session import store_root
 from vitrine.sources import tables as src
 from vitrine.sources import fixtures as fx
 from vitrine.sources.store import materialize, store_path, write_once
@@ -40,21 +42,52 @@ def _offer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- catalogue
-# The eight published queries are SQL in the original; they run as Spark SQL
-# over this session's views (one parse and analysis per call).  The same
-# questions as DataFrame plans live in ``plans.catalog`` and are checked
-# against these texts in the tests.
-def _published(sql_name: str) -> Query:
-    return lambda spark, sf_dir: sqls.run_sql(spark, sf_dir, sql_name)
+def _category_counts(spark, sf_dir):
+    return agg.stored_category_counts(spark, sf_dir, fx.offers(spark, sf_dir))
 
 
-for _key, _sql in [("top_categories_raw", "raw_top_categories"), ("top_categories_mv", "mv_top_categories"),
-                   ("top_brands_raw", "raw_top_brands"), ("top_brands_mv", "mv_top_brands"),
-                   ("avg_offers_per_brand_raw", "raw_avg_offers_per_brand"),
-                   ("avg_offers_per_brand_mv", "mv_avg_offers_per_brand"),
-                   ("offers_without_events_raw", "raw_offers_without_events"),
-                   ("offers_without_events_mv", "mv_offers_without_events")]:
-    register(_key)(_published(_sql))
+def _brand_counts(spark, sf_dir):
+    return agg.stored_brand_counts(spark, sf_dir, fx.offers(spark, sf_dir))
+
+
+@register("top_categories_raw")
+def q_top_categories_raw(spark, sf_dir):
+    return cat.top_categories(fx.offers(spark, sf_dir))
+
+
+@register("top_categories_mv")
+def q_top_categories_mv(spark, sf_dir):
+    return cat.top_categories_mv(_category_counts(spark, sf_dir))
+
+
+@register("top_brands_raw")
+def q_top_brands_raw(spark, sf_dir):
+    return cat.top_brands(fx.offers(spark, sf_dir))
+
+
+@register("top_brands_mv")
+def q_top_brands_mv(spark, sf_dir):
+    return cat.top_brands_mv(_brand_counts(spark, sf_dir))
+
+
+@register("avg_offers_per_brand_raw")
+def q_avg_offers_per_brand_raw(spark, sf_dir):
+    return cat.avg_offers_per_brand(fx.offers(spark, sf_dir))
+
+
+@register("avg_offers_per_brand_mv")
+def q_avg_offers_per_brand_mv(spark, sf_dir):
+    return cat.avg_offers_per_brand_mv(_brand_counts(spark, sf_dir))
+
+
+@register("offers_without_events_raw")
+def q_offers_without_events_raw(spark, sf_dir):
+    return cat.offers_without_events(fx.offers(spark, sf_dir), fx.raw_events(spark, sf_dir))
+
+
+@register("offers_without_events_mv")
+def q_offers_without_events_mv(spark, sf_dir):
+    return cat.offers_without_events_mv(fx.offers(spark, sf_dir), _offer_events(spark, sf_dir))
 
 
 @register("offers_without_events_count")
@@ -115,13 +148,13 @@ def _catalog(spark, sf_dir):
 def _categories(spark, sf_dir):
     """Category documents, built once per input and stored (like the
     reference's load step); queries read the stored documents."""
-    return materialize(spark, store_path(spark, "categories", sf_dir),
+    return materialize(spark, store_path(spark, "categories", sf_dir, fx.CATALOG_TABLES),
                            lambda: docs.categories_docs(_catalog(spark, sf_dir), fx.CATALOG_ROW_ORDER, LOAD_TS),
                            sort_by=["partner", "level"])
 
 
 def _products(spark, sf_dir):
-    return materialize(spark, store_path(spark, "products", sf_dir),
+    return materialize(spark, store_path(spark, "products", sf_dir, fx.CATALOG_TABLES),
                            lambda: docs.products_docs(_catalog(spark, sf_dir), fx.CATALOG_ROW_ORDER, LOAD_TS),
                            sort_by=["type", "partner"])
 
@@ -173,6 +206,46 @@ def q_products_upsert(spark, sf_dir):
     return docs.products_flat(rel.upsert_set_on_insert(old, new, "_id", ["created_at"]))
 
 
+# Fixed rule of the test source with gaps: which rows lack an id, a path or a partner.
+def _gaps(spark, sf_dir):
+    d = _catalog(spark, sf_dir)
+    no = lambda c, cond: F.when(~cond, F.col(c)).alias(c)
+    line, order = F.col("l_linenumber"), F.col("l_orderkey")
+    return d.select(no("Partner_Name", order % 17 == 0), no("Category_ID", (line == 2) & (order % 11 == 0)),
+                    no("Category_FullPathName", order % 7 == 0), no("Offer_ID", (line == 1) & (order % 13 == 0)),
+                    *[c for c in d.columns if c not in ("Partner_Name", "Category_ID", "Category_FullPathName", "Offer_ID")])
+
+
+@register("rejected_rows")
+def q_rejected_rows(spark, sf_dir):
+    """Source rows that a document build has no key for (none here)."""
+    return docs.rejected_rows(_catalog(spark, sf_dir), ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "partner", "category_id", "offer_id", "reason")
+
+
+@register("rejected_rows_gaps")
+def q_rejected_rows_gaps(spark, sf_dir):
+    """G16 over the source with gaps."""
+    return docs.rejected_rows(_gaps(spark, sf_dir), ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "partner", "category_id", "offer_id", "reason")
+
+
+@register("categories_docs_gaps")
+def q_categories_docs_gaps(spark, sf_dir):
+    """E9 over the source with gaps: null partners, paths and ids."""
+    d = docs.categories_flat(docs.categories_docs(_gaps(spark, sf_dir), fx.CATALOG_ROW_ORDER, LOAD_TS))
+    return d.select("partner", "category_id", "path", "level", "total_products")
+
+
+@register("multi_partner_offers_gaps")
+def q_multi_partner_offers_gaps(spark, sf_dir):
+    """D13 over single lines of the orders, where some offers have one partner only."""
+    return docs.multi_partner_offers(_gaps(spark, sf_dir).where(F.col("Offer_ID") % 3 != F.col("l_suppkey") % 3))
+
+
+@register("categories_json")
+def q_categories_json(spark, sf_dir):
+    return docs.categories_json(_categories(spark, sf_dir))
+
+
 @register("documents_json")
 def q_documents_json(spark, sf_dir):
     return docs.products_json(_products(spark, sf_dir))
@@ -229,6 +302,16 @@ def q_children_per_category(spark, sf_dir):
     return hi.children_per_category(_categories(spark, sf_dir))
 
 
+@register("category_children")
+def q_category_children(spark, sf_dir):
+    return hi.category_children(_categories(spark, sf_dir))
+
+
+@register("first_categories")
+def q_first_categories(spark, sf_dir):
+    return hi.first_categories(_categories(spark, sf_dir), 1, "_asia", 3)
+
+
 @register("products_type_in_branch")
 def q_products_type_in_branch(spark, sf_dir):
     return hi.products_in_branch(_products(spark, sf_dir), "PROMO", "Brand#4")
@@ -316,18 +399,48 @@ def q_timing_summary(spark, sf_dir):
 def q_csv_load(spark, sf_dir):
     """A3: the catalogue written as a headed CSV to the store, read back
     positionally, header rows filtered, text cast."""
-    path = store_path(spark, "offers_csv", sf_dir)
-    write_once(spark, path, lambda target: src.write_offers_csv(fx.offers(spark, sf_dir), target))
-    return src.read_offers_csv(spark, path)
+    path = store_path(spark, "offers_csv", sf_dir, ["part"])
+    return src.read_offers_csv(spark, write_once(spark, path, lambda target: src.write_offers_csv(fx.offers(spark, sf_dir), target)))
 
 
 @register("merge_partial_counts")
 def q_merge_partial_counts(spark, sf_dir):
-    """One partial per-category count per yearly load of the snapshots,
-    merged by summing (what the pre-aggregate's background merge does)."""
-    snaps = fx.offer_snapshots(spark, sf_dir).withColumn("load_year", F.year("snapshot_date"))
-    partials = snaps.groupBy("load_year", "category_id").agg(F.count(F.lit(1)).alias("offers_cnt"))
-    return rel.merge_partial_sums([partials.drop("load_year")], ["category_id"], ["offers_cnt"])
+    """Partial per-category counts of the snapshots up to a day and after
+    it, two frames, merged by summing."""
+    snaps = fx.offer_snapshots(spark, sf_dir)
+    split = F.lit(FIRST_LOAD_BEFORE).cast("date")
+    partials = [rel.count_by(part, ["category_id"], "offers_cnt")
+                for part in (snaps.where(F.col("snapshot_date") < split), snaps.where(F.col("snapshot_date") >= split))]
+    return rel.merge_partial_sums(partials, ["category_id"], ["offers_cnt"])
+
+
+# ---------------------------------------------------------------- namespace
+def _ecom(spark, sf_dir) -> str:
+    """The namespace with both tables filled by column-list inserts,
+    once per state of the input and session."""
+    db = f"vitrine_ecom_{src.table_stamp(spark, sf_dir, ['part', 'events'])}"
+    if not spark.catalog.databaseExists(db):
+        src.create_ecom_tables(spark, db, f"{store_root(spark)}/ecom/{db}-{uuid.uuid4().hex}")
+        src.insert_offers(spark, fx.offers(spark, sf_dir), db)
+        src.insert_raw_events(spark, fx.raw_events(spark, sf_dir), db)
+    return db
+
+
+@register("ecom_offers_table")
+def q_ecom_offers_table(spark, sf_dir):
+    """Rows read through the namespace, with whether the date
+    took its default and the month partition belongs to it."""
+    t = spark.table(f"{_ecom(spark, sf_dir)}.ecom_offers")
+    in_month = F.col("snapshot_month") == F.year("snapshot_date") * 100 + F.month("snapshot_date")
+    return t.select("offer_id", "price", "seller_id", "category_id", "vendor",
+                    F.datediff(F.current_date(), "snapshot_date").between(0, 1).alias("dated_today"), in_month.alias("in_month"))
+
+
+@register("raw_events_table")
+def q_raw_events_table(spark, sf_dir):
+    """Events per day partition and device, read through the namespace."""
+    t = spark.table(f"{_ecom(spark, sf_dir)}.raw_events")
+    return rel.count_by(t, ["event_date", "DeviceTypeName"], "events_cnt")
 
 
 # ---------------------------------------------------------------- streaming
@@ -359,10 +472,9 @@ def q_stream_counter_rate(spark, sf_dir):
 # ---------------------------------------------------------------- SQL surface
 @register("panel_coverage_sql")
 def q_panel_coverage_sql(spark, sf_dir):
-    """The coverage panel as SQL, reusing select aliases in the select."""
-    return sqls.run_sql(spark, sf_dir, "panel_coverage")
+    return sqls.panel_coverage(spark, sf_dir)
 
 
 @register("panel_offers_without_events_sql")
 def q_panel_offers_without_events_sql(spark, sf_dir):
-    return sqls.run_sql(spark, sf_dir, "panel_offers_without_events")
+    return sqls.panel_offers_without_events(spark, sf_dir)

@@ -1,125 +1,56 @@
-"""The SQL surface: the catalogue's tables under their familiar names, and
-the load-test queries and dashboard panels as Spark SQL text.
+"""The SQL surface: the catalogue's tables as session views under the names
+its users know, and the two dashboard panels that rely on SQL features.
 
 ``register_ecom_views`` binds ``ecom_offers``, ``raw_events`` and the three
 pre-aggregates (``catalog_by_category_mv``, ``catalog_by_brand_mv``,
-``offer_events_mv``) as session views, after which the texts below run with
-``spark.sql``; ``run_sql`` fills the table names of the current session in.
-Dialect changes from the original: ``count()`` is ``count(*)``,
-``countIf`` is ``count_if``, the anti-joins are written as ``LEFT ANTI
-JOIN`` (S1), and ties at a limit are broken by the key (S11).  The batch
-pre-aggregates hold one row per key, so they are read as the original
-texts read them; stream deltas are re-summed by ``streaming.incremental``.
+``offer_events_mv``); any Spark SQL runs over them.  Views are looked up by the
+state of their input at each call, so files that were appended are seen by the
+next call.
 """
 
 from __future__ import annotations
 
-import string
-
 from pyspark.sql import DataFrame, SparkSession
 
 from vitrine.plans import aggregates as agg
-from vitrine.session import store_root
 from vitrine.sources import fixtures as fx
-from vitrine.sources.store import STORE_VERSION, store_path, store_view_name
-from vitrine.sources.tables import path_tag
-
 
-def _binders(spark: SparkSession, sf_dir: str) -> dict:
-    """For each table name: a function that makes sure its session view
-    exists and returns the view's name."""
-    offers = lambda: fx.offers(spark, sf_dir)
-    events = lambda: fx.raw_events(spark, sf_dir)
-
-    def store(name: str, build) -> str:
-        build()
-        return store_view_name(store_path(spark, name, sf_dir))
 
+def ecom_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Catalogue tables and stored pre-aggregates of one input folder, by name."""
+    offers, events = fx.offers(spark, sf_dir), fx.raw_events(spark, sf_dir)
     return {
-        "ecom_offers": lambda: (offers(), fx.view_name(sf_dir, "offers"))[1],
-        "raw_events": lambda: (events(), fx.view_name(sf_dir, "raw_events"))[1],
-        "catalog_by_category_mv": lambda: store(
-            "catalog_by_category", lambda: agg.stored_category_counts(spark, sf_dir, offers())),
-        "catalog_by_brand_mv": lambda: store(
-            "catalog_by_brand", lambda: agg.stored_brand_counts(spark, sf_dir, offers())),
-        "offer_events_mv": lambda: store(
-            "offer_events", lambda: agg.stored_offer_events(spark, sf_dir, events(), offers())),
+        "ecom_offers": offers,
+        "raw_events": events,
+        "catalog_by_category_mv": agg.stored_category_counts(spark, sf_dir, offers),
+        "catalog_by_brand_mv": agg.stored_brand_counts(spark, sf_dir, offers),
+        "offer_events_mv": agg.stored_offer_events(spark, sf_dir, events, offers),
     }
 
 
-def session_names(spark: SparkSession, sf_dir: str, tables=None) -> dict[str, str]:
-    """Names of this session's views over one input folder for the given
-    tables (all when None): catalogue tables and stored pre-aggregates,
-    created on first use only.
-
-    The binding is remembered in the session conf, so a repeated query pays
-    for one SQL parse and analysis and nothing else.
-    """
-    prefix = f"spark.vitrine.views.{path_tag(sf_dir)}.{path_tag(store_root(spark))}.{STORE_VERSION}"
-    binders = _binders(spark, sf_dir)
-    names = {}
-    for t in (tables if tables is not None else binders):
-        known = spark.conf.get(f"{prefix}.{t}", None)
-        if not known:
-            known = binders[t]()
-            spark.conf.set(f"{prefix}.{t}", known)
-        names[t] = known
-    return names
-
-
 def register_ecom_views(spark: SparkSession, sf_dir: str) -> None:
     """Plain names (``ecom_offers``, ``raw_events``, ``*_mv``) for ad-hoc SQL."""
-    for plain, name in session_names(spark, sf_dir).items():
-        spark.table(name).createOrReplaceTempView(plain)
-
-
-SQL: dict[str, str] = {
-    "raw_top_categories": """
-        SELECT category_id, count(*) AS offers_cnt FROM {ecom_offers}
-        GROUP BY category_id ORDER BY offers_cnt DESC, category_id LIMIT 20""",
-    "mv_top_categories": """
-        SELECT category_id, offers_cnt FROM {catalog_by_category_mv}
-        ORDER BY offers_cnt DESC, category_id LIMIT 20""",
-    "raw_top_brands": """
-        SELECT vendor, count(*) AS offers_cnt FROM {ecom_offers}
-        GROUP BY vendor ORDER BY offers_cnt DESC, vendor LIMIT 30""",
-    "mv_top_brands": """
-        SELECT vendor, sum(offers_cnt) AS offers_cnt FROM {catalog_by_brand_mv}
-        GROUP BY vendor ORDER BY offers_cnt DESC, vendor LIMIT 30""",
-    "raw_avg_offers_per_brand": """
-        SELECT category_id, round(avg(offers_per_brand), 6) AS avg_offers_per_brand
-        FROM (SELECT category_id, vendor, count(*) AS offers_per_brand
-              FROM {ecom_offers} GROUP BY category_id, vendor)
-        GROUP BY category_id ORDER BY avg_offers_per_brand DESC, category_id""",
-    "mv_avg_offers_per_brand": """
-        SELECT category_id, round(avg(offers_cnt), 6) AS avg_offers_per_brand FROM {catalog_by_brand_mv}
-        GROUP BY category_id ORDER BY avg_offers_per_brand DESC, category_id""",
-    "raw_offers_without_events": """
-        SELECT o.offer_id, o.category_id, o.vendor, o.price
-        FROM {ecom_offers} AS o
-        LEFT ANTI JOIN (SELECT DISTINCT ContentUnitID AS offer_id FROM {raw_events}) AS e
-          ON o.offer_id = e.offer_id""",
-    "mv_offers_without_events": """
-        SELECT o.offer_id, o.category_id, o.vendor, o.price
-        FROM {ecom_offers} AS o
-        LEFT ANTI JOIN (SELECT DISTINCT offer_id FROM {offer_events_mv}) AS ev
-          ON o.offer_id = ev.offer_id""",
-    # Dashboard panels.
-    "panel_offers_without_events": """
-        SELECT count_if(ev.offer_id IS NULL) AS offers_without_events
-        FROM {ecom_offers} AS o LEFT JOIN {offer_events_mv} AS ev ON o.offer_id = ev.offer_id""",
-    "panel_coverage": """
-        SELECT count_if(ev.offer_id IS NOT NULL) AS offers_with_events,
-               count(*) AS total_offers,
+    for name, df in ecom_tables(spark, sf_dir).items():
+        df.createOrReplaceTempView(name)
+
+
+def panel_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The coverage panel, select aliases reused in the same select.
+    Daily rows are counted per offer before they meet the catalogue."""
+    t = ecom_tables(spark, sf_dir)
+    return spark.sql("""
+        WITH days AS (SELECT offer_id AS id, count(*) AS n FROM {mv} GROUP BY offer_id),
+             seen AS (SELECT coalesce(n, 0) AS n FROM {offers} LEFT JOIN days ON id = offer_id)
+        SELECT CAST(sum(n) AS BIGINT) AS offers_with_events,
+               CAST(sum(greatest(n, 1)) AS BIGINT) AS total_offers,
                try_divide(offers_with_events, total_offers) AS coverage_ratio
-        FROM {ecom_offers} AS o LEFT JOIN {offer_events_mv} AS ev ON o.offer_id = ev.offer_id""",
-    "panel_events_by_device": """
-        SELECT DeviceTypeName, count(*) AS events_cnt FROM {raw_events}
-        GROUP BY DeviceTypeName ORDER BY events_cnt DESC, DeviceTypeName""",
-}
+        FROM seen""", mv=t["offer_events_mv"], offers=t["ecom_offers"])
 
 
-def run_sql(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    text = SQL[name]
-    tables = [f for _, f, _, _ in string.Formatter().parse(text) if f]
-    return spark.sql(text.format(**session_names(spark, sf_dir, tables)))
+def panel_offers_without_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue rows that the daily aggregate never mentions."""
+    t = ecom_tables(spark, sf_dir)
+    return spark.sql("""
+        SELECT count(*) AS offers_without_events FROM {offers} AS c
+        WHERE NOT EXISTS (SELECT 1 FROM {mv} AS m WHERE m.offer_id = c.offer_id)""",
+                     mv=t["offer_events_mv"], offers=t["ecom_offers"])

@@ -9,7 +9,7 @@ fall back to a scratch folder, and only on a ``local`` master.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -17,25 +17,26 @@ from pyspark.sql import SparkSession
 STORE_CONF = "spark.vitrine.store"
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "vitrine") -> SparkSession:
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
+                  app_name: str = "vitrine", driver_memory: str | None = None) -> SparkSession:
     """Session with AQE, skew-join handling and a UTC clock.
 
     Broadcasts are left to the planner's size check
     (``spark.sql.autoBroadcastJoinThreshold``, re-checked by AQE against
-    runtime shuffle sizes), so no side is broadcast on a guess.
+    runtime shuffle sizes), so no side is broadcast on a guess.  Settings
+    that belong to the cluster (shuffle partitions, memory) are only set
+    when an argument asks for them.
     """
     b = (SparkSession.builder.appName(app_name)
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
-         .config("spark.sql.files.maxPartitionBytes", "256m")
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-         .config("spark.driver.memory", os.environ.get("VITRINE_DRIVER_MEMORY", "16g")))
+         .config("spark.sql.adaptive.skewJoin.enabled", "true"))
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        b = b.config("spark.driver.memory", driver_memory)
     if master:
         b = b.master(master)
     spark = b.getOrCreate()
@@ -43,19 +44,28 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
-def _is_local(spark: SparkSession) -> bool:
+def _one_machine(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+def _shared(spark: SparkSession, path: str) -> str:
+    """``path``, unless it names a machine's own disk on a cluster of several."""
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getScheme() == "file" and not _one_machine(spark):
+        raise RuntimeError(f"{path} is on a local disk; on a cluster it has to be on storage that all executors share")
+    return path.rstrip("/")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not _is_local(spark):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="vitrine-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    return d.rstrip("/")
+    return _shared(spark, d)
 
 
 def store_root(spark: SparkSession) -> str:
@@ -64,7 +74,4 @@ def store_root(spark: SparkSession) -> str:
     ``spark.vitrine.store`` if set, else ``<checkpoint dir>/vitrine-store``.
     """
     d = spark.conf.get(STORE_CONF, None)
-    if not d:
-        d = checkpoint_root(spark) + "/vitrine-store"
-        spark.conf.set(STORE_CONF, d)
-    return d.rstrip("/")
+    return _shared(spark, d) if d else checkpoint_root(spark) + "/vitrine-store"

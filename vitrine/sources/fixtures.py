@@ -20,26 +20,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.functions.columns import hour_floor
-from vitrine.operators.series import running_sum, with_counter_totals
-from vitrine.sources.load import load_table
-from vitrine.sources.tables import path_tag, read_table, session_view
+from vitrine.operators.series import running_sum
+from vitrine.sources.load import load_path, load_table
+from vitrine.sources.store import write_once
+from vitrine.sources.tables import read_table, session_view, table_stamp
 
 # Fixed values of the mapping: the row order that stands for file order.
 CATALOG_ROW_ORDER = ["l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"]
-SNAPSHOT_LOAD_ORDER = ["l_orderkey", "l_linenumber", "l_suppkey"]
+SNAPSHOT_ORDER = ["l_orderkey", "l_linenumber", "seller_id"]
+CATALOG_TABLES = ["lineitem", "part", "supplier", "nation", "region"]
 
 
-def view_name(sf_dir: str, name: str) -> str:
-    return f"vitrine_{path_tag(sf_dir)}_v_{name}"
-
-
-def _view(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    return session_view(spark, view_name(sf_dir, name), build)
+def _view(spark: SparkSession, sf_dir: str, name: str, table: str, build) -> DataFrame:
+    return session_view(spark, f"vitrine_{table_stamp(spark, sf_dir, [table])}_v_{name}", build)
 
 
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue rows ``(offer_id, price, seller_id, category_id, vendor)``."""
-    return _view(spark, sf_dir, "offers", lambda: offers_from(read_table(spark, sf_dir, "part")))
+    return _view(spark, sf_dir, "offers", "part", lambda: offers_from(read_table(spark, sf_dir, "part")))
 
 
 def offers_from(p: DataFrame) -> DataFrame:
@@ -55,7 +53,7 @@ def offers_from(p: DataFrame) -> DataFrame:
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User events in the ``raw_events`` layout."""
-    return _view(spark, sf_dir, "raw_events", lambda: raw_events_from(read_table(spark, sf_dir, "events")))
+    return _view(spark, sf_dir, "raw_events", "events", lambda: raw_events_from(read_table(spark, sf_dir, "events")))
 
 
 def raw_events_from(e: DataFrame) -> DataFrame:
@@ -74,7 +72,7 @@ def offer_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue snapshots: one row per line item, dated by ship date, with
     the load-order columns kept for version tie-breaks."""
     return load_table(spark, sf_dir, "offer_snapshots", lambda: _offer_snapshots(spark, sf_dir),
-                      ["category_id", "offer_id"], ["lineitem"])
+                      ["category_id", "offer_id", *SNAPSHOT_ORDER], ["lineitem", "part"])
 
 
 def _offer_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +96,7 @@ def catalog_src(spark: SparkSession, sf_dir: str) -> DataFrame:
     Offer_Type`` plus the row-order columns and ``load_date`` (the ship
     date, which splits the rows into successive loads for the upserts)."""
     return load_table(spark, sf_dir, "catalog_src", lambda: _catalog_src(spark, sf_dir),
-                      ["l_orderkey", "l_linenumber"], ["lineitem"])
+                      CATALOG_ROW_ORDER, CATALOG_TABLES)
 
 
 def _catalog_src(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +130,7 @@ def _catalog_src(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def timings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Timing samples ``(query, iteration, seconds)``."""
-    return _view(spark, sf_dir, "timings", lambda: _timings(spark, sf_dir))
+    return _view(spark, sf_dir, "timings", "orders", lambda: _timings(spark, sf_dir))
 
 
 def _timings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,21 +148,28 @@ MEMORY_METRIC = "memory_bytes"
 QUERIES_WRAP = 500
 MEMORY_SCALE = 1e6
 METRIC_BUCKET_ROWS = 1 << 20
+SAMPLES = "metric_samples"
 
 
 def metric_samples(spark: SparkSession, sf_dir: str, bucket_rows: int = METRIC_BUCKET_ROWS) -> DataFrame:
-    """Samples ``(metric, label, ts, value, delta, cum_delta, sample_no)``
+    """Samples ``(metric, label, ts, value)`` as a scraper would store them,
     derived from the events: two counters (one with resets) and one gauge per
-    event type, with per-series counter totals (``with_counter_totals``).
+    event type.
 
     The counters are running totals per event type in ``event_id`` order.
     Event types are few, so each is a hot key; the running totals are
     computed bucket by bucket (``running_sum``), never one type per task.
-    The table is clustered by time: a file stream replays it in time order
+    The table is loaded in order of time: a file stream replays it in order
     (the watermark is global across series) and time filters skip files.
     """
-    return load_table(spark, sf_dir, f"metric_samples_{bucket_rows}",
-                      lambda: _metric_samples(spark, sf_dir, bucket_rows), ["ts", "metric", "label"], ["events"])
+    return load_table(spark, sf_dir, SAMPLES, lambda: _metric_samples(spark, sf_dir, bucket_rows),
+                      ["ts", "metric", "label", "value"], ["events"], in_order=True)
+
+
+def metric_samples_path(spark: SparkSession, sf_dir: str) -> str:
+    """The finished build of the loaded samples, as files a stream can replay."""
+    metric_samples(spark, sf_dir)
+    return write_once(spark, load_path(spark, sf_dir, SAMPLES, ["events"]), None)
 
 
 def _metric_samples(spark: SparkSession, sf_dir: str, bucket_rows: int) -> DataFrame:
@@ -179,8 +184,4 @@ def _metric_samples(spark: SparkSession, sf_dir: str, bucket_rows: int) -> DataF
     time_us = r.select(F.lit(TIME_METRIC).alias("metric"), label, "ts", F.col("__us").cast("double").alias("value"))
     memory = e.select(F.lit(MEMORY_METRIC).alias("metric"), label, "ts",
                       (F.col("value") * MEMORY_SCALE).alias("value"))
-    # Each sample also carries its counter delta and the running totals of
-    # its series (prefix sums): range rates become differences of two
-    # totals, and a stream over the table needs no per-series state.
-    return with_counter_totals(queries.unionByName(time_us).unionByName(memory), ["metric", "label"], "ts",
-                               "value")
+    return queries.unionByName(time_us).unionByName(memory)

@@ -2,68 +2,42 @@
 
 The reference loads its source files into tables before it queries them;
 here a loaded table is a Parquet folder under the store, written once per
-input and registered as a session view.  The file layout follows the
-table's sort key (``ORDER BY`` in the original DDL): rows are range
-partitioned and sorted on it, so Parquet min/max statistics let scans skip
-files and row groups on filters over those columns.
-
-File count rule: enough files to give every core a scan task, none smaller
-than ``min_file_bytes`` and none larger than ``max_file_bytes``.  On a large
-cluster the upper bound decides (100 TB / 128 MB files); on a laptop-sized
-input the core count does.
+state of its inputs and registered as a session view.
+
+Layout: ``rebalance`` sizes the files (AQE splits what is large and merges
+what is small, by bytes, so one hot key is spread over as many files as its
+rows need), and rows are sorted inside each file on keys that end in a unique
+column.  A table whose reader needs it in order of a column (samples, by
+time) is range partitioned on it into ``spark.sql.shuffle.partitions`` parts,
+a number the cluster sets.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.sources.store import store_path, write_once
-from vitrine.sources.tables import path_tag, session_view
-
-MIN_FILE_BYTES = 1 << 20
-MAX_FILE_BYTES = 128 << 20
-
-
-def input_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
-    """Total size of the given input files or folders."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        total += hp.getFileSystem(conf).getContentSummary(hp).getLength()
-    return total
+from vitrine.sources.store import store_path, store_view_name, write_once
+from vitrine.sources.tables import session_view
 
 
-def file_count(spark: SparkSession, nbytes: int) -> int:
-    cores = spark.sparkContext.defaultParallelism
-    by_cores = min(cores, max(1, math.ceil(nbytes / MIN_FILE_BYTES)))
-    return max(by_cores, math.ceil(nbytes / MAX_FILE_BYTES), 1)
-
-
-def table_path(spark: SparkSession, sf_dir: str, name: str) -> str:
-    return store_path(spark, f"tables/{name}", sf_dir)
+def load_path(spark: SparkSession, sf_dir: str, name: str, inputs: Sequence[str]) -> str:
+    return store_path(spark, f"tables/{name}", sf_dir, inputs)
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame],
-               cluster_by: Sequence[str], inputs: Sequence[str]) -> DataFrame:
+               cluster_by: Sequence[str], inputs: Sequence[str], in_order: bool = False) -> DataFrame:
     """Write ``build()`` once as a clustered Parquet table and return it.
 
     The write only counts once its ``_SUCCESS`` marker is there; a lost
     job leaves no marker and the next call writes the table again.
     """
-    path = table_path(spark, sf_dir, name)
+    path = load_path(spark, sf_dir, name, inputs)
 
     def write(target: str) -> None:
-        n = file_count(spark, input_bytes(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in inputs]))
-        (build().repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
-                .write.mode("overwrite").parquet(target))
-
-    def load() -> DataFrame:
-        write_once(spark, path, write)
-        return spark.read.parquet(path)
+        df = build()
+        df = df.repartitionByRange(*cluster_by) if in_order else df.hint("rebalance")
+        df.sortWithinPartitions(*cluster_by).write.parquet(target)
 
-    return session_view(spark, f"vitrine_table_{path_tag(path)}", load)
+    return session_view(spark, store_view_name(path), lambda: spark.read.parquet(write_once(spark, path, write)))

@@ -5,13 +5,16 @@ from __future__ import annotations
 
 import hashlib
 import os
+import time
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from vitrine import __version__
 from vitrine.session import store_root
-from vitrine.sources.tables import path_tag, session_view
+from vitrine.sources.tables import path_tag, session_view, table_stamp
+
 
 def _code_version() -> str:
     """Hash of the package source: stored outputs are keyed by it, so code
@@ -29,37 +32,19 @@ def _code_version() -> str:
 STORE_VERSION = _code_version()
 
 
-_INPUT_STAMPS: dict[str, str] = {}
-
-
-def _input_stamp(spark: SparkSession, sf_dir: str) -> str:
-    """Names, sizes and modification times of the input folder's files (one
-    listing per folder and process), so outputs derived from inputs that
-    changed under the same path are never reused."""
-    key = os.path.abspath(sf_dir)
-    if key not in _INPUT_STAMPS:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(sf_dir)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        files, it = [], fs.listFiles(p, True)          # recursive: tables may be folders
-        while it.hasNext():
-            st = it.next()
-            files.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
-        files.sort()
-        _INPUT_STAMPS[key] = hashlib.sha1(repr(files).encode()).hexdigest()[:12]
-    return _INPUT_STAMPS[key]
+def store_path(spark: SparkSession, name: str, sf_dir: str, inputs: Iterable[str]) -> str:
+    """Folder of an output derived from the named tables of one input folder:
+    keyed by path, state of those tables and code version, so neither changed
+    inputs nor changed code reuse an old output."""
+    tag = hashlib.sha1(f"{table_stamp(spark, sf_dir, inputs)}|{STORE_VERSION}".encode()).hexdigest()[:12]
+    return f"{store_root(spark)}/{name}/{tag}"
 
 
-def source_tag(sf_dir: str, spark: SparkSession | None = None) -> str:
-    """Stable folder name for outputs derived from one input folder: its
-    path, the package code version and (given a session) the input files'
-    sizes and modification times."""
-    stamp = _input_stamp(spark, sf_dir) if spark is not None else ""
-    return hashlib.sha1(f"{os.path.abspath(sf_dir)}|{STORE_VERSION}|{stamp}".encode()).hexdigest()[:12]
-
-
-def store_path(spark: SparkSession, name: str, sf_dir: str) -> str:
-    return f"{store_root(spark)}/{name}/{source_tag(sf_dir, spark)}"
+def stream_path(spark: SparkSession, name: str, sf_dir: str, version: int) -> str:
+    """Folder of a stream's output and checkpoint: keyed by input path, query
+    and the version of the output's schema alone, so a later run goes on where
+    the last one stopped, whatever files have come since."""
+    return f"{store_root(spark)}/stream/v{version}/{name}/{path_tag(sf_dir)}"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -69,35 +54,31 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def write_once(spark: SparkSession, path: str, write) -> None:
-    """Build-once write: ``write(tmp)`` writes to a unique sibling folder,
-    which is renamed to ``path`` when its ``_SUCCESS`` marker exists and no
-    other writer has finished first (then ours is dropped).  A writer that
-    dies, or loses a race, never touches the folder readers use."""
-    if exists(spark, path + "/_SUCCESS"):
-        return
+def _builds(spark: SparkSession, path: str) -> list[str]:
+    """Finished builds below ``path``, the first finished one first."""
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
-    write(tmp)
-    src, dst = jvm.org.apache.hadoop.fs.Path(tmp), jvm.org.apache.hadoop.fs.Path(path)
-    fs = dst.getFileSystem(conf)
-    if fs.exists(dst) and not fs.exists(jvm.org.apache.hadoop.fs.Path(dst, "_SUCCESS")):
-        fs.delete(dst, True)                       # leftovers of an older, unfinished layout
-    if fs.exists(dst) or not fs.rename(src, dst):
-        fs.delete(src, True)
-
-
-# Stored tables at most this large (bytes on storage) are kept in the
-# session's memory cache once built; larger ones are read from Parquet.
-CACHE_CONF = "spark.vitrine.cacheMaxBytes"
-DEFAULT_CACHE_MAX_BYTES = 256 << 20
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    done = []
+    for st in fs.listStatus(p):
+        mark = jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
+        if st.isDirectory() and fs.exists(mark):
+            done.append((fs.getFileStatus(mark).getModificationTime(), st.getPath().getName()))
+    return [f"{path}/{name}" for _, name in sorted(done)]
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+def write_once(spark: SparkSession, path: str, write) -> str:
+    """Build-once write: ``write(folder)`` fills a folder of its own below
+    ``path``; the first build with a ``_SUCCESS`` marker is the one that
+    readers take.  Nothing is renamed or deleted, so a writer that dies, or
+    two that write at once, never touch a folder that is being read."""
+    done = _builds(spark, path)
+    if not done:
+        write(f"{path}/build-{uuid.uuid4().hex}")
+        done = _builds(spark, path)
+    return done[0]
 
 
 def store_view_name(path: str) -> str:
@@ -105,7 +86,7 @@ def store_view_name(path: str) -> str:
 
 
 def materialize(spark: SparkSession, path: str, build, partition_by: list[str] | None = None,
-                sort_by: list[str] | None = None, cache: bool = True) -> DataFrame:
+                sort_by: list[str] | None = None) -> DataFrame:
     """Read ``path`` if a finished build is there, else build and write it.
 
     Writing to storage is also how lineage is cut: readers start from the
@@ -116,34 +97,19 @@ def materialize(spark: SparkSession, path: str, build, partition_by: list[str] |
     partition value instead of one file per task and value.
 
     The stored table is registered as a session view, so later reads skip
-    the listing.  Stored tables are pre-aggregates and documents that are
-    queried over and over; when ``cache`` is set and the files are no larger
-    than ``spark.vitrine.cacheMaxBytes`` (a size checked on storage, not
-    guessed) the view is also cached in memory (spilling to disk).
+    the listing.  Nothing is cached: a caller who wants a table in memory
+    caches it (``spark.catalog.cacheTable(store_view_name(path))``).
     """
-    name = store_view_name(path)
-    created: list[bool] = []
-
     def write(target: str) -> None:
         df = build().hint("rebalance", *(partition_by or []))
         if sort_by:
             df = df.sortWithinPartitions(*(partition_by or []), *sort_by)
-        w = df.write.mode("overwrite")
+        w = df.write
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(target)
 
-    def load() -> DataFrame:
-        write_once(spark, path, write)
-        created.append(True)
-        return spark.read.parquet(path)
-
-    df = session_view(spark, name, load)
-    if created and cache:
-        limit = int(spark.conf.get(CACHE_CONF, str(DEFAULT_CACHE_MAX_BYTES)))
-        if stored_bytes(spark, path) <= limit:
-            spark.catalog.cacheTable(name)
-    return df
+    return session_view(spark, store_view_name(path), lambda: spark.read.parquet(write_once(spark, path, write)))
 
 
 # ---------------------------------------------------------------- versioned collections
@@ -174,21 +140,28 @@ def read_current(spark: SparkSession, root: str) -> DataFrame | None:
     return None if v is None else spark.read.parquet(f"{root}/v={v}")
 
 
-def commit_version(spark: SparkSession, root: str, df: DataFrame, keep: int = 3) -> int:
+def commit_version(spark: SparkSession, root: str, df: DataFrame) -> int:
     """Write ``df`` as the next version and return its number.
 
     A version becomes current only when its ``_SUCCESS`` marker exists, so a
-    writer that dies midway leaves the previous version current (this
-    replaces ``MERGE INTO``, which Parquet tables lack).  One writer per
-    collection at a time.  Versions older than the last ``keep`` are removed
-    after the commit.
+    writer that dies midway leaves the previous version current.  One writer
+    per collection at a time.  Older versions stay until ``remove_versions``.
     """
-    versions = _versions(spark, root)
-    n = (versions[-1] if versions else 0) + 1
+    n = (current_version(spark, root) or 0) + 1
     df.write.mode("overwrite").parquet(f"{root}/v={n}")
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for old in versions[:-(keep - 1)] if keep > 1 else versions:
-        p = jvm.org.apache.hadoop.fs.Path(f"{root}/v={old}")
-        p.getFileSystem(conf).delete(p, True)
     return n
+
+
+def remove_versions(spark: SparkSession, root: str, older_than_seconds: float) -> list[int]:
+    """Maintenance: remove versions that were replaced longer ago than the
+    given age (choose one that no reader outlives).  The current version stays."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    versions, gone = _versions(spark, root), []
+    for old, nxt in zip(versions, versions[1:], strict=False):
+        p = jvm.org.apache.hadoop.fs.Path(f"{root}/v={old}")
+        fs = p.getFileSystem(conf)
+        replaced = fs.getFileStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/v={nxt}/_SUCCESS")).getModificationTime()
+        if time.time() - replaced / 1000 >= older_than_seconds:
+            fs.delete(p, True)
+            gone.append(old)
+    return gone

@@ -10,31 +10,52 @@ in ``explain``).
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
+from vitrine.functions.columns import month_key
+
 # Columns the offers-with-paths source must carry (A4).
 CATALOG_REQUIRED = ["Partner_Name", "Category_ID", "Category_FullPathName",
                     "Offer_ID", "Offer_Name", "Offer_Type"]
 
 
 def path_tag(path: str) -> str:
-    """Short stable name for a folder (used in view and store names)."""
-    return hashlib.sha1(os.path.abspath(path).encode()).hexdigest()[:12]
+    """Short stable name for a folder URI (used in view and store names)."""
+    return hashlib.sha1(path.rstrip("/").encode()).hexdigest()[:12]
+
+
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
+def table_stamp(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> str:
+    """State of the named tables: bytes, files and newest folder time of each.
+
+    Two calls to the file system per table, whatever its number of files, and
+    nothing remembered: a table that grew under the same path has another
+    stamp at the next call.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    h = hashlib.sha1(sf_dir.rstrip("/").encode())
+    for n in sorted(names):
+        p = jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, n))
+        fs = p.getFileSystem(conf)
+        c = fs.getContentSummary(p)
+        h.update(f"|{n}|{c.getLength()}|{c.getFileCount()}|{fs.getFileStatus(p).getModificationTime()}".encode())
+    return h.hexdigest()[:12]
 
 
 def session_view(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """A temp view registered once per session, then looked up by name.
 
-    Registering a table once and querying it by name is what keeps repeated
-    queries cheap: the file listing and footer reads of a Parquet scan, and
-    the analysis of a fixture mapping, happen when the view is created, not
-    on every query.  (Like any registered file table, a view does not see
-    files added later; ``spark.catalog.dropTempView`` refreshes it.)
+    The file listing and footer reads of a Parquet scan, and the analysis of
+    a fixture mapping, happen when the view is created, not on every query.
+    Names carry the state of the input (``table_stamp``), so a view of files
+    that have changed is not found again.
     """
     try:
         return spark.table(name)
@@ -46,8 +67,8 @@ def session_view(spark: SparkSession, name: str, build: Callable[[], DataFrame])
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Whole-file Parquet scan of one driver table (A1, A2), registered as
     a session view on first use."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return session_view(spark, f"vitrine_{path_tag(sf_dir)}_{name}", lambda: spark.read.parquet(path))
+    return session_view(spark, f"vitrine_{table_stamp(spark, sf_dir, [name])}_{name}",
+                        lambda: spark.read.parquet(table_path(sf_dir, name)))
 
 
 def require_columns(df: DataFrame, required: Iterable[str] = CATALOG_REQUIRED) -> DataFrame:
@@ -58,30 +79,35 @@ def require_columns(df: DataFrame, required: Iterable[str] = CATALOG_REQUIRED) -
     return df
 
 
+CSV_HEADER = "offer_id"
+
+
 def read_offers_csv(spark: SparkSession, path: str) -> DataFrame:
     """Positional catalogue CSV with its header line kept as data.
 
     Columns arrive as ``_c0.._c5`` (``c1..c6`` in the original); ``_c0`` is
-    unused.  The header row is removed by the ``offer_id`` text filter, then
-    the text is cast; a malformed number raises under ANSI mode just as the
-    original conversion functions do.
+    unused.  Quotes inside quoted text are doubled (RFC 4180), and quoted text
+    may hold line feeds, so a file is one split.  The file has no nulls: an
+    empty field, quoted or not, is empty text, so a vendor may be empty and an
+    empty or malformed number raises as the original conversion functions do.
+    Only rows whose id is the header's text are removed.
     """
-    raw = spark.read.csv(path, header=False, schema="_c0 string, _c1 string, _c2 string, "
-                                                   "_c3 string, _c4 string, _c5 string")
-    return (raw.where(F.col("_c1") != "offer_id")
-               .select(F.col("_c1").cast("bigint").alias("offer_id"),
-                       F.col("_c2").cast("double").alias("price"),
-                       F.col("_c3").cast("bigint").alias("seller_id"),
-                       F.col("_c4").cast("bigint").alias("category_id"),
-                       F.col("_c5").alias("vendor")))
+    raw = (spark.read.option("escape", '"').option("multiLine", True).option("emptyValue", "")
+           .csv(path, header=False, schema=", ".join(f"_c{i} string" for i in range(6))))
+    text = {i: F.coalesce(F.col(f"_c{i}"), F.lit("")) for i in range(1, 6)}
+    return (raw.where(text[1] != CSV_HEADER)
+               .select(text[1].cast("bigint").alias("offer_id"),
+                       text[2].cast("double").alias("price"),
+                       text[3].cast("bigint").alias("seller_id"),
+                       text[4].cast("bigint").alias("category_id"),
+                       text[5].alias("vendor")))
 
 
 def write_offers_csv(offers: DataFrame, path: str) -> None:
     """Write a catalogue CSV in the source layout: leading unused column and
     one header line per file (each part file starts with it)."""
-    (offers.select(F.lit("0").alias("ix"), "offer_id", "price", "seller_id",
-                   "category_id", "vendor")
-           .write.mode("overwrite").option("header", "true").csv(path))
+    (offers.select(F.lit("0").alias("ix"), "offer_id", "price", "seller_id", "category_id", "vendor")
+           .write.mode("overwrite").option("header", "true").option("escape", '"').option("emptyValue", '""').csv(path))
 
 
 # ---------------------------------------------------------------- namespace
@@ -108,24 +134,28 @@ def create_ecom_tables(spark: SparkSession, db: str = "ecom", location: str | No
         USING parquet PARTITIONED BY (event_date)""")
 
 
-def insert_offers(spark: SparkSession, offers: DataFrame, db: str = "ecom") -> None:
-    """``INSERT INTO t (cols) SELECT`` with ``snapshot_date`` left to its
-    default, then the month partition derived from it (A7, G2, G3)."""
-    offers.createOrReplaceTempView("_vitrine_offers_in")
-    spark.sql(f"""
-        INSERT INTO {db}.ecom_offers
-        SELECT current_date() AS snapshot_date, offer_id, price, seller_id, category_id, vendor,
-               year(current_date()) * 100 + month(current_date()) AS snapshot_month
-        FROM _vitrine_offers_in""")
+def insert_offers(spark: SparkSession, offers: DataFrame, db: str = "ecom",
+                  snapshot_date: Column | None = None) -> None:
+    """Column-list insert (A7, G2, G3): without ``snapshot_date`` the column is
+    not named and takes its default; the month partition is derived from the
+    same day.  Rows are rebalanced by the partition column, so a month is
+    written by few tasks in files of the advisory size."""
+    day = F.current_date() if snapshot_date is None else snapshot_date
+    rows = offers.select(*([] if snapshot_date is None else [day.alias("snapshot_date")]),
+                         "offer_id", "price", "seller_id", "category_id", "vendor", month_key(day).alias("snapshot_month"))
+    _insert(spark, rows, f"{db}.ecom_offers", "snapshot_month")
 
 
 def insert_raw_events(spark: SparkSession, events: DataFrame, db: str = "ecom") -> None:
-    events.createOrReplaceTempView("_vitrine_events_in")
-    spark.sql(f"""
-        INSERT INTO {db}.raw_events
-        SELECT Hour, DeviceTypeName, ApplicationName, OSName, ProvinceName, ContentUnitID,
-               to_date(Hour) AS event_date
-        FROM _vitrine_events_in""")
+    """Column-list insert of events, the day partition derived from ``Hour``."""
+    rows = events.select("Hour", "DeviceTypeName", "ApplicationName", "OSName", "ProvinceName", "ContentUnitID",
+                         F.to_date("Hour").alias("event_date"))
+    _insert(spark, rows, f"{db}.raw_events", "event_date")
+
+
+def _insert(spark: SparkSession, rows: DataFrame, target: str, partition: str) -> None:
+    spark.sql(f"INSERT INTO {target} ({', '.join(rows.columns)}) SELECT * FROM {{rows}}",
+              rows=rows.hint("rebalance", partition))
 
 
 # ---------------------------------------------------------------- JSON sink

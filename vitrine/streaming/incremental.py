@@ -3,61 +3,59 @@ Streaming (H1, H2, H4).
 
 * H1 / H2 - every micro-batch is aggregated on its own and written as a
   delta under ``batch_id=N``; readers re-aggregate over all deltas (S4).
-  ``compact_deltas`` merges them into a versioned base (the background
-  merge of a summing table) so the number of small delta folders stays
-  bounded.
   ``foreachBatch`` is at-least-once, so a replayed batch overwrites its own
   ``batch_id`` folder instead of adding to it: the result is exactly-once.
-  H2 joins each micro-batch with the static catalogue (stream-static join,
-  S10), after counting the batch's events per (day, offer) so a hot offer is
-  one row per day by the time it meets the catalogue.
-* H4 - sliding event-time windows with a watermark in append mode, written
-  by the Parquet file sink (exactly-once through its commit log).  A window
-  is emitted once the watermark passes its end.  Samples arrive with their
-  counter delta (reset-aware, computed when the sample table is loaded), so
-  a window's increase is ``sum(delta)`` minus the first sample's delta: plain
-  partial aggregates, no per-series state and no collected lists.
-
-Outputs go to the store, each with its stream checkpoint beside it.
-Runs use ``availableNow``: everything present is processed, then the query
-stops, and a rerun resumes from the checkpoint.
+  H2 joins each micro-batch with the catalogue as it is when the batch runs
+  (listed anew each time, S10), after counting the batch's events per (day,
+  offer) so a hot offer is one row per day by the time it meets the catalogue.
+* H4 - sliding event-time windows over raw samples with a watermark in append
+  mode, written by the Parquet file sink (exactly-once through its commit
+  log).  Samples are folded into panes of one slide first, then a window folds
+  its panes.
+
+Output and checkpoint are keyed by input path, query and output version, not by
+the files that happen to be there: a later run, in another process too, goes on
+from the checkpoint and handles only what was appended.  Runs use
+``availableNow``: everything present is processed, then the query stops.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitrine.operators.relational import merge_partial_sums
 from vitrine.plans import aggregates as agg
-from vitrine.sources.load import table_path
-from vitrine.sources.store import commit_version, exists, read_current, store_path
 from vitrine.sources import fixtures as fx
-from vitrine.sources.tables import read_table
+from vitrine.sources.store import exists, stream_path
+from vitrine.sources.tables import path_tag, read_table, table_path
+
+# Version of each stream's output; a change of what it computes gets a new one.
+VERSIONS = {"catalog_counts": 1, "offer_events": 1, "counter_rate": 2}
+# Files that one micro-batch takes, at most.
+MAX_FILES = 1000
 
 
 def table_stream(spark: SparkSession, sf_dir: str, table: str, max_files: int | None = None) -> DataFrame:
     """A table as a file stream, with the schema taken from the table (no
     inference at run).  ``<sf_dir>/<table>.parquet`` may be one file (the
     input folder is streamed, filtered to that name) or a folder of files
-    that arrive over time (the folder is streamed; ``max_files`` bounds the
-    files per micro-batch)."""
+    that arrive over time (the folder is streamed)."""
     schema = read_table(spark, sf_dir, table).schema
-    path = f"{sf_dir.rstrip('/')}/{table}.parquet"
-    jvm = spark.sparkContext._jvm
-    hp = jvm.org.apache.hadoop.fs.Path(path)
+    path = table_path(sf_dir, table)
+    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     is_dir = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hp).isDirectory()
-    r = spark.readStream.schema(schema)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
+    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files or MAX_FILES)
     return r.parquet(path) if is_dir else r.option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
 
 
-def _stream_dirs(spark: SparkSession, name: str, sf_dir: str) -> tuple[str, str]:
-    """Output folder and, beside it, the stream checkpoint: progress and
-    output always move together, so a new store never meets an old
-    checkpoint that claims its input was already processed."""
-    out = store_path(spark, f"stream/{name}", sf_dir)
-    return out, f"{out}/_checkpoint"
+def stream_folder(spark: SparkSession, name: str, sf_dir: str) -> str:
+    """Output folder of a stream; its checkpoint lies beside it in the same
+    folder, so a new store never meets a checkpoint that claims its input was
+    already processed."""
+    return stream_path(spark, name, sf_dir, VERSIONS[name.split("/")[0]])
 
 
 def write_delta(delta: DataFrame, path: str, batch_id: int) -> None:
@@ -65,8 +63,8 @@ def write_delta(delta: DataFrame, path: str, batch_id: int) -> None:
     delta.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def _batch_ids(spark: SparkSession, path: str) -> list[int]:
-    """Committed micro-batch deltas under ``path`` (``batch_id=N`` with ``_SUCCESS``)."""
+def _numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers N of the committed folders ``prefix=N`` under ``path``."""
     if not exists(spark, path):
         return []
     jvm = spark.sparkContext._jvm
@@ -74,86 +72,62 @@ def _batch_ids(spark: SparkSession, path: str) -> list[int]:
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     out = []
     for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("batch_id=") and name[9:].isdigit() \
-                and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[9:]))
+        name, _, number = st.getPath().getName().partition("=")
+        if name == prefix and number.isdigit() and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(number))
     return sorted(out)
 
 
-def _base(spark: SparkSession, path: str) -> tuple[DataFrame | None, int]:
-    """The newest compacted base and the last batch id it covers (-1: none)."""
-    base = read_current(spark, f"{path}_base")
-    if base is None:
-        return None, -1
-    return base.drop("upto_batch"), base.select(F.max("upto_batch")).first()[0]
+def batch_ids(spark: SparkSession, path: str) -> list[int]:
+    return _numbered(spark, path, "batch_id")
 
 
-def read_deltas(spark: SparkSession, path: str, keys: list[str], measure: str, empty: DataFrame) -> DataFrame:
-    """The maintained aggregate: the compacted base plus every committed
-    delta after it, re-aggregated by key.  ``empty`` gives the schema when
-    no micro-batch has run yet."""
-    base, upto = _base(spark, path)
-    parts = [] if base is None else [base]
-    newer = [b for b in _batch_ids(spark, path) if b > upto]
+def _parts(spark: SparkSession, path: str) -> tuple[list[DataFrame], int]:
+    """The newest merged base with the deltas after it, and the last batch they cover (-1: none)."""
+    bases = _numbered(spark, f"{path}_base", "upto")
+    upto = bases[-1] if bases else -1
+    parts = [spark.read.parquet(f"{path}_base/upto={upto}")] if bases else []
+    newer = [b for b in batch_ids(spark, path) if b > upto]
     if newer:
-        deltas = spark.read.option("basePath", path).parquet(*[f"{path}/batch_id={b}" for b in newer])
-        parts.append(deltas.drop("batch_id"))
-    if not parts:
-        return empty.limit(0)
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return agg.resum(u, keys, measure)
-
-
-def compact_deltas(spark: SparkSession, path: str, keys: list[str], measure: str, empty: DataFrame) -> int:
-    """Merge the base and all committed deltas into a new base version (the
-    background merge of a summing table), then drop the covered deltas.
-
-    The base is committed atomically with the last batch id it covers, and
-    readers ignore deltas at or below it, so a reader never counts a delta
-    twice or misses one, whether it runs before, during or after the
-    compaction.  Returns the covered batch id (-1 when there was nothing).
-    """
-    ids = _batch_ids(spark, path)
-    if not ids:
-        return _base(spark, path)[1]
-    upto = ids[-1]
-    base, base_upto = _base(spark, path)
-    newer = [b for b in ids if b > base_upto]
-    if not newer:                     # only covered deltas left behind
-        _drop_batches(spark, path, ids)
-        return base_upto
-    deltas = spark.read.option("basePath", path).parquet(*[f"{path}/batch_id={b}" for b in newer])
-    parts = deltas.drop("batch_id")
-    if base is not None:
-        parts = base.unionByName(parts)
-    merged = agg.resum(parts, keys, measure).withColumn("upto_batch", F.lit(upto))
-    commit_version(spark, f"{path}_base", merged.hint("rebalance").sortWithinPartitions(*keys))
-    _drop_batches(spark, path, ids)
-    return upto
-
-
-def _drop_batches(spark: SparkSession, path: str, ids: list[int]) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for b in ids:
-        p = jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id={b}")
-        p.getFileSystem(conf).delete(p, True)
+        parts.append(spark.read.parquet(*[f"{path}/batch_id={b}" for b in newer]))
+    return parts, newer[-1] if newer else upto
 
 
-# Compact a maintained aggregate once it has more delta folders than this.
-COMPACT_AFTER = 64
+def read_deltas(spark: SparkSession, path: str, keys: list[str], measure: str, empty: DataFrame) -> DataFrame:
+    """The maintained aggregate: the merged base plus every committed delta
+    after it, summed by key.  ``empty`` gives the schema when no micro-batch
+    has run yet."""
+    parts, _ = _parts(spark, path)
+    return merge_partial_sums(parts, keys, [measure]) if parts else empty.limit(0)
+
+
+def merge_deltas(spark: SparkSession, path: str, keys: list[str], measure: str) -> int:
+    """Maintenance, run when its caller chooses: base and deltas summed into a
+    new base, named by the last batch it covers.  Readers take the newest
+    committed base and the deltas after it, so none counts a batch twice or
+    misses one, whenever it reads.  Returns the covered batch (-1: none)."""
+    parts, upto = _parts(spark, path)
+    if parts and upto not in _numbered(spark, f"{path}_base", "upto"):
+        merged = merge_partial_sums(parts, keys, [measure])
+        merged.hint("rebalance").sortWithinPartitions(*keys).write.mode("overwrite").parquet(f"{path}_base/upto={upto}")
+    return upto
 
 
-def _maybe_compact(spark: SparkSession, path: str, keys: list[str], measure: str, empty: DataFrame) -> None:
-    if len(_batch_ids(spark, path)) > COMPACT_AFTER:
-        compact_deltas(spark, path, keys, measure, empty)
+def remove_merged(spark: SparkSession, path: str) -> None:
+    """Maintenance: remove deltas and bases that the newest base covers, once
+    no reader from before it is left."""
+    bases = _numbered(spark, f"{path}_base", "upto")
+    if not bases:
+        return
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    old = [f"{path}_base/upto={b}" for b in bases[:-1]] + [f"{path}/batch_id={b}" for b in batch_ids(spark, path) if b <= bases[-1]]
+    for folder in old:
+        p = jvm.org.apache.hadoop.fs.Path(folder)
+        p.getFileSystem(conf).delete(p, True)
 
 
-def _run(stream: DataFrame, apply, ckpt: str) -> None:
-    q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", ckpt)
+def _run(stream: DataFrame, apply: Callable[[DataFrame, int], None], folder: str) -> None:
+    q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", f"{folder}/_checkpoint")
                .trigger(availableNow=True).start())
     q.awaitTermination()
 
@@ -162,7 +136,7 @@ def _run(stream: DataFrame, apply, ckpt: str) -> None:
 def run_catalog_counts(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> tuple[str, str]:
     """H1: catalogue appends feed per-category and per-(vendor, category)
     counts.  Returns the two delta folders."""
-    out, ckpt = _stream_dirs(spark, "catalog_counts", sf_dir)
+    out = stream_folder(spark, "catalog_counts", sf_dir)
     cat_path, brand_path = f"{out}/category", f"{out}/brand"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
@@ -173,83 +147,107 @@ def run_catalog_counts(spark: SparkSession, sf_dir: str, max_files: int | None =
         finally:
             batch.unpersist()
 
-    _run(fx.offers_from(table_stream(spark, sf_dir, "part", max_files)), apply, ckpt)
+    _run(fx.offers_from(table_stream(spark, sf_dir, "part", max_files)), apply, out)
     return cat_path, brand_path
 
 
 def stream_category_counts(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
     cat_path, _ = run_catalog_counts(spark, sf_dir, max_files)
-    empty = agg.category_counts(fx.offers(spark, sf_dir))
-    _maybe_compact(spark, cat_path, ["category_id"], "offers_cnt", empty)
-    return read_deltas(spark, cat_path, ["category_id"], "offers_cnt", empty)
+    return read_deltas(spark, cat_path, ["category_id"], "offers_cnt", agg.category_counts(fx.offers(spark, sf_dir)))
 
 
 def stream_brand_counts(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
     _, brand_path = run_catalog_counts(spark, sf_dir, max_files)
-    empty = agg.brand_counts(fx.offers(spark, sf_dir))
-    _maybe_compact(spark, brand_path, ["vendor", "category_id"], "offers_cnt", empty)
-    return read_deltas(spark, brand_path, ["vendor", "category_id"], "offers_cnt", empty)
+    return read_deltas(spark, brand_path, ["vendor", "category_id"], "offers_cnt",
+                       agg.brand_counts(fx.offers(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- H2
 def run_offer_events(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> str:
     """H2: event appends joined with the catalogue as it is when they
     arrive, counted per (day, offer, category, vendor)."""
-    out, ckpt = _stream_dirs(spark, "offer_events", sf_dir)
-    offers = fx.offers(spark, sf_dir)
+    out = stream_folder(spark, "offer_events", sf_dir)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        write_delta(agg.offer_events_daily(batch, offers), out, batch_id)
+        session = batch.sparkSession
+        offers = fx.offers_from(session.read.parquet(table_path(sf_dir, "part")))   # listed for this batch
+        write_delta(agg.offer_events_daily(batch, offers), f"{out}/daily", batch_id)
 
-    _run(fx.raw_events_from(table_stream(spark, sf_dir, "events", max_files)), apply, ckpt)
-    return out
+    _run(fx.raw_events_from(table_stream(spark, sf_dir, "events", max_files)), apply, out)
+    return f"{out}/daily"
 
 
 def stream_offer_events(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
     path = run_offer_events(spark, sf_dir, max_files)
-    keys = ["event_date", "offer_id", "category_id", "vendor"]
     empty = agg.offer_events_daily(fx.raw_events(spark, sf_dir), fx.offers(spark, sf_dir))
-    _maybe_compact(spark, path, keys, "events_cnt", empty)
-    return read_deltas(spark, path, keys, "events_cnt", empty)
+    return read_deltas(spark, path, ["event_date", "offer_id", "category_id", "vendor"], "events_cnt", empty)
 
 
 # ---------------------------------------------------------------- H4
-def stored_metric_samples(spark: SparkSession, sf_dir: str) -> str:
-    """The loaded metric samples table, as files a file stream can replay."""
-    fx.metric_samples(spark, sf_dir)
-    return table_path(spark, sf_dir, f"metric_samples_{fx.METRIC_BUCKET_ROWS}")
-
-
-def run_counter_rate(spark: SparkSession, sf_dir: str, metric: str, range_seconds: int,
-                     slide_seconds: int, delay_seconds: int) -> str:
-    """H4: per-window rate of a counter on the sample stream."""
-    src = stored_metric_samples(spark, sf_dir)
-    name = f"counter_rate_{metric}_{range_seconds}_{slide_seconds}_{delay_seconds}"
-    out, ckpt = _stream_dirs(spark, name, sf_dir)
-    schema = spark.read.parquet(src).schema
-    samples = (spark.readStream.schema(schema).parquet(src)
-                    .where(F.col("metric") == metric)
-                    .withColumn("ts", F.col("ts").cast("timestamp")))
-    windows = (samples.withWatermark("ts", f"{delay_seconds} seconds")
-                      .groupBy("metric", "label",
-                               F.window("ts", f"{range_seconds} seconds", f"{slide_seconds} seconds"))
-                      .agg(F.sum("delta").alias("__sum"), F.min_by("delta", "ts").alias("__first"),
-                           F.count(F.lit(1)).alias("samples")))
-    # Increase inside a window: the deltas of its samples except the first
-    # one's, whose previous sample lies before the window.
-    rates = (windows.where(F.col("samples") >= 2)
-                    .select("metric", "label",
-                            F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-                            F.col("window.end").cast("timestamp_ntz").alias("window_end"),
-                            ((F.col("__sum") - F.col("__first")) / F.lit(float(range_seconds))).alias("rate"),
-                            "samples"))
-    q = (rates.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+def _delta(now: Column, before: Column) -> Column:
+    return F.when(now < before, now).otherwise(now - before)
+
+
+def _increase_of(points: Column) -> Column:
+    """Sum of the counter's deltas over an array of values in order (the first adds nothing)."""
+    start = F.struct(F.lit(None).cast("double").alias("last"), F.lit(0.0).alias("sum"))
+    return F.aggregate(points, start, lambda a, v: F.struct(
+        v.alias("last"), (a["sum"] + F.when(a["last"].isNull(), F.lit(0.0)).otherwise(_delta(v, a["last"]))).alias("sum")),
+        lambda a: a["sum"])
+
+
+def windowed_rates(samples: DataFrame, range_seconds: int, slide_seconds: int, delay_seconds: int) -> DataFrame:
+    """Per-window rate of raw counter samples ``(metric, label, ts, value)``.
+
+    A pane of one slide keeps its first and last value, its number of samples
+    and the increase inside it, folded over its samples in order of time: as
+    many as a series is sampled in a slide, whatever the range or the table's
+    size.  A window folds its ``range / slide`` panes: increases inside panes
+    plus the deltas from one pane's last value to the next one's first, with
+    a drop counting as a reset in both places.
+    """
+    if range_seconds % slide_seconds:
+        raise ValueError("the range must be a multiple of the slide")
+    series = ["metric", "label"]
+    by_time = F.sort_array(F.collect_list(F.struct("ts", "value")))
+    panes = (samples.withWatermark("ts", f"{delay_seconds} seconds")
+             .groupBy(*series, F.window("ts", f"{slide_seconds} seconds").alias("pane")).agg(by_time.alias("points"))
+             .select(*series, "pane", F.col("pane.start").alias("start"), F.size("points").alias("n"),
+                     F.element_at("points", 1)["value"].alias("first"), F.element_at("points", -1)["value"].alias("last"),
+                     _increase_of(F.transform("points", lambda p: p["value"])).alias("inside")))
+    in_order = F.sort_array(F.collect_list(F.struct("start", "n", "first", "last", "inside")))
+    begin = F.struct(F.lit(None).cast("double").alias("last"), F.lit(0.0).alias("sum"), F.lit(0).alias("n"))
+    folded = F.aggregate("parts", begin, lambda a, p: F.struct(
+        p["last"].alias("last"),
+        (a["sum"] + p["inside"] + F.when(a["last"].isNull(), F.lit(0.0)).otherwise(_delta(p["first"], a["last"]))).alias("sum"),
+        (a["n"] + p["n"]).alias("n")))
+    windows = (panes.groupBy(*series, F.window("pane", f"{range_seconds} seconds", f"{slide_seconds} seconds"))
+               .agg(in_order.alias("parts")).withColumn("whole", folded))
+    return (windows.where(F.col("whole.n") >= 2)
+            .select(*series, F.col("window.start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+                    (F.col("whole.sum") / F.lit(float(range_seconds))).alias("rate"),
+                    F.col("whole.n").cast("long").alias("samples")))
+
+
+def run_counter_rate(spark: SparkSession, source: str, out: str, metric: str, range_seconds: int,
+                     slide_seconds: int, delay_seconds: int, max_files: int | None = None) -> None:
+    """H4: rates of one counter over a folder of raw samples that arrive in
+    files, in order of time within the delay."""
+    samples = (spark.readStream.schema("metric string, label string, ts timestamp_ntz, value double")
+                    .option("maxFilesPerTrigger", max_files or MAX_FILES).parquet(source)
+                    .where(F.col("metric") == metric).withColumn("ts", F.col("ts").cast("timestamp")))
+    rates = windowed_rates(samples, range_seconds, slide_seconds, delay_seconds)
+    q = (rates.writeStream.format("parquet").option("path", f"{out}/rates").option("checkpointLocation", f"{out}/_checkpoint")
               .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
-    return out
 
 
 def stream_counter_rate(spark: SparkSession, sf_dir: str, metric: str, range_seconds: int,
                         slide_seconds: int, delay_seconds: int) -> DataFrame:
-    return spark.read.parquet(run_counter_rate(spark, sf_dir, metric, range_seconds, slide_seconds,
-                                               delay_seconds))
+    """The loaded samples replayed as a stream; the output belongs to that load."""
+    source = fx.metric_samples_path(spark, sf_dir)
+    name = f"counter_rate/{metric}_{range_seconds}_{slide_seconds}_{delay_seconds}/{path_tag(source)}"
+    out = stream_folder(spark, name, sf_dir)
+    run_counter_rate(spark, source, out, metric, range_seconds, slide_seconds, delay_seconds)
+    return spark.read.parquet(f"{out}/rates")
