@@ -64,15 +64,11 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         yield b.slice(start)
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema, column: str = "text") -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema, column: str = "text", limit: int = BATCH_CHARS) -> DataFrame:
     """`fn` over the record batches of `df`, each of bounded size."""
     def run(it):
-        for b in sliced(it, column):
-            out = fn(b)
-            if isinstance(out, pa.Table):
-                yield from out.to_batches()
-            elif out is not None:
-                yield out
+        for b in sliced(it, column, limit):
+            yield fn(b)
     return df.mapInArrow(run, schema)
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm.common import map_batches, table, written
-from vitrine.llm.tokens import encoder, vocabulary_path
+from vitrine.llm.tokens import SLICE, encoder, vocabulary_path
 
 LENGTH, OPEN, PIECES = 2048, 32_768, 50_000
 
@@ -78,19 +78,20 @@ def token_pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH)
     path = path or vocabulary_path()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encode, rows, out = encoder(path), [], [[] for _ in range(4)]
-        for i, text in enumerate(batch.column("text").to_pylist()):
-            ids = memoryview(encode(text))
-            for k, (start, n) in enumerate(cut(len(ids) // 4, length)):
+        ids, sizes = encoder(path).batch(batch.column("text"))
+        raw, rows, out, base = memoryview(ids.tobytes()), [], [[] for _ in range(4)], 0
+        for i, total in enumerate(sizes.tolist()):
+            for k, (start, n) in enumerate(cut(total, length)):
                 rows.append(i)
-                for part, x in zip(out, (k, start, n, zlib.crc32(ids[4 * start:4 * (start + n)])), strict=True):
+                for part, x in zip(out, (k, start, n, zlib.crc32(raw[4 * (base + start):4 * (base + start + n)])), strict=True):
                     part.append(x)
+            base += total
         kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
         return pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows, pa.int64())), *(pa.array(x, t) for x, t in zip(out, kinds, strict=True))],
                                           names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return map_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long", limit=SLICE)
 
 
 def pack(pieces: DataFrame, length: int = LENGTH, most: int = OPEN, per_task: int = PIECES) -> DataFrame:

@@ -11,15 +11,21 @@ from __future__ import annotations
 
 import sys
 import types
+from array import array
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
 END = 0
-#: Pieces and words kept by a worker; a full cache starts anew.
-PIECES, WORDS = 600_000, 400_000
+#: Words that a worker remembers in each of two generations; the older one goes when the younger is full.
+WORDS = 500_000
+MARKS = frozenset(",.;:?!")
+#: Text handed to the encoder at a time, in bytes.
+SLICE = 14 << 20
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -33,56 +39,112 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
-class _Pieces(dict):
-    """Piece -> its ids as little-endian 32-bit integers; None: only a whole text can tell."""
+class _Recent:
+    """A bounded cache of two generations: what is asked for again moves to the younger one."""
 
-    def __init__(self, tokenizer: Tokenizer):
-        super().__init__()
-        self.tokenizer, self.words, self.letters = tokenizer, {}, _byte_letters()
-        self.split = regex.compile(public_tokenizers.PATTERN).findall
-        self.odd = regex.compile(r"^\s(?:\s|$)|[\x1c-\x1f\x85\xa0]").search
-        self.far = regex.compile(r"[^\x00-ɏ]").search
+    def __init__(self, make, most: int = WORDS):
+        self.make, self.most, self.young, self.old = make, most, {}, {}
 
-    def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            if len(self.words) >= WORDS:
-                self.words.clear()
-            letters = word.encode().decode("latin-1").translate(self.letters)
-            ids = self.words[word] = np.array([t.id for t in self.tokenizer.model.tokenize(letters)], "<u4").tobytes()
-        return ids
-
-    def __missing__(self, piece: str) -> bytes | None:
-        if len(self) >= PIECES:
-            self.clear()
-        if self.odd(piece):
-            ids = None
-        elif self.far(piece):  # letters that Unicode versions may class differently
-            ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-        else:
-            ids = b"".join(map(self._word, self.split(piece)))
-        self[piece] = ids
-        return ids
+    def __call__(self, key):
+        got = self.young.get(key)
+        if got is None:
+            got = self.old.get(key)
+            if got is None:
+                got = self.make(key)
+            if len(self.young) >= self.most:
+                self.old, self.young = self.young, {}
+            self.young[key] = got
+        return got
 
 
 class Encoder:
-    """ids of a text, the end id appended, as bytes of little-endian unsigned 32-bit integers."""
+    """Ids of texts, each with the end id appended."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.pieces = _Pieces(self.tokenizer)
-        self.end = np.array([END], "<u4").tobytes()
+        self.letters = _byte_letters()
+        self.split = regex.compile(public_tokenizers.PATTERN).findall
+        self.odd = regex.compile(r"^\s(?:\s|$)|[\x1c-\x1f\x85\xa0]").search
+        self.far = regex.compile(r"[^\x00-\u024f]").search
+        self.word, self.other = _Recent(self._word), _Recent(self._other, WORDS // 4)
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _word(self, word: str) -> bytes:
+        letters = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+
+    def piece(self, piece: str) -> bytes | bool:
+        """Ids of a piece; False: only the whole text can tell."""
+        body = piece[1:] if piece[:1] == " " else piece
+        try:
+            piece.encode("latin-1")
+        except UnicodeEncodeError:  # beyond, Unicode versions may class letters differently
+            return self.other(piece)
+        if body.isalpha():  # letters alone are one word, and so are letters before a mark
+            return self.word(piece)
+        if body[:-1].isalpha() and body[-1] in MARKS:
+            return self.word(piece[:-1]) + self.word(body[-1])
+        head, feed, tail = piece.partition("\n")
+        if feed and head and tail and not head[-1].isspace() and not tail[0].isspace():  # one line feed between two words
+            parts = self.piece(head), self.word(feed), self.piece(tail)
+            return False if False in parts else b"".join(parts)
+        return self.other(piece)
+
+    def _other(self, piece: str) -> bytes | bool:
+        if self.odd(piece):
+            return False
+        if self.far(piece):
+            return self.whole(piece)
+        return b"".join(map(self.word, self.split(piece)))
+
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, ids of each text) for an array of texts (null: empty).
+
+        Arrow cuts the texts and numbers the distinct pieces; Python sees each
+        distinct piece once, and numpy lays the ids of all pieces out.
+        """
+        texts = texts.fill_null("")
+        parts = pc.split_pattern(texts, " ")
+        offsets = parts.offsets.to_numpy()
+        coded = parts.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        offsets = offsets - offsets[0]
+        index, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        # first pieces of texts have no space before them: their numbers come after the others'
+        first = np.unique(index[offsets[:-1]])
+        place = np.zeros(len(distinct), np.int64)
+        place[first] = np.arange(len(first)) + len(distinct)
+        index = index.astype(np.int64)
+        index[offsets[:-1]] = place[index[offsets[:-1]]]
+        used = np.zeros(len(distinct) + len(first), bool)
+        used[index] = True
+        ids = [self.piece(f" {d}") if u else b"" for d, u in zip(distinct, used.tolist(), strict=False)]
+        ids += [self.piece(distinct[k]) for k in first.tolist()]
+        bad = np.array([x is False for x in ids])
+        again = np.add.reduceat(bad[index], offsets[:-1]) > 0 if len(texts) else np.zeros(0, bool)
+        # each text ends with a piece of its own: the end id, or all of its ids
+        end = np.array([END], "<u4").tobytes()
+        ends = np.full(len(texts), len(ids))
+        ids.append(end)
+        for k in np.nonzero(again)[0].tolist():
+            ends[k] = len(ids)
+            ids.append(self.whole(texts[k].as_py()) + end)
+        length = np.array([len(x) // 4 if x else 0 for x in ids], np.int64)
+        flat = np.frombuffer(b"".join(x for x in ids if x), "<u4")
+        start = np.cumsum(length) - length
+        keep = ~np.repeat(again, np.diff(offsets))
+        order = np.insert(np.where(keep, index, -1), offsets[1:], ends)
+        order = order[order >= 0]
+        n = length[order]
+        at = np.cumsum(n) - n
+        out = flat[np.repeat(start[order] - at, n) + np.arange(int(n.sum()))]
+        size = np.where(again, 0, np.add.reduceat(length[index], offsets[:-1])) + length[ends] if len(texts) else n
+        return out, size
 
     def __call__(self, text: str | None) -> bytes:
-        text = text or ""
-        if not text:
-            return self.end
-        parts = [self.pieces[x] for x in text.replace(" ", "\0 ").split("\0")] if "\0" not in text else [None]
-        if None in parts:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + self.end
-        parts.append(self.end)
-        return b"".join(parts)
+        return self.batch(pa.array([text], pa.string()))[0].tobytes()
 
 
 def encoder(path: str) -> Encoder:
