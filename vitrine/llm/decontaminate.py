@@ -161,3 +161,17 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHAR
 def op7_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) pair at containment 0.8 or more, over the whole tables."""
     return find_contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _shingles(name: str, key: str, source: str) -> str:
+    return rf"""{name} AS (SELECT DISTINCT rid, {key}, unnest(list_transform(range(1, greatest(len(w) - {WIDTH - 1}, 1) + 1), lambda i: array_to_string(w[i:i + {WIDTH - 1}], ' '))) AS s
+  FROM (SELECT row_number() OVER () AS rid, {key}, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM {source}) WHERE len(w) > 0)"""
+
+
+#: The same by joining all shingles.
+ORACLE = f"""
+WITH {_shingles("d", "doc_id", "documents")}, {_shingles("i", "item_id", "benchmark")},
+n AS (SELECT rid, count(*) AS n FROM i GROUP BY rid),
+p AS (SELECT d.rid AS drid, i.rid AS irid, doc_id, item_id, count(*) AS n_shared FROM d JOIN i USING (s) GROUP BY ALL)
+SELECT doc_id, item_id, n_shared, n AS n_shingles, n_shared / n::DOUBLE AS containment
+FROM p JOIN n ON n.rid = irid WHERE n_shared >= ceil({SHARE} * n - 1e-9)"""

@@ -20,5 +20,6 @@ QUERIES = {
 ORACLE = {
     "op1_license_scan": licenses.ORACLE,
     "op3_chat_formatting": chat.ORACLE,
+    "op7_benchmark_decontamination": decontaminate.ORACLE,
     "op8_secret_scan": secrets.ORACLE,
 }
