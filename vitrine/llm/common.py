@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -19,14 +20,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Where a local session without ``spark.checkpoint.dir`` keeps its scratch folder's name.
+SCRATCH_CONF = "spark.vitrine.scratch"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a scratch folder only on a local master without one."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH_CONF, None)
     if not d:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="vitrine-llm-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        spark.conf.set(SCRATCH_CONF, d)
     return d.rstrip("/")
 
 
