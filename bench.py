@@ -82,8 +82,6 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app_name="vitrine-bench", driver_memory="16g")
     scratch = tempfile.mkdtemp(prefix="vitrine-bench-")
     spark.conf.set("spark.vitrine.store", scratch + "/store")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", scratch + "/ckpt")
 
     timings: dict[str, float] = {}
     detail: dict[str, dict] = {}

@@ -20,7 +20,7 @@ Final adaptive plans of representative queries at sf0.1 on local[8]
 (regenerate with `python tools/explain_plans.py`).  What to look for:
 `partial_*` aggregates directly below each `Exchange` (map-side combine),
 `ReadSchema` limited to the used columns, broadcasts chosen by AQE from
-runtime sizes, `InMemoryRelation` for cached small stores, windows keyed
+runtime sizes, windows keyed
 by a group *and* a bucket, and `WindowGroupLimit` before per-group top-k
 shuffles.
 

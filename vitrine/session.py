@@ -15,6 +15,8 @@ import tempfile
 from pyspark.sql import SparkSession
 
 STORE_CONF = "spark.vitrine.store"
+# Where a local session without a checkpoint folder keeps its scratch folder's name.
+SCRATCH_CONF = "spark.vitrine.storeScratch"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -59,12 +61,12 @@ def _shared(spark: SparkSession, path: str) -> str:
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH_CONF, None)
     if not d:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="vitrine-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        spark.conf.set(SCRATCH_CONF, d)
     return _shared(spark, d)
 
 
