@@ -56,21 +56,22 @@ class Code:
             raise ValueError("an id without a code")
         first = np.cumsum(sizes) - sizes
         ends = np.concatenate([[0], np.cumsum(lens)])
-        bits = ends[first + sizes] - ends[first]
-        size = (bits + 7) // 8
+        begin = ends[first]
+        size = (ends[first + sizes] - begin + 7) // 8
         place = np.cumsum(size) - size  # rows begin at whole bytes
-        own = np.repeat(np.arange(len(sizes)), sizes)
-        inner = ends[:-1] - ends[first][own] if len(ids) else ends[:0]
-        at = inner + 8 * place[own]
-        word, value = at >> 5, self.codes[ids] << (64 - (at & 31) - lens).astype(np.uint64)
+        at = ends[:-1] + np.repeat(8 * place - begin, sizes)
+        word = at >> 5
+        value = self.codes[ids] << (64 - (at & 31) - lens).view(np.uint64)
         out = np.zeros(int(size.sum()) // 4 + 3, np.uint64)
         if len(ids):
-            starts = np.nonzero(np.concatenate([[True], word[1:] != word[:-1]]))[0]
-            out[word[starts]] += np.add.reduceat(value >> np.uint64(32), starts)
-            out[word[starts] + 1] += np.add.reduceat(value & np.uint64(0xFFFFFFFF), starts)
+            starts = np.nonzero(np.diff(word, prepend=-1))[0]
+            own = word[starts]
+            out[own] += np.add.reduceat(value >> np.uint64(32), starts)
+            out[own + 1] += np.add.reduceat(value & np.uint64(0xFFFFFFFF), starts)
         packed = out.astype(">u4").tobytes()
-        return ([packed[a:a + n] for a, n in zip(place.tolist(), size.tolist(), strict=True)],
-                [inner[a:a + n:every] for a, n in zip(first.tolist(), sizes.tolist(), strict=True)])
+        rows = zip(first.tolist(), sizes.tolist(), place.tolist(), size.tolist(), strict=True)
+        both = [(packed[p:p + z], at[a:a + n:every] - 8 * p) for a, n, p, z in rows]
+        return [b for b, _ in both], [m for _, m in both]
 
     def unpack(self, packed: bytes, marks: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """The symbols of the segments that begin at the bit offsets `marks` and have `sizes` symbols, all decoded in step."""

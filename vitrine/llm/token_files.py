@@ -34,12 +34,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import map_batches, shared_folder, table
+from vitrine.llm.common import map_batches, shared_folder, sliced, table
 from vitrine.llm.huffman import LIMIT, Code, code_lengths
-from vitrine.llm.tokens import encoder, vocabulary_path
+from vitrine.llm.tokens import SLICE, encoder, vocabulary_path
 
 #: Ids to a file and coded bytes to a block, about; ids from one checkpoint to the next.
-FILE_IDS, BLOCK_BYTES, EVERY = 8_000_000, 1 << 20, 512
+FILE_IDS, BLOCK_BYTES, EVERY = 16_000_000, 4 << 20, 512
+#: Bytes of ids that are counted or coded at a time.
+CODED = 1 << 20
 
 
 @dataclass
@@ -53,26 +55,31 @@ class TokenFiles:
 def _tokenised(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n, ids (little-endian, 16 bits each if the vocabulary allows)."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encode = encoder(path)
-        kind = "<u2" if encode.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        ids = [np.frombuffer(encode(t), "<u4").astype(kind).tobytes() for t in batch.column("text").to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) // int(kind[2]) for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n", "ids"])
+        own = encoder(path)
+        ids, sizes = own.batch(batch.column("text"))
+        width = 2 if own.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        offsets = np.concatenate([[0], np.cumsum(sizes) * width]).astype(np.int32)
+        binary = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype(f"<u{width}"))])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), binary], names=["doc_id", "n", "ids"])
 
-    return map_batches(docs.select("doc_id", "text"), run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, ids binary")
+    return map_batches(docs.select("doc_id", "text"), run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, ids binary", limit=SLICE)
 
 
 def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    sizes = batch.column("n").to_numpy()
-    raw = b"".join(batch.column("ids").to_pylist())
-    width = len(raw) // max(1, int(sizes.sum()))
-    return np.frombuffer(raw, f"<u{max(2, width)}").astype(np.int64), sizes
+    """(ids of all rows in a row, ids of each row), read in place."""
+    sizes, column = batch.column("n").to_numpy(), batch.column("ids")
+    if not len(column):
+        return np.zeros(0, np.uint16), sizes
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    raw = memoryview(column.buffers()[2] or b"")[offsets[0]:offsets[-1]]
+    return np.frombuffer(raw, f"<u{max(2, len(raw) // max(1, int(sizes.sum())))}"), sizes
 
 
 def id_counts(ids: DataFrame) -> DataFrame:
     """(id, count) over a tokenised table, summed in each task before the shuffle."""
     def run(batches):
         total = np.zeros(0, np.int64)
-        for batch in batches:
+        for batch in sliced(batches, "ids", CODED):
             got = np.bincount(_flat(batch)[0], minlength=len(total))
             got[:len(total)] += total
             total = got
@@ -100,12 +107,14 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, fil
     bounds = np.array(bounds or [])
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def coded(batch: pa.RecordBatch) -> pa.RecordBatch:
-        payload, marks = Code(lengths).pack(*_flat(batch), every)
-        own = batch.column("doc_id")
-        to = np.searchsorted(bounds, own.fill_null(0).to_numpy(), side="right") * own.is_valid().to_numpy(zero_copy_only=False)
-        return pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), own, batch.column("n"), pa.array([m.astype("<u8").tobytes() for m in marks], pa.binary()), pa.array(payload, pa.binary())],
-                                          names=["file", "doc_id", "n", "marks", "payload"])
+    def coded(batches):
+        code = Code(lengths)
+        for batch in sliced(batches, "ids", CODED):
+            payload, marks = code.pack(*_flat(batch), every)
+            own = batch.column("doc_id")
+            to = np.searchsorted(bounds, own.fill_null(0).to_numpy(), side="right") * own.is_valid().to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), own, batch.column("n"), pa.array([m.astype("<u8").tobytes() for m in marks], pa.binary()), pa.array(payload, pa.binary())],
+                                             names=["file", "doc_id", "n", "marks", "payload"])
 
     def blocks(batches):
         held, size, block, first, file = [], 0, 0, 0, TaskContext.get().partitionId()
@@ -129,7 +138,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, fil
         if held:
             yield made()
 
-    (map_batches(ids, coded, f"file int, doc_id {kind}, n long, marks binary, payload binary", "ids")
+    (ids.mapInArrow(coded, f"file int, doc_id {kind}, n long, marks binary, payload binary")
      .repartitionById(n_files, "file").sortWithinPartitions("doc_id", "payload").mapInArrow(
          blocks, f"file int, block int, first long, doc_ids array<{kind}>, sizes array<long>, marks binary, payload binary")
      .write.option("compression", "uncompressed").parquet(f"{folder}/blocks"))
@@ -150,7 +159,9 @@ def read_token_files(spark: SparkSession, files: TokenFiles, every: int = EVERY)
             for k in range(batch.num_rows):
                 file, first, docs, sizes, marks, payload = (batch.column(c)[k] for c in ("file", "first", "doc_ids", "sizes", "marks", "payload"))
                 n = sizes.values.to_numpy()
-                segments = np.concatenate([np.r_[np.full((x - 1) // every, every), (x - 1) % every + 1] for x in n])
+                parts = -(-n // every)
+                segments = np.full(int(parts.sum()), every)
+                segments[np.cumsum(parts) - 1] = n - (parts - 1) * every
                 ids = code.unpack(payload.as_py(), np.frombuffer(marks.as_py(), "<u8"), segments).astype("<u4")
                 start = np.cumsum(n) - n
                 crc = [zlib.crc32(ids[a:a + x]) for a, x in zip(start.tolist(), n.tolist(), strict=True)]
