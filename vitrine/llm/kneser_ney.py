@@ -88,38 +88,44 @@ def ngram_counts(docs: DataFrame) -> DataFrame:
 
     own = docs.select("lang", "text").mapInArrow(run, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
     own = written(own, "ngram-counts")
-    return own.where("lang IS NOT NULL").unionByName(own.groupBy("key").agg(F.sum("n").alias("n")).withColumn("lang", F.lit(POOLED)))
+    return written(own.where("lang IS NOT NULL").unionByName(own.groupBy("key").agg(F.sum("n").alias("n")).withColumn("lang", F.lit(POOLED))), "ngram-counts")
+
+
+def _discounts(grams: DataFrame) -> DataFrame:
+    """(lang, d1, d2, d3): what is taken from n-grams seen once, twice, and more often."""
+    of = [F.sum((F.col("n") == i).cast("double")).alias(f"n{i}") for i in (1, 2, 3, 4)]
+    y = F.when(F.col("n1") + F.col("n2") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(0.0)
+    taken = [F.when(F.col(f"n{i}") > 0, i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")).otherwise(F.lit(i / 2)) for i in (1, 2, 3)]
+    return grams.groupBy("lang").agg(*of).select("lang", *(F.least(F.lit(i - 0.05), F.greatest(F.lit(0.05), d)).alias(f"d{i}") for i, d in enumerate(taken, 1)))
 
 
 def kneser_ney(counts: DataFrame) -> DataFrame:
     """(lang, k, key, p, gamma): for each order k the probability of seen k-grams (p) and the weight left by seen contexts (gamma).
 
-    `key` is the k-gram for p, the (k-1)-gram of the context for gamma; the other column is null.
+    `key` is the k-gram for p, the (k-1)-gram of the context for gamma; the
+    other column is null.  Each order's tables are written before the next one
+    joins them, so no plan holds more than one order.
     """
     grams = {ORDER: counts}
     for k in range(ORDER - 1, 0, -1):  # continuation counts: how many symbols precede the k-gram
-        grams[k] = grams[k + 1].groupBy("lang", F.pmod("key", F.lit(SYMBOLS ** k)).alias("key")).agg(F.count("*").alias("n"))
+        grams[k] = written(grams[k + 1].groupBy("lang", F.pmod("key", F.lit(SYMBOLS ** k)).alias("key")).agg(F.count("*").alias("n")), f"ngram-counts-{k}")
     out, below = None, None
     for k in range(1, ORDER + 1):
-        of = [F.sum((F.col("n") == i).cast("double")) for i in (1, 2, 3, 4)]
-        found = grams[k].groupBy("lang").agg(*(c.alias(f"n{i}") for i, c in enumerate(of, 1)))
-        y = F.when(F.col("n1") + F.col("n2") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(0.0)
-        discount = [F.least(F.lit(float(i)) - 0.05, F.greatest(F.lit(0.05), F.when(F.col(f"n{i}") > 0, i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")).otherwise(F.lit(i / 2)))) for i in (1, 2, 3)]
-        found = found.select("lang", *(d.alias(f"d{i}") for i, d in enumerate(discount, 1)))
         d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        grams_k = grams[k].join(F.broadcast(found), "lang").withColumn("ctx", F.floor(F.col("key") / SYMBOLS)).withColumn("d", d)  # found: a row per language
-        totals = grams_k.groupBy("lang", "ctx").agg(F.sum("n").alias("total"), F.sum("d").alias("held"))
-        own = (grams_k.join(totals, ["lang", "ctx"])
+        taken = (grams[k].join(F.broadcast(_discounts(grams[k])), "lang")  # a row per language
+                 .select("lang", "key", "n", d.alias("d"), F.floor(F.col("key") / SYMBOLS).alias("ctx")))
+        totals = written(taken.groupBy("lang", "ctx").agg(F.sum("n").alias("total"), (F.sum("d") / F.sum("n")).alias("gamma")), f"ngram-contexts-{k}")
+        own = (taken.join(totals, ["lang", "ctx"])
                .select("lang", "key", F.pmod("key", F.lit(SYMBOLS ** (k - 1))).alias("suffix"),
-                       ((F.col("n") - F.col("d")) / F.col("total")).alias("own"), (F.col("held") / F.col("total")).alias("gamma")))
+                       ((F.col("n") - F.col("d")) / F.col("total")).alias("own"), "gamma"))
         if below is None:
             p = own.select("lang", "key", (F.col("own") + F.col("gamma") / SYMBOLS).alias("p"))
         else:
             low = below.select("lang", F.col("key").alias("suffix"), F.col("p").alias("low"))
             p = own.join(low, ["lang", "suffix"]).select("lang", "key", (F.col("own") + F.col("gamma") * F.col("low")).alias("p"))
-        below = p
-        part = (p.select("lang", F.lit(k).alias("k"), "key", "p", F.lit(None).cast("double").alias("gamma"))
-                .unionByName(totals.select("lang", F.lit(k).alias("k"), F.col("ctx").alias("key"), F.lit(None).cast("double").alias("p"), (F.col("held") / F.col("total")).alias("gamma"))))
+        below, none = written(p, f"ngram-probabilities-{k}"), F.lit(None).cast("double")
+        part = (below.select("lang", F.lit(k).alias("k"), "key", "p", none.alias("gamma"))
+                .unionByName(totals.select("lang", F.lit(k).alias("k"), F.col("ctx").alias("key"), none.alias("p"), "gamma")))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -131,8 +137,8 @@ def log_table(k: np.ndarray, key: np.ndarray, p: np.ndarray, gamma: np.ndarray)
         weight = np.ones(SYMBOLS ** (order - 1))
         at = (k == order) & ~np.isnan(gamma)
         weight[key[at]] = gamma[at]
-        full = np.outer(weight, np.ones(SYMBOLS)) * (np.full((1, SYMBOLS), full[0]) if order == 1 else np.tile(full.reshape(-1, SYMBOLS), (SYMBOLS if order > 1 else 1, 1)))
-        full = full.reshape(-1)
+        below = np.full((1, SYMBOLS), full[0]) if order == 1 else np.tile(full.reshape(-1, SYMBOLS), (SYMBOLS if order > 2 else 1, 1))
+        full = (weight[:, None] * (np.repeat(below, len(weight), axis=0) if len(below) == 1 else below)).reshape(-1)
         at = (k == order) & ~np.isnan(p)
         full[key[at]] = p[at]
     return np.log(full).astype(np.float32)
@@ -150,8 +156,10 @@ def score_perplexity(docs: DataFrame, model: DataFrame) -> DataFrame:
     groups.append(([POOLED] if POOLED in langs else [], docs.where(~known)))
     out = None
     for names, part in groups:
-        rows = model.where(F.col("lang").isin(names)).toPandas() if names else None  # 40^ORDER rows a language at most
-        tables = {x: log_table(*(r[c].to_numpy() for c in ("k", "key", "p", "gamma"))) for x in names for r in (rows[rows.lang == x],)}
+        tables = {}
+        for name in names:  # 40^ORDER rows at most
+            rows = model.where(F.col("lang") == name).toArrow()
+            tables[name] = log_table(*(rows.column(c).to_numpy() for c in ("k", "key", "p", "gamma")))
         sent = spark.sparkContext.broadcast(tables)
 
         def run(batch: pa.RecordBatch, sent=sent) -> pa.RecordBatch:
@@ -183,7 +191,7 @@ def classify(docs: DataFrame, labels: DataFrame, low: float = LOW, high: float =
     """doc_id, lang, n_symbols, perplexity, low, high, kept for each row of docs (doc_id, lang, text)."""
     trusted = trusted_ids(labels)
     counts = ngram_counts(docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text").join(trusted, "doc_id", "left_semi"))
-    scored = written(score_perplexity(docs, written(kneser_ney(counts), "ngram-model")), "perplexities")
+    scored = written(score_perplexity(docs, kneser_ney(counts)), "perplexities")
     known = scored.where("perplexity IS NOT NULL AND model IS NOT NULL").join(trusted, "doc_id", "left_semi")
     bounds = lambda rows: rows.groupBy("model").agg(F.percentile_approx("perplexity", F.array(F.lit(low), F.lit(high)), 100_000).alias("q"))
     both = bounds(known).where(F.col("model") != POOLED).unionByName(bounds(known.withColumn("model", F.lit(POOLED))))
