@@ -190,7 +190,8 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, low: float = LOW, high: float = HIGH, margin: float = MARGIN) -> DataFrame:
     """doc_id, lang, n_symbols, perplexity, low, high, kept for each row of docs (doc_id, lang, text)."""
     trusted = trusted_ids(labels)
-    counts = ngram_counts(docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text").join(trusted, "doc_id", "left_semi"))
+    # labels grow with the documents, so both sides are shuffled at any size
+    counts = ngram_counts(docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text").join(trusted.hint("merge"), "doc_id", "left_semi"))
     scored = written(score_perplexity(docs, kneser_ney(counts)), "perplexities")
     known = scored.where("perplexity IS NOT NULL AND model IS NOT NULL").join(trusted, "doc_id", "left_semi")
     bounds = lambda rows: rows.groupBy("model").agg(F.percentile_approx("perplexity", F.array(F.lit(low), F.lit(high)), 100_000).alias("q"))
