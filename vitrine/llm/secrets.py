@@ -44,12 +44,22 @@ class Rule:
     base: bool = False
 
 
+# A private key spans from its BEGIN line to its END line.  Between them stand header fields and base64, which may be
+# indented, quoted, commented, escaped or folded into one line.  Without an END line the span goes on to the last run of
+# 40 base64 characters and a short line after it; lines narrower than that have to follow at once.  No group repeats
+# without bound: Java recurses for each turn, and a long text would end the task.
+_FIELDS = r"""(?:[\x20\t\r\n\\]*[A-Za-z]+-[A-Za-z]+:\x20[^\n\\]*){0,9}"""
+_INSIDE, _BETWEEN, _DIGIT = r"""[A-Za-z0-9+/=\x20\t\r\n\\"',;>#*|]*""", r"""[\x20\t\r\n\\"',;>#*|]*""", "[A-Za-z0-9+/]"
+_CLOSED = _INSIDE + "-----END (?:[A-Z]+ )?PRIVATE KEY-----"
+_SHORT = rf"""[\x20\t\r]*\n[\x20\t]*{_DIGIT}+={{0,2}}[\x20\t\r]*(?:\n|$)|{_BETWEEN}{_DIGIT}+(?:={{1,2}}|$)"""
+_OPEN = rf"""{_BETWEEN}{_DIGIT}{{40}}(?:{_INSIDE}{_DIGIT}{{40}})?[A-Za-z0-9+/=]*(?:{_SHORT})?|[\x20\t\r]*\n{_DIGIT}[A-Za-z0-9+/=\r\n]*(?:\n|$)|(?:{_SHORT})?"""
+
 # The three kinds of the contract, then common credential formats.
 RULES = (
     Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12, True),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 18, True),
     Rule("hex", r"[0-9a-f]{16,}", 0, 16, True),
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----" + f"{_FIELDS}(?:{_CLOSED}|{_OPEN})"),
     Rule("github", r"gh[opsu]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
