@@ -403,3 +403,18 @@ def test_private_keys_go_whole(spark):
     assert secrets.trigram_query(key.pattern) == secrets.trigram_query(r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----")
     for text, _ in cases[:-1]:  # DuckDB's expressions find what Spark's do
         assert harness.duck("/root/testdata/sf0.001").execute("SELECT regexp_extract_all(?, ?)", [text, key.pattern]).fetchone()[0] == [m[0] for m in re.finditer(key.pattern, text)]
+
+
+def test_added_tokens_have_their_own_ids(spark):
+    """The library's defaults, with add_special_tokens=False only."""
+    from tokenizers import Tokenizer
+    library, own = Tokenizer.from_file(tokens.vocabulary_path()), tokens.Encoder(tokens.vocabulary_path())
+    assert library.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    texts = ["a <|endoftext|> b", "plain words", "<|endoftext|>", "x<|endoftext|><|endoftext|>\ny <|endoftext", "<|endoftext|>s and more words"]
+    want = [np.array([*library.encode(t, add_special_tokens=False).ids, 0], "<u4") for t in texts]
+    assert [own(t) for t in texts] == [w.tobytes() for w in want]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = token_files.read_token_files(spark, token_files.write_token_files(docs, fresh(spark, "added"))).orderBy("doc_id").collect()
+    n = np.array([len(w) for w in want])
+    assert [(r.n_tokens, r.start, r.ids_crc32) for r in got] == list(zip(n.tolist(), (np.cumsum(n) - n).tolist(), [zlib.crc32(w.tobytes()) for w in want], strict=True))
+    assert {r.doc_id: r.ids_crc32 for r in packing.pack_documents(docs).collect()} == {i: zlib.crc32(w.tobytes()) for i, w in enumerate(want)}

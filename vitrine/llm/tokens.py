@@ -4,11 +4,13 @@ A text is cut before each single space that stands between non-space
 characters.  The tokenizer's own pattern always has a boundary there, so the
 ids of a text are the ids of its pieces in a row, and a piece that came before
 is not encoded again.  A text where the rule can't be seen to hold (runs of
-white space, control separators) goes to the tokenizer as a whole.
+white space, control separators) goes to the tokenizer as a whole, and so does
+a text that holds the string of an added token, which the library gives its own id.
 """
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 from array import array
@@ -62,7 +64,7 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = "|".join(sorted(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()))
         self.letters = _byte_letters()
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         self.odd = regex.compile(r"^\s(?:\s|$)|[\x1c-\x1f\x85\xa0]").search
@@ -124,6 +126,8 @@ class Encoder:
         ids += [self.piece(distinct[k]) for k in first.tolist()]
         bad = np.array([x is False for x in ids])
         again = np.add.reduceat(bad[index], offsets[:-1]) > 0 if len(texts) else np.zeros(0, bool)
+        if self.added:
+            again |= pc.match_substring_regex(texts, self.added).to_numpy(zero_copy_only=False)
         # each text ends with a piece of its own: the end id, or all of its ids
         end = np.array([END], "<u4").tobytes()
         ends = np.full(len(texts), len(ids))
