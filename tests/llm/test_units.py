@@ -418,3 +418,24 @@ def test_added_tokens_have_their_own_ids(spark):
     n = np.array([len(w) for w in want])
     assert [(r.n_tokens, r.start, r.ids_crc32) for r in got] == list(zip(n.tolist(), (np.cumsum(n) - n).tolist(), [zlib.crc32(w.tobytes()) for w in want], strict=True))
     assert {r.doc_id: r.ids_crc32 for r in packing.pack_documents(docs).collect()} == {i: zlib.crc32(w.tobytes()) for i, w in enumerate(want)}
+
+
+LONG = "<p>" + "A long paragraph, with commas, that scores. " * 9 + "</p>"
+
+
+@pytest.mark.parametrize("page,kept,lost", [
+    (f"<article><div>{LONG * 3}</div><section><h2>Head</h2><p>One line.</p></section><h4>Small</h4><table><tr><td>cell</table>bare</article>", ["Head", "One line.", "Small", "cell", "bare"], []),
+    (f"<body><nav>menu</nav><article><section><div><div>{LONG * 3}</div></div></section><section><div><p>Far.</p></div></section></article><p>Beside.</p>", ["Far."], ["menu", "Beside."]),
+    (f"<body><div><div>{LONG * 3}</div><h3>Sub</h3><ul><li>short</ul><figure><figcaption>shown</figcaption></figure>See <a href=x>here</a> for the rest of it.</div><footer>foot</footer>",
+     ["Sub", "short", "shown", "See here for the rest of it."], ["foot"]),
+    (f"<body><div><a href=x>Home</a> | <a href=y>News</a><div>{LONG * 3}</div><ul><li><a href=x>One link</a><li><a href=y>Another</a></ul></div><div><div><p>Last part.</p></div></div>",
+     ["Last part."], ["Home", "One link"]),
+    (f'<script>var s="<!--"</script><article>{LONG}<p>End.</p></article>', ["A long", "End."], ["var s"]),
+    (f'<article title="<!--">{LONG}<p>End.</p></article>', ["A long", "End."], []),
+    (f"<article>{LONG}<p>End.</p><!-- broken > off <p>gone</p></article>", ["End."], ["gone", "broken"]),
+    (f'<article><h2 id="related-work">Related work</h2>{LONG}<p class="notice">Mind this.</p><p>Take <span class="share">a share</span>.</p><div class="share">Post it</div></article>',
+     ["Related work", "Mind this.", "Take a share."], ["Post it"]),
+])
+def test_html_whole_articles(page, kept, lost):
+    text = html_text.main_text(page)
+    assert all(x in text for x in kept) and not any(x in text for x in lost), text

@@ -1,12 +1,15 @@
-"""Operator 6, HTML extraction: scores passed up a tree, the best container and its siblings kept.
+"""Operator 6, HTML extraction: scores passed up a tree, the article around the best container kept.
 
 A page is parsed into a tree that closes what HTML lets authors leave open.
 Parts that are never article text (menus, headers, footers, sidebars, notices,
 adverts, forms, comments, scripts, styles) are cut by tag, role, or the words
-of class and id.  Each paragraph then passes points for its length and its
+that class and id give a block container outside headings and paragraphs.  Each paragraph then passes points for its length and its
 commas to its parent, and half of them to its grandparent; a container's sum
-is discounted by the share of its text inside links.  The best container, and
-those of its siblings that score or read like it, give the blocks.
+is discounted by the share of its text inside links.  If an article element
+encloses the best container, all of it that was not cut gives the blocks.  If
+none does, everything does that stands in the enclosing main element, or on the
+page, except what stands beside the best container or one around it and is
+mostly links.
 
 A page is one row and is handled alone: no shuffle, memory for one page's tree.
 
@@ -18,7 +21,9 @@ null ids are carried; extra columns are ignored; an empty table gives none.
 
 from __future__ import annotations
 
+import itertools
 import re
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -41,18 +46,22 @@ CUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog
 CUT_WORDS = frozenset("nav navbar navigation menu breadcrumb breadcrumbs sidebar footer masthead comment comments disqus ad ads advert adverts advertisement "
                       "advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice popup modal share sharing social related "
                       "newsletter subscribe signup login pagination pager widget toolbar".split())
+#: Elements in which class and id name parts of the text, and the blocks that these words may cut.
+PROSE = frozenset("h1 h2 h3 h4 h5 h6 p pre".split())
+CONTAINERS = BLOCK - PROSE - {"html", "body", "article", "main"}
 PARAGRAPHS = frozenset("p pre td blockquote li dd".split())
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "cut", "score", "chars", "linked")
+    __slots__ = ("tag", "parent", "parts", "cut", "score", "chars", "linked", "prose")
 
     def __init__(self, tag: str, parent: Node | None, cut: bool = False):
         self.tag, self.parent, self.cut, self.parts, self.score, self.chars, self.linked = tag, parent, cut, [], 0.0, 0, 0
+        self.prose = tag in PROSE or parent is not None and parent.prose
 
 
-def _named_cut(tag: str, attrs, inside: bool) -> bool:
+def _named_cut(tag: str, attrs, inside: bool, prose: bool) -> bool:
     if tag in CUT or tag in SILENT or (tag == "header" and not inside):
         return True
     if tag in ("html", "body", "article", "main"):
@@ -60,7 +69,7 @@ def _named_cut(tag: str, attrs, inside: bool) -> bool:
     for name, value in attrs:
         if not value:
             continue
-        if name in ("class", "id") and any(w.lower() in CUT_WORDS for w in _WORDS.findall(value)):
+        if name in ("class", "id") and tag in CONTAINERS and not prose and any(w.lower() in CUT_WORDS for w in _WORDS.findall(value)):
             return True
         if name == "role" and value.lower() in CUT_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return True
@@ -95,7 +104,7 @@ class _Tree(HTMLParser):
             if tag in ("br", "hr"):
                 self.at.parts.append("\n" if tag == "br" else Node("hr", self.at))
             return
-        node = Node(tag, self.at, self.at.cut or _named_cut(tag, attrs, self.articles > 0))
+        node = Node(tag, self.at, self.at.cut or _named_cut(tag, attrs, self.articles > 0, self.at.prose))
         self.articles += tag in ("article", "main")
         self.at.parts.append(node)
         self.at = node
@@ -162,21 +171,44 @@ def _text(nodes: list[Node]) -> list[str]:
     return out
 
 
-def _whole(html: str) -> str:
-    """The page without the comment or tag in which it breaks off."""
-    if (comment := html.rfind("<!--")) > html.rfind("-->"):
-        html = html[:comment]
-    tag = html.rfind("<")
-    return html[:tag] if tag >= 0 and ">" not in html[tag:] and re.match(r"<[a-zA-Z/!?]", html[tag:tag + 2]) else html
+def _parsed(html: str) -> _Tree:
+    """The page's tree, without the comment or tag in which the page breaks off; the parser knows what is one."""
+    tree = _Tree()
+    tree.feed(html)
+    while not tree.cdata_elem and re.match(r"<[a-zA-Z/!?]", tree.rawdata):
+        end = tree.rawdata.find(">") + 1
+        if not end or tree.rawdata.startswith("<!--"):
+            tree.rawdata = ""
+            break
+        tree.handle_data(unescape(tree.rawdata[:end]))  # a tag that never ends, as by an open quote, is text
+        tree.rawdata = tree.rawdata[end:]
+        tree.feed("")
+    tree.close()
+    return tree
+
+
+def _density(parts: list) -> float:
+    """The share of the parts' text that stands inside links."""
+    chars = sum(len(x.strip()) if isinstance(x, str) else x.chars for x in parts)
+    return sum(x.linked for x in parts if isinstance(x, Node)) / chars if chars else 0.0
+
+
+def _beside(node: Node) -> list:
+    """The parts of the node's parent without blocks and runs of inline parts that are mostly links."""
+    keep: list = []
+    for inline, run in itertools.groupby(node.parent.parts, lambda x: isinstance(x, str) or x.tag not in BLOCK and x is not node):
+        run = list(run)
+        for part in [run] if inline else [[x] for x in run]:
+            if part[0] is node or _density([x for x in part if isinstance(x, str) or not x.cut]) < 0.5:
+                keep += part
+    return keep
 
 
 def main_text(html: str | None) -> str:
     """Blocks of the page's article, joined by line feeds."""
     if not html:
         return ""
-    tree = _Tree()
-    tree.feed(_whole(html))
-    tree.close()
+    tree = _parsed(html)
     root = tree.root
     _measure(root)
     scored: dict[int, Node] = {}
@@ -186,22 +218,24 @@ def main_text(html: str | None) -> str:
             if node is not None and not node.cut:
                 node.score += share * points
                 scored[id(node)] = node
-    density = lambda n: n.linked / n.chars if n.chars else 0.0
     for node in scored.values():
-        node.score *= 1 - density(node)
+        node.score *= 1 - _density([node])
     if not scored:
         return "\n".join(_text([root]))
     best = max(scored.values(), key=lambda n: n.score)  # ties: the first paragraph's container
-    if best.parent is None:
-        return "\n".join(_text([best]))
-    near, keep = max(10.0, 0.2 * best.score), []
-    for x in best.parent.parts:
-        if x is best:
-            keep.append(x)
-        elif isinstance(x, Node) and not x.cut:
-            if x.score >= near or (x.tag in ("h1", "h2") and density(x) < 0.5) or (x.tag in PARAGRAPHS and x.chars > 80 and density(x) < 0.25):
-                keep.append(x)
-    return "\n".join(_text(keep))
+    around = [best]
+    while around[-1].parent is not None:
+        around.append(around[-1].parent)
+    for tag in ("article", "main"):  # the outermost one: sections may be articles themselves
+        if tops := [n for n in around if n.tag == tag]:
+            top = tops[-1]
+            break
+    else:
+        top = root
+    if top.tag != "article":
+        for node in around[:around.index(top)]:
+            node.parent.parts = _beside(node)
+    return "\n".join(_text([top]))
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
