@@ -439,3 +439,33 @@ LONG = "<p>" + "A long paragraph, with commas, that scores. " * 9 + "</p>"
 def test_html_whole_articles(page, kept, lost):
     text = html_text.main_text(page)
     assert all(x in text for x in kept) and not any(x in text for x in lost), text
+
+
+def quality_rows(spark, n):
+    """Good and bad documents in turn, and their labels."""
+    text = lambda i: edge.prose(i, 80 + i % 40) if i % 2 else " ".join(["Buy!", "##", "NOW"][(i + k) % 3] + edge.prose(i * 97 + k, 1) for k in range(80))
+    return [(i, text(i)) for i in range(n)], [(i, i % 2, 0) for i in range(n)]
+
+
+def test_quality_fit_of_repeated_rows(spark):
+    """The trees don't see how often a row stands in documents or labels, nor in what order."""
+    rows, marks = quality_rows(spark, 120)
+    docs = lambda r: spark.createDataFrame(r, "doc_id long, text string")
+    labels = lambda r: spark.createDataFrame(r, "doc_id long, quality int, toxic int")
+    one = quality.fit_quality(docs(rows), labels(marks), sample=200)
+    hot = rows[:1] * 2000 + rows[::-1] + rows[5:6] * 3
+    again = quality.fit_quality(docs(hot).repartition(5), labels(marks[::-1] + marks[:1] * 50), sample=200)
+    assert again.cut == one.cut and all(np.array_equal(getattr(again.trees, k), getattr(one.trees, k)) for k in ("feature", "threshold", "value"))
+    many = docs([(3, f"{t} {i}") for i, (_, t) in enumerate(rows)] + rows)  # an id with many texts: the bound takes the same rows in any order
+    a, b = (sorted(map(tuple, quality.sample_features(d, labels(marks), 20).collect())) for d in (many, many.repartition(7)))
+    assert a == b and len(a) <= 80
+
+
+def test_quality_cut_with_wrong_labels(spark):
+    """Some bad documents labelled good don't pull the cut down to their level."""
+    rows, marks = quality_rows(spark, 400)
+    wrong = [(i, 1 if i in (20, 40, 60) else q, t) for i, q, t in marks]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = quality.fit_quality(docs, spark.createDataFrame(wrong, "doc_id long, quality int, toxic int"))
+    got = {r.doc_id: r for r in quality.score_quality(docs, model).collect()}
+    assert model.cut == 0.5 and all(got[i].kept == bool(i % 2) for i in got if i not in (20, 40, 60))

@@ -5,14 +5,18 @@ The trees are fitted on at most `sample` labelled documents (a documented
 bound; those with the smallest hash of their id), flattened to numpy arrays
 and scored a batch at a time; a document fails if a base rule fails or its
 probability of good quality is below the model's cut.  The cut is 0.5, or lower
-so that at most `lose` of the good sample documents would go.
+so that at most `lose` of the good documents would go, by probabilities that
+each part of the sample gets from trees fitted on the other parts.  `lose` is
+above the share of wrong labels to expect, as these come first in that order.
 
 No shuffle over the texts: the sample's ids are the only thing broadcast, and
-their number is the bound.  State per document is its words.
+their number is the bound.  The features of equal rows are one row before the
+driver takes them; ids with several texts give at most `4 * sample` rows, those
+with the smallest hashes.  State per document is its words.
 
 Defined results: null text has no words, so its base rule fails; without labels
-(or with one class only) the base rules alone decide; labels of repeated rows
-count each; null doc_ids are scored like any other; extra columns are kept by
+(or with one class only) the base rules alone decide; several labels of an id
+count as what most of them say (a tie: bad); repeated rows count once; null doc_ids are scored like any other; extra columns are kept by
 `filter_quality` and ignored by `score_quality`; empty tables give empty
 results.
 """
@@ -31,7 +35,10 @@ from vitrine.llm.common import map_batches, table
 
 #: Labelled documents that the trees are fitted on, at most.
 SAMPLE = 20_000
-LOSE = 0.001
+#: The share of good documents below the cut, and the good documents below it, that may be no more than wrong labels.
+LOSE, FEW = 0.05, 5
+#: Parts of the sample for held-out probabilities.
+FOLDS = 3
 
 UPPER = bytes(range(65, 91))
 DIGITS = bytes(range(48, 58))
@@ -89,23 +96,44 @@ def _described(texts) -> tuple[np.ndarray, np.ndarray]:
             np.array([f for _, f in both]).reshape(len(both), len(FEATURES)))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lose: float = LOSE) -> QualityModel:
-    """Trees from at most `sample` labelled documents; their features are all that the driver gets."""
-    chosen = (labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select("doc_id", F.col("quality").cast("int").alias("quality"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample))
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+def sample_features(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """text_hash, quality and the features: a row per labelled doc_id and text, the same for any order or number of equal rows."""
+    chosen = (labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg((F.avg(F.col("quality").cast("int")) > 0.5).cast("int").alias("quality"))
+              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(F.broadcast(chosen), "doc_id")
+    same, names = ["doc_id", "text_hash", "quality"], [n for n, _ in FEATURES]
 
     def features(batch: pa.RecordBatch) -> pa.RecordBatch:
         _, x = _described(batch.column("text").to_pylist())
-        return pa.RecordBatch.from_arrays([batch.column("quality"), *(pa.array(x[:, j]) for j in range(x.shape[1]))], names=["quality", *(n for n, _ in FEATURES)])
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in same), *(pa.array(x[:, j]) for j in range(x.shape[1]))], names=[*same, *names])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    got = map_batches(rows, features, f"doc_id {kind}, text_hash long, quality int, " + ", ".join(f"{n} double" for n in names))
+    return (got.groupBy(*same).agg(*(F.min(n).alias(n) for n in names))
+            .orderBy(F.xxhash64("doc_id", "text_hash"), "doc_id", "text_hash").limit(4 * sample).drop("doc_id"))
+
 
-    got = map_batches(rows, features, "quality int, " + ", ".join(f"{n} double" for n, _ in FEATURES)).limit(4 * sample).toPandas()
+def held_out(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> np.ndarray:
+    """Each row's probability by trees fitted on the other folds; NaN if these have one class only."""
+    out = np.full(len(y), np.nan)
+    for k in np.unique(fold):
+        rest = fold != k
+        if 0 < y[rest].sum() < rest.sum():
+            out[~rest] = train(x[rest], y[rest], np.array([d for _, d in FEATURES])).probability(x[~rest])
+    return out
+
+
+def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lose: float = LOSE) -> QualityModel:
+    """Trees from at most `sample` labelled documents; their features are all that the driver gets."""
+    got = sample_features(docs, labels, sample).toPandas()
     got = got.sort_values(list(got.columns), kind="stable")  # the order in which tasks end must not matter
-    y, x = got["quality"].to_numpy(float), got.drop(columns="quality").to_numpy(float)
+    y, x = got["quality"].to_numpy(float), got.drop(columns=["text_hash", "quality"]).to_numpy(float)
     if not 0 < y.sum() < len(y):
         return QualityModel(None, 0.0)
-    trees = train(x, y, np.array([d for _, d in FEATURES]))
-    return QualityModel(trees, float(min(0.5, np.quantile(trees.probability(x)[y == 1], lose))))
+    good = held_out(x, y, got["text_hash"].to_numpy() % FOLDS)[y == 1]
+    good = good[~np.isnan(good)]
+    cut = min(0.5, np.quantile(good, min(0.5, max(lose, FEW / len(good))))) if len(good) else 0.5
+    return QualityModel(train(x, y, np.array([d for _, d in FEATURES])), float(cut))
 
 
 def _verdict(model: QualityModel, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
