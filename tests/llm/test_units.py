@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vitrine.llm import boosting, chat, decontaminate, graph, html_text, huffman, kneser_ney, licenses, packing, quality, secrets, simhash, token_files, tokens
+from vitrine.llm import boosting, chat, decontaminate, graph, html_text, huffman, kneser_ney, licenses, packing, quality, secrets, simhash, token_files, tokens, word_model
 from vitrine.llm.common import written
 
 
@@ -469,3 +469,57 @@ def test_quality_cut_with_wrong_labels(spark):
     model = quality.fit_quality(docs, spark.createDataFrame(wrong, "doc_id long, quality int, toxic int"))
     got = {r.doc_id: r for r in quality.score_quality(docs, model).collect()}
     assert model.cut == 0.5 and all(got[i].kept == bool(i % 2) for i in got if i not in (20, 40, 60))
+
+
+def test_word_model_against_a_plain_computation(spark):
+    """Counts and scores of both folds, by plain dictionaries; words beyond ASCII are told apart."""
+    r = random.Random(2)
+    stock = ["дом", "лес", "мир", "река", "the", "of", "words", "ὕδωρ", "γῆ", "und", ",", "."]
+    texts = [" ".join(r.choice(stock) for _ in range(r.randint(5, 60))) for _ in range(12)] + ["水火 山", "дом нечто", ""]
+    docs = spark.createDataFrame([(i, "aa" if i % 2 else "bb", t) for i, t in enumerate(texts)], "doc_id long, lang string, text string")
+    trusted = docs.where("doc_id < 12")
+    got = {x.doc_id: x for x in word_model.score_words(docs, word_model.word_counts(trusted)).collect()}
+    fold = {x.doc_id: x.fold for x in word_model._with_fold(docs).collect()}
+    split = lambda t: re.findall(r"[水火山]|\w+|\S", t)
+
+    def plain(i):
+        own = [split(texts[j]) for j in range(12) if j % 2 == i % 2 and fold[j] != fold[i]]
+        two = Counter(g for w in own for g in zip([None, *w], w))
+        one = Counter(b for _, b in two)
+
+        def cuts(count):
+            n = [0, *(sum(v == k for v in count.values()) for k in (1, 2, 3, 4))]
+            y = n[1] / (n[1] + 2 * n[2]) if n[1] + n[2] else 0
+            d = [min(k - 0.05, max(0.05, k - (k + 1) * y * n[k + 1] / n[k] if n[k] else k / 2)) for k in (1, 2, 3)]
+            return lambda c: d[min(c, 3) - 1] if c else 0
+
+        d1, d2 = cuts(one), cuts(two)
+        spare = sum(map(d1, one.values())) / sum(one.values()) / (len(one) + word_model.OPEN)
+        low = lambda b: (one[b] - d1(one[b])) / sum(one.values()) + spare
+        assert sum(map(low, one)) + word_model.OPEN * spare == pytest.approx(1)
+
+        def p(a, b):
+            after = [c for g, c in two.items() if g[0] == a]
+            return (two[a, b] - d2(two[a, b]) + sum(map(d2, after)) * low(b)) / sum(after) if after else low(b)
+
+        w = split(texts[i])
+        return len(w), np.exp(-np.mean([np.log(p(a, b)) for a, b in zip([None, *w], w)])) if w else None
+
+    for i in range(len(texts)):
+        n, want = plain(i)
+        assert got[i].n_symbols == n and got[i].model == docs.collect()[i].lang and (got[i].perplexity is None if want is None else got[i].perplexity == pytest.approx(want, rel=1e-5))
+
+
+def test_classifier_tells_words_apart(spark):
+    """Each language has limits of its own; Cyrillic text of known words stays, other Cyrillic words and labelled rejects go."""
+    r = random.Random(4)
+    stock = {"ru": "дом лес мир река вода хлеб свет путь".split(), "el": "γῆ ὕδωρ πῦρ φῶς λόγος".split()}
+    text = lambda words, n=80: " ".join(r.choice(words) for _ in range(n))
+    rows = [(i, lang, text(stock[lang])) for i, lang in ((i, ["ru", "el"][i % 2]) for i in range(400))]
+    noise = ["".join(r.choice("абвгдежзиклмнопрст") for _ in range(5)) for _ in range(500)]
+    rows += [(400 + i, "ru", text(noise)) for i in range(40)] + [(440 + i, "el", text(stock["ru"])) for i in range(40)]
+    labels = [(i, int(i < 400), 0) for i in range(480) if i % 3]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    got = {x.doc_id: x for x in kneser_ney.classify(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    assert len({(x.lang, x.low, x.high) for x in got.values()}) == 2
+    assert np.mean([got[i].kept for i in range(400)]) > 0.96 and not any(got[i].kept for i in range(400, 480))

@@ -1,25 +1,18 @@
-"""Operator 9, quality classifier: an interpolated modified Kneser-Ney n-gram model trained on trusted text.
+"""Operator 9, quality classifier: interpolated modified Kneser-Ney models of trusted text.
 
-Text is folded to an alphabet of 40 symbols (letters without case, classes for
-digits, punctuation, symbols, and eight for letters beyond ASCII), and the
-model is one of `ORDER`-grams of symbols per language, from the whole text of
-every trusted document.  Counts are summed in each task and then sharded by
-(language, n-gram); lower orders are continuation counts, and each order's
-probabilities come from joins of its counts with the totals of its contexts,
-the discounts of its language, and the order below.  There is a pooled model
-under the name `POOLED` for documents of languages without trusted text.
+`classify` scores documents by the word bigrams of `word_model`, whose counts
+are sharded by (language, bigram) in training and in scoring.  A document is
+kept if its perplexity lies within quantiles of the trusted documents of its
+language, none of which is scored by tables that count its own text.
 
-Scoring sends a language's table to the documents, never documents to shards of
-n-grams: a table has at most 40^ORDER entries (10 MB at four), however large
-the corpus is.  Languages go in groups of at most `GROUP`; each group scores the
-documents of its languages only, so the documents are read once in all.
-
-A document's perplexity is kept if it lies within quantiles of the trusted
-documents of its language, widened by `MARGIN`.
+The functions above it are a model of `ORDER`-grams over text folded to 40
+symbols (letters without case, classes for digits, punctuation, symbols, and
+eight for letters beyond ASCII).  It fits in one table of 40^ORDER entries a
+language; the operator does not use it.
 
 Defined results: text that is null, empty or blank has no perplexity and isn't kept;
-without trusted text there is no threshold and everything else is kept; null
-languages use the pooled model; several labels of a document trust it if one
+without trusted text there is no perplexity and no threshold and everything else is
+kept; null languages use the pooled model; several labels of a document trust it if one
 does; null doc_ids are scored; repeated rows each give a row; extra columns are
 ignored; an empty table gives an empty result.
 """
@@ -31,12 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import map_batches, table, written
+from vitrine.llm.common import table, written
+from vitrine.llm.word_model import POOLED, discounts, score_words, word_counts
 
 ORDER, SYMBOLS = 4, 40
-POOLED, GROUP = "*", 16
-#: Quantiles of trusted perplexities, and the factor by which the range is widened.
-LOW, HIGH, MARGIN = 0.001, 0.999, 1.05
+#: Quantiles of a language's trusted perplexities, and the factor by which the range is widened.
+LOW, HIGH, MARGIN = 0.005, 0.995, 1.0
 
 
 def _alphabet() -> np.ndarray:
@@ -91,14 +84,6 @@ def ngram_counts(docs: DataFrame) -> DataFrame:
     return written(own.where("lang IS NOT NULL").unionByName(own.groupBy("key").agg(F.sum("n").alias("n")).withColumn("lang", F.lit(POOLED))), "ngram-counts")
 
 
-def _discounts(grams: DataFrame) -> DataFrame:
-    """(lang, d1, d2, d3): what is taken from n-grams seen once, twice, and more often."""
-    of = [F.sum((F.col("n") == i).cast("double")).alias(f"n{i}") for i in (1, 2, 3, 4)]
-    y = F.when(F.col("n1") + F.col("n2") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(0.0)
-    taken = [F.when(F.col(f"n{i}") > 0, i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")).otherwise(F.lit(i / 2)) for i in (1, 2, 3)]
-    return grams.groupBy("lang").agg(*of).select("lang", *(F.least(F.lit(i - 0.05), F.greatest(F.lit(0.05), d)).alias(f"d{i}") for i, d in enumerate(taken, 1)))
-
-
 def kneser_ney(counts: DataFrame) -> DataFrame:
     """(lang, k, key, p, gamma): for each order k the probability of seen k-grams (p) and the weight left by seen contexts (gamma).
 
@@ -112,7 +97,7 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     out, below = None, None
     for k in range(1, ORDER + 1):
         d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        taken = (grams[k].join(F.broadcast(_discounts(grams[k])), "lang")  # a row per language
+        taken = (grams[k].join(F.broadcast(discounts(grams[k], "lang")), "lang")  # a row per language
                  .select("lang", "key", "n", d.alias("d"), F.floor(F.col("key") / SYMBOLS).alias("ctx")))
         totals = written(taken.groupBy("lang", "ctx").agg(F.sum("n").alias("total"), (F.sum("d") / F.sum("n")).alias("gamma")), f"ngram-contexts-{k}")
         own = (taken.join(totals, ["lang", "ctx"])
@@ -144,43 +129,6 @@ def log_table(k: np.ndarray, key: np.ndarray, p: np.ndarray, gamma: np.ndarray)
     return np.log(full).astype(np.float32)
 
 
-def score_perplexity(docs: DataFrame, model: DataFrame) -> DataFrame:
-    """doc_id, lang, model (the language of the table used), n_symbols, perplexity for each row of docs (doc_id, lang, text)."""
-    spark = docs.sparkSession
-    langs = sorted(r.lang for r in model.select("lang").distinct().collect())
-    own = [x for x in langs if x != POOLED]
-    docs = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
-    known = F.col("lang").isin(own) if own else F.lit(False)
-    known = F.coalesce(known, F.lit(False))
-    groups = [(own[i:i + GROUP], docs.where(F.col("lang").isin(own[i:i + GROUP]))) for i in range(0, len(own), GROUP)]
-    groups.append(([POOLED] if POOLED in langs else [], docs.where(~known)))
-    out = None
-    for names, part in groups:
-        tables = {}
-        for name in names:  # 40^ORDER rows at most
-            rows = model.where(F.col("lang") == name).toArrow()
-            tables[name] = log_table(*(rows.column(c).to_numpy() for c in ("k", "key", "p", "gamma")))
-        sent = spark.sparkContext.broadcast(tables)
-
-        def run(batch: pa.RecordBatch, sent=sent) -> pa.RecordBatch:
-            tables, used, sizes, found = sent.value, [], [], []
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                name = lang if lang in tables else POOLED if POOLED in tables else None
-                code = symbols(text) if text else ()
-                n = max(0, len(code) - ORDER + 1)
-                used.append(name)
-                sizes.append(n)
-                log = tables[name][keys(code)].mean(dtype=np.float64) if n and name else np.log(1 / SYMBOLS)
-                found.append(round(float(np.exp(-log)), 6) if n else None)
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(used, pa.string()), pa.array(sizes, pa.int64()), pa.array(found, pa.float64())],
-                                              names=["doc_id", "lang", "model", "n_symbols", "perplexity"])
-
-        kind = docs.schema["doc_id"].dataType.simpleString()
-        scored = map_batches(part, run, f"doc_id {kind}, lang string, model string, n_symbols long, perplexity double")
-        out = scored if out is None else out.unionByName(scored)
-    return out
-
-
 def trusted_ids(labels: DataFrame) -> DataFrame:
     """doc_ids that a label calls good and none calls toxic."""
     return (labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max((F.col("quality") == 1).cast("int")).alias("good"), F.max(F.coalesce(F.col("toxic"), F.lit(0)).cast("int")).alias("toxic"))
@@ -191,13 +139,14 @@ def classify(docs: DataFrame, labels: DataFrame, low: float = LOW, high: float =
     """doc_id, lang, n_symbols, perplexity, low, high, kept for each row of docs (doc_id, lang, text)."""
     trusted = trusted_ids(labels)
     # labels grow with the documents, so both sides are shuffled at any size
-    counts = ngram_counts(docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text").join(trusted.hint("merge"), "doc_id", "left_semi"))
-    scored = written(score_perplexity(docs, kneser_ney(counts)), "perplexities")
+    docs = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
+    counts = word_counts(docs.join(trusted.hint("merge"), "doc_id", "left_semi"), docs)
+    scored = written(score_words(docs, counts), "perplexities")
     known = scored.where("perplexity IS NOT NULL AND model IS NOT NULL").join(trusted, "doc_id", "left_semi")
     bounds = lambda rows: rows.groupBy("model").agg(F.percentile_approx("perplexity", F.array(F.lit(low), F.lit(high)), 100_000).alias("q"))
     both = bounds(known).where(F.col("model") != POOLED).unionByName(bounds(known.withColumn("model", F.lit(POOLED))))
     limits = both.select("model", (F.col("q")[0] / margin).alias("low"), (F.col("q")[1] * margin).alias("high"))
-    kept = F.when(F.col("perplexity").isNull(), False).otherwise(F.coalesce(F.col("perplexity").between(F.col("low"), F.col("high")), F.lit(True)))
+    kept = F.when(F.col("n_symbols") == 0, False).otherwise(F.coalesce(F.col("perplexity").between(F.col("low"), F.col("high")), F.lit(True)))
     return scored.join(F.broadcast(limits), "model", "left").select("doc_id", "lang", "n_symbols", "perplexity", "low", "high", kept.alias("kept"))  # limits: a row per language
 
 

@@ -1,0 +1,220 @@
+"""Interpolated modified Kneser-Ney bigrams of words, sharded by (language, bigram) in training and in scoring.
+
+Words are runs of letters or of digits of the lower-cased text as they are,
+every other character alone, and so are the characters of scripts that put no
+spaces between words.  Words and bigrams go as 64-bit hashes.  The counts grow
+with the trusted text and never leave Spark.
+
+Each document is scored by tables that its own text is not in: texts are dealt
+into two folds by hash, and a fold's tables count the trusted text of the other.
+So trusted and other documents have perplexities of one kind.  A fold without
+trusted text of a language takes the other fold's tables, a language without any
+the pooled ones, under the name `POOLED`.
+
+Scoring is two joins by (table, bigram): the distinct bigrams of the documents
+with the counts give log probabilities; these join the postings (for each batch
+of documents and bigram the documents that hold it and how often), and each
+document's sums are added up by its row number.  Postings make a row per batch
+of a bigram that every document holds.  Sums are of whole numbers, so their
+order does not matter.
+"""
+
+from __future__ import annotations
+
+import itertools
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import regex
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from vitrine.llm.common import sliced, written
+
+POOLED, FOLDS = "*", 2  # word_counts exchanges the two
+#: Words that a table has not seen, each of which may come: the vocabulary is open.
+OPEN = 1 << 20
+#: Log probabilities are kept as whole numbers of this part.
+UNIT = 1e9
+_ALONE = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
+_WORDS = regex.compile(rf"[{_ALONE}]|(?:(?![{_ALONE}])[\p{{L}}\p{{M}}])+|\p{{N}}+|\S").findall
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words in a row, words of each text); Python sees each distinct run without white space once."""
+    parts = pc.utf8_split_whitespace(pc.utf8_lower(texts.fill_null("")))
+    offsets = parts.offsets.to_numpy().astype(np.int64)
+    coded = parts.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+    found = [[xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) >> 1 | 1 for w in _WORDS(x)] for x in coded.dictionary.to_pylist()]
+    length = np.fromiter(map(len, found), np.int64, len(found))
+    flat = np.fromiter(itertools.chain.from_iterable(found), np.int64, int(length.sum()))
+    index = coded.indices.to_numpy().astype(np.int64)
+    n, start = length[index], np.cumsum(length) - length
+    at = np.cumsum(n) - n
+    out = flat[np.repeat(start[index] - at, n) + np.arange(int(n.sum()))]
+    return out, np.diff(np.concatenate([[0], np.cumsum(n)])[offsets - offsets[0]])
+
+
+def _bigrams(texts: pa.Array, group: np.ndarray):
+    """Arrays (group, pair, a, b, text, n), a row per group, bigram and text, sorted so; and the words of each text.
+
+    `a` is 0 before a text's first word; texts of a negative group are left out.
+    """
+    b, size = words(texts)
+    text = np.repeat(np.arange(len(size)), size)
+    a = np.concatenate([[0], b[:-1]])[:len(b)]
+    a[(np.cumsum(size) - size)[size > 0]] = 0
+    keep = group[text] >= 0
+    a, b, text = a[keep], b[keep], text[keep]
+    pair = a.astype(np.uint64) * _MIX
+    pair = ((pair ^ (pair >> np.uint64(29))) + b.astype(np.uint64)) * _MIX
+    pair = (pair ^ (pair >> np.uint64(32))).astype(np.int64)
+    order = np.lexsort((pair, group[text])) if len(np.unique(group)) > 1 else np.argsort(pair, kind="stable")  # both keep the texts' order
+    a, b, text, pair = a[order], b[order], text[order], pair[order]
+    new = np.ones(len(pair), bool)
+    own = group[text]
+    new[1:] = (pair[1:] != pair[:-1]) | (text[1:] != text[:-1]) | (own[1:] != own[:-1])
+    at = np.nonzero(new)[0]
+    return own[at], pair[at], a[at], b[at], text[at], np.diff(np.append(at, len(pair))), size
+
+
+def _firsts(group: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    new = np.ones(len(pair), bool)
+    new[1:] = (pair[1:] != pair[:-1]) | (group[1:] != group[:-1])
+    return np.nonzero(new)[0]
+
+
+def _with_fold(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int"))
+
+
+def _taker(names: list) -> tuple[np.ndarray, list]:
+    """Numbers of the distinct names (null: -1) and the names."""
+    kinds = list(dict.fromkeys(x for x in names if x is not None))
+    number = {x: i for i, x in enumerate(kinds)} | {None: -1}
+    return np.array([number[x] for x in names], np.int64), kinds
+
+
+def word_counts(docs: DataFrame, scored: DataFrame | None = None) -> DataFrame:
+    """(lang, fold, pair, a, b, n) over docs (lang, text): the text that the fold's tables count.
+
+    Also under POOLED, unless all languages of `scored` (lang) have text of their own.
+    """
+    def run(batches):
+        for batch in sliced(batches):
+            names = list(zip(batch.column("lang").to_pylist(), batch.column("fold").to_pylist(), strict=True))
+            group, kinds = _taker(names)
+            group, pair, a, b, _, n, _ = _bigrams(batch.column("text"), group)
+            at = _firsts(group, pair)
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in kinds], pa.string()).take(pa.array(group[at])), pa.array([k[1] for k in kinds], pa.int32()).take(pa.array(group[at])),
+                                                  *map(pa.array, (pair[at], a[at], b[at], np.add.reduceat(n, at)))], names=["lang", "fold", "pair", "a", "b", "n"])
+
+    sums = [F.min("a").alias("a"), F.min("b").alias("b"), F.sum("n").alias("n")]
+    seen = (_with_fold(docs.select("lang", "text")).mapInArrow(run, "lang string, fold int, pair long, a long, b long, n long")
+            .groupBy("lang", "fold", "pair").agg(*sums))
+    seen = written(seen, "word-counts")
+    seen = seen.withColumn("fold", 1 - F.col("fold"))  # what one fold's texts hold the other's tables count
+    own = seen.where("lang IS NOT NULL")
+    if scored is not None and scored.select("lang").distinct().join(own.select("lang").distinct(), "lang", "left_anti").isEmpty():
+        return own
+    return written(own.unionByName(seen.groupBy("fold", "pair").agg(*sums).withColumn("lang", F.lit(POOLED))), "word-counts")
+
+
+def discounts(grams: DataFrame, *by: str) -> DataFrame:
+    """(by, d1, d2, d3): what is taken from n-grams seen once, twice, and more often."""
+    of = [F.sum((F.col("n") == i).cast("double")).alias(f"n{i}") for i in (1, 2, 3, 4)]
+    y = F.when(F.col("n1") + F.col("n2") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(0.0)
+    taken = [F.when(F.col(f"n{i}") > 0, i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")).otherwise(F.lit(i / 2)) for i in (1, 2, 3)]
+    return grams.groupBy(*by).agg(*of).select(*by, *(F.least(F.lit(i - 0.05), F.greatest(F.lit(0.05), d)).alias(f"d{i}") for i, d in enumerate(taken, 1)))
+
+
+def log_probabilities(asked: DataFrame, counts: DataFrame) -> DataFrame:
+    """(lang, fold, pair, log) for asked (lang, fold, pair, a, b): the log probability of b after a, in UNITs."""
+    by = ["lang", "fold"]
+    d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+    less = lambda grams: grams.join(F.broadcast(discounts(grams, *by)), by).withColumn("d", d).drop("d1", "d2", "d3")  # noqa: E731  # a row per table
+    pairs = less(counts)
+    contexts = pairs.groupBy(*by, "a").agg(F.sum("n").alias("total"), (F.sum("d") / F.sum("n")).alias("gamma"))
+    ends = less(written(counts.groupBy(*by, "b").agg(F.count("*").alias("n")), "word-counts-1"))
+    whole = ends.groupBy(*by).agg(F.sum("n").alias("ends"), (F.sum("d") / F.sum("n") / (F.count("*") + OPEN)).alias("unseen"))
+    q = (asked.join(pairs.select(*by, "pair", (F.col("n") - F.col("d")).alias("own")), [*by, "pair"], "left")
+         .join(contexts, [*by, "a"], "left")
+         .join(ends.select(*by, "b", (F.col("n") - F.col("d")).alias("end")), [*by, "b"], "left")
+         .join(F.broadcast(whole), by))
+    low = F.coalesce(F.col("end"), F.lit(0.0)) / F.col("ends") + F.col("unseen")
+    p = F.when(F.col("total").isNull(), low).otherwise(F.coalesce(F.col("own"), F.lit(0.0)) / F.col("total") + F.col("gamma") * low)
+    return q.select(*by, "pair", F.round(F.log(p) * UNIT).cast("long").alias("log"))
+
+
+def score_words(docs: DataFrame, counts: DataFrame) -> DataFrame:
+    """doc_id, lang, model (the language of the tables used), n_symbols (words), perplexity for each row of docs (doc_id, lang, text)."""
+    tables = {(r.lang, r.fold) for r in counts.select("lang", "fold").distinct().collect()}  # FOLDS rows per language
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    docs = _with_fold(docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text"))
+
+    def table(lang, fold):
+        return next((t for name in (lang, POOLED) for t in [(name, (fold + i) % FOLDS) for i in range(FOLDS)] if t in tables), None)
+
+    def taken(batch: pa.RecordBatch):
+        names = [table(*x) for x in zip(batch.column("lang").to_pylist(), batch.column("fold").to_pylist(), strict=True)]
+        group, kinds = _taker(names)
+        column = lambda g: [pa.array([k[0] for k in kinds], pa.string()).take(pa.array(g)), pa.array([k[1] for k in kinds], pa.int32()).take(pa.array(g))]
+        return names, _bigrams(batch.column("text"), group), column
+
+    def distinct(batches):
+        for batch in sliced(batches):
+            _, (group, pair, a, b, _, _, _), column = taken(batch)
+            at = _firsts(group, pair)
+            if len(at):
+                yield pa.RecordBatch.from_arrays([*column(group[at]), *map(pa.array, (pair[at], a[at], b[at]))], names=["lang", "fold", "pair", "a", "b"])
+
+    asked = (docs.mapInArrow(distinct, "lang string, fold int, pair long, a long, b long")
+             .groupBy("lang", "fold", "pair").agg(F.min("a").alias("a"), F.min("b").alias("b")))
+    logs = log_probabilities(asked, counts)
+
+    posted = f"lang string, fold int, pair long, row long, body binary, doc_id {kind}, own string, model string, n long"
+
+    def post(batches):
+        for batch in sliced(batches):
+            used, (group, pair, _, _, text, n, size), column = taken(batch)
+            rows = batch.column("row").to_numpy()
+            schema = pa.schema([("lang", pa.string()), ("fold", pa.int32()), ("pair", pa.int64()), ("row", pa.int64()), ("body", pa.binary()),
+                                ("doc_id", batch.column("doc_id").type), ("own", pa.string()), ("model", pa.string()), ("n", pa.int64())])
+            none = lambda k: [pa.nulls(k, f.type) for f in list(schema)[5:]]
+            at = _firsts(group, pair)
+            if len(at):
+                body = np.stack([(rows[text] - rows[0]), n], axis=1).astype("<i4")
+                ends = np.append(at, len(pair)).astype(np.int64) * 8
+                for i in range(0, len(at), 100_000):
+                    part, stop = at[i:i + 100_000], ends[i:i + 100_001]
+                    held = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer((stop - stop[0]).astype("<i4")), pa.py_buffer(body.tobytes()[stop[0]:stop[-1]])])
+                    yield pa.RecordBatch.from_arrays([*column(group[part]), pa.array(pair[part]), pa.array(np.full(len(part), rows[0])), held, *none(len(part))], schema=schema)
+            k = batch.num_rows  # a row that stands for each document, under a key of its own
+            yield pa.RecordBatch.from_arrays([pa.array([""] * k), pa.array(np.zeros(k, np.int32)), pa.array(rows), pa.array(rows), pa.nulls(k, pa.binary()),
+                                              batch.column("doc_id"), batch.column("lang"), pa.array([u and u[0] for u in used], pa.string()), pa.array(size)], schema=schema)
+
+    def add(batches):
+        for batch in batches:
+            body = batch.column("body")
+            sizes = pc.fill_null(pc.binary_length(body), 0).to_numpy(zero_copy_only=False).astype(np.int64) // 8
+            flat = np.frombuffer(b"".join(x for x in body.to_pylist() if x), "<i4").reshape(-1, 2).astype(np.int64)
+            log = pc.fill_null(batch.column("log"), 0).to_numpy(zero_copy_only=False)
+            rows, at = np.unique(np.repeat(batch.column("row").to_numpy(), sizes) + flat[:, 0], return_inverse=True)
+            total = np.zeros(len(rows), np.int64)
+            np.add.at(total, at, np.repeat(log, sizes) * flat[:, 1])
+            heads = batch.filter(pc.is_null(body))
+            fields = ["doc_id", "own", "model", "n"]
+            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(total), *(pa.nulls(len(rows), batch.column(c).type) for c in fields)], names=["row", "log", *fields])
+            yield pa.RecordBatch.from_arrays([heads.column("row"), pa.array(np.zeros(heads.num_rows, np.int64)), *(heads.column(c) for c in fields)], names=["row", "log", *fields])
+
+    joined = (docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(post, posted)
+              .join(logs.hint("merge"), ["lang", "fold", "pair"], "left"))
+    sums = (joined.select("row", "body", "log", "doc_id", "own", "model", "n")
+            .mapInArrow(add, f"row long, log long, doc_id {kind}, own string, model string, n long")
+            .groupBy("row").agg(F.sum("log").alias("log"), *(F.max(c).alias(c) for c in ("doc_id", "own", "model", "n"))))
+    perplexity = F.when((F.col("n") > 0) & F.col("model").isNotNull(), F.round(F.exp(-F.col("log") / F.lit(UNIT) / F.col("n")), 6))
+    return sums.select("doc_id", F.col("own").alias("lang"), "model", F.col("n").alias("n_symbols"), perplexity.alias("perplexity"))
