@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from paths import SF01
 from vitrine.operators import relational as rel
 from vitrine.operators.series import counter_increase, running_sum, with_buckets
 from vitrine.plans import catalog as cat

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_mod
-from conftest import SF01
+from paths import SF01
 from harness import compare, duck
 from vitrine.plans.oracle_sql import ORACLE
 from vitrine.plans.registry import QUERIES

@@ -119,7 +119,7 @@ def test_hot_category_documents_exact(spark):
 
 
 def test_scans_prune_columns_and_push_filters(spark):
-    from conftest import SF01
+    from paths import SF01
     from vitrine.plans.registry import QUERIES
     plan = _plan(QUERIES["top_categories_raw"](spark, SF01))
     assert "ReadSchema: struct<p_size:int>" in plan

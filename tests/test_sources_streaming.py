@@ -7,7 +7,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from vitrine.plans import documents as docs
 from vitrine.plans.registry import QUERIES
 from vitrine.sources import fixtures as fx

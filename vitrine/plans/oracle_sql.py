@@ -409,8 +409,8 @@ ORACLE["rejected_rows_gaps"] = with_(GAPS, _src()) + _REJECTED
 ORACLE["categories_docs_gaps"] = with_(GAPS, _src(), _categories("cats", "src", "2025-01-01")) + """
 SELECT partner, category_id, path, level, total_products FROM cats"""
 ORACLE["multi_partner_offers_gaps"] = with_(GAPS, _src()) + """
-SELECT offer_id, count(DISTINCT partner) AS partners_cnt FROM src
-WHERE CAST(offer_id AS BIGINT) % 3 <> l_suppkey % 3 GROUP BY offer_id HAVING count(DISTINCT partner) > 1"""
+SELECT offer_id, count(DISTINCT CASE WHEN CAST(offer_id AS BIGINT) % 3 <> 0 THEN partner ELSE '_unknown' END) AS partners_cnt
+FROM src GROUP BY offer_id HAVING partners_cnt > 1"""
 ORACLE["category_children"] = with_(CATALOG_SRC, _src(), _categories("cats", "src", "2025-01-01")) + """
 SELECT c._id AS parent_id, k._id AS child_id FROM cats c LEFT JOIN cats k ON k.parent_path = c.path"""
 ORACLE["first_categories"] = with_(CATALOG_SRC, _src(), _categories("cats", "src", "2025-01-01")) + """
