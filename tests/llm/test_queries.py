@@ -32,7 +32,6 @@ def result(spark, name, key="doc_id"):
 @pytest.fixture(scope="module")
 def ids(documents):
     t = Tokenizer.from_file(vocabulary_path())
-    t.encode_special_tokens = True
     return [np.array([*e.ids, 0], "<u4") for e in t.encode_batch(documents.text.tolist(), add_special_tokens=False)]
 
 
@@ -42,8 +41,8 @@ def test_oracle(spark, name):
     assert not problems and n
 
 
-def test_ten_operators():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+def test_thirteen_operators():
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
 
 
 def test_quality_counts(spark, documents):

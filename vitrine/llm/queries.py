@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitrine.llm import chat, decontaminate, html_text, kneser_ney, licenses, packing, quality, secrets, simhash, token_files
+from vitrine.llm import chat, decontaminate, html_text, kneser_ney, licenses, packing, quality, ranked, secrets, simhash, substrings, token_files, whitening
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_secret_scan": secrets.op8_secret_scan,
     "op9_quality_classifier": kneser_ney.op9_quality_classifier,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
+    "op11_ranked_search": ranked.op11_ranked_search,
+    "op12_substring_dedup": substrings.op12_substring_dedup,
+    "op13_embedding_whitening": whitening.op13_embedding_whitening,
 }
 
 ORACLE = {
@@ -22,4 +25,5 @@ ORACLE = {
     "op3_chat_formatting": chat.ORACLE,
     "op7_benchmark_decontamination": decontaminate.ORACLE,
     "op8_secret_scan": secrets.ORACLE,
+    "op11_ranked_search": ranked.ORACLE,
 }
