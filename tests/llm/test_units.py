@@ -272,18 +272,41 @@ def test_containment_search_misses_nothing(spark):
             texts.append(edge.prose(r.randint(0, 99), 300) + " " + ", ".join(at).upper() + ". " + edge.prose(r.randint(0, 99), 200))
     docs, bench = edge.documents(spark, [*texts, None, "", "a b"]), spark.createDataFrame(items, "item_id long, text string")
 
-    def shingles(text):
-        words = decontaminate.words_of(text)
-        return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-    want = {(d, i) for d, t in enumerate(texts) for i, q in items if (a := shingles(q)) and len(a & shingles(t)) >= 0.8 * len(a)}
-    for chars in (1 << 20, 2000):
-        got = decontaminate.find_contained(docs, bench, block_chars=chars).collect()
-        assert {(r.doc_id, r.item_id) for r in got} == want and len(want) > 20
-        left = decontaminate.drop_contaminated(docs, bench, block_chars=chars)
+    def held(item, text):
+        """Shingles of the item, of five words or of all that it has, and how many of them the text holds."""
+        words, own = decontaminate.words_of(item), decontaminate.words_of(text)
+        width = min(5, len(words))
+        cut = lambda w: {tuple(w[i:i + width]) for i in range(len(w) - width + 1)} if width else set()
+        return len(cut(words)), len(cut(words) & cut(own))
+
+    want = {(d, i): n for d, t in enumerate(texts) for i, q in items for a, n in [held(q, t)] if a and n >= 0.8 * a}
+    assert len({len(decontaminate.words_of(q)) for (_, i) in want for k, q in items if k == i}) > 5
+    for size in (1 << 20, 3000):
+        got = decontaminate.find_contained(docs, bench, block_bytes=size).collect()
+        assert {(r.doc_id, r.item_id): r.n_shared for r in got} == want and len(want) > 20
+        left = decontaminate.drop_contaminated(docs, bench, block_bytes=size)
         assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == set(range(len(texts) + 3)) - {d for d, _ in want}
 
 
+def test_short_items_in_long_documents(spark):
+    index = decontaminate.ItemIndex([(1, "to be or not"), (2, "Not"), (3, "to be"), (4, "be or not to be or not")])
+    found = lambda t: {index.ids[q] for q, _ in index.contained(t)}
+    assert found("we say to be or not today my friend") == {1, 2, 3} and found("NOT") == {2} and found("be to or") == set()
+    assert found("they ask: be, or not to be, or not!") == {1, 2, 3, 4}
+    docs = spark.createDataFrame([(1, "we say to be or not today my friend"), (1, "nothing here"), (None, "is it NOT so"), (None, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "to be or not"), (8, "not")], "item_id long, text string")
+    for size in (1 << 20, 120):
+        assert sorted(map(tuple, decontaminate.drop_contaminated(docs, items, block_bytes=size).collect()), key=repr) == [(1, "nothing here"), (None, None)]
+
+
+def test_index_is_small():
+    """Less than half as many bytes again as there are for the items' text, whatever Python adds."""
+    import pickle
+    texts = [edge.prose(k, 200) for k in range(300)] + [edge.prose(k, 3) for k in range(3000)]
+    index = decontaminate.ItemIndex(list(enumerate(texts)))
+    assert len(pickle.dumps(vars(index))) - (1 << 20) < 2 * sum(map(len, texts)) + 60 * len(texts)
+
+
 def test_decontamination_edges(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = edge.documents(spark)
@@ -434,7 +457,7 @@ LONG = "<p>" + "A long paragraph, with commas, that scores. " * 9 + "</p>"
     (f'<article title="<!--">{LONG}<p>End.</p></article>', ["A long", "End."], []),
     (f"<article>{LONG}<p>End.</p><!-- broken > off <p>gone</p></article>", ["End."], ["gone", "broken"]),
     (f'<article><h2 id="related-work">Related work</h2>{LONG}<p class="notice">Mind this.</p><p>Take <span class="share">a share</span>.</p><div class="share">Post it</div></article>',
-     ["Related work", "Mind this.", "Take a share."], ["Post it"]),
+     ["Related work", "Take a share."], ["Mind this.", "Post it"]),  # notices go, as the contract says
 ])
 def test_html_whole_articles(page, kept, lost):
     text = html_text.main_text(page)

@@ -12,12 +12,13 @@ Documents with fewer shingles than the item needs are skipped by size.  What
 remains is verified by exact containment over the shingles themselves.
 
 The documents are read once, in place: no shuffle, and memory for one batch.
-The sketches go to the tasks in blocks of at most `BLOCK_CHARS` characters of
-items; a larger benchmark takes more blocks, each a pass over the documents.
+The sketches go to the tasks in blocks of at most `BLOCK_BYTES` as an index; a
+larger benchmark takes more blocks, each a pass over the documents.
 
 Words are runs of letters and digits (and of anything beyond ASCII) of the
-lower-cased text.  A text of one to four words has its whole sequence as its
-only shingle; a text without words has none and is never found.
+lower-cased text.  An item of one to four words has its whole sequence as its
+only shingle, and documents are probed with shingles of each such length that
+items have; an item without words is never found.
 
 Defined results: null text has no words; repeated documents and items each
 give their rows; null ids are carried; extra columns are ignored by
@@ -28,6 +29,7 @@ found.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +38,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from vitrine.llm.common import map_batches, table
+from vitrine.llm.common import free, map_batches, table
 
 WIDTH, SHARE = 5, 0.8
-BLOCK_CHARS = 32 << 20
+#: Bytes of a block of items as an index, and those of an item besides twice its text.
+BLOCK_BYTES, ITEM_BYTES = 64 << 20, 100
 _NOT_WORD = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -64,27 +67,33 @@ def shingle_texts(words: list[bytes], places, width: int = WIDTH) -> set[bytes]:
 
 
 class ItemIndex:
-    """Sketches of a block of items, by size class, with a bit table in front of the sorted hashes."""
+    """Sketches of a block of items, by size class, with a bit table in front of the sorted hashes.
+
+    Flat arrays all through: of an item of n shingles about n / 5 hashes, its
+    words as text, and some numbers; its shingles are taken from the words again
+    when a document is verified.
+    """
 
     def __init__(self, items: list[tuple[object, str | None]], share: float = SHARE):
-        self.share, self.ids, self.texts, self.keys, self.need, self.least = share, [], [], [], [], []
-        sketch, owner = [], []
+        words, sketch, owner, sizes = [], [], [], []
         for key, text in items:
-            words = words_of(text)
-            if not words:
+            own = words_of(text)
+            if not own:
                 continue
-            keys = np.unique(shingle_keys(words))
-            texts = shingle_texts(words, range(max(1, len(words) - WIDTH + 1)))
-            least = math.ceil(share * len(texts) - 1e-9)
-            size_class = len(texts).bit_length()
-            need = min(1 << max(0, size_class - 5), least)
-            k = min(len(keys), len(texts) - least + need)
-            sketch.append(keys[:k])
-            owner.append(np.full(k, len(self.ids)))
-            for part, x in ((self.ids, key), (self.texts, texts), (self.keys, keys), (self.need, need), (self.least, least)):
-                part.append(x)
-        self.need, self.least = np.array(self.need, int), np.array(self.least, int)
-        flat, own = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((sketch, np.uint64), (owner, int)))
+            width = min(WIDTH, len(own))
+            n = len(shingle_texts(own, range(len(own) - width + 1), width))
+            least = math.ceil(share * n - 1e-9)
+            need = min(1 << max(0, n.bit_length() - 5), least)
+            keys = np.unique(shingle_keys(own, width))[:n - least + need]
+            sketch.append(keys)
+            owner.append(np.full(len(keys), len(words), np.int32))
+            sizes.append((width, n, least, need))
+            words.append((key, b" ".join(own)))
+        self.ids, texts = [w[0] for w in words], [w[1] for w in words]
+        self.ends, self.text = np.cumsum([0, *map(len, texts)]), b"".join(texts)
+        self.width, self.size, self.least, self.need = np.array(sizes, np.int32).reshape(-1, 4).T
+        self.widths = np.unique(self.width).tolist()
+        flat, own = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((sketch, np.uint64), (owner, np.int32)))
         order = np.argsort(flat, kind="stable")
         self.sketch, self.owner = flat[order], own[order]
         self.bits = np.zeros(1 << 20, bool)
@@ -100,42 +109,48 @@ class ItemIndex:
     def contained(self, text: str | None) -> list[tuple[int, int]]:
         """(item, shared shingles) of every item of which `text` holds the share."""
         words = words_of(text)
-        keys = shingle_keys(words)
-        near = np.unique(keys[self.bits[(keys >> np.uint64(44)).astype(np.int64)]])
-        low, high = np.searchsorted(self.sketch, near, "left"), np.searchsorted(self.sketch, near, "right")
-        hits = [self.owner[a:b] for a, b in zip(low, high, strict=True) if b > a]
+        probes = {w: shingle_keys(words, w) for w in self.widths if w <= len(words)}  # short items have shingles of their own length
+        hits = []
+        for keys in probes.values():
+            near = np.unique(keys[self.bits[(keys >> np.uint64(44)).astype(np.int64)]])
+            low, high = np.searchsorted(self.sketch, near, "left"), np.searchsorted(self.sketch, near, "right")
+            hits += [self.owner[a:b] for a, b in zip(low, high, strict=True) if b > a]
         if not hits:
             return []
-        count = np.bincount(np.concatenate(hits), minlength=len(self.ids))
         found = []
-        for q in np.nonzero((count >= self.need) & (count > 0) & (len(keys) >= self.least))[0]:
-            shared = len(shingle_texts(words, np.nonzero(np.isin(keys, self.keys[q]))[0]) & self.texts[q])
+        for q, count in zip(*(x.tolist() for x in np.unique(np.concatenate(hits), return_counts=True)), strict=True):
+            width = int(self.width[q])
+            if count < self.need[q] or len(words) - width + 1 < self.least[q]:
+                continue
+            own = self.text[self.ends[q]:self.ends[q + 1]].split()
+            places = np.nonzero(np.isin(probes[width], shingle_keys(own, width)))[0]
+            shared = len(shingle_texts(words, places, width) & shingle_texts(own, range(len(own) - width + 1), width))
             if shared >= self.least[q]:
-                found.append((int(q), shared))
+                found.append((q, shared))
         return found
 
 
-def item_blocks(benchmark: DataFrame, share: float = SHARE, block_chars: int = BLOCK_CHARS) -> list[ItemIndex]:
-    """The benchmark in blocks whose size was checked before they are brought to the driver."""
-    items = benchmark.select("item_id", "text")
-    total = items.agg(F.sum(F.length("text")).alias("n")).first().n or 0
-    blocks = max(1, -(-total // block_chars))
+def item_blocks(benchmark: DataFrame, share: float = SHARE, block_bytes: int = BLOCK_BYTES) -> Iterator[ItemIndex]:
+    """The benchmark in blocks whose size as an index was checked before they are brought to the driver."""
+    items = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
+    total = items.agg(F.sum(F.octet_length("text") * 2 + ITEM_BYTES).alias("n")).first().n or 0
+    blocks = max(1, -(-total // block_bytes))
     for i in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i)
         yield ItemIndex([(r.item_id, r.text) for r in part.orderBy("item_id", "text").collect()], share)
 
 
-def find_contained(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def find_contained(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, item_id, n_shared, n_shingles, containment: a row per document and item at or above `share`."""
     spark, out, item_type = docs.sparkSession, None, to_arrow_type(benchmark.schema["item_id"].dataType)
     schema = docs.select("doc_id").schema.add(benchmark.schema["item_id"]).add("n_shared", "long").add("n_shingles", "long").add("containment", "double")
-    for index in item_blocks(benchmark, share, block_chars):
+    for index in item_blocks(benchmark, share, block_bytes):
         sent = spark.sparkContext.broadcast(vars(index))
 
         def run(batch: pa.RecordBatch, sent=sent) -> pa.RecordBatch:
             index, rows = ItemIndex.of(sent.value), []
             for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                rows += [(d, index.ids[q], n, len(index.texts[q]), n / len(index.texts[q])) for q, n in index.contained(t)]
+                rows += [(d, index.ids[q], n, int(index.size[q]), n / int(index.size[q])) for q, n in index.contained(t)]
             kinds = [batch.column("doc_id").type, None, pa.int64(), pa.int64(), pa.float64()]
             return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k] or item_type) for k in range(5)], names=schema.names)
 
@@ -144,18 +159,29 @@ def find_contained(docs: DataFrame, benchmark: DataFrame, share: float = SHARE,
     return out
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of `docs` that hold no item at or above `share`, with all their columns."""
-    spark, out = docs.sparkSession, docs
-    for index in item_blocks(benchmark, share, block_chars):
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of `docs` that hold no item at or above `share`, with all their columns.
+
+    One block of items filters the documents where they lie.  Of several, each
+    is a pass of its own, so that no task holds two; what they find (doc_id and
+    a hash of the text) is taken from the documents by one anti-join.
+    """
+    spark, found = docs.sparkSession, None
+    blocks = list(item_blocks(benchmark, share, block_bytes))
+    doc, text = free(docs, "found_doc"), free(docs, "found_text")
+    for index in blocks:
         sent = spark.sparkContext.broadcast(vars(index))
 
-        def run(batch: pa.RecordBatch, sent=sent) -> pa.RecordBatch:
+        def kept(batch: pa.RecordBatch, sent=sent, want=len(blocks) == 1) -> pa.RecordBatch:
             index = ItemIndex.of(sent.value)
-            return batch.filter(pa.array([not index.contained(t) for t in batch.column("text").to_pylist()], pa.bool_()))
+            return batch.filter(pa.array([(not index.contained(t)) == want for t in batch.column("text").to_pylist()], pa.bool_()))
 
-        out = map_batches(out, run, docs.schema)
-    return out
+        if len(blocks) == 1:
+            return map_batches(docs, kept, docs.schema)
+        part = map_batches(docs.select("doc_id", "text"), kept, docs.select("doc_id", "text").schema)
+        part = part.select(F.col("doc_id").alias(doc), F.xxhash64("text").alias(text)).distinct()
+        found = part if found is None else found.unionByName(part)
+    return docs.join(found.distinct(), docs["doc_id"].eqNullSafe(F.col(doc)) & (F.xxhash64(docs["text"]) == F.col(text)), "left_anti")
 
 
 def op7_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
@@ -163,15 +189,16 @@ def op7_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     return find_contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-def _shingles(name: str, key: str, source: str) -> str:
-    return rf"""{name} AS (SELECT DISTINCT rid, {key}, unnest(list_transform(range(1, greatest(len(w) - {WIDTH - 1}, 1) + 1), lambda i: array_to_string(w[i:i + {WIDTH - 1}], ' '))) AS s
-  FROM (SELECT row_number() OVER () AS rid, {key}, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM {source}) WHERE len(w) > 0)"""
-
+_WORDS = r"regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\x{80}-\x{10FFFF}]+')"
+_WINDOWS = "DISTINCT rid, width, unnest(list_transform(range(1, len(w) - width + 2), lambda i: array_to_string(w[i:i + width - 1], ' '))) AS s"
 
-#: The same by joining all shingles.
+#: The same by joining all shingles: an item's are of five words, or all of its words if it has fewer, and a document's of every length that items have.
 ORACLE = f"""
-WITH {_shingles("d", "doc_id", "documents")}, {_shingles("i", "item_id", "benchmark")},
-n AS (SELECT rid, count(*) AS n FROM i GROUP BY rid),
-p AS (SELECT d.rid AS drid, i.rid AS irid, doc_id, item_id, count(*) AS n_shared FROM d JOIN i USING (s) GROUP BY ALL)
+WITH i AS (SELECT row_number() OVER () AS rid, item_id, w, least(len(w), {WIDTH}) AS width FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
+i_s AS (SELECT {_WINDOWS} FROM i),
+d_s AS (SELECT {_WINDOWS} FROM d, (SELECT DISTINCT width FROM i) WHERE len(w) >= width),
+n AS (SELECT rid, count(*) AS n FROM i_s GROUP BY rid),
+p AS (SELECT d_s.rid AS drid, i_s.rid AS irid, count(*) AS n_shared FROM d_s JOIN i_s USING (width, s) GROUP BY ALL)
 SELECT doc_id, item_id, n_shared, n AS n_shingles, n_shared / n::DOUBLE AS containment
-FROM p JOIN n ON n.rid = irid WHERE n_shared >= ceil({SHARE} * n - 1e-9)"""
+FROM p JOIN n ON n.rid = irid JOIN d ON d.rid = drid JOIN i ON i.rid = irid WHERE n_shared >= ceil({SHARE} * n - 1e-9)"""
