@@ -134,9 +134,17 @@ def _cuts(slices: np.ndarray) -> Iterator[tuple[int, int, int]]:
 
 # ---------------------------------------------------------------- blocks
 def blocks_of(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(part, block, n_bytes, payload), written: the documents in blocks, a part being the blocks of one task."""
+    """(part, block, n_bytes, payload), written: the documents in blocks, a part being the blocks of some tasks.
+
+    Parts are numbered so that each is a bucket of its own, as even as the tasks.
+    """
+    spark = docs.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = [r.part for r in spark.range(64 * buckets).groupBy(F.pmod(F.hash("id"), F.lit(buckets)).alias("bucket")).agg(F.min("id").alias("part")).orderBy("bucket").collect()]
+
     def pack(batches):
-        part, n = TaskContext.get().partitionId(), 0
+        task = TaskContext.get().partitionId()
+        part, n = parts[task % len(parts)], task << 32
         for batch in itertools.chain.from_iterable(sliced([b], "text", block_bytes) for b in batches):
             held = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text").cast(pa.binary())], names=["doc_id", "text"])
             sink = pa.BufferOutputStream()
@@ -146,11 +154,10 @@ def blocks_of(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                                              names=["part", "block", "n_bytes", "payload"])
             n += 1
 
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(pack, "part long, block long, n_bytes long, payload binary")
     name = f"vitrine_blocks_{uuid.uuid4().hex}"
     (rows.write.format("parquet").option("path", f"{shared_folder(spark)}/llm/{name}")
-         .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "part").sortBy("part").saveAsTable(name))
+         .bucketBy(buckets, "part").sortBy("part").saveAsTable(name))
     held = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # the files stay, and the frame that reads them; only the catalogue forgets the name
     return held
