@@ -2,7 +2,7 @@
 
 Series are ``(metric, label, ts, value)`` samples.  Rates use
 ``operators.series.counter_increase``: increase over the trailing range
-divided by the range, resets tolerated, no extrapolation to the range edges.
+divided by the range, resets tolerated, extrapolated to the range edges on request.
 """
 
 from __future__ import annotations
@@ -10,10 +10,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.operators.series import counter_increase
+from vitrine.functions.columns import epoch_micros
+from vitrine.operators.series import DEFAULT_BUCKET_ROWS, counter_increase, series_bounds
 
-def _increase(samples: DataFrame, range_seconds: int) -> DataFrame:
-    return counter_increase(samples, ["metric", "label"], "ts", "value", range_seconds)
+
+SERIES = ["metric", "label"]
+
+
+def sample_bounds(samples: DataFrame, bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+    """What cuts the long series of a samples table into buckets; stored beside it."""
+    return series_bounds(samples.withColumn("__t", epoch_micros("ts")), SERIES, "__t", bucket_rows)
+
+
+def _increase(samples: DataFrame, range_seconds: int, bounds: DataFrame | None, extrapolate: bool) -> DataFrame:
+    return counter_increase(samples, SERIES, "ts", "value", range_seconds, bounds=bounds, extrapolate=extrapolate)
 
 
 def series(samples: DataFrame, metric: str) -> DataFrame:
@@ -21,15 +31,15 @@ def series(samples: DataFrame, metric: str) -> DataFrame:
     return samples.where(F.col("metric") == metric)
 
 
-def counter_rate(samples: DataFrame, metric: str, range_seconds: int) -> DataFrame:
+def counter_rate(samples: DataFrame, metric: str, range_seconds: int, bounds: DataFrame | None = None, extrapolate: bool = False) -> DataFrame:
     """H3: per-second rate of a counter over the trailing range."""
-    inc = _increase(series(samples, metric), range_seconds)
+    inc = _increase(series(samples, metric), range_seconds, bounds, extrapolate)
     return inc.select("metric", "label", "ts", (F.col("increase") / F.lit(float(range_seconds))).alias("rate"),
                       "samples")
 
 
 def ratio_of_rates(samples: DataFrame, numerator: str, denominator: str, range_seconds: int,
-                   scale: float = 1e6) -> DataFrame:
+                   scale: float = 1e6, bounds: DataFrame | None = None, extrapolate: bool = False) -> DataFrame:
     """H5 (+C9): ``rate(num) / rate(den) / scale`` for samples of both series
     at the same (label, ts).
 
@@ -38,7 +48,7 @@ def ratio_of_rates(samples: DataFrame, numerator: str, denominator: str, range_s
     present in both series are kept; a zero denominator gives null.
     """
     both = samples.where(F.col("metric").isin(numerator, denominator))
-    inc = _increase(both, range_seconds)
+    inc = _increase(both, range_seconds, bounds, extrapolate)
     m = inc.groupBy("label", "ts").agg(
         F.max(F.when(F.col("metric") == numerator, F.col("increase"))).alias("__num"),
         F.max(F.when(F.col("metric") == denominator, F.col("increase"))).alias("__den"))

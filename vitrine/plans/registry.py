@@ -371,13 +371,14 @@ RATE_RANGE_SECONDS = 6 * 3600
 
 @register("counter_rate")
 def q_counter_rate(spark, sf_dir):
-    return met.counter_rate(fx.metric_samples(spark, sf_dir), fx.QUERIES_METRIC, RATE_RANGE_SECONDS)
+    return met.counter_rate(fx.metric_samples(spark, sf_dir), fx.QUERIES_METRIC, RATE_RANGE_SECONDS,
+                            fx.metric_bounds(spark, sf_dir))
 
 
 @register("latency_ratio")
 def q_latency_ratio(spark, sf_dir):
     return met.ratio_of_rates(fx.metric_samples(spark, sf_dir), fx.TIME_METRIC, fx.QUERIES_METRIC,
-                              RATE_RANGE_SECONDS)
+                              RATE_RANGE_SECONDS, bounds=fx.metric_bounds(spark, sf_dir))
 
 
 @register("gauge_scaled")

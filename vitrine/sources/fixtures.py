@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from vitrine.functions.columns import hour_floor
 from vitrine.operators.series import running_sum
 from vitrine.sources.load import load_path, load_table
-from vitrine.sources.store import write_once
+from vitrine.plans.metrics import sample_bounds
+from vitrine.sources.store import materialize, store_path, write_once
 from vitrine.sources.tables import read_table, session_view, table_stamp
 
 # Fixed values of the mapping: the row order that stands for file order.
@@ -166,6 +167,11 @@ def metric_samples(spark: SparkSession, sf_dir: str, bucket_rows: int = METRIC_B
                       ["ts", "metric", "label", "value"], ["events"], in_order=True)
 
 
+def metric_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What cuts the long series of the samples into buckets, computed once and stored."""
+    return materialize(spark, store_path(spark, "metric_bounds", sf_dir, ["events"]), lambda: sample_bounds(metric_samples(spark, sf_dir)))
+
+
 def metric_samples_path(spark: SparkSession, sf_dir: str) -> str:
     """The finished build of the loaded samples, as files a stream can replay."""
     metric_samples(spark, sf_dir)
