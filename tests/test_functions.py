@@ -83,3 +83,14 @@ def test_require_columns_raises(spark):
     df = spark.createDataFrame([(1,)], "Partner_Name int")
     with pytest.raises(ValueError, match="Missing columns"):
         require_columns(df)
+
+
+def test_rounding_by_the_exact_value(spark):
+    import random
+    r = random.Random(2)
+    values = [2.675, 0.125, 0.375, 1.005, 2.5, 3.5, -2.5, -0.125, -2.675, 0.0, 1e-9, 1e15 + 0.3, 4503599627370497.5, 1e300, -1e300, float("inf"), 0.285, 1.115, 8.345, 5e-324]
+    values += [r.uniform(-1000, 1000) for _ in range(3000)] + [k / 8 for k in range(-400, 400)] + [k / 200 for k in range(-2000, 2000)] + [r.uniform(-1, 1) * 10 ** r.randint(-5, 14) for _ in range(2000)]
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double")
+    for digits in (0, 1, 2, 5):
+        got = df.select("x", fn.round_half_even("x", digits).alias("y")).collect()
+        assert all(q.y == (None if q.x is None else q.x if q.x == float("inf") else float(round(q.x, digits))) for q in got)

@@ -202,3 +202,62 @@ def test_bursty_series_is_cut_by_rows(spark):
     out = with_buckets(s, s.withColumnRenamed("t", "at"), ["k"], "at", {"b": F.col("t")}, target)
     sizes = [r["count"] for r in out.groupBy("b").count().collect()]
     assert max(sizes) <= 2 * target and len(sizes) >= n / target * 0.8
+
+
+def test_extrapolated_increase_against_a_plain_computation(spark):
+    import random
+    r = random.Random(9)
+    at, pts, value = 0, [], 0
+    for _ in range(500):
+        at += r.choice([5, 15, 15, 15, 40, 200])
+        value = r.randint(0, 2) if r.random() < 0.1 else value + r.randint(0, 9)
+        pts.append((at, value))
+    span, want = 120, {}
+    for i, (t, _) in enumerate(pts):
+        inside = [p for p in pts[:i + 1] if p[0] > t - span]
+        if len(inside) < 2:
+            continue
+        inc = sum(b if b < a else b - a for (_, a), (_, b) in zip(inside, inside[1:]))
+        sampled, lead = t - inside[0][0], inside[0][0] - (t - span)
+        gap = sampled / (len(inside) - 1)
+        if inc > 0:
+            lead = min(lead, sampled * inside[0][1] / inc)
+        want[t] = inc * (sampled + (lead if lead < 1.1 * gap else gap / 2)) / sampled
+    for rows in (9, 10 ** 6):
+        out = counter_increase(_samples(spark, pts), ["metric", "label"], "ts", "value", span, bucket_rows=rows, extrapolate=True).collect()
+        got = {int((q.ts - dt.datetime(2024, 1, 1)).total_seconds()): q.increase for q in out}
+        assert got.keys() == want.keys() and all(abs(got[t] - want[t]) < 1e-9 for t in want)
+
+
+def test_counter_rate_reads_and_sorts_its_samples_little(spark):
+    """One scan, three exchanges of samples, and two sorts of them."""
+    import re
+
+    from vitrine.plans import metrics as met
+    samples, bounds = fx.metric_samples(spark, SF01), fx.metric_bounds(spark, SF01)
+    plan = met.counter_rate(samples, fx.QUERIES_METRIC, 21600, bounds)
+    plan.collect()
+    final = plan._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    count = lambda pattern: len(re.findall(pattern, final))
+    assert count(r"FileScan parquet \[metric") <= 2 and count(r"\bSort \[[^\]]*__at") <= 2
+    # by (series, time), by (series, bucket), by (series, time); the others carry a row per bucket
+    assert count(r"(?<!Reused)Exchange hashpartitioning\([^)]*(ts|__ts)#") == 2 and count(r"Window \[") <= 8
+    assert count(r"(?<!Reused)Exchange hashpartitioning\(__s#\d+, __b#") <= 2
+
+
+def test_stored_bounds_give_the_same_increases(spark):
+    pts = [(i * 15, (i * 7) % 50) for i in range(1500)] + [(30_000 + i, i) for i in range(1500)]
+    s = _samples(spark, pts)
+    from vitrine.plans import metrics as met
+    bounds = met.sample_bounds(s, 40)
+    assert len(bounds.first().bounds) > 60
+    a = met.counter_rate(s, "m", 300, bounds).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, met.counter_rate(s, "m", 300).collect()))
+
+
+def test_bucket_of_many_bounds(spark):
+    from vitrine.operators.series import bucket_of
+    bounds = sorted({(k * k) % 4001 for k in range(900)})
+    df = spark.range(-5, 4200).select("id", F.lit(bounds).alias("b"), F.lit(None).cast("array<bigint>").alias("none"))
+    got = df.select("id", bucket_of(F.col("b"), F.col("id")).alias("k"), bucket_of(F.col("none"), F.col("id")).alias("z"), bucket_of(F.array().cast("array<bigint>"), F.col("id")).alias("e")).collect()
+    assert all((r.k, r.z, r.e) == (sum(b <= r.id for b in bounds), 0, 0) for r in got)

@@ -127,3 +127,29 @@ def test_scans_prune_columns_and_push_filters(spark):
     assert "ReadSchema: struct<user_id:bigint>" in plan and "PushedFilters: [IsNotNull(user_id)]" in plan
     plan = _plan(QUERIES["events_by_device"](spark, SF01))
     assert "ReadSchema: struct<event_type:string>" in plan
+
+
+def test_hot_parent_is_spread_over_tasks(spark):
+    """One path is the parent of most categories: its children are dealt into salts, on both sides."""
+    from vitrine.plans import hierarchy as hi
+    n = 6000
+    kids = [(f"k{i}", f"root/{i}", "root") for i in range(n)]
+    rows = [("r1", "root", None), ("r2", "root", None), ("leaf", "alone", None), ("nopath", None, None), ("x", "other", None), ("y", "other/1", "other"), *kids]
+    cats = spark.createDataFrame(rows, "_id string, path string, parent_path string")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+           if spark.conf.get(k, None) is not None}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = hi.category_children(cats, children_per_salt=300).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled"):
+            spark.conf.set(k, old[k]) if k in old else spark.conf.unset(k)
+    pairs = sorted(((r.parent_id, r.child_id) for r in got), key=repr)
+    want = [(p, f"k{i}") for p in ("r1", "r2") for i in range(n)] + [("x", "y")] + [(i, None) for i in ("leaf", "nopath", "y", *(k for k, _, _ in kids))]
+    assert pairs == sorted(want, key=repr)
+    tasks = {}
+    for r in got:
+        if r.parent_id == "r1":
+            tasks[r.task] = tasks.get(r.task, 0) + 1
+    assert len(tasks) >= 6 and max(tasks.values()) < n / 3

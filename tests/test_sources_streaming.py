@@ -118,45 +118,52 @@ def test_pre_aggregates_equal_raw_forms(spark):
     assert spark.sql("SELECT count(*) FROM ecom_offers").first()[0] == 200
 
 
-def test_versioned_collections_upsert(spark):
-    from vitrine.sources.store import current_version, read_current, remove_versions
-    root = tempfile.mkdtemp(prefix="vitrine-coll-") + "/products"
+def _files_of(spark, root):
+    return {r.f: r.prefix for r in spark.read.parquet(f"{root}/docs").select(F.input_file_name().alias("f"), "prefix").distinct().collect()}
+
+
+def test_stored_collections_upsert(spark):
+    root = tempfile.mkdtemp(prefix="vitrine-coll-")
     src = fx.catalog_src(spark, SF001)
     first = src.where(F.col("load_date") < F.lit("1998-01-01").cast("date"))
     second = src.where(F.col("load_date") >= F.lit("1997-01-01").cast("date"))
     t1, t2 = dt.datetime(2025, 1, 1), dt.datetime(2025, 2, 1)
-    assert docs.upsert_collection(spark, root, docs.products_docs(first, fx.CATALOG_ROW_ORDER, t1), "products") == 1
-    assert docs.upsert_collection(spark, root, docs.products_docs(second, fx.CATALOG_ROW_ORDER, t2), "products") == 2
-    got = sorted(map(tuple, docs.products_flat(read_current(spark, root)).collect()))
-    want = sorted(map(tuple, QUERIES["products_upsert"](spark, SF001).collect()))
-    assert got == want
-    # The same load again changes nothing but ``updated_at``; old versions stay until they are removed.
-    docs.upsert_collection(spark, root, docs.products_docs(second, fx.CATALOG_ROW_ORDER, t2), "products")
-    docs.upsert_collection(spark, root, docs.products_docs(second, fx.CATALOG_ROW_ORDER, t2), "products")
-    assert current_version(spark, root) == 4
-    assert remove_versions(spark, root, 3600) == [] and remove_versions(spark, root, 0) == [1, 2, 3]
-    assert sorted(map(tuple, docs.products_flat(read_current(spark, root)).collect())) == want
-    croot = root.replace("products", "categories")
-    docs.upsert_collection(spark, croot, docs.categories_docs(first, fx.CATALOG_ROW_ORDER, t1), "categories")
-    docs.upsert_collection(spark, croot, docs.categories_docs(second, fx.CATALOG_ROW_ORDER, t2), "categories")
-    got = sorted(map(tuple, docs.categories_flat(read_current(spark, croot)).collect()))
-    assert got == sorted(map(tuple, QUERIES["categories_upsert"](spark, SF001).collect()))
-
-
-def test_merging_deltas_keeps_totals(spark):
-    path = tempfile.mkdtemp(prefix="vitrine-merge-") + "/d"
-    schema = spark.createDataFrame([], "k int, n long")
-    total = lambda: sorted(map(tuple, inc.read_deltas(spark, path, ["k"], "n", schema).collect()))
-    assert inc.merge_deltas(spark, path, ["k"], "n") == -1 and total() == []
-    for b, rows in enumerate([[(1, 2), (2, 3)], [(1, 1)], [(3, 5)]]):
-        inc.write_delta(spark.createDataFrame(rows, "k int, n long"), path, b)
-    before = total()
-    assert inc.merge_deltas(spark, path, ["k"], "n") == 2 and total() == before
-    inc.write_delta(spark.createDataFrame([(2, 10)], "k int, n long"), path, 3)   # a later batch
-    assert total() == [(1, 3), (2, 13), (3, 5)]
-    assert inc.merge_deltas(spark, path, ["k"], "n") == 3 and inc.merge_deltas(spark, path, ["k"], "n") == 3
-    inc.remove_merged(spark, path)
-    assert inc.batch_ids(spark, path) == [] and total() == [(1, 3), (2, 13), (3, 5)]
+    for kind, build, flat in (("products", docs.products_docs, docs.products_flat), ("categories", docs.categories_docs, docs.categories_flat)):
+        stored = lambda: sorted(map(tuple, flat(docs.read_collection(spark, f"{root}/{kind}")).collect()))  # noqa: B023, E731
+        want = sorted(map(tuple, QUERIES[f"{kind}_upsert"](spark, SF001).collect()))
+        docs.upsert_collection(spark, f"{root}/{kind}", build(first, fx.CATALOG_ROW_ORDER, t1), kind, prefixes=8)
+        for _ in range(2):  # the same load again changes nothing
+            docs.upsert_collection(spark, f"{root}/{kind}", build(second, fx.CATALOG_ROW_ORDER, t2), kind, prefixes=8)
+            assert stored() == want
+
+
+def test_upsert_touches_its_prefixes_only(spark):
+    root = tempfile.mkdtemp(prefix="vitrine-prefix-") + "/c"
+    schema = "_id string, v int"
+    docs.upsert_collection(spark, root, spark.createDataFrame([(f"d{i}", 1) for i in range(200)], schema), "categories", prefixes=16)
+    before = _files_of(spark, root)
+    assert set(before.values()) == set(range(16))
+    load = spark.createDataFrame([("d7", 2), ("new", 2)], schema)
+    docs.upsert_collection(spark, root, load, "categories", prefixes=16)
+    after, touched = _files_of(spark, root), {r.prefix for r in docs._with_prefix(load, 16).collect()}
+    assert {f for f, p in before.items() if p not in touched} == {f for f, p in after.items() if p not in touched}
+    assert not {f for f, p in after.items() if p in touched} & set(before)
+    got = {r._id: r.v for r in docs.read_collection(spark, root).collect()}
+    assert len(got) == 201 and got["d7"] == got["new"] == 2 and sum(got.values()) == 203
+
+
+def test_upsert_that_dies_is_finished(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="vitrine-dies-") + "/c"
+    schema = "_id string, v int"
+    frame = lambda rows: spark.createDataFrame(rows, schema)
+    docs.upsert_collection(spark, root, frame([("a", 1), ("b", 1)]), "categories", prefixes=4)
+    with monkeypatch.context() as m:
+        m.setattr(docs, "_apply_staged", lambda *_: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        with pytest.raises(RuntimeError):
+            docs.upsert_collection(spark, root, frame([("b", 2)]), "categories", prefixes=4)
+    assert {r._id: r.v for r in docs.read_collection(spark, root).collect()} == {"a": 1, "b": 1}
+    docs.upsert_collection(spark, root, frame([("c", 3)]), "categories", prefixes=4)
+    assert {r._id: r.v for r in docs.read_collection(spark, root).collect()} == {"a": 1, "b": 2, "c": 3}
 
 
 def test_json_sink_writes_one_document_per_line(spark):
@@ -210,7 +217,7 @@ s.sparkContext.setLogLevel("ERROR")
 cats = inc.stream_category_counts(s, {src!r})
 daily = inc.stream_offer_events(s, {src!r})
 print("RESULT", sum(r.offers_cnt for r in cats.collect()), sum(r.events_cnt for r in daily.collect()),
-      len(inc.batch_ids(s, inc.stream_folder(s, "catalog_counts", {src!r}) + "/category")))
+      s.read.parquet(inc.stream_folder(s, "catalog_counts", {src!r}) + "/category").select("batch_id").distinct().count())
 """
 
 
@@ -278,8 +285,8 @@ def test_streams_over_several_micro_batches(spark):
     for t in ["part", "events"]:
         spark.read.parquet(f"{SF001}/{t}.parquet").repartition(4).write.parquet(f"{src_dir}/{t}.parquet")
     cats = inc.stream_category_counts(spark, src_dir, max_files=1)
-    batches = inc.batch_ids(spark, inc.stream_folder(spark, "catalog_counts", src_dir) + "/category")
-    assert len(batches) == 4
+    batches = spark.read.parquet(inc.stream_folder(spark, "catalog_counts", src_dir) + "/category").select("batch_id").distinct()
+    assert batches.count() == 4
     from vitrine.plans import aggregates as agg
     offers, events = fx.offers(spark, src_dir), fx.raw_events(spark, src_dir)
     assert sorted(map(tuple, cats.collect())) == sorted(map(tuple, agg.category_counts(offers).collect()))
@@ -288,3 +295,117 @@ def test_streams_over_several_micro_batches(spark):
     daily = inc.stream_offer_events(spark, src_dir, max_files=1)
     assert sorted(map(tuple, daily.collect())) == \
         sorted(map(tuple, agg.offer_events_daily(events, offers).collect()))
+
+
+def test_delta_table_before_and_after_a_batch(spark):
+    path = tempfile.mkdtemp(prefix="vitrine-none-") + "/d"
+    empty = spark.createDataFrame([], "k int, n long")
+    assert inc.read_deltas(spark, path, ["k"], "n", empty).collect() == []
+    inc.write_delta(spark.createDataFrame([(1, 2), (1, 3)], "k int, n long"), path, 7)
+    inc.write_delta(empty, path, 8)                                     # a batch without rows
+    inc.write_delta(spark.createDataFrame([(1, 9)], "k int, n long"), path, 7)   # replayed with another result
+    assert [tuple(r) for r in inc.read_deltas(spark, path, ["k"], "n", empty).collect()] == [(1, 9)]
+
+
+def test_panes_of_a_burst_are_bounded(spark):
+    """A million samples of one series in one hour, half of them within a second."""
+    n = 1_000_000
+    ts = F.timestamp_micros(F.lit(1_700_000_000_000_000 - 1_700_000_000_000_000 % 3_600_000_000) + F.when(F.col("id") < n // 2, F.col("id") * 7_000).otherwise(3_550_000_000 + F.col("id")))
+    s = spark.range(0, n).select(F.lit("m").alias("metric"), F.lit("l").alias("label"), ts.alias("ts"), (F.col("id") % 1000).cast("double").alias("value"))
+    series, panes, sizes = ["metric", "label"], inc.instants(s, ["metric", "label"]), []
+    assert inc.pane_widths(3600) == [1_000, 1_000_000, 3_600_000_000] and inc.pane_widths(90) == [1_000, 1_000_000, 90_000_000]
+    for width in inc.pane_widths(3600):
+        arrays = inc.gathered(panes, series, f"{width} microseconds").persist()
+        sizes.append(arrays.agg(F.max(F.size("parts"))).first()[0])
+        panes = inc.folded(arrays, series)
+    assert max(sizes) <= inc.FAN_OUT and sizes[0] == 1000
+    row = panes.collect()
+    assert len(row) == 1 and (row[0].n, row[0].first, row[0].last, row[0].inside) == (n, 0.0, 999.0, float(n - n // 1000))
+    rates = inc.windowed_rates(s, 3600, 3600, 0).collect()
+    assert [(r.samples, r.rate * 3600) for r in rates] == [(n, pytest.approx(n - n // 1000))]
+
+
+def test_largest_value_at_an_instant_counts_in_a_stream(spark):
+    base = dt.datetime(2024, 1, 1)
+    rows = [("m", "l", base + dt.timedelta(seconds=s), float(v)) for s, v in ((0, 3), (15, 5), (15, 7), (15, 7), (30, 9))]
+    s = spark.createDataFrame(rows, "metric string, label string, ts timestamp, value double")
+    assert [(r.samples, r.rate * 60) for r in inc.windowed_rates(s, 60, 60, 0).collect()] == [(3, 6.0)]
+
+
+# ---------------------------------------------------------------- splittable CSV
+def _big_csv(seed, rows, end="\n"):
+    import csv
+    import random
+    r = random.Random(seed)
+    path = tempfile.mkdtemp(prefix="vitrine-split-") + "/one.csv"
+    want = []
+    with open(path, "w", newline="") as f:
+        w = csv.writer(f, lineterminator=end)
+        w.writerow(["0", "offer_id", "price", "seller_id", "category_id", "vendor"])
+        for i in range(rows):
+            vendor = "".join(r.choice(['a', 'é', ' ', ',', '""', '"', "\n", "\r\n", "\n\n", "x,y\n1,2,3,4,5,6"]) for _ in range(r.choice([0, 1, 3, 12]))) if r.random() < 0.4 else f"vendor {i}"
+            if r.random() < 0.01:
+                vendor = "line\n" * 400                                # longer than a split
+            want.append((i, i / 4, i % 7, i % 11, vendor))
+            w.writerow(["0", *want[-1]])
+    return path, want
+
+
+@pytest.mark.parametrize("seed,end,split,sent", [(1, "\n", "1k", 100_000), (2, "\r\n", "700b", 100_000), (3, "\n", "3k", 0), (4, "\n", "1g", 100_000)])
+def test_one_csv_file_is_read_by_many_tasks(spark, monkeypatch, seed, end, split, sent):
+    path, want = _big_csv(seed, 900, end)
+    monkeypatch.setattr(tb, "PIECES_SENT", sent)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        splits = tb.csv_lines(spark, path).select("block").distinct().count()
+        got = sorted(map(tuple, tb.read_offers_csv(spark, path).collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+    assert got == want and splits >= (8 if split != "1g" else 1)
+
+
+def test_csv_quote_that_is_never_closed_raises(spark):
+    path = tempfile.mkdtemp(prefix="vitrine-open-") + "/o.csv"
+    with open(path, "w") as f:
+        f.write('0,1,1.0,1,1,v\n0,2,1.0,1,1,"open\n0,3,1.0,1,1,v\n')
+    with pytest.raises(Exception, match="never closed"):
+        tb.read_offers_csv(spark, path).collect()
+
+
+# ---------------------------------------------------------------- repeatable loads
+def test_load_that_dies_between_inserts_is_repeated(spark, monkeypatch):
+    loc, db = tempfile.mkdtemp(prefix="vitrine-dies-"), "ecom_dies"
+    offers, events = fx.offers(spark, SF001), fx.raw_events(spark, SF001)
+    with monkeypatch.context() as m:
+        m.setattr(tb, "insert_raw_events", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        with pytest.raises(RuntimeError):
+            tb.load_namespace(spark, offers, events, db, loc)
+    assert tb.loaded_on(spark, db) is None and spark.table(f"{db}.ecom_offers").count() == 200
+    for _ in range(2):
+        assert tb.load_namespace(spark, offers, events, db, loc) == str(dt.date.today())
+        assert spark.table(f"{db}.ecom_offers").count() == 200 and spark.table(f"{db}.raw_events").count() == events.count()
+    tb.insert_offers(spark, offers, db)                                 # a later load appends
+    assert spark.table(f"{db}.ecom_offers").count() == 400
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_replaced_file_changes_the_stamp(spark):
+    import os
+    d = tempfile.mkdtemp(prefix="vitrine-stamp-")
+    os.makedirs(f"{d}/t.parquet/p=1")
+    for name in ("a", "b"):
+        with open(f"{d}/t.parquet/p=1/{name}", "w") as f:
+            f.write("12345")
+    stamp = lambda: tb.table_stamp(spark, d, ["t"])
+    first = stamp()
+    assert stamp() == first
+    kept = os.stat(f"{d}/t.parquet")
+    with open(f"{d}/t.parquet/p=1/b", "w") as f:
+        f.write("54321")                                                # of equal size, deeper than the table's folder
+    os.utime(f"{d}/t.parquet/p=1/b", (1, 1))
+    os.utime(f"{d}/t.parquet", ns=(kept.st_atime_ns, kept.st_mtime_ns))
+    assert stamp() != first

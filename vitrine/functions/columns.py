@@ -107,3 +107,35 @@ def hour_floor(ts_ntz) -> Column:
 def safe_ratio(num, den) -> Column:
     """Division that gives null on a zero or missing denominator."""
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
+
+
+_SPLITTER = float((1 << 27) + 1)
+
+
+def round_half_even(x, digits: int = 0) -> Column:
+    """A double rounded to ``digits`` decimals as Python's ``round`` does (G18):
+    by its exact binary value, halves to the even digit (2.675 lies below the
+    half and gives 2.67, 0.125 is one and gives 0.12).
+
+    The product with the power of ten is taken exactly, as a double and what
+    was rounded off it (both factors split into halves of 26 bits), so it is
+    compared with the half as it is.
+    """
+    power = 10.0 ** digits
+    x = _c(x).cast("double")
+
+    def high(v: Column) -> Column:
+        c = v * F.lit(_SPLITTER)
+        return c - (c - v)
+
+    p = x * F.lit(power)
+    xh, th = high(x), (_SPLITTER * power) - (_SPLITTER * power - power)
+    xl, tl = x - xh, power - th
+    off = ((xh * F.lit(th) - p) + xh * F.lit(tl) + xl * F.lit(th)) + xl * F.lit(tl)
+    down = F.floor(p).cast("double")
+    past = (p - down) - F.lit(0.5)
+    odd = F.pmod(down, F.lit(2.0)) == F.lit(1.0)
+    below = (p == down) & (off == F.lit(-0.5))  # a half itself, below a product that was rounded up to it
+    whole = F.when((past > -off) | ((past == -off) & odd), down + F.lit(1.0)).when(below & odd, down - F.lit(1.0)).otherwise(down)
+    exact = F.isnan(x) | (F.abs(p) >= F.lit(float(1 << 53)))  # no decimals left to round
+    return F.when(x.isNull(), F.lit(None)).when(exact, x).otherwise(whole / F.lit(power))

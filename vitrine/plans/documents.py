@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.functions import columns as fn
-from vitrine.operators.relational import top_k, upsert_replace, upsert_set_on_insert
-from vitrine.sources.store import commit_version, read_current
+from vitrine.operators.relational import top_k, upsert_set_on_insert
+from vitrine.sources.store import exists, remove
 from vitrine.sources.tables import CATALOG_REQUIRED, iso_text, require_columns, to_json_documents
 
 
@@ -223,17 +223,49 @@ def categories_json(cats: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- persisted collections
-def upsert_collection(spark: SparkSession, root: str, new_docs: DataFrame, kind: str) -> int:
+# A collection is one Parquet table partitioned by a hash prefix of ``_id``.
+# Its number of prefixes is fixed when it is made.
+PREFIXES = 256
+
+
+def _with_prefix(df: DataFrame, prefixes: int) -> DataFrame:
+    return df.withColumn("prefix", F.pmod(F.xxhash64("_id"), F.lit(prefixes)).cast("int"))
+
+
+def read_collection(spark: SparkSession, root: str) -> DataFrame:
+    """The stored documents of a collection."""
+    return spark.read.parquet(f"{root}/docs").drop("prefix")
+
+
+def _apply_staged(spark: SparkSession, root: str) -> None:
+    """Put the staged partitions in place and forget the stage; a repeat does the same again."""
+    staged = spark.read.parquet(f"{root}/staged")
+    (staged.hint("rebalance", "prefix").sortWithinPartitions("prefix", "_id").write.mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic").partitionBy("prefix").parquet(f"{root}/docs"))
+    remove(spark, f"{root}/staged/_SUCCESS")  # first, so that half a stage is never taken for a whole one
+    remove(spark, f"{root}/staged")
+
+
+def upsert_collection(spark: SparkSession, root: str, new_docs: DataFrame, kind: str, prefixes: int = PREFIXES) -> None:
     """Apply a load to a stored document collection (E7 for ``categories``:
-    whole documents replaced; E8 for ``products``: ``created_at`` kept) and
-    commit the result as the collection's next version.  Returns it."""
-    old = read_current(spark, root)
-    if old is None:
-        merged = new_docs
-    elif kind == "categories":
-        merged = upsert_replace(old, new_docs, "_id")
-    else:
-        merged = upsert_set_on_insert(old, new_docs, "_id", ["created_at"])
-    # The new version is written from a plan that reads the old one; the old
-    # files stay until the new version is committed.
-    return commit_version(spark, root, merged.hint("rebalance").sortWithinPartitions("_id"))
+    whole documents replaced; E8 for ``products``: ``created_at`` kept).
+
+    Only the prefixes that the load touches are read, joined and replaced, so a
+    load costs what it holds, not what the collection holds.  The merged
+    partitions are staged first; a run that dies before its stage is complete
+    changes nothing, and one that dies later is finished by the next call
+    before it goes on.  One writer per collection at a time.
+    """
+    if exists(spark, f"{root}/staged/_SUCCESS"):
+        _apply_staged(spark, root)
+    if not exists(spark, f"{root}/docs"):
+        _with_prefix(new_docs, prefixes).write.mode("overwrite").parquet(f"{root}/staged")
+        return _apply_staged(spark, root)
+    _with_prefix(new_docs, prefixes).write.mode("overwrite").parquet(f"{root}/load")  # read twice below
+    new = spark.read.parquet(f"{root}/load")
+    touched = [r.prefix for r in new.select("prefix").distinct().collect()]  # at most ``prefixes`` numbers
+    old = spark.read.parquet(f"{root}/docs").where(F.col("prefix").isin(touched))
+    keep = () if kind == "categories" else ("created_at",)
+    merged = upsert_set_on_insert(old.drop("prefix"), new.drop("prefix"), "_id", keep)
+    _with_prefix(merged, prefixes).write.mode("overwrite").parquet(f"{root}/staged")
+    _apply_staged(spark, root)

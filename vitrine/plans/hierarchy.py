@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.functions.columns import element_or_null
+from vitrine.functions.columns import element_or_null, round_half_even
 from vitrine.operators.relational import count_by, top_k, top_k_per_group
 
 def _total():
@@ -37,8 +37,8 @@ def categories_by_partner_level(cats: DataFrame) -> DataFrame:
 
 
 def category_depth(cats: DataFrame) -> DataFrame:
-    """Mean level (2 decimals) and max level; no row on empty input."""
-    return (cats.agg(F.round(F.avg("level"), 2).alias("avg_level"), F.max("level").alias("max_level"))
+    """Mean level (2 decimals, halves to even on the exact value) and max level; no row on empty input."""
+    return (cats.agg(round_half_even(F.avg("level"), 2).alias("avg_level"), F.max("level").alias("max_level"))
                 .where(F.col("max_level").isNotNull()))
 
 
@@ -95,13 +95,31 @@ def children_per_category(cats: DataFrame) -> DataFrame:
     return j.select("_id", "path", F.coalesce(F.col("children_cnt"), F.lit(0)).alias("children_cnt"))
 
 
-def category_children(cats: DataFrame) -> DataFrame:
+CHILDREN_PER_SALT = 1 << 20
+
+
+def category_children(cats: DataFrame, children_per_salt: int = CHILDREN_PER_SALT) -> DataFrame:
     """The lookup's pairs, a row per (parent ``_id``, child ``_id``); a leaf
-    has one row without a child.  Joined on the path, never collected, so a
-    root with most categories below it is as many rows."""
+    has one row without a child.
+
+    Joined on the path, never collected.  A left join cannot split a hot key of
+    its right side, so both sides are salted: children are counted per path,
+    and those of a path with more than ``children_per_salt`` are dealt by a hash
+    of their id into as many salts as that takes, to each of which the parent's
+    row is replicated.  Only such paths (one per ``children_per_salt`` rows at
+    most) meet the children in the join that tells them their salts.
+    """
     kids = cats.select(F.col("_id").alias("child_id"), F.col("parent_path").alias("__parent")).where(F.col("__parent").isNotNull())
-    return (cats.select(F.col("_id").alias("parent_id"), "path")
-                .join(kids, F.col("path") == F.col("__parent"), "left").select("parent_id", "child_id"))
+    salts = F.ceil(F.col("__n") / F.lit(children_per_salt)).cast("int")
+    counts = kids.groupBy("__parent").agg(F.count(F.lit(1)).alias("__n")).withColumn("__salts", salts)
+    hot = counts.where(F.col("__salts") > 1).select(F.col("__parent").alias("__hot"), "__salts")
+    dealt = (kids.join(hot, F.col("__parent") == F.col("__hot"), "left")
+                 .withColumn("__salt", F.pmod(F.xxhash64("child_id"), F.coalesce("__salts", F.lit(1))).cast("int")).select("child_id", "__parent", "__salt"))
+    parents = (cats.select(F.col("_id").alias("parent_id"), "path")
+                   .join(counts.select(F.col("__parent").alias("__counted"), "__salts"), F.col("path") == F.col("__counted"), "left")
+                   .withColumn("__of", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))))
+    pairs = parents.join(dealt, (F.col("path") == F.col("__parent")) & (F.col("__of") == F.col("__salt")), "left")
+    return pairs.where(F.col("child_id").isNotNull() | F.col("__salts").isNull()).select("parent_id", "child_id")
 
 
 def first_categories(cats: DataFrame, level: int, partner: str, n: int = 3) -> DataFrame:

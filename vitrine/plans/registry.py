@@ -417,31 +417,29 @@ def q_merge_partial_counts(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- namespace
-def _ecom(spark, sf_dir) -> str:
+def _ecom(spark, sf_dir) -> tuple[str, str]:
     """The namespace with both tables filled by column-list inserts,
-    once per state of the input and session."""
+    once per state of the input and session, and the day of that load."""
     db = f"vitrine_ecom_{src.table_stamp(spark, sf_dir, ['part', 'events'])}"
-    if not spark.catalog.databaseExists(db):
-        src.create_ecom_tables(spark, db, f"{store_root(spark)}/ecom/{db}-{uuid.uuid4().hex}")
-        src.insert_offers(spark, fx.offers(spark, sf_dir), db)
-        src.insert_raw_events(spark, fx.raw_events(spark, sf_dir), db)
-    return db
+    return db, src.load_namespace(spark, fx.offers(spark, sf_dir), fx.raw_events(spark, sf_dir), db,
+                                  f"{store_root(spark)}/ecom/{db}-{uuid.uuid4().hex}")
 
 
 @register("ecom_offers_table")
 def q_ecom_offers_table(spark, sf_dir):
     """Rows read through the namespace, with whether the date
-    took its default and the month partition belongs to it."""
-    t = spark.table(f"{_ecom(spark, sf_dir)}.ecom_offers")
+    took its default on the day of the load and the month partition belongs to it."""
+    db, day = _ecom(spark, sf_dir)
+    t = spark.table(f"{db}.ecom_offers")
     in_month = F.col("snapshot_month") == F.year("snapshot_date") * 100 + F.month("snapshot_date")
     return t.select("offer_id", "price", "seller_id", "category_id", "vendor",
-                    F.datediff(F.current_date(), "snapshot_date").between(0, 1).alias("dated_today"), in_month.alias("in_month"))
+                    F.datediff("snapshot_date", F.lit(day).cast("date")).between(0, 1).alias("dated_today"), in_month.alias("in_month"))
 
 
 @register("raw_events_table")
 def q_raw_events_table(spark, sf_dir):
     """Events per day partition and device, read through the namespace."""
-    t = spark.table(f"{_ecom(spark, sf_dir)}.raw_events")
+    t = spark.table(f"{_ecom(spark, sf_dir)[0]}.raw_events")
     return rel.count_by(t, ["event_date", "DeviceTypeName"], "events_cnt")
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-import time
 import uuid
 from collections.abc import Iterable
 
@@ -48,10 +47,13 @@ def stream_path(spark: SparkSession, name: str, sf_dir: str, version: int) -> st
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def _builds(spark: SparkSession, path: str) -> list[str]:
@@ -110,58 +112,3 @@ def materialize(spark: SparkSession, path: str, build, partition_by: list[str] |
         w.parquet(target)
 
     return session_view(spark, store_view_name(path), lambda: spark.read.parquet(write_once(spark, path, write)))
-
-
-# ---------------------------------------------------------------- versioned collections
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    """Committed versions under ``root``: folders ``v=N`` holding ``_SUCCESS``."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-    return sorted(out)
-
-
-def current_version(spark: SparkSession, root: str) -> int | None:
-    v = _versions(spark, root)
-    return v[-1] if v else None
-
-
-def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    """The newest committed version of a collection, or None."""
-    v = current_version(spark, root)
-    return None if v is None else spark.read.parquet(f"{root}/v={v}")
-
-
-def commit_version(spark: SparkSession, root: str, df: DataFrame) -> int:
-    """Write ``df`` as the next version and return its number.
-
-    A version becomes current only when its ``_SUCCESS`` marker exists, so a
-    writer that dies midway leaves the previous version current.  One writer
-    per collection at a time.  Older versions stay until ``remove_versions``.
-    """
-    n = (current_version(spark, root) or 0) + 1
-    df.write.mode("overwrite").parquet(f"{root}/v={n}")
-    return n
-
-
-def remove_versions(spark: SparkSession, root: str, older_than_seconds: float) -> list[int]:
-    """Maintenance: remove versions that were replaced longer ago than the
-    given age (choose one that no reader outlives).  The current version stays."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    versions, gone = _versions(spark, root), []
-    for old, nxt in zip(versions, versions[1:], strict=False):
-        p = jvm.org.apache.hadoop.fs.Path(f"{root}/v={old}")
-        fs = p.getFileSystem(conf)
-        replaced = fs.getFileStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/v={nxt}/_SUCCESS")).getModificationTime()
-        if time.time() - replaced / 1000 >= older_than_seconds:
-            fs.delete(p, True)
-            gone.append(old)
-    return gone

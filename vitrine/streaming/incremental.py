@@ -2,16 +2,16 @@
 Streaming (H1, H2, H4).
 
 * H1 / H2 - every micro-batch is aggregated on its own and written as a
-  delta under ``batch_id=N``; readers re-aggregate over all deltas (S4).
-  ``foreachBatch`` is at-least-once, so a replayed batch overwrites its own
-  ``batch_id`` folder instead of adding to it: the result is exactly-once.
+  partition ``batch_id=N`` of one Parquet table; readers sum over all of it
+  (S4).  ``foreachBatch`` is at-least-once, so a replayed batch replaces its
+  own partition (dynamic partition overwrite): the result is exactly-once.
   H2 joins each micro-batch with the catalogue as it is when the batch runs
   (listed anew each time, S10), after counting the batch's events per (day,
   offer) so a hot offer is one row per day by the time it meets the catalogue.
 * H4 - sliding event-time windows over raw samples with a watermark in append
   mode, written by the Parquet file sink (exactly-once through its commit
-  log).  Samples are folded into panes of one slide first, then a window folds
-  its panes.
+  log).  Samples are folded into panes of a millisecond, of a second, and so on
+  up to one slide, each from the panes below it; then a window folds its panes.
 
 Output and checkpoint are keyed by input path, query and output version, not by
 the files that happen to be there: a later run, in another process too, goes on
@@ -23,17 +23,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.operators.relational import merge_partial_sums
 from vitrine.plans import aggregates as agg
 from vitrine.sources import fixtures as fx
-from vitrine.sources.store import exists, stream_path
+from vitrine.sources.store import stream_path
 from vitrine.sources.tables import path_tag, read_table, table_path
 
 # Version of each stream's output; a change of what it computes gets a new one.
-VERSIONS = {"catalog_counts": 1, "offer_events": 1, "counter_rate": 2}
+VERSIONS = {"catalog_counts": 2, "offer_events": 2, "counter_rate": 3}
 # Files that one micro-batch takes, at most.
 MAX_FILES = 1000
 
@@ -59,71 +59,25 @@ def stream_folder(spark: SparkSession, name: str, sf_dir: str) -> str:
 
 
 def write_delta(delta: DataFrame, path: str, batch_id: int) -> None:
-    """Replace the delta of one micro-batch (idempotent on replay)."""
-    delta.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    """Replace the partition of one micro-batch (idempotent on replay)."""
+    (delta.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
-def _numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Numbers N of the committed folders ``prefix=N`` under ``path``."""
-    if not exists(spark, path):
-        return []
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    out = []
-    for st in fs.listStatus(p):
-        name, _, number = st.getPath().getName().partition("=")
-        if name == prefix and number.isdigit() and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(number))
-    return sorted(out)
-
-
-def batch_ids(spark: SparkSession, path: str) -> list[int]:
-    return _numbered(spark, path, "batch_id")
-
-
-def _parts(spark: SparkSession, path: str) -> tuple[list[DataFrame], int]:
-    """The newest merged base with the deltas after it, and the last batch they cover (-1: none)."""
-    bases = _numbered(spark, f"{path}_base", "upto")
-    upto = bases[-1] if bases else -1
-    parts = [spark.read.parquet(f"{path}_base/upto={upto}")] if bases else []
-    newer = [b for b in batch_ids(spark, path) if b > upto]
-    if newer:
-        parts.append(spark.read.parquet(*[f"{path}/batch_id={b}" for b in newer]))
-    return parts, newer[-1] if newer else upto
+def delta_table(spark: SparkSession, path: str, empty: DataFrame) -> DataFrame:
+    """All deltas as one table, with ``batch_id``; without rows if no micro-batch has run yet."""
+    columns = empty.limit(0).withColumn("batch_id", F.lit(0).cast("bigint"))
+    try:
+        return spark.read.schema(columns.schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return columns
 
 
 def read_deltas(spark: SparkSession, path: str, keys: list[str], measure: str, empty: DataFrame) -> DataFrame:
-    """The maintained aggregate: the merged base plus every committed delta
-    after it, summed by key.  ``empty`` gives the schema when no micro-batch
-    has run yet."""
-    parts, _ = _parts(spark, path)
-    return merge_partial_sums(parts, keys, [measure]) if parts else empty.limit(0)
-
-
-def merge_deltas(spark: SparkSession, path: str, keys: list[str], measure: str) -> int:
-    """Maintenance, run when its caller chooses: base and deltas summed into a
-    new base, named by the last batch it covers.  Readers take the newest
-    committed base and the deltas after it, so none counts a batch twice or
-    misses one, whenever it reads.  Returns the covered batch (-1: none)."""
-    parts, upto = _parts(spark, path)
-    if parts and upto not in _numbered(spark, f"{path}_base", "upto"):
-        merged = merge_partial_sums(parts, keys, [measure])
-        merged.hint("rebalance").sortWithinPartitions(*keys).write.mode("overwrite").parquet(f"{path}_base/upto={upto}")
-    return upto
-
-
-def remove_merged(spark: SparkSession, path: str) -> None:
-    """Maintenance: remove deltas and bases that the newest base covers, once
-    no reader from before it is left."""
-    bases = _numbered(spark, f"{path}_base", "upto")
-    if not bases:
-        return
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    old = [f"{path}_base/upto={b}" for b in bases[:-1]] + [f"{path}/batch_id={b}" for b in batch_ids(spark, path) if b <= bases[-1]]
-    for folder in old:
-        p = jvm.org.apache.hadoop.fs.Path(folder)
-        p.getFileSystem(conf).delete(p, True)
+    """The maintained aggregate: all deltas, summed by key."""
+    return agg.resum(delta_table(spark, path, empty), keys, measure)
 
 
 def _run(stream: DataFrame, apply: Callable[[DataFrame, int], None], folder: str) -> None:
@@ -135,7 +89,7 @@ def _run(stream: DataFrame, apply: Callable[[DataFrame, int], None], folder: str
 # ---------------------------------------------------------------- H1
 def run_catalog_counts(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> tuple[str, str]:
     """H1: catalogue appends feed per-category and per-(vendor, category)
-    counts.  Returns the two delta folders."""
+    counts.  Returns the two delta tables."""
     out = stream_folder(spark, "catalog_counts", sf_dir)
     cat_path, brand_path = f"{out}/category", f"{out}/brand"
 
@@ -188,46 +142,70 @@ def _delta(now: Column, before: Column) -> Column:
     return F.when(now < before, now).otherwise(now - before)
 
 
-def _increase_of(points: Column) -> Column:
-    """Sum of the counter's deltas over an array of values in order (the first adds nothing)."""
-    start = F.struct(F.lit(None).cast("double").alias("last"), F.lit(0.0).alias("sum"))
-    return F.aggregate(points, start, lambda a, v: F.struct(
-        v.alias("last"), (a["sum"] + F.when(a["last"].isNull(), F.lit(0.0)).otherwise(_delta(v, a["last"]))).alias("sum")),
-        lambda a: a["sum"])
+_PARTS = ["start", "n", "first", "last", "inside"]
+# Widths in microseconds that panes below a slide may have, and how many panes one may hold.
+SUB_PANES = [1_000, 1_000_000, 60_000_000, 3_600_000_000, 86_400_000_000]
+FAN_OUT = 4_000
+
+
+def pane_widths(slide_seconds: int) -> list[int]:
+    """Widths in microseconds, up to the slide: each a multiple of the one
+    before, and the longest that holds at most ``FAN_OUT`` of it."""
+    slide = int(slide_seconds) * 1_000_000
+    fitting, widths = [*(w for w in SUB_PANES if w < slide and slide % w == 0), slide], [1]
+    while widths[-1] != slide:
+        later = [w for w in fitting if w > widths[-1]]
+        widths.append(max((w for w in later if w <= FAN_OUT * widths[-1]), default=later[0]))
+    return widths[1:]
+
+
+def instants(samples: DataFrame, series: list[str]) -> DataFrame:
+    """Panes of a microsecond: one sample each, the largest of those at the instant."""
+    one = samples.groupBy(*series, F.window("ts", "1 microsecond").alias("pane")).agg(F.max("value").alias("v"))
+    return one.select(*series, "pane", F.col("pane.start").alias("start"), F.lit(1).cast("bigint").alias("n"),
+                      F.col("v").alias("first"), F.col("v").alias("last"), F.lit(0.0).alias("inside"))
+
+
+def gathered(panes: DataFrame, series: list[str], width: str, slide: str | None = None) -> DataFrame:
+    """The panes of each longer pane (or sliding window), in order of time, as an array ``parts``."""
+    longer = F.window("pane", width, slide) if slide else F.window("pane", width)
+    return panes.groupBy(*series, longer.alias("pane_")).agg(F.sort_array(F.collect_list(F.struct(*_PARTS))).alias("parts"))
+
+
+def folded(gathered_panes: DataFrame, series: list[str]) -> DataFrame:
+    """One pane for each array of panes: increases inside panes plus the deltas
+    from one pane's last value to the next one's first, a drop counting as a
+    reset in both places."""
+    begin = F.struct(F.lit(None).cast("double").alias("last"), F.lit(0.0).alias("sum"), F.lit(0).cast("bigint").alias("n"))
+    whole = F.aggregate("parts", begin, lambda a, p: F.struct(
+        p["last"].alias("last"),
+        (a["sum"] + p["inside"] + F.when(a["last"].isNull(), F.lit(0.0)).otherwise(_delta(p["first"], a["last"]))).alias("sum"),
+        (a["n"] + p["n"]).alias("n")))
+    return (gathered_panes.withColumn("whole", whole)
+            .select(*series, F.col("pane_").alias("pane"), F.col("pane_.start").alias("start"), F.col("whole.n").alias("n"),
+                    F.element_at("parts", 1)["first"].alias("first"), F.col("whole.last").alias("last"), F.col("whole.sum").alias("inside")))
 
 
 def windowed_rates(samples: DataFrame, range_seconds: int, slide_seconds: int, delay_seconds: int) -> DataFrame:
     """Per-window rate of raw counter samples ``(metric, label, ts, value)``.
 
-    A pane of one slide keeps its first and last value, its number of samples
-    and the increase inside it, folded over its samples in order of time: as
-    many as a series is sampled in a slide, whatever the range or the table's
-    size.  A window folds its ``range / slide`` panes: increases inside panes
-    plus the deltas from one pane's last value to the next one's first, with
-    a drop counting as a reset in both places.
+    A pane keeps its first and last value, its number of samples and the
+    increase inside it.  Panes are built from panes, in chained aggregations,
+    from one instant (of several samples at it the largest counts) up to one
+    slide; a window folds its ``range / slide`` slides.  No array holds more than
+    ``FAN_OUT`` panes, or those of one window, however densely a series is sampled.
     """
     if range_seconds % slide_seconds:
         raise ValueError("the range must be a multiple of the slide")
     series = ["metric", "label"]
-    by_time = F.sort_array(F.collect_list(F.struct("ts", "value")))
-    panes = (samples.withWatermark("ts", f"{delay_seconds} seconds")
-             .groupBy(*series, F.window("ts", f"{slide_seconds} seconds").alias("pane")).agg(by_time.alias("points"))
-             .select(*series, "pane", F.col("pane.start").alias("start"), F.size("points").alias("n"),
-                     F.element_at("points", 1)["value"].alias("first"), F.element_at("points", -1)["value"].alias("last"),
-                     _increase_of(F.transform("points", lambda p: p["value"])).alias("inside")))
-    in_order = F.sort_array(F.collect_list(F.struct("start", "n", "first", "last", "inside")))
-    begin = F.struct(F.lit(None).cast("double").alias("last"), F.lit(0.0).alias("sum"), F.lit(0).alias("n"))
-    folded = F.aggregate("parts", begin, lambda a, p: F.struct(
-        p["last"].alias("last"),
-        (a["sum"] + p["inside"] + F.when(a["last"].isNull(), F.lit(0.0)).otherwise(_delta(p["first"], a["last"]))).alias("sum"),
-        (a["n"] + p["n"]).alias("n")))
-    windows = (panes.groupBy(*series, F.window("pane", f"{range_seconds} seconds", f"{slide_seconds} seconds"))
-               .agg(in_order.alias("parts")).withColumn("whole", folded))
-    return (windows.where(F.col("whole.n") >= 2)
-            .select(*series, F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("window.end").cast("timestamp_ntz").alias("window_end"),
-                    (F.col("whole.sum") / F.lit(float(range_seconds))).alias("rate"),
-                    F.col("whole.n").cast("long").alias("samples")))
+    panes = instants(samples.withWatermark("ts", f"{delay_seconds} seconds"), series)
+    for width in pane_widths(slide_seconds):
+        panes = folded(gathered(panes, series, f"{width} microseconds"), series)
+    windows = folded(gathered(panes, series, f"{range_seconds} seconds", f"{slide_seconds} seconds"), series)
+    return (windows.where(F.col("n") >= 2)
+            .select(*series, F.col("pane.start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("pane.end").cast("timestamp_ntz").alias("window_end"),
+                    (F.col("inside") / F.lit(float(range_seconds))).alias("rate"), F.col("n").alias("samples")))
 
 
 def run_counter_rate(spark: SparkSession, source: str, out: str, metric: str, range_seconds: int,
