@@ -11,6 +11,8 @@ key and micro-batch.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,25 +56,39 @@ def latest_versions(snapshots: DataFrame, load_order: list[str], per_month: bool
     return pick_per_key(d, keys, ["snapshot_date", *load_order], latest=True)
 
 
+def offer_days(offer_events: DataFrame) -> DataFrame:
+    """Daily rows per offer: what anti-joins and coverage ask of ``offer_events``."""
+    return count_by(offer_events, ["offer_id"], "days")
+
+
 # ---------------------------------------------------------------- stored
-def stored_category_counts(spark: SparkSession, sf_dir: str, offers: DataFrame) -> DataFrame:
+# Sources are given as functions: they are only called when something has to be built.
+Source = Callable[[], DataFrame]
+
+
+def stored_category_counts(spark: SparkSession, sf_dir: str, offers: Source) -> DataFrame:
     return materialize(spark, store_path(spark, "catalog_by_category", sf_dir, ["part"]),
-                       lambda: category_counts(offers), sort_by=["category_id"])
+                       lambda: category_counts(offers()), sort_by=["category_id"])
 
 
-def stored_brand_counts(spark: SparkSession, sf_dir: str, offers: DataFrame) -> DataFrame:
+def stored_brand_counts(spark: SparkSession, sf_dir: str, offers: Source) -> DataFrame:
     return materialize(spark, store_path(spark, "catalog_by_brand", sf_dir, ["part"]),
-                       lambda: brand_counts(offers), sort_by=["vendor", "category_id"])
+                       lambda: brand_counts(offers()), sort_by=["vendor", "category_id"])
 
 
-def stored_offer_events(spark: SparkSession, sf_dir: str, raw_events: DataFrame,
-                        offers: DataFrame) -> DataFrame:
+def stored_offer_events(spark: SparkSession, sf_dir: str, raw_events: Source, offers: Source) -> DataFrame:
     """Daily aggregate partitioned by ``event_date`` (S7), sorted by offer."""
     return materialize(spark, store_path(spark, "offer_events", sf_dir, ["events", "part"]),
-                       lambda: offer_events_daily(raw_events, offers),
+                       lambda: offer_events_daily(raw_events(), offers()),
                        partition_by=["event_date"], sort_by=["offer_id"])
 
 
+def stored_offer_days(spark: SparkSession, sf_dir: str, offer_events: Source) -> DataFrame:
+    """The daily aggregate's projection without the day, a row per offer."""
+    return materialize(spark, store_path(spark, "offer_days", sf_dir, ["events", "part"]),
+                       lambda: offer_days(offer_events()), sort_by=["offer_id"])
+
+
 def resum(df: DataFrame, keys: list[str], measure: str) -> DataFrame:
     """Re-aggregate a stored aggregate by its key."""
     return df.groupBy(*keys).agg(F.sum(measure).cast("bigint").alias(measure))

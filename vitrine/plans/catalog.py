@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from vitrine.functions.columns import safe_ratio
 from vitrine.operators.relational import anti_join, count_by, top_k
-from vitrine.plans.aggregates import resum
+from vitrine.plans.aggregates import offer_days, resum
 
 OFFER_COLUMNS = ["offer_id", "category_id", "vendor", "price"]
 
@@ -84,10 +84,6 @@ def offers_without_events_count(offers: DataFrame, offer_events: DataFrame) -> D
         F.count(F.lit(1)).alias("offers_without_events"))
 
 
-def _rows_per_offer(offer_events: DataFrame) -> DataFrame:
-    return offer_events.groupBy("offer_id").agg(F.count(F.lit(1)).alias("__rows"))
-
-
 def coverage_rows(offers: DataFrame, offer_events: DataFrame) -> DataFrame:
     """D9 as written (S2): the left join to *daily* rows counts joined rows.
 
@@ -95,7 +91,13 @@ def coverage_rows(offers: DataFrame, offer_events: DataFrame) -> DataFrame:
     each catalogue row contributes ``max(days, 1)`` rows, ``days`` of them
     matched.  The daily table is reduced to one row per offer first.
     """
-    j = offers.select("offer_id").join(_rows_per_offer(offer_events), "offer_id", "left")
+    return coverage_of_days(offers, offer_days(offer_events))
+
+
+def coverage_of_days(offers: DataFrame, days_per_offer: DataFrame) -> DataFrame:
+    """D9 from the number of daily rows per offer."""
+    per = days_per_offer.select(F.col("offer_id").alias("__k"), F.col("days").alias("__rows"))
+    j = offers.select("offer_id").join(per, F.col("offer_id") == F.col("__k"), "left")
     days = F.coalesce(F.col("__rows"), F.lit(0))
     agg = j.agg(F.sum(days).cast("bigint").alias("offers_with_events"),
                 F.sum(F.greatest(days, F.lit(1))).cast("bigint").alias("total_offers"))

@@ -37,17 +37,25 @@ def register(name: str):
     return deco
 
 
+def _offers(spark, sf_dir):
+    return lambda: fx.offers(spark, sf_dir)
+
+
 def _offer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return agg.stored_offer_events(spark, sf_dir, fx.raw_events(spark, sf_dir), fx.offers(spark, sf_dir))
+    return agg.stored_offer_events(spark, sf_dir, lambda: fx.raw_events(spark, sf_dir), _offers(spark, sf_dir))
+
+
+def _offer_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agg.stored_offer_days(spark, sf_dir, lambda: _offer_events(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- catalogue
 def _category_counts(spark, sf_dir):
-    return agg.stored_category_counts(spark, sf_dir, fx.offers(spark, sf_dir))
+    return agg.stored_category_counts(spark, sf_dir, _offers(spark, sf_dir))
 
 
 def _brand_counts(spark, sf_dir):
-    return agg.stored_brand_counts(spark, sf_dir, fx.offers(spark, sf_dir))
+    return agg.stored_brand_counts(spark, sf_dir, _offers(spark, sf_dir))
 
 
 @register("top_categories_raw")
@@ -87,22 +95,22 @@ def q_offers_without_events_raw(spark, sf_dir):
 
 @register("offers_without_events_mv")
 def q_offers_without_events_mv(spark, sf_dir):
-    return cat.offers_without_events_mv(fx.offers(spark, sf_dir), _offer_events(spark, sf_dir))
+    return cat.offers_without_events_mv(fx.offers(spark, sf_dir), _offer_days(spark, sf_dir))
 
 
 @register("offers_without_events_count")
 def q_offers_without_events_count(spark, sf_dir):
-    return cat.offers_without_events_count(fx.offers(spark, sf_dir), _offer_events(spark, sf_dir))
+    return cat.offers_without_events_count(fx.offers(spark, sf_dir), _offer_days(spark, sf_dir))
 
 
 @register("coverage_rows")
 def q_coverage_rows(spark, sf_dir):
-    return cat.coverage_rows(fx.offers(spark, sf_dir), _offer_events(spark, sf_dir))
+    return cat.coverage_of_days(fx.offers(spark, sf_dir), _offer_days(spark, sf_dir))
 
 
 @register("coverage_offers")
 def q_coverage_offers(spark, sf_dir):
-    return cat.coverage_offers(fx.offers(spark, sf_dir), _offer_events(spark, sf_dir))
+    return cat.coverage_offers(fx.offers(spark, sf_dir), _offer_days(spark, sf_dir))
 
 
 @register("events_by_device")

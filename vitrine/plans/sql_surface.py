@@ -10,28 +10,35 @@ next call.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from vitrine.plans import aggregates as agg
 from vitrine.sources import fixtures as fx
 
 
-def ecom_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Catalogue tables and stored pre-aggregates of one input folder, by name."""
-    offers, events = fx.offers(spark, sf_dir), fx.raw_events(spark, sf_dir)
+def ecom_tables(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
+    """Catalogue tables and stored pre-aggregates of one input folder, by name, each looked up when it is called."""
+    def offers() -> DataFrame:
+        return fx.offers(spark, sf_dir)
+
+    def events() -> DataFrame:
+        return fx.raw_events(spark, sf_dir)
+
     return {
         "ecom_offers": offers,
         "raw_events": events,
-        "catalog_by_category_mv": agg.stored_category_counts(spark, sf_dir, offers),
-        "catalog_by_brand_mv": agg.stored_brand_counts(spark, sf_dir, offers),
-        "offer_events_mv": agg.stored_offer_events(spark, sf_dir, events, offers),
+        "catalog_by_category_mv": lambda: agg.stored_category_counts(spark, sf_dir, offers),
+        "catalog_by_brand_mv": lambda: agg.stored_brand_counts(spark, sf_dir, offers),
+        "offer_events_mv": lambda: agg.stored_offer_events(spark, sf_dir, events, offers),
     }
 
 
 def register_ecom_views(spark: SparkSession, sf_dir: str) -> None:
     """Plain names (``ecom_offers``, ``raw_events``, ``*_mv``) for ad-hoc SQL."""
-    for name, df in ecom_tables(spark, sf_dir).items():
-        df.createOrReplaceTempView(name)
+    for name, table in ecom_tables(spark, sf_dir).items():
+        table().createOrReplaceTempView(name)
 
 
 def panel_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +51,7 @@ def panel_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT CAST(sum(n) AS BIGINT) AS offers_with_events,
                CAST(sum(greatest(n, 1)) AS BIGINT) AS total_offers,
                try_divide(offers_with_events, total_offers) AS coverage_ratio
-        FROM seen""", mv=t["offer_events_mv"], offers=t["ecom_offers"])
+        FROM seen""", mv=t["offer_events_mv"](), offers=t["ecom_offers"]())
 
 
 def panel_offers_without_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,4 +60,4 @@ def panel_offers_without_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("""
         SELECT count(*) AS offers_without_events FROM {offers} AS c
         WHERE NOT EXISTS (SELECT 1 FROM {mv} AS m WHERE m.offer_id = c.offer_id)""",
-                     mv=t["offer_events_mv"], offers=t["ecom_offers"])
+                     mv=t["offer_events_mv"](), offers=t["ecom_offers"]())

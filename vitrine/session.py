@@ -46,15 +46,27 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+_HADOOP: dict[int, tuple] = {}
+
+
+def hadoop_path(spark: SparkSession, path: str) -> tuple:
+    """A Hadoop path and its file system (their Java classes are looked up once per context)."""
+    sc = spark.sparkContext
+    if id(sc) not in _HADOOP:
+        _HADOOP.clear()
+        _HADOOP[id(sc)] = sc, sc._jvm.org.apache.hadoop.fs.Path, sc._jsc.hadoopConfiguration()
+    _, new, conf = _HADOOP[id(sc)]
+    p = new(path)
+    return p, p.getFileSystem(conf)
+
+
 def _one_machine(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
 def _shared(spark: SparkSession, path: str) -> str:
     """``path``, unless it names a machine's own disk on a cluster of several."""
-    jvm = spark.sparkContext._jvm
-    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.getScheme() == "file" and not _one_machine(spark):
+    if not _one_machine(spark) and hadoop_path(spark, path)[1].getScheme() == "file":
         raise RuntimeError(f"{path} is on a local disk; on a cluster it has to be on storage that all executors share")
     return path.rstrip("/")
 

@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from vitrine import __version__
-from vitrine.session import store_root
+from vitrine.session import hadoop_path, store_root
 from vitrine.sources.tables import path_tag, session_view, table_stamp
 
 
@@ -47,25 +47,23 @@ def stream_path(spark: SparkSession, name: str, sf_dir: str, version: int) -> st
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    p, fs = hadoop_path(spark, path)
+    return fs.exists(p)
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    p, fs = hadoop_path(spark, path)
+    fs.delete(p, True)
 
 
 def _builds(spark: SparkSession, path: str) -> list[str]:
     """Finished builds below ``path``, the first finished one first."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    p, fs = hadoop_path(spark, path)
     if not fs.exists(p):
         return []
     done = []
     for st in fs.listStatus(p):
-        mark = jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
+        mark, _ = hadoop_path(spark, f"{st.getPath().toString()}/_SUCCESS")
         if st.isDirectory() and fs.exists(mark):
             done.append((fs.getFileStatus(mark).getModificationTime(), st.getPath().getName()))
     return [f"{path}/{name}" for _, name in sorted(done)]

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from vitrine.functions.columns import month_key
+from vitrine.session import hadoop_path
 
 # Columns the offers-with-paths source must carry (A4).
 CATALOG_REQUIRED = ["Partner_Name", "Category_ID", "Category_FullPathName",
@@ -35,13 +36,11 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def _files(spark: SparkSession, path: str) -> list[tuple[str, ...]]:
     """Path, size and time of every file of a table; one listing, done in the JVM."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    p, fs = hadoop_path(spark, path)
     status = fs.getFileStatus(p)
     if status.isFile():
         return [(path, str(status.getLen()), str(status.getModificationTime()))]
-    listed = jvm.org.apache.spark.deploy.SparkHadoopUtil.get().listLeafStatuses(fs, p).toString()
+    listed = spark.sparkContext._jvm.org.apache.spark.deploy.SparkHadoopUtil.get().listLeafStatuses(fs, p).toString()
     return sorted(re.findall(r"path=([^;]+);[^}]*?length=(\d+);[^}]*?modification_time=(\d+)", listed))
 
 

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.plans import aggregates as agg
+from vitrine.session import hadoop_path
 from vitrine.sources import fixtures as fx
 from vitrine.sources.store import stream_path
 from vitrine.sources.tables import path_tag, read_table, table_path
@@ -45,8 +46,8 @@ def table_stream(spark: SparkSession, sf_dir: str, table: str, max_files: int |
     that arrive over time (the folder is streamed)."""
     schema = read_table(spark, sf_dir, table).schema
     path = table_path(sf_dir, table)
-    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    is_dir = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hp).isDirectory()
+    p, fs = hadoop_path(spark, path)
+    is_dir = fs.getFileStatus(p).isDirectory()
     r = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files or MAX_FILES)
     return r.parquet(path) if is_dir else r.option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
 
