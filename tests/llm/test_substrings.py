@@ -10,6 +10,7 @@ import pandas as pd
 import pytest
 
 from vitrine.llm import substrings
+from vitrine.llm.blocks import blocks_of, with_answers
 from vitrine.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -81,9 +82,9 @@ def test_rolling_hash_of_equal_windows():
 
 def test_text_is_read_where_it_lies(spark, corpus):
     """Answers meet the blocks without a shuffle of the blocks."""
-    blocks = substrings.blocks_of(spark.createDataFrame(corpus, "doc_id long, text string"))
+    blocks = blocks_of(spark.createDataFrame(corpus, "doc_id long, text string"), substrings.BLOCK_BYTES)
     answers = spark.createDataFrame([(0, 0, 0, b"x", 1)], substrings._ANSWER)
-    plan = substrings._with_answers(blocks, {"shared": answers, "later": answers}, "left")._jdf.queryExecution().executedPlan().toString()
+    plan = with_answers(blocks, {"shared": answers, "later": answers}, "left")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 2 and not any("payload" in x for x in plan.splitlines() if "Exchange" in x)
 
 

@@ -1,6 +1,7 @@
 """Small parts against brute force, and the cases that each docstring defines."""
 
 import itertools
+import math
 import random
 import re
 import zlib
@@ -12,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vitrine.llm import boosting, chat, decontaminate, graph, html_text, huffman, kneser_ney, licenses, packing, quality, secrets, simhash, token_files, tokens, word_model
+from vitrine.llm import boosting, chat, decontaminate, graph, html_text, huffman, kneser_ney, licenses, packing, quality, secrets, simhash, token_files, tokens
 from vitrine.llm.common import written
 
 
@@ -351,41 +352,6 @@ def test_secret_edges(spark):
 
 # 9 ------------------------------------------------------------------------------------------
 
-def test_kneser_ney_against_a_plain_computation(spark):
-    texts = [edge.prose(k, 60) + ". Über 12, ok!" for k in range(6)]
-    docs = edge.documents(spark, texts).withColumn("lang", F.lit("en"))
-    rows = kneser_ney.kneser_ney(kneser_ney.ngram_counts(docs)).toPandas()
-    table = {x: kneser_ney.log_table(*(r[c].to_numpy() for c in ("k", "key", "p", "gamma"))) for x, r in rows.groupby("lang")}
-    assert (table["en"] == table["*"]).all()
-    assert np.allclose(np.exp(table["en"]).reshape(-1, 40).sum(axis=1), 1, atol=1e-4)  # a distribution after each context
-    counts = [Counter() for _ in range(5)]
-    for t in texts:
-        s = kneser_ney.symbols(t).tolist()
-        counts[4].update(tuple(s[i:i + 4]) for i in range(len(s) - 3))
-    for k in (3, 2, 1):
-        counts[k] = Counter(g[1:] for g in counts[k + 1])
-    discount = {}
-    for k in range(1, 5):
-        n = [0, *(sum(1 for v in counts[k].values() if v == i) for i in (1, 2, 3, 4))]
-        y = n[1] / (n[1] + 2 * n[2]) if n[1] + n[2] else 0
-        discount[k] = [min(i - 0.05, max(0.05, i - (i + 1) * y * n[i + 1] / n[i] if n[i] else i / 2)) for i in (1, 2, 3)]
-
-    def p(gram):
-        k = len(gram)
-        low = p(gram[1:]) if k > 1 else 1 / 40
-        after = {g: c for g, c in counts[k].items() if g[:-1] == gram[:-1]}
-        if not after:
-            return low
-        d = lambda c: discount[k][min(c, 3) - 1]
-        c = after.get(gram, 0)
-        return ((c - d(c) if c else 0) + sum(map(d, after.values())) * low) / sum(after.values())
-
-    r = random.Random(1)
-    for gram in [*r.sample(sorted(counts[4]), 60), *(tuple(r.randint(0, 39) for _ in range(4)) for _ in range(60))]:
-        key = sum(x * 40 ** (3 - i) for i, x in enumerate(gram))
-        assert np.exp(table["en"][key]) == pytest.approx(p(gram), rel=1e-4)
-
-
 def test_classifier_edges(spark):
     docs, labels = edge.documents(spark), spark.createDataFrame([(5, 1, 0), (5, 0, 0), (7, 1, None), (8, 1, 1), (None, 1, 0)], "doc_id long, quality int, toxic int")
     got = kneser_ney.classify(docs, labels).collect()
@@ -494,43 +460,63 @@ def test_quality_cut_with_wrong_labels(spark):
     assert model.cut == 0.5 and all(got[i].kept == bool(i % 2) for i in got if i not in (20, 40, 60))
 
 
-def test_word_model_against_a_plain_computation(spark):
-    """Counts and scores of both folds, by plain dictionaries; words beyond ASCII are told apart."""
-    r = random.Random(2)
-    stock = ["дом", "лес", "мир", "река", "the", "of", "words", "ὕδωρ", "γῆ", "und", ",", "."]
-    texts = [" ".join(r.choice(stock) for _ in range(r.randint(5, 60))) for _ in range(12)] + ["水火 山", "дом нечто", ""]
-    docs = spark.createDataFrame([(i, "aa" if i % 2 else "bb", t) for i, t in enumerate(texts)], "doc_id long, lang string, text string")
-    trusted = docs.where("doc_id < 12")
-    got = {x.doc_id: x for x in word_model.score_words(docs, word_model.word_counts(trusted)).collect()}
-    fold = {x.doc_id: x.fold for x in word_model._with_fold(docs).collect()}
-    split = lambda t: re.findall(r"[水火山]|\w+|\S", t)
-
-    def plain(i):
-        own = [split(texts[j]) for j in range(12) if j % 2 == i % 2 and fold[j] != fold[i]]
-        two = Counter(g for w in own for g in zip([None, *w], w))
-        one = Counter(b for _, b in two)
-
-        def cuts(count):
-            n = [0, *(sum(v == k for v in count.values()) for k in (1, 2, 3, 4))]
-            y = n[1] / (n[1] + 2 * n[2]) if n[1] + n[2] else 0
-            d = [min(k - 0.05, max(0.05, k - (k + 1) * y * n[k + 1] / n[k] if n[k] else k / 2)) for k in (1, 2, 3)]
-            return lambda c: d[min(c, 3) - 1] if c else 0
-
-        d1, d2 = cuts(one), cuts(two)
-        spare = sum(map(d1, one.values())) / sum(one.values()) / (len(one) + word_model.OPEN)
-        low = lambda b: (one[b] - d1(one[b])) / sum(one.values()) + spare
-        assert sum(map(low, one)) + word_model.OPEN * spare == pytest.approx(1)
-
-        def p(a, b):
-            after = [c for g, c in two.items() if g[0] == a]
-            return (two[a, b] - d2(two[a, b]) + sum(map(d2, after)) * low(b)) / sum(after) if after else low(b)
-
-        w = split(texts[i])
-        return len(w), np.exp(-np.mean([np.log(p(a, b)) for a, b in zip([None, *w], w)])) if w else None
+def plain_model(texts):
+    """p(character | the three before it) of an interpolated modified Kneser-Ney model, by dictionaries."""
+    counts = [Counter() for _ in range(5)]
+    for t in texts:
+        s = "\x02" * 3 + t
+        counts[4].update(s[i:i + 4] for i in range(len(t)))
+    for k in (3, 2, 1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    cut = {}
+    for k in range(1, 5):
+        n = [0, *(sum(v == i for v in counts[k].values()) for i in (1, 2, 3, 4))]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] + n[2] else 0
+        cut[k] = [min(i - 0.05, max(0.05, i - (i + 1) * y * n[i + 1] / n[i] if n[i] else i / 2)) for i in (1, 2, 3)]
+    after = [{} for _ in range(5)]
+    for k in range(1, 5):
+        for g, c in counts[k].items():
+            after[k].setdefault(g[:-1], []).append(c)
 
+    def p(gram):
+        k = len(gram)
+        low = p(gram[1:]) if k > 1 else 1 / 0x110000
+        if not (seen := after[k].get(gram[:-1])):
+            return low
+        d = lambda c: cut[k][min(c, 3) - 1] if c else 0
+        c = counts[k][gram]
+        return (c - d(c) + sum(map(d, seen)) * low) / sum(seen)
+
+    return p
+
+
+def test_quality_model_verdicts_against_a_plain_computation(spark, monkeypatch):
+    """Perplexities, limits, the pooled tables and verdicts, over several blocks, slices and pieces."""
+    monkeypatch.setattr(kneser_ney, "PIECE", 97)
+    r = random.Random(2)
+    stock = ["дом", "лес", "мир", "река", "the", "of", "words", "ὕδωρ", "γῆ", "und", ",", ".", "水火", "A\u0130b", "x\x00y", "\U0001F600"]
+    texts = [r.choice(["", " \n"]) + r.choice([" ", "\t\n"]).join(r.choice(stock) for _ in range(r.randint(2, 70))) for _ in range(60)] + ["", None, "нечто 水", " \n "]
+    langs = ["aa" if i % 2 else "bb" if i % 3 else None if i % 4 else "cc" for i in range(len(texts))]
+    labels = [(i, int(i % 5 > 0), int(i % 11 == 0)) for i in range(0, 50) if langs[i] != "cc"]
+    docs = spark.createDataFrame(list(zip(range(len(texts)), langs, texts)), "doc_id long, lang string, text string").repartition(3)
+    fold = {x.doc_id: x.f for x in docs.selectExpr("doc_id", "pmod(xxhash64(text), 2) AS f").collect()}
+    chars = [" ".join((t or "").lower().replace("\x00", " ").split()) for t in texts]
+    trusted = [i for i, q, t in labels if q == 1 and t == 0]
+    want = {}
     for i in range(len(texts)):
-        n, want = plain(i)
-        assert got[i].n_symbols == n and got[i].model == docs.collect()[i].lang and (got[i].perplexity is None if want is None else got[i].perplexity == pytest.approx(want, rel=1e-5))
+        name, own = next((n, o) for n in (langs[i], "*") for f in (1 - fold[i], fold[i]) if n is not None and (o := [chars[j] for j in trusted if fold[j] == f and n in ("*", langs[j])]))
+        p, s = plain_model(own), "\x02" * 3 + chars[i]
+        want[i] = name, np.exp(-np.mean([np.log(p(s[k:k + 4])) for k in range(len(chars[i]))])) if chars[i] else None
+    assert {n for n, _ in want.values()} == {"aa", "bb", "*"}
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    for size in (1 << 20, 600):
+        got = {x.doc_id: x for x in kneser_ney.classify(docs, marks, low=0.1, high=0.8, block_bytes=size).collect()}
+        for i, (name, perplexity) in want.items():
+            assert got[i].n_symbols == len(chars[i]) and (got[i].perplexity is None if perplexity is None else got[i].perplexity == pytest.approx(perplexity, rel=1e-5))
+            known = sorted(got[j].perplexity for j in trusted if want[j][1] is not None and (name == "*" or want[j][0] == name))
+            low, high = (known[max(0, math.ceil(q * len(known)) - 1)] for q in (0.1, 0.8))
+            assert (got[i].low, got[i].high) == (low, high)
+            assert got[i].kept == (bool(chars[i]) and low <= got[i].perplexity <= high)
 
 
 def test_classifier_tells_words_apart(spark):

@@ -1,8 +1,7 @@
 """Operator 12, substring dedup: Rabin-Karp hashes of every window of words, counted in Spark.
 
-The documents are dealt into blocks of about `BLOCK_BYTES` of text, written
-once (a row per block, bucketed by the task that made it), so that what is
-found out about a block meets its text again without moving the text.
+The documents are dealt into blocks of about `BLOCK_BYTES` of text, which ask
+slices of the hash space (`blocks`).
 
 1. Each window of `window` words has two rolling hashes of 64 bits.  Every
    block sends its distinct hashes, 32 bits beside the number of the slice
@@ -28,17 +27,15 @@ all; an empty table gives none; extra columns are ignored.
 from __future__ import annotations
 
 import itertools
-import uuid
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import shared_folder, sliced, table, written
+from vitrine.llm.blocks import SENT, blocks_of, each, opened, sent, slice_bits, slice_range, total_bytes, unpacked, with_answers
+from vitrine.llm.common import table, written
 
 WINDOW = 20
 BLOCK_BYTES, SLICE_BYTES, SLICE_ENTRIES = 8 << 20, 24 << 20, 1 << 20
@@ -70,8 +67,7 @@ class Block:
     """The words of some documents, and the hashes of their windows."""
 
     def __init__(self, payload: bytes, window: int):
-        with pa.ipc.open_stream(payload) as stream:
-            docs = stream.read_all().combine_chunks()
+        docs = opened(payload)
         self.window, self.ids = window, docs.column("doc_id").combine_chunks()
         self.words: list[bytes] = []
         self.ends = np.zeros(len(docs) + 1, np.int64)
@@ -101,7 +97,7 @@ class Block:
         """For each window the number of its slice and 32 bits more."""
         return self.h1 >> np.uint64(32 - bits)
 
-    def shared(self, bits: int, answers: dict[int, bytes]) -> np.ndarray:
+    def shared(self, bits: int, answers: list[dict]) -> np.ndarray:
         """Whether each window's key was found in another block too."""
         keys = self.keys(bits)
         own, at = np.unique(keys, return_inverse=True)
@@ -117,88 +113,16 @@ class Block:
         return places, np.nonzero(new)[0], order
 
 
-def _flags(slices: np.ndarray, answers: dict[int, bytes]) -> np.ndarray:
+def _flags(slices: np.ndarray, answers: list[dict]) -> np.ndarray:
     """The answers of the slices, for entries in order of their slice."""
     out = np.zeros(len(slices), bool)
-    for k, bits in answers.items():
-        a, b = np.searchsorted(slices, [np.uint64(k), np.uint64(k + 1)])
-        out[a:b] = np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a).astype(bool)
+    for x in answers:
+        at = slice_range(slices, x["slice"])
+        out[at] = unpacked(x["flags"], at.stop - at.start)
     return out
 
 
-def _cuts(slices: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    at = np.append(np.nonzero(np.diff(slices, prepend=slices[:1] + np.uint64(1)))[0], len(slices))
-    for a, b in itertools.pairwise(at.tolist()):
-        yield int(slices[a]), a, b
-
-
-# ---------------------------------------------------------------- blocks
-def blocks_of(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(part, block, n_bytes, payload), written: the documents in blocks, a part being the blocks of some tasks.
-
-    Parts are numbered so that each is a bucket of its own, as even as the tasks.
-    """
-    spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = [r.part for r in spark.range(64 * buckets).groupBy(F.pmod(F.hash("id"), F.lit(buckets)).alias("bucket")).agg(F.min("id").alias("part")).orderBy("bucket").collect()]
-
-    def pack(batches):
-        task = TaskContext.get().partitionId()
-        part, n = parts[task % len(parts)], task << 32
-        for batch in itertools.chain.from_iterable(sliced([b], "text", block_bytes) for b in batches):
-            held = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text").cast(pa.binary())], names=["doc_id", "text"])
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, held.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                out.write_batch(held)
-            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((part, pa.int64()), (n, pa.int64()), (held.column("text").nbytes, pa.int64()), (sink.getvalue().to_pybytes(), pa.binary()))],
-                                             names=["part", "block", "n_bytes", "payload"])
-            n += 1
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(pack, "part long, block long, n_bytes long, payload binary")
-    name = f"vitrine_blocks_{uuid.uuid4().hex}"
-    (rows.write.format("parquet").option("path", f"{shared_folder(spark)}/llm/{name}")
-         .bucketBy(buckets, "part").sortBy("part").saveAsTable(name))
-    held = spark.table(name)
-    spark.sql(f"DROP TABLE {name}")  # the files stay, and the frame that reads them; only the catalogue forgets the name
-    return held
-
-
-def _slice_bits(total: int, each: int) -> int:
-    return max(1, (max(1, total // each) - 1).bit_length())
-
-
-def _by_part(answers: DataFrame, name: str) -> DataFrame:
-    """(part, name): the answers to all blocks of a part, a bit per entry."""
-    return answers.groupBy("part").agg(F.collect_list(F.struct("block", "slice", "flags")).alias(name)).withColumnRenamed("part", f"part_{name}")
-
-
-def _with_answers(blocks: DataFrame, answers: dict[str, DataFrame], how: str) -> DataFrame:
-    out = blocks
-    for name, frame in answers.items():
-        own = _by_part(frame, name)
-        out = out.join(own.hint("merge"), out["part"] == own[f"part_{name}"], how)
-    return out.select("part", "block", "payload", *answers)
-
-
-def _own(batch: pa.RecordBatch, row: int, name: str, block: int) -> dict[int, bytes]:
-    found = batch.column(name)[row].as_py() or ()
-    return {x["slice"]: x["flags"] for x in found if x["block"] == block}
-
-
-def _each(batches, window: int) -> Iterator[tuple[pa.RecordBatch, int, int, int, Block]]:
-    for batch in batches:
-        for row in range(batch.num_rows):
-            part, block = (batch.column(c)[row].as_py() for c in ("part", "block"))
-            yield batch, row, part, block, Block(batch.column("payload")[row].as_py(), window)
-
-
-def _sent(part: int, block: int, slices: np.ndarray, body) -> Iterator[pa.RecordBatch]:
-    rows = [(k, part, block, body(a, b)) for k, a, b in _cuts(slices)]
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["slice", "part", "block", "body"])
-
-
-_SENT = "slice long, part long, block long, body binary"
+# ---------------------------------------------------------------- the two counts
 _ANSWER = "part long, block long, slice long, flags binary, n long"
 
 
@@ -210,13 +134,12 @@ def _answered(group: pa.Table, flagged: np.ndarray, sizes: np.ndarray) -> pa.Tab
     return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(kinds)})
 
 
-# ---------------------------------------------------------------- the two counts
 def shared_keys(blocks: DataFrame, window: int, bits: int) -> DataFrame:
     """Answers to the blocks: which of their keys, in order, another block holds too."""
     def send(batches):
-        for _, _, part, number, block in _each(batches, window):
-            keys = np.unique(block.keys(bits))
-            yield from _sent(part, number, keys >> np.uint64(32), lambda a, b: (keys[a:b] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes())  # noqa: B023
+        for part, number, payload in each(batches):
+            keys = np.unique(Block(payload, window).keys(bits))
+            yield from sent(part, number, keys >> np.uint64(32), lambda a, b: (keys[a:b] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes())  # noqa: B023
 
     def count(group: pa.Table) -> pa.Table:
         bodies = group.column("body").to_pylist()
@@ -227,20 +150,21 @@ def shared_keys(blocks: DataFrame, window: int, bits: int) -> DataFrame:
         flagged[by[1:][same]] = flagged[by[:-1][same]] = True
         return _answered(group, flagged, np.array([len(b) // 4 for b in bodies]))
 
-    return blocks.mapInArrow(send, _SENT).groupBy("slice").applyInArrow(count, _ANSWER)
+    return blocks.mapInArrow(send, SENT).groupBy("slice").applyInArrow(count, _ANSWER)
 
 
 def later_windows(blocks: DataFrame, shared: DataFrame, window: int, bits: int, entry_bits: int) -> DataFrame:
     """Answers to the blocks: which of the windows they share start earlier in another block."""
     def send(batches):
-        for batch, row, part, number, block in _each(batches, window):
-            places = np.nonzero(block.shared(bits, _own(batch, row, "shared", number)))[0]
+        for part, number, payload, answers in each(batches, "shared"):
+            block = Block(payload, window)
+            places = np.nonzero(block.shared(bits, answers))[0]
             places, first, _ = block.groups(places)
             places = places[first]
             ids = block.ids.take(pa.array(block.doc[places]))
             start = block.start(places).astype("<u4") | np.where(ids.is_null().to_numpy(zero_copy_only=False), _NULL, np.uint32(0))
             parts = [block.h1[places], block.h2[places], ids.fill_null(0).to_numpy(), start.astype("<u4")]
-            yield from _sent(part, number, block.h1[places] >> np.uint64(64 - entry_bits), lambda a, b: b"".join(x[a:b].tobytes() for x in parts))  # noqa: B023
+            yield from sent(part, number, block.h1[places] >> np.uint64(64 - entry_bits), lambda a, b: b"".join(x[a:b].tobytes() for x in parts))  # noqa: B023
 
     def count(group: pa.Table) -> pa.Table:
         bodies = group.column("body").to_pylist()
@@ -256,11 +180,11 @@ def later_windows(blocks: DataFrame, shared: DataFrame, window: int, bits: int,
         flagged[by] = (null[by] != null[first]) | (doc[by] != doc[first]) | (start[by] != start[first])
         return _answered(group, flagged, sizes)
 
-    return _with_answers(blocks, {"shared": shared}, "inner").mapInArrow(send, _SENT).groupBy("slice").applyInArrow(count, _ANSWER)
+    return with_answers(blocks, {"shared": shared}, "inner").mapInArrow(send, SENT).groupBy("slice").applyInArrow(count, _ANSWER)
 
 
 # ---------------------------------------------------------------- removal
-def covered(block: Block, shared: np.ndarray, later: dict[int, bytes], entry_bits: int) -> np.ndarray:
+def covered(block: Block, shared: np.ndarray, later: list[dict], entry_bits: int) -> np.ndarray:
     """Whether each word of the block goes."""
     by = np.argsort(block.h1, kind="stable")
     same = block.h1[by[1:]] == block.h1[by[:-1]]
@@ -285,16 +209,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLO
     `spans` are the maximal runs of removed words (start, end exclusive), `kept`
     is the text of the others, joined by single spaces.
     """
-    blocks = blocks_of(docs, block_bytes)
-    bits = _slice_bits(blocks.agg(F.sum("n_bytes")).first()[0] or 0, slice_bytes)
+    blocks = blocks_of(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), block_bytes)
+    bits = slice_bits(total_bytes(blocks), slice_bytes)
     shared = written(shared_keys(blocks, window, bits), "shared-windows")
-    entry_bits = _slice_bits(shared.agg(F.sum("n")).first()[0] or 0, SLICE_ENTRIES)
+    entry_bits = slice_bits(shared.agg(F.sum("n")).first()[0] or 0, SLICE_ENTRIES)
     later = later_windows(blocks, shared, window, bits, entry_bits)
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def remove(batches):
-        for batch, row, _, number, block in _each(batches, window):
-            gone = covered(block, block.shared(bits, _own(batch, row, "shared", number)), _own(batch, row, "later", number), entry_bits)
+        for _, _, payload, answers, further in each(batches, "shared", "later"):
+            block = Block(payload, window)
+            gone = covered(block, block.shared(bits, answers), further, entry_bits)
             spans, kept, removed = [], [], []
             for a, b in itertools.pairwise(block.ends.tolist()):
                 own = gone[a:b]
@@ -305,7 +230,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLO
             yield pa.RecordBatch.from_arrays([block.ids, pa.array(np.diff(block.ends)), pa.array(removed, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary()).cast(pa.string())],
                                              names=["doc_id", "n_words", "n_removed", "spans", "kept"])
 
-    return _with_answers(blocks, {"shared": shared, "later": later}, "left").mapInArrow(remove, "doc_id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept string")
+    return with_answers(blocks, {"shared": shared, "later": later}, "left").mapInArrow(remove, "doc_id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept string")
 
 
 def op12_substring_dedup(spark, sf_dir: str) -> DataFrame:
