@@ -32,6 +32,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -48,7 +49,7 @@ POOLED, FOLDS = "*", 2  # gram_counts exchanges the two
 LOW, HIGH = 0.005, 0.995
 #: Log probabilities are kept as whole numbers of this part.
 UNIT = 1e9
-BLOCK_BYTES, SLICE_BYTES, PIECE, LEVEL = 32 << 20, 64 << 20, 1 << 20, 6
+BLOCK_BYTES, SLICE_BYTES, PIECE, LEVEL = 8 << 20, 64 << 20, 1 << 19, 6
 #: Stands before a text's first characters; not a character of any text.
 PAD = "\x02"
 _MIX, _SPREAD = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0x9E3779B97F4A7C15)
@@ -93,10 +94,12 @@ def _pieces(texts: list[str], piece: int) -> Iterator[tuple[np.ndarray, np.ndarr
         yield flush()
 
 
-def _top_keys(codes: np.ndarray, places: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+def _numbered(codes: np.ndarray, places: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the n-gram at each place, keys of the distinct ones by number), by hashing, without a sort."""
     for j in range(ORDER):
         seeds = _step(seeds, codes[places - j])
-    return seeds
+    number, keys = pd.factorize(seeds.view(np.int64))
+    return number, keys.view(np.uint64)
 
 
 def top_grams(texts: list[str], kinds: np.ndarray, seeds: np.ndarray, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -107,9 +110,11 @@ def top_grams(texts: list[str], kinds: np.ndarray, seeds: np.ndarray, piece: int
     found = []
     for codes, places, owner in _pieces(texts, piece):
         kind = kinds[owner]
-        keys, first, n = np.unique(_top_keys(codes, places, seeds[kind]), return_index=True, return_counts=True)
+        number, keys = _numbered(codes, places, seeds[kind])
+        first = np.empty(len(keys), np.int64)
+        first[number[::-1]] = np.arange(len(number))[::-1]
         at = places[first]
-        found.append((keys, np.stack([codes[at - j] for j in reversed(range(ORDER))], axis=1), kind[first], n))
+        found.append((keys, np.stack([codes[at - j] for j in reversed(range(ORDER))], axis=1), kind[first], np.bincount(number)))
     if not found:
         return np.zeros(0, np.uint64), np.zeros((0, ORDER), np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
     keys, codes, kind, n = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -245,7 +250,7 @@ class Scored:
 
     def __init__(self, payload: bytes, tables: frozenset):
         docs = opened(payload)
-        self.ids, self.langs = docs.column("doc_id").combine_chunks(), docs.column("lang").combine_chunks()
+        self.ids, self.langs = (docs.column(c).combine_chunks() for c in ("doc_id", "lang"))
         names = [_table(*x, tables) for x in zip(self.langs.to_pylist(), docs.column("fold").to_pylist(), strict=True)]
         self.models = [n and n[0] for n in names]
         self.kinds, kinds = _kinds(names)
@@ -279,7 +284,8 @@ class Scored:
         """The sum of the log probabilities of each document's characters."""
         out = np.zeros(len(self.texts), np.int64)
         for codes, places, owner in _pieces(self.asked, PIECE):
-            each_one = logs[np.searchsorted(self.keys, _top_keys(codes, places, self.seeds[self.kinds[owner]]))]
+            number, keys = _numbered(codes, places, self.seeds[self.kinds[owner]])
+            each_one = logs[np.searchsorted(self.keys, keys)][number]
             first = np.append(0, np.nonzero(np.diff(owner))[0] + 1)
             out[owner[first]] += np.add.reduceat(each_one, first)
         return out
