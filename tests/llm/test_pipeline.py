@@ -84,8 +84,39 @@ def test_stages_against_brute_force(spark):
 
 
 def test_stage_edges(spark):
-    for docs in (edge.documents(spark), edge.empty(spark)):
-        for name, stage in corpus_pipeline.STAGES:  # each stage alone, over rows that no other stage has removed
-            out = stage(spark, docs, SF)
-            n = out.count()
-            assert n <= 3 * docs.count() + 40 and (name == "best-fit packing" or out.columns == docs.columns)
+    """Each stage alone, over rows that no other stage has removed: null ids and texts, repeated rows, clashing columns, an empty table."""
+    docs, out = edge.documents(spark), {}
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, edge.empty(spark), SF).count() == 0
+        frame = stage(spark, docs, SF)
+        assert name == "best-fit packing" or frame.columns == docs.columns
+        out[name] = frame.collect()
+    ids = lambda name: Counter(r.doc_id for r in out[name])
+    whole = Counter(r.doc_id for r in docs.collect())
+    words = {i: len((t or "").split()) for i, t in enumerate(edge.TEXTS)} | {None: 70}
+    kept = ids("quality rules")
+    assert all(n == whole[d] or d is None and n == 1 for d, n in kept.items()) and all(words[d] >= 50 for d in kept) and not {0, 1, 2, 3, 4} & set(kept)
+    assert {5, 6} <= set(kept) and kept[5] == 2
+    once = ids("SimHash near-dedup")
+    assert max(once.values()) == 1 and {0, 3, 4, 5, 7, 8} <= set(once) and not {1, 2, 6} & set(once)  # 1, 2 and a null row are as empty as 0
+    assert sum(r.doc_id is None and r.text is None for r in out["SimHash near-dedup"]) == 0 and once[None] == 1
+    assert ids("benchmark decontamination") == whole
+    clean = out["secret scans"]
+    assert ids("secret scans") == whole and all((r.text is None) == (r.doc_id == 0 or r.doc_id is None and r.n_chars is None) for r in clean)
+    assert "[SECRET]" in next(r.text for r in clean if r.doc_id == 13) and {r.doc_id: r.text for r in clean}[5] == edge.TEXTS[5]
+    packed = out["best-fit packing"]
+    first = Counter(r.doc_id for r in packed if r.piece == 0)
+    assert first == whole and all(r.length == 1 for r in packed if r.doc_id in (0, 1))
+
+
+def test_short_items_go_with_their_documents(spark):
+    """The decontamination stage drops documents that hold an item of fewer words than a shingle."""
+    import tempfile
+
+    from vitrine.llm.common import table
+    sf = tempfile.mkdtemp(prefix="vitrine-items-")
+    table(spark, SF, "documents").limit(0).write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([(1, "to be or not"), (2, "xyzzy")], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    docs = edge.documents(spark, ["we say to be or not today my friend", "clean words here", "it is XYZZY!", "be or not to", None])
+    left = dict(corpus_pipeline.STAGES)["benchmark decontamination"](spark, docs, sf)
+    assert sorted(r.doc_id for r in left.collect()) == [1, 3, 4]
