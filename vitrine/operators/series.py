@@ -170,12 +170,12 @@ def counter_increase(samples: DataFrame, series: Sequence[str], ts: str, value:
               .select(F.col("__s").alias("__ps"), F.col("__b").alias("__pb"), "__c0", "__n0",
                       F.expr("lead(__f, 1) IGNORE NULLS OVER (PARTITION BY __s ORDER BY __b)").alias("__after")))
     d = d.join(per, (F.col("__s") == F.col("__ps")) & (F.col("__b") == F.col("__pb")))
-    found = F.when(F.col("__next").isNotNull(), F.struct((F.col("__next.__c") + F.col("__c0")).alias("__c"), (F.col("__next.__n") + F.col("__n0")).alias("__n"),
-                                                         F.col("__next.__at").alias("__at"), F.col("__next.__v").alias("__v"))).otherwise(F.col("__after"))
-    first = F.when(~sample, found)
+    near = F.col("__next").isNotNull()  # else the first sample of a later bucket
+    pick = lambda f, base: F.when(~sample, F.when(near, F.col(f"__next.{f}") + F.col(base) if base else F.col(f"__next.{f}")).otherwise(F.col(f"__after.{f}")))
+    wanted = {"__c": "__c0", "__n": "__n0"} | ({"__at": None, "__v": None} if extrapolate else {})
     out = d.groupBy("__s", "__ts").agg(
         F.max(F.when(sample, F.col("__c") + F.col("__c0"))).alias("__c"), F.max(F.when(sample, F.col("__n") + F.col("__n0"))).alias("__n"), F.max(at).alias("__t"),
-        *[F.max(first[f]).alias(f"__first{f}") for f in ("__c", "__n", "__at", "__v")])
+        *[F.max(pick(f, base)).alias(f"__first{f}") for f, base in wanted.items()])
     increase, n = F.col("__c") - F.col("__first__c"), F.col("__n") - F.col("__first__n") + 1
     if extrapolate:
         sampled = (F.col("__t") - F.col("__first__at")).cast("double")
