@@ -329,6 +329,23 @@ def test_trigram_queries():
                 assert any(all(g in text.lower() for g in clause) for clause in query), (rule, text)
 
 
+def test_ids_are_no_hot_keys_of_a_secret_scan(spark):
+    """A third of the rows without an id, a third with one and the same: texts are spread by what they hold."""
+    n = 3000
+    docs = spark.range(n).select(F.when(F.col("id") % 3 == 1, F.lit(7)).when(F.col("id") % 3 == 2, F.col("id")).alias("doc_id"),
+                                 F.concat(F.lit("some words and a token = abcdefghijklmnop"), F.col("id").cast("string")).alias("text"))
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = secrets.with_spans(docs).select("doc_id", "text", F.size("spans").alias("n"), F.spark_partition_id().alias("task")).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert len(got) == n and all(r.n >= 1 for r in got)
+    assert max(Counter(r.task for r in got if r.doc_id is None).values()) < n / 3 / 4 and max(Counter(r.task for r in got if r.doc_id == 7).values()) < n / 3 / 4
+
+
 def test_secret_spans_brute_force(spark):
     r = random.Random(8)
     parts = ["password", "PassWd", "secret", "token", "api_key", "APIKEY", "=", ":", " ", "  ", '"', "'", "abcdef012345", "0123456789abcdef", "AKIA", "ABCDEFGHIJKLMN", "é", "\U0001F600", "\n", "x", "ghp_" + "a1" * 20]

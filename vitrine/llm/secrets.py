@@ -180,8 +180,10 @@ def with_spans(docs: DataFrame, rules=RULES, name: str = "spans") -> DataFrame:
     """`docs` with `name`: array of (start, kind number, end), in text order, then as the rules are listed."""
     scanned = [trigram_query(r.pattern) is None for r in rules]
     key, asked = free(docs, "__id"), free(docs, "__rules")
-    found = candidates(docs.select("doc_id", "text"), rules).select(F.col("doc_id").alias(key), F.col("rules").alias(asked))
-    joined = docs.join(found, docs["doc_id"].eqNullSafe(found[key]), "left")
+    # Texts meet their candidates by id and text: no id, or none, is a hot key, and rows that share a hash at worst have more rules verified.
+    row = F.xxhash64(docs["doc_id"], docs["text"])
+    found = candidates(docs.select(row.alias("doc_id"), "text"), rules).select(F.col("doc_id").alias(key), F.col("rules").alias(asked))
+    joined = docs.join(found, row == found[key], "left")
     text = F.coalesce(F.col("text"), F.lit(""))
     empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     parts = []
