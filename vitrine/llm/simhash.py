@@ -11,8 +11,13 @@ are reduced to stars (no more edges than fingerprints) before they leave the
 task.  Components are then found over the edges of distinct fingerprints, so
 exact copies never meet in a group.
 
-The table of cells has at most 17^4 rows and is the only thing broadcast.
-Comparisons grow with the square of the distinct fingerprints in a cell, about
+Pairs are made of tiles' numbers first, so that a full cell costs the task it is
+in a short row per pair; the fingerprints are fetched by two joins on tiles, and
+the pairs are dealt by a hash to as many tasks as their comparisons need
+(`TASK_WORK` each, `MAX_TASKS` at most), however few bytes they are.
+
+The table of cells has at most 17^4 rows and is the only thing broadcast by a
+hint.  Comparisons grow with the square of the distinct fingerprints in a cell, about
 1/2,000 of all pairs for even counts.
 
 Defined results: null text and text without words have fingerprint 0; null
@@ -38,6 +43,8 @@ from vitrine.llm.graph import connected_components
 SHINGLE, RADIUS, SEED = 3, 2, 42
 #: Fingerprints to a tile, shingle hashes to a bit count, elements to an exclusive-or.
 TILE, CHUNK, BLOCK = 2048, 1 << 17, 1 << 20
+#: Comparisons to a task, about; what a pair of tiles costs besides, in comparisons; tasks at most.
+TASK_WORK, PAIR_WORK, MAX_TASKS = 1 << 29, 1 << 14, 20_000
 _QUARTERS, _STEP = 4, 5  # a count of 0 to 16, plus the radius on either side, in five bits
 
 
@@ -119,9 +126,15 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, tile: int = TIL
     tiles = written(cells.join(F.broadcast(sizes), "cell")
                     .groupBy("cell", F.pmod(F.xxhash64("fp"), "tiles").alias("tile"))
                     .agg(F.sort_array(F.collect_list("fp")).alias("fps")), "tiles")
-    near = tiles.select(F.col("cell").alias("c"), F.col("tile").alias("t"), F.col("fps").alias("other"))
-    pairs = (tiles.withColumn("c", F.explode(F.array(*(F.lit(o).cast("long") for o in _offsets(radius))))).withColumn("c", F.col("cell") + F.col("c"))
-             .join(near, "c").where("cell <> c OR tile <= t").select("fps", "other"))
+    name = tiles.select("cell", "tile", F.size("fps").cast("long").alias("n"))
+    near = name.select(F.col("cell").alias("c"), F.col("tile").alias("t"), F.col("n").alias("m"))
+    pairs = written(name.withColumn("c", F.explode(F.array(*(F.lit(o).cast("long") for o in _offsets(radius))))).withColumn("c", F.col("cell") + F.col("c"))
+                    .join(near, "c").where("cell <> c OR tile <= t"), "tile-pairs")
+    work = pairs.agg(F.sum(F.col("n") * F.col("m") + PAIR_WORK)).first()[0] or 0
+    other = tiles.select(F.col("cell").alias("c"), F.col("tile").alias("t"), F.col("fps").alias("other"))
+    key = ["cell", "tile", "c", "t"]
+    dealt = (pairs.select(*key).join(tiles, ["cell", "tile"]).join(other, ["c", "t"])
+             .repartition(max(1, min(MAX_TASKS, -(-work // TASK_WORK))), *key).select("fps", "other"))
 
     def run(batches):
         for batch in batches:
@@ -132,7 +145,7 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, tile: int = TIL
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    return pairs.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def _components(prints: DataFrame, radius: int) -> DataFrame:
