@@ -3,7 +3,8 @@
 Layout of a token file folder (Parquet as the container, so every part is
 written through Spark's commit protocol and read where Spark reads):
 
-* ``ids``: ids of each document as tokenised, the one table that is read twice;
+* ``ids``: ids of each document as tokenised, the one table that is read more
+  than once;
 * ``code``: (id, length), the code lengths; codes are canonical, so that is all;
 * ``blocks``: (file, block, first, doc_ids, sizes, marks, payload). Files ascend
   by doc_id and so do the blocks in a file and the documents in a block.
@@ -14,12 +15,17 @@ written through Spark's commit protocol and read where Spark reads):
 
 Counting, coding and decoding work on record batches; the counts that reach
 the driver are at most one per id of the vocabulary, the totals one per file.
-Documents move once, coded, to the file that their doc_id belongs to.
+Files are ranges of (doc_id, hash of the ids, row), found by Spark's own range
+partitioning, so rows that share an id, or are all alike, are cut like any
+others.  Documents move once, as ids, and are coded where their file is
+written.  There are at most `MAX_FILES` files: beyond that they get larger, in
+blocks of the same size, and what the driver holds and broadcasts of them, a
+row per file, does not grow.
 
 Defined results: null and empty texts have the end id alone; documents with
-equal doc_ids stand in the order of their coded bytes; null doc_ids come
-first; extra columns are ignored; an empty table gives no blocks.  doc_id has
-to be numeric.
+equal doc_ids stand in the order of a hash of their ids; null doc_ids come
+first; extra columns are ignored; an empty table gives no blocks.  doc_id may
+be of any type that Spark sorts.
 """
 
 from __future__ import annotations
@@ -40,6 +46,8 @@ from vitrine.llm.tokens import SLICE, encoder, vocabulary_path
 
 #: Ids to a file and coded bytes to a block, about; ids from one checkpoint to the next.
 FILE_IDS, BLOCK_BYTES, EVERY = 16_000_000, 4 << 20, 512
+#: Files at most; more ids make larger files.
+MAX_FILES = 20_000
 #: Bytes of ids that are counted or coded at a time.
 CODED = 1 << 20
 
@@ -90,7 +98,7 @@ def id_counts(ids: DataFrame) -> DataFrame:
 
 
 def write_token_files(docs: DataFrame, folder: str, path: str | None = None, file_ids: int = FILE_IDS,
-                      block_bytes: int = BLOCK_BYTES, every: int = EVERY) -> TokenFiles:
+                      block_bytes: int = BLOCK_BYTES, every: int = EVERY, max_files: int = MAX_FILES) -> TokenFiles:
     """Tokenise `docs` (doc_id, text) and write the folder."""
     spark, files = docs.sparkSession, TokenFiles(folder)
     _tokenised(docs, path or vocabulary_path()).write.option("compression", "zstd").parquet(f"{folder}/ids")
@@ -101,46 +109,41 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, fil
     lengths = code_lengths(count)
     spark.createDataFrame([(int(i), int(lengths[i])) for i in np.nonzero(lengths)[0]], "id long, length int").coalesce(1).write.parquet(f"{folder}/code")
 
-    n_files = max(1, -(-int(count.sum()) // file_ids))
-    shares = [k / n_files for k in range(1, n_files)]
-    bounds = ids.agg(F.percentile_approx("doc_id", shares, max(10_000, 10 * n_files))).first()[0] if shares else []
-    bounds = np.array(bounds or [])
+    n_files = min(max_files, max(1, -(-int(count.sum()) // file_ids)))
     kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def coded(batches):
-        code = Code(lengths)
-        for batch in sliced(batches, "ids", CODED):
-            payload, marks = code.pack(*_flat(batch), every)
-            own = batch.column("doc_id")
-            to = np.searchsorted(bounds, own.fill_null(0).to_numpy(), side="right") * own.is_valid().to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), own, batch.column("n"), pa.array([m.astype("<u8").tobytes() for m in marks], pa.binary()), pa.array(payload, pa.binary())],
-                                             names=["file", "doc_id", "n", "marks", "payload"])
+    names = ["file", "block", "first", "doc_ids", "sizes", "marks", "payload"]
 
     def blocks(batches):
-        held, size, block, first, file = [], 0, 0, 0, TaskContext.get().partitionId()
-
-        def made():
-            place = np.cumsum([0] + [len(r["payload"]) for r in held[:-1]])
-            marks = b"".join((np.frombuffer(r["marks"], "<u8") + np.uint64(8 * p)).astype("<u8").tobytes() for r, p in zip(held, place, strict=True))
-            row = (file, block, first, [r["doc_id"] for r in held], [r["n"] for r in held], marks, b"".join(r["payload"] for r in held))
+        code, file, block, first = Code(lengths), TaskContext.get().partitionId(), 0, 0
+        held, size = [], 0  # (doc_id, ids, marks, coded bytes) of the documents of the open block
+
+        def made(doc_type):
+            docs, sizes, marks, payload = zip(*held, strict=True)
+            place = np.cumsum([0] + [8 * len(p) for p in payload[:-1]])
+            marks = b"".join((m + p).astype("<u8").tobytes() for m, p in zip(marks, place, strict=True))
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.list_(doc_type), pa.list_(pa.int64()), pa.binary(), pa.binary())
+            row = (file, block, first, docs, sizes, marks, b"".join(payload))
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds, strict=True)], names=names)
 
-        kinds = names = None
         for batch in batches:
-            names = ["file", "block", "first", "doc_ids", "sizes", "marks", "payload"]
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(batch.column("doc_id").type), pa.list_(pa.int64()), pa.binary(), pa.binary()]
-            for r in batch.to_pylist():
-                if held and size + len(r["payload"]) > block_bytes:
-                    yield made()
-                    block, first, held, size = block + 1, first + sum(x["n"] for x in held), [], 0
-                held.append(r)
-                size += len(r["payload"])
+            kept = batch.column("doc_id").type
+            for part in sliced([batch], "ids", CODED):
+                flat, sizes = _flat(part)
+                payload, marks = code.pack(flat, sizes, every)
+                for one in zip(part.column("doc_id").to_pylist(), sizes.tolist(), marks, payload, strict=True):
+                    if held and size + len(one[3]) > block_bytes:
+                        yield made(kept)
+                        block, first, held, size = block + 1, first + sum(x[1] for x in held), [], 0
+                    held.append(one)
+                    size += len(one[3])
         if held:
-            yield made()
+            yield made(kept)
 
-    (ids.mapInArrow(coded, f"file int, doc_id {kind}, n long, marks binary, payload binary")
-     .repartitionById(n_files, "file").sortWithinPartitions("doc_id", "payload").mapInArrow(
-         blocks, f"file int, block int, first long, doc_ids array<{kind}>, sizes array<long>, marks binary, payload binary")
+    # the row number only tells rows that are all alike apart; `ids` is written, so it is the same when a task is run again
+    order = ("doc_id", "k", "row")
+    (ids.select("doc_id", "n", "ids", F.xxhash64("ids").alias("k"), F.monotonically_increasing_id().alias("row"))
+     .repartitionByRange(n_files, *order).sortWithinPartitions(*order).select("doc_id", "n", "ids")
+     .mapInArrow(blocks, f"file int, block int, first long, doc_ids array<{kind}>, sizes array<long>, marks binary, payload binary")
      .write.option("compression", "uncompressed").parquet(f"{folder}/blocks"))
     return files
 
@@ -168,7 +171,7 @@ def read_token_files(spark: SparkSession, files: TokenFiles, every: int = EVERY)
                 yield pa.RecordBatch.from_arrays([pa.array([file.as_py()] * len(n), pa.int32()), docs.values, pa.array(start + first.as_py(), pa.int64()), pa.array(n, pa.int64()), pa.array(crc, pa.int64())],
                                                  names=["file", "doc_id", "start", "n_tokens", "ids_crc32"])
 
-    # a sum per file; the running total over the files is the only thing that needs their order
+    # a sum per file, of which there are `MAX_FILES` at most; the running total over them is the only thing that needs their order
     totals = blocks.select("file", F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x).alias("n")).groupBy("file").agg(F.sum("n").alias("n"))
     sums = sorted((r.file, r.n) for r in totals.collect())
     before, offsets = 0, []
