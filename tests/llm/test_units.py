@@ -140,6 +140,20 @@ def test_links_exact_for_any_tile(spark):
         assert {x: got.get(x, x) for x in signed} == root
 
 
+def test_tile_pairs_of_one_cell_are_dealt(spark, monkeypatch):
+    """Fingerprints that share a cell: their pairs of tiles are spread by the comparisons they need."""
+    monkeypatch.setattr(simhash, "TASK_WORK", 1 << 18)
+    r = random.Random(3)
+    half = [sum(1 << b for b in c) for c in itertools.combinations(range(16), 8)]
+    prints = {x | r.choice(half) << 16 for x in r.sample(half, 2000)}
+    frame = spark.createDataFrame([(x,) for x in prints], "fp long")
+    links = simhash.fingerprint_links(frame, tile=100)
+    assert links.rdd.getNumPartitions() > 20
+    root = {q.node: q.root for q in graph.connected_components(links).collect()}
+    near = {x: [y for y in prints if y != x and (x ^ y).bit_count() <= 2] for x in prints}
+    assert all((x in root or x in root.values()) == bool(near[x]) and all(root.get(x, x) == root.get(y, y) for y in near[x]) for x in prints)
+
+
 def test_dense_cluster_gives_stars_only(spark):
     prints = [sum(1 << b for b in c) for c in itertools.combinations(range(24), 2)]
     links = simhash.fingerprint_links(spark.createDataFrame([(x,) for x in prints], "fp long"), radius=4)
@@ -218,6 +232,42 @@ def test_token_file_edges(spark):
     assert token_files.read_token_files(spark, files).count() == 0
 
 
+def test_token_files_cut_a_hot_id(spark):
+    """Rows of one doc_id, and rows that are all alike, are spread over files; files stay within their bound."""
+    schema = "doc_id long, text string"
+    for rows in ([(5, edge.prose(k, 40)) for k in range(300)] + [(9, "x")], [(None, edge.prose(1, 40))] * 300):
+        docs = spark.createDataFrame(rows, schema)
+        own = tokens.Encoder(tokens.vocabulary_path())
+        want = sorted(zlib.crc32(own(t)) for _, t in rows)
+        for most in (20_000, 3):
+            files = token_files.write_token_files(docs, fresh(spark, "ids"), file_ids=1000, max_files=most)
+            held = {r.file: r["count"] for r in files.part(spark, "blocks").select("file", F.explode("doc_ids")).groupBy("file").count().collect()}
+            assert len(held) <= most and max(held.values()) < (60 if most > 3 else 180)
+            got = token_files.read_token_files(spark, files).orderBy("start").collect()
+            assert sorted(r.ids_crc32 for r in got) == want and [r.start for r in got] == list(np.cumsum([0] + [r.n_tokens for r in got])[:-1])
+
+
+def test_packing_deals_rows_that_are_alike(spark):
+    docs = spark.createDataFrame([(5, "one two three")] * 400 + [(k, edge.prose(k, 30)) for k in range(40)], "doc_id long, text string")
+    for most in (20_000, 3):
+        got = packing.pack_documents(docs, per_task=20, max_tasks=most).toPandas()
+        tasks = got[got.doc_id == 5].groupby(got.sequence_id // (1 << 40)).size()
+        assert len(got) == 440 and len(tasks) >= (12 if most > 3 else 3) and len(tasks) <= most and tasks.max() < (80 if most > 3 else 250)
+
+
+def test_bins_close_at_the_registered_size():
+    """More bins than may be open: the fullest close, and every piece still has a place of its own."""
+    sizes = [1100 + k % 900 for k in range(40_000)] + [40] * 40_000
+    sizes.sort(reverse=True)
+    bins, used = packing.BestFit(), {}
+    for n in sizes:
+        at, offset = bins.place(n)
+        assert used.get(at, 0) == offset and offset + n <= packing.LENGTH
+        used[at] = offset + n
+        assert bins.open <= packing.OPEN
+    assert bins.made == len(used) and sum(used.values()) == sum(sizes) and 40_000 <= bins.made < 40_600
+
+
 def test_best_fit_rules():
     bins = packing.BestFit(10, 2)
     assert [bins.place(n) for n in (6, 7, 3, 4)] == [(0, 0), (1, 0), (1, 7), (0, 6)]  # the tightest bin first

@@ -2,9 +2,10 @@
 
 Documents are tokenised in one pass; only those longer than a sequence are
 cut, from the end, so that just the first piece may be shorter.  Pieces are
-dealt by a hash to packing tasks (so one long document is spread like any
-other), each of about `PIECES` pieces, and each task packs online with bounded
-space: `OPEN` open bins, kept by free space with a bitset over the free
+dealt by a hash of their row to packing tasks (so one long document, or one
+text that is there a million times, is spread like any other), each of about
+`PIECES` pieces, more where that would be over `MAX_TASKS` tasks, and each task
+packs online with bounded space: `OPEN` open bins, kept by free space with a bitset over the free
 spaces.  A piece goes to the open bin with the least free space that holds it;
 if none does, a bin is opened, and when too many are open the fullest closes.
 A task takes its pieces longest first, which leaves the short ones to fill
@@ -27,10 +28,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import map_batches, table, written
+from vitrine.llm.common import free, map_batches, table, written
 from vitrine.llm.tokens import SLICE, encoder, vocabulary_path
 
-LENGTH, OPEN, PIECES = 2048, 32_768, 50_000
+LENGTH, OPEN, PIECES, MAX_TASKS = 2048, 32_768, 50_000, 20_000
 
 
 class BestFit:
@@ -94,10 +95,12 @@ def token_pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH)
     return map_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long", limit=SLICE)
 
 
-def pack(pieces: DataFrame, length: int = LENGTH, most: int = OPEN, per_task: int = PIECES) -> DataFrame:
+def pack(pieces: DataFrame, length: int = LENGTH, most: int = OPEN, per_task: int = PIECES, max_tasks: int = MAX_TASKS) -> DataFrame:
     """`pieces` with sequence_id and offset; reads its input twice, so hand it a written table."""
-    tasks = max(1, -(-pieces.count() // per_task))
-    dealt = pieces.repartition(tasks, F.xxhash64("doc_id", "piece", "ids_crc32")).sortWithinPartitions(F.desc("length"), "doc_id", "piece", "ids_crc32")
+    tasks = min(max_tasks, max(1, -(-pieces.count() // per_task)))
+    row = free(pieces, "row")
+    dealt = (pieces.withColumn(row, F.monotonically_increasing_id()).repartition(tasks, F.xxhash64(row))
+             .sortWithinPartitions(F.desc("length"), "doc_id", "piece", "ids_crc32").drop(row))
 
     def run(batches):
         bins, base = BestFit(length, most), TaskContext.get().partitionId() << 40
@@ -106,12 +109,13 @@ def pack(pieces: DataFrame, length: int = LENGTH, most: int = OPEN, per_task: in
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([base + s for s, _ in placed], pa.int64()), pa.array([o for _, o in placed], pa.int64())],
                                              names=[*batch.schema.names, "sequence_id", "offset"])
 
-    return dealt.mapInArrow(run, pieces.select("*").schema.add("sequence_id", "long").add("offset", "long"))
+    return dealt.mapInArrow(run, pieces.schema.add("sequence_id", "long").add("offset", "long"))
 
 
-def pack_documents(docs: DataFrame, path: str | None = None, length: int = LENGTH, most: int = OPEN, per_task: int = PIECES) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str | None = None, length: int = LENGTH, most: int = OPEN, per_task: int = PIECES,
+                   max_tasks: int = MAX_TASKS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: a row per piece of `docs` (doc_id, text)."""
-    return pack(written(token_pieces(docs, path, length), "pieces"), length, most, per_task)
+    return pack(written(token_pieces(docs, path, length), "pieces"), length, most, per_task, max_tasks)
 
 
 def op10_best_fit_packing(spark, sf_dir: str) -> DataFrame:
