@@ -108,7 +108,8 @@ def spectral_components(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         gap = values[None, :] - values[:, None]
         near = np.abs(gap) <= 2 * (np.linalg.norm(s - np.diag(values)) + scale * np.linalg.norm(r))
         vectors = vectors + vectors @ np.where(near, r / 2, (s + values[None, :] * r) / np.where(near, 1, gap))
-        vectors = vectors @ (1.5 * np.eye(n) - vectors.T @ vectors / 2)  # back to orthonormal vectors
+        for _ in range(3):  # back to orthonormal vectors: each step squares what is missing
+            vectors = vectors @ (1.5 * np.eye(n) - vectors.T @ vectors / 2)
     values = np.diag(vectors.T @ a @ vectors)
     order = np.argsort(-values, kind="stable")
     return values[order], vectors[:, order]
