@@ -206,6 +206,20 @@ def test_local_disk_is_refused_on_a_cluster(spark, monkeypatch):
         session.store_root(spark)
 
 
+@pytest.mark.parametrize("name", ["avg_offers_per_brand_mv", "csv_load", "ecom_offers_table"])
+def test_file_checkpoint_folder_holds_the_store_on_a_cluster(spark, monkeypatch, name):
+    """``spark.checkpoint.dir`` is shared by Spark's own rule, as a mount too."""
+    from vitrine import session
+    want, held = sorted(QUERIES[name](spark, SF001).collect()), spark.conf.get(session.STORE_CONF)
+    monkeypatch.setattr(session, "_one_machine", lambda s: False)
+    spark.conf.unset(session.STORE_CONF)
+    try:
+        assert session.store_root(spark) == spark.conf.get("spark.checkpoint.dir") + "/vitrine-store"
+        assert sorted(QUERIES[name](spark, SF001).collect()) == want and want
+    finally:
+        spark.conf.set(session.STORE_CONF, held)
+
+
 _APPEND_RUN = """
 import sys
 sys.path.insert(0, {root!r})

@@ -72,14 +72,19 @@ def _shared(spark: SparkSession, path: str) -> str:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH_CONF, None)
+    """The shared checkpoint folder: ``spark.checkpoint.dir``, or what ``setCheckpointDir`` made.
+
+    Spark itself needs this folder to be shared, so it is taken as it is
+    named: a ``file:`` path is a mount that all machines have.
+    """
+    d = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+         or spark.conf.get(SCRATCH_CONF, None))
     if not d:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="vitrine-ckpt-")
         spark.conf.set(SCRATCH_CONF, d)
-    return _shared(spark, d)
+    return d.rstrip("/")
 
 
 def store_root(spark: SparkSession) -> str:
