@@ -10,6 +10,7 @@ from collections import Counter
 import edge
 import harness
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -599,3 +600,45 @@ def test_classifier_tells_words_apart(spark):
     got = {x.doc_id: x for x in kneser_ney.classify(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
     assert len({(x.lang, x.low, x.high) for x in got.values()}) == 2
     assert np.mean([got[i].kept for i in range(400)]) > 0.96 and not any(got[i].kept for i in range(400, 480))
+
+
+def test_grams_of_a_block_take_memory_by_their_number_not_by_the_text(monkeypatch):
+    """Pieces are brought together as they come; what they add up to is what one piece gives."""
+    import tracemalloc
+    monkeypatch.setattr(kneser_ney, "WAITING", 1 << 10, raising=False)
+    r = random.Random(6)
+    text = lambda n: "".join(r.choices("abcdefgh", k=n))
+    seeds, kinds = np.array([3, 5], np.uint64), np.array([0, 1])
+
+    def peak(texts):
+        tracemalloc.start()
+        got = kneser_ney.top_grams(texts, kinds, seeds, piece=1 << 12)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return got, most
+
+    peak([text(1 << 12)] * 2)
+    few, many = [text(1 << 15), text(1 << 15)], [text(1 << 19), text(1 << 19)]
+    (_, small), (got, large) = peak(few), peak(many)
+    assert large < 2 * small
+    for a, b in zip(got, kneser_ney.top_grams(many, kinds, seeds, piece=1 << 21), strict=True):
+        assert (a == b).all()
+    assert got[3].sum() == 1 << 20
+
+
+def test_record_batches_are_bounded_by_bytes_and_blocks_are_filled_from_several(spark):
+    from vitrine.llm import blocks
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.createDataFrame([(i, f"{i} " * 100) for i in range(400)], "doc_id long, text string").repartition(2)
+    with blocks.batches_of(spark, 4096):
+        assert max(r.n for r in docs.mapInArrow(lambda it: (pa.record_batch({"n": [b.nbytes]}) for b in it), "n long").collect()) < 3 * 4096
+        held = blocks.blocks_of(docs, 40_000)
+    assert spark.conf.get(key) == before
+    rows = held.collect()
+    assert all(r.n_bytes <= 41_000 for r in rows) and sorted(r.n_bytes for r in rows)[2:][0] > 30_000
+    found = [(x["doc_id"], x["text"].decode()) for r in rows for x in blocks.opened(r.payload).to_pylist()]
+    assert sorted(found) == [(i, f"{i} " * 100) for i in range(400)]
+    with pytest.raises(ValueError), blocks.batches_of(spark, 4096):
+        raise ValueError
+    assert spark.conf.get(key) == before

@@ -14,11 +14,12 @@ from __future__ import annotations
 import itertools
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.llm.common import shared_folder, sliced
@@ -27,6 +28,35 @@ from vitrine.llm.common import shared_folder, sliced
 SENT = "slice long, part long, block long, body binary"
 
 
+#: The bytes that Spark puts into one record batch, at most (a longer row is alone).
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def batches_of(spark: SparkSession, n_bytes: int) -> Iterator[None]:
+    """What is run inside hands rows to Python in batches of `n_bytes`; they are off the heap on both sides."""
+    before = spark.conf.get(_BATCH, None)
+    spark.conf.set(_BATCH, str(n_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_BATCH) if before is None else spark.conf.set(_BATCH, before)
+
+
+def _filled(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
+    """The same rows in tables of about `limit` bytes of text, also of several batches."""
+    held, size = [], 0
+    for batch in itertools.chain.from_iterable(sliced([b], "text", limit) for b in batches):
+        n = batch.column("text").nbytes
+        if held and size + n > limit:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += n
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def blocks_of(docs: DataFrame, block_bytes: int, level: int = 1) -> DataFrame:
     """(part, block, n_bytes, payload), written: docs (text and other columns) in blocks of about `block_bytes` of text.
 
@@ -40,13 +70,12 @@ def blocks_of(docs: DataFrame, block_bytes: int, level: int = 1) -> DataFrame:
     def pack(batches):
         task = TaskContext.get().partitionId()
         part, n = parts[task % len(parts)], task << 32
-        for batch in itertools.chain.from_iterable(sliced([b], "text", block_bytes) for b in batches):
-            k = batch.schema.get_field_index("text")
-            text = batch.column(k).cast(pa.binary())
-            held = pa.RecordBatch.from_arrays([text if i == k else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
+        for rows in _filled(batches, block_bytes):
+            held = rows.set_column(rows.schema.get_field_index("text"), "text", rows.column("text").cast(pa.binary())).combine_chunks()
+            text = held.column("text")
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, held.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", level))) as out:
-                out.write_batch(held)
+                out.write_table(held)
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((part, pa.int64()), (n, pa.int64()), (text.nbytes, pa.int64()), (sink.getvalue().to_pybytes(), pa.binary()))],
                                              names=["part", "block", "n_bytes", "payload"])
             n += 1

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.blocks import SENT, blocks_of, each, opened, sent, slice_bits, slice_range, total_bytes, unpacked, with_answers
+from vitrine.llm.blocks import SENT, batches_of, blocks_of, each, opened, sent, slice_bits, slice_range, total_bytes, unpacked, with_answers
 from vitrine.llm.common import table, written
 
 ORDER = 4
@@ -49,7 +49,11 @@ POOLED, FOLDS = "*", 2  # gram_counts exchanges the two
 LOW, HIGH = 0.005, 0.995
 #: Log probabilities are kept as whole numbers of this part.
 UNIT = 1e9
-BLOCK_BYTES, SLICE_BYTES, PIECE, LEVEL = 8 << 20, 64 << 20, 1 << 19, 6
+BLOCK_BYTES, SLICE_BYTES, PIECE, LEVEL = 8 << 20, 32 << 20, 1 << 18, 6
+#: Bytes of a record batch between Spark and Python.
+BATCH_BYTES = 1 << 20
+#: n-grams of pieces that wait, at least, before equal ones are brought together.
+WAITING = 1 << 17
 #: Stands before a text's first characters; not a character of any text.
 PAD = "\x02"
 _MIX, _SPREAD = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0x9E3779B97F4A7C15)
@@ -102,24 +106,44 @@ def _numbered(codes: np.ndarray, places: np.ndarray, seeds: np.ndarray) -> tuple
     return number, keys.view(np.uint64)
 
 
+def _firsts(number: np.ndarray, n: int) -> np.ndarray:
+    """Where each of `n` numbers stands first."""
+    first = np.empty(n, np.int64)
+    first[number[::-1]] = np.arange(len(number))[::-1]
+    return first
+
+
+def _merged(found: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Equal n-grams of several pieces as one, with the sum of their counts."""
+    keys, codes, kind, n = (np.concatenate(x) for x in zip(*found, strict=True))
+    found.clear()
+    number, keys = pd.factorize(keys.view(np.int64))
+    first = _firsts(number, len(keys))
+    return keys.view(np.uint64), codes[first], kind[first], np.bincount(number, n, len(keys)).astype(np.int64)
+
+
 def top_grams(texts: list[str], kinds: np.ndarray, seeds: np.ndarray, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(keys, codes, kinds, counts) of the distinct n-grams of `ORDER` characters, in order of key.
 
     `kinds` number the tables that texts belong to, `seeds` are the tables' hashes.
+    Pieces are brought together as they come, so that what is held grows with
+    the distinct n-grams and not with the text.
     """
-    found = []
+    found, waiting = [], 0
     for codes, places, owner in _pieces(texts, piece):
         kind = kinds[owner]
         number, keys = _numbered(codes, places, seeds[kind])
-        first = np.empty(len(keys), np.int64)
-        first[number[::-1]] = np.arange(len(number))[::-1]
+        first = _firsts(number, len(keys))
         at = places[first]
         found.append((keys, np.stack([codes[at - j] for j in reversed(range(ORDER))], axis=1), kind[first], np.bincount(number)))
+        waiting += len(keys)
+        if waiting > max(WAITING, len(found[0][0])):
+            found, waiting = [_merged(found)], 0
     if not found:
         return np.zeros(0, np.uint64), np.zeros((0, ORDER), np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    keys, codes, kind, n = (np.concatenate(x) for x in zip(*found, strict=True))
-    keys, first, at = np.unique(keys, return_index=True, return_inverse=True)
-    return keys, codes[first], kind[first], np.bincount(at, n, len(keys)).astype(np.int64)
+    keys, codes, kind, n = _merged(found)
+    order = np.argsort(keys)
+    return keys[order], codes[order], kind[order], n[order]
 
 
 def _suffix_keys(codes: np.ndarray, seeds: np.ndarray, skip: int) -> list[np.ndarray]:
@@ -227,8 +251,8 @@ def _entries_sent(entries: DataFrame, bits: int) -> DataFrame:
 
 def _answer(group: pa.Table) -> pa.Table:
     """For each block in a slice: which of its keys the tables hold, and the numbers of those."""
-    rows = list(zip(*(group.column(c).to_pylist() for c in ("part", "block", "slice", "body")), strict=True))
-    tables = [(b, len(b) // _ENTRY) for p, _, _, b in rows if p == -1]
+    rows = list(zip(*(group.column(c).to_pylist() for c in ("part", "block", "slice")), (x.as_buffer() for x in group.column("body")), strict=True))
+    tables = [(b, b.size // _ENTRY) for p, _, _, b in rows if p == -1]
     cut = lambda kind, skip: np.concatenate([np.frombuffer(b, kind, n, skip * n) for b, n in tables] or [np.zeros(0, kind)])
     keys, alpha, gamma = cut("<u8", 0), cut("<f4", 8), cut("<f4", 12)
     order = np.argsort(keys, kind="stable")
@@ -255,14 +279,15 @@ class Scored:
         self.models = [n and n[0] for n in names]
         self.kinds, kinds = _kinds(names)
         self.seeds = np.array([table_seed(*k) for k in kinds], np.uint64)
-        self.texts = [characters(t) for t in docs.column("text").to_pylist()]
+        self.texts = [characters(t.as_py()) for t in docs.column("text")]
+        del docs
         self.sizes = np.array([len(t) for t in self.texts], np.int64)
         self.asked = [t if k >= 0 else "" for t, k in zip(self.texts, self.kinds.tolist(), strict=True)]
         self.keys, codes, kind, _ = top_grams(self.asked, self.kinds, self.seeds)
         seeds = self.seeds[kind]
         #: Of each n-gram the keys of its suffixes, and of its contexts, by length.
         self.grams, self.contexts = _suffix_keys(codes, seeds, 0), _suffix_keys(codes, seeds, 1)
-        self.all_keys = np.unique(np.concatenate([*self.grams[1:], *self.contexts]))
+        self.all_keys = np.unique(np.concatenate([pd.unique(x) for x in (*self.grams[1:], *self.contexts)]))
 
     def logs(self, bits: int, answers: list[dict]) -> np.ndarray:
         """The log probability of each n-gram's last character after the others, in UNITs."""
@@ -343,11 +368,12 @@ def classify(docs: DataFrame, labels: DataFrame, low: float = LOW, high: float =
     """doc_id, lang, n_symbols, perplexity, low, high, kept for each row of docs (doc_id, lang, text)."""
     trusted = trusted_ids(labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "toxic"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    blocks = blocks_of(docs.withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int")), block_bytes, LEVEL)
-    places = written(trusted_places(blocks, trusted), "trusted-places")
     held = docs.join(trusted.hint("merge"), "doc_id", "left_semi").where("lang IS NOT NULL").select("lang").distinct()
     pooled = not docs.select("lang").distinct().join(held, "lang", "left_anti").isEmpty()
-    scored = written(score_documents(blocks, gram_counts(blocks, places, pooled)), "perplexities")
+    with batches_of(docs.sparkSession, BATCH_BYTES):
+        blocks = blocks_of(docs.withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int")), block_bytes, LEVEL)
+        places = written(trusted_places(blocks, trusted), "trusted-places")
+        scored = written(score_documents(blocks, gram_counts(blocks, places, pooled)), "perplexities")
     known = scored.where("perplexity IS NOT NULL AND model IS NOT NULL").join(trusted.hint("merge"), "doc_id", "left_semi")
     bounds = lambda rows: rows.groupBy("model").agg(F.percentile_approx("perplexity", F.array(F.lit(low), F.lit(high)), 100_000).alias("q"))
     both = bounds(known).where(F.col("model") != POOLED).unionByName(bounds(known.withColumn("model", F.lit(POOLED))))
