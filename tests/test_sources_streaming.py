@@ -440,3 +440,76 @@ def test_replaced_file_changes_the_stamp(spark):
     os.utime(f"{d}/t.parquet/p=1/b", (1, 1))
     os.utime(f"{d}/t.parquet", ns=(kept.st_atime_ns, kept.st_mtime_ns))
     assert stamp() != first
+
+
+def _star(spark, lines: int = 4000, parts: int = 125) -> str:
+    """Own tables of the catalogue: keys that are null, that repeat (parts beyond 120), that meet nothing, and a hot part."""
+    d = tempfile.mkdtemp(prefix="vitrine-star-")
+    i = F.col("id")
+    spark.range(lines).select(
+        (i % 900).alias("l_orderkey"), F.when(i % 97 > 0, F.when(i % 3 == 0, 7).otherwise(i * i % 131)).cast("bigint").alias("l_partkey"),
+        F.when(i % 89 > 0, i % 23).alias("l_suppkey"), (i % 7).cast("int").alias("l_linenumber"),
+        F.timestamp_seconds(i * 86400 + 9).cast("timestamp_ntz").alias("l_shipdate")).write.parquet(f"{d}/lineitem.parquet")
+    spark.range(parts).select(
+        F.when(i % 50 > 0, i % 120).alias("p_partkey"), F.when(i % 11 > 0, F.concat(F.lit("w"), i % 5, F.lit(" v"), i)).alias("p_name"),
+        F.concat(F.lit("Brand#"), i % 4).alias("p_brand"), F.concat(F.lit("T"), i % 3).alias("p_type"), (i % 9).cast("int").alias("p_size")).write.parquet(f"{d}/part.parquet")
+    spark.range(22).select((i % 20).alias("s_suppkey"), F.when(i > 0, i % 6).cast("int").alias("s_nationkey")).write.parquet(f"{d}/supplier.parquet")
+    spark.range(5).select(i.cast("int").alias("n_nationkey"), (i % 3).cast("int").alias("n_regionkey")).write.parquet(f"{d}/nation.parquet")
+    spark.range(3).select(i.cast("int").alias("r_regionkey"), F.concat(F.lit("Re Gion"), i).alias("r_name")).write.parquet(f"{d}/region.parquet")
+    return d
+
+
+def _star_sql(d: str):
+    import duckdb
+    con = duckdb.connect()
+    for t in fx.CATALOG_TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{d}/{t}.parquet/*.parquet')")
+    return con
+
+
+def _shuffle_files(spark) -> set[str]:
+    listed = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    names = set()
+    while listed.hasNext():
+        names.add(listed.next().getName())
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+@pytest.fixture
+def many_partitions(spark):
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    held = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in held.items():
+        spark.conf.set(k, v)
+
+
+def test_catalogue_source_is_shuffled_narrow_and_stored_by_part(spark, many_partitions):
+    """Wide rows are written where the last join makes them, the lines of a part in one file."""
+    import re
+
+    from vitrine.plans import oracle_sql as sql
+    d = _star(spark)
+    plan = fx._catalog_src(spark, d)._jdf.queryExecution().executedPlan().toString()
+    sent = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+    assert sorted(sent) == sorted(["l_partkey", "l_suppkey", "p_partkey", "s_suppkey", "s_nationkey", "n_nationkey", "n_regionkey", "r_regionkey"])
+    assert "Exchange" not in plan.split("SortMergeJoin [l_partkey")[0]
+    src = fx.catalog_src(spark, d)
+    per = src.withColumn("file", F.input_file_name()).groupBy("l_partkey").agg(F.countDistinct("file").alias("files")).collect()
+    assert len(per) > 20 and {r.files for r in per} == {1}
+    problems, n = compare(src, _star_sql(d), sql.with_(sql.CATALOG_SRC) + "SELECT * FROM catalog_src")
+    assert n > 1000 and not problems
+
+
+def test_builds_leave_no_shuffle_files(spark, many_partitions):
+    """The disk a build needs is free before the next build begins."""
+    from vitrine.plans import registry
+    d, conf = _star(spark, parts=120), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was, before = spark.conf.get(conf), _shuffle_files(spark)
+    prods = registry._products(spark, d)
+    assert not _shuffle_files(spark) - before and spark.conf.get(conf) == was
+    assert prods.count() == prods.select("_id").distinct().count() > 100
+    problems, n = compare(QUERIES["level_name_stats"](spark, d), _star_sql(d), ORACLE["level_name_stats"])
+    assert n > 20 and not problems

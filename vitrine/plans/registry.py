@@ -164,7 +164,7 @@ def _categories(spark, sf_dir):
 def _products(spark, sf_dir):
     return materialize(spark, store_path(spark, "products", sf_dir, fx.CATALOG_TABLES),
                            lambda: docs.products_docs(_catalog(spark, sf_dir), fx.CATALOG_ROW_ORDER, LOAD_TS),
-                           sort_by=["type", "partner"])
+                           sort_by=["type", "partner"], spread=False)
 
 
 @register("profile_summary")

@@ -95,16 +95,21 @@ def catalog_src(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offers with partner and category path, in the source file layout:
     ``Partner_Name, Category_ID, Category_FullPathName, Offer_ID, Offer_Name,
     Offer_Type`` plus the row-order columns and ``load_date`` (the ship
-    date, which splits the rows into successive loads for the upserts)."""
-    return load_table(spark, sf_dir, "catalog_src", lambda: _catalog_src(spark, sf_dir),
-                      CATALOG_ROW_ORDER, CATALOG_TABLES)
+    date, which splits the rows into successive loads for the upserts).
+
+    The rows are wide, so they are written where the join with the parts makes
+    them.  It is a merge join whatever the sizes: the lines of a part lie
+    together, so that what depends on the part takes little room in the files
+    and groupings by offer are combined before they are shuffled."""
+    return load_table(spark, sf_dir, "catalog_src", lambda: _catalog_src(spark, sf_dir), None, CATALOG_TABLES)
 
 
 def _catalog_src(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Path, id and partner depend only on the dimension rows, so they are
     # computed there (once per part / supplier) and carried by the joins.
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey",
-                                                      "l_shipdate")
+    # Suppliers come first: they add one short column, so that lines are still
+    # narrow when they are shuffled for the parts, and not shuffled after that.
+    li = read_table(spark, sf_dir, "lineitem").select(*CATALOG_ROW_ORDER, F.col("l_shipdate").cast("date").alias("load_date"))
     p = read_table(spark, sf_dir, "part")
     words = F.split(F.col("p_name"), " ")
     levels = F.array(F.col("p_type"), F.col("p_brand"), F.get(words, 0), F.get(words, 1))
@@ -119,13 +124,12 @@ def _catalog_src(spark: SparkSession, sf_dir: str) -> DataFrame:
     supp = (s.join(n, s.s_nationkey == n.n_nationkey)
              .join(r, n.n_regionkey == r.r_regionkey)
              .select("s_suppkey", "Partner_Name"))
-    j = (li.join(parts, li.l_partkey == parts.p_partkey)
-           .join(supp, li.l_suppkey == supp.s_suppkey))
+    lines = li.join(supp, li.l_suppkey == supp.s_suppkey).select(*li.columns, "Partner_Name")
+    j = lines.join(parts.hint("merge"), lines.l_partkey == parts.p_partkey)
     return j.select(
         "Partner_Name", "Category_ID", "Category_FullPathName",
         F.col("l_partkey").alias("Offer_ID"), "Offer_Name", "Offer_Type",
-        *CATALOG_ROW_ORDER,
-        F.col("l_shipdate").cast("date").alias("load_date"),
+        *CATALOG_ROW_ORDER, "load_date",
     )
 
 

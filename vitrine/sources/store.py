@@ -6,7 +6,8 @@ from __future__ import annotations
 import hashlib
 import os
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,6 +70,21 @@ def _builds(spark: SparkSession, path: str) -> list[str]:
     return [f"{path}/{name}" for _, name in sorted(done)]
 
 
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What is written inside leaves no shuffle files: Spark removes those of a
+    query when it has ended, not when the driver happens to collect its plan."""
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_FREE_SHUFFLES) if before is None else spark.conf.set(_FREE_SHUFFLES, before)
+
+
 def write_once(spark: SparkSession, path: str, write) -> str:
     """Build-once write: ``write(folder)`` fills a folder of its own below
     ``path``; the first build with a ``_SUCCESS`` marker is the one that
@@ -86,7 +102,7 @@ def store_view_name(path: str) -> str:
 
 
 def materialize(spark: SparkSession, path: str, build, partition_by: list[str] | None = None,
-                sort_by: list[str] | None = None) -> DataFrame:
+                sort_by: list[str] | None = None, spread: bool = True) -> DataFrame:
     """Read ``path`` if a finished build is there, else build and write it.
 
     Writing to storage is also how lineage is cut: readers start from the
@@ -94,19 +110,22 @@ def materialize(spark: SparkSession, path: str, build, partition_by: list[str] |
     ``rebalance`` on the partition columns: AQE then sizes output files to
     the advisory partition size (splitting skewed partitions, merging small
     ones), so a partitioned table gets a few right-sized files per
-    partition value instead of one file per task and value.
+    partition value instead of one file per task and value.  A build that ends
+    in a grouping has its rows spread by the grouping's own shuffle, whose
+    small partitions AQE merges; with ``spread=False`` they are not sent again.
 
     The stored table is registered as a session view, so later reads skip
     the listing.  Nothing is cached: a caller who wants a table in memory
     caches it (``spark.catalog.cacheTable(store_view_name(path))``).
     """
     def write(target: str) -> None:
-        df = build().hint("rebalance", *(partition_by or []))
+        df = build().hint("rebalance", *(partition_by or [])) if spread else build()
         if sort_by:
             df = df.sortWithinPartitions(*(partition_by or []), *sort_by)
         w = df.write
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(target)
+        with shuffles_freed(spark):
+            w.parquet(target)
 
     return session_view(spark, store_view_name(path), lambda: spark.read.parquet(write_once(spark, path, write)))
