@@ -11,7 +11,8 @@ sampled or capped.  Joins carry no broadcast hints: the planner broadcasts a
 side only when its size (file statistics, and under AQE the runtime shuffle
 size) is below ``spark.sql.autoBroadcastJoinThreshold``, and falls back to a
 sort-merge join otherwise, so a dimension that grows with the data is never
-shipped whole to every task.
+shipped whole to every task.  One join is told to broadcast, once its side was
+counted: the suppliers of ``catalog_src``.
 """
 
 from __future__ import annotations
@@ -23,13 +24,15 @@ from vitrine.functions.columns import hour_floor
 from vitrine.operators.series import running_sum
 from vitrine.sources.load import load_path, load_table
 from vitrine.plans.metrics import sample_bounds
-from vitrine.sources.store import materialize, store_path, write_once
+from vitrine.sources.store import materialize, shuffles_freed, store_path, write_once
 from vitrine.sources.tables import read_table, session_view, table_stamp
 
 # Fixed values of the mapping: the row order that stands for file order.
 CATALOG_ROW_ORDER = ["l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"]
 SNAPSHOT_ORDER = ["l_orderkey", "l_linenumber", "seller_id"]
 CATALOG_TABLES = ["lineitem", "part", "supplier", "nation", "region"]
+# Suppliers up to this number (a key and a partner's name each) are sent to all tasks; beyond, lines meet them in a shuffle.
+SUPPLIERS_SENT = 500_000
 
 
 def _view(spark: SparkSession, sf_dir: str, name: str, table: str, build) -> DataFrame:
@@ -109,6 +112,7 @@ def _catalog_src(spark: SparkSession, sf_dir: str) -> DataFrame:
     # computed there (once per part / supplier) and carried by the joins.
     # Suppliers come first: they add one short column, so that lines are still
     # narrow when they are shuffled for the parts, and not shuffled after that.
+    # They are counted, as AQE sees that they are few when the lines are shuffled.
     li = read_table(spark, sf_dir, "lineitem").select(*CATALOG_ROW_ORDER, F.col("l_shipdate").cast("date").alias("load_date"))
     p = read_table(spark, sf_dir, "part")
     words = F.split(F.col("p_name"), " ")
@@ -124,7 +128,9 @@ def _catalog_src(spark: SparkSession, sf_dir: str) -> DataFrame:
     supp = (s.join(n, s.s_nationkey == n.n_nationkey)
              .join(r, n.n_regionkey == r.r_regionkey)
              .select("s_suppkey", "Partner_Name"))
-    lines = li.join(supp, li.l_suppkey == supp.s_suppkey).select(*li.columns, "Partner_Name")
+    with shuffles_freed(spark):
+        few = supp.count() <= SUPPLIERS_SENT
+    lines = li.join(F.broadcast(supp) if few else supp, li.l_suppkey == supp.s_suppkey).select(*li.columns, "Partner_Name")
     j = lines.join(parts.hint("merge"), lines.l_partkey == parts.p_partkey)
     return j.select(
         "Partner_Name", "Category_ID", "Category_FullPathName",
